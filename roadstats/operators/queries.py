@@ -39,15 +39,17 @@ def avg_speed_per_link(stats: DataFrame, ascending: bool = False) -> DataFrame:
 def top_n_congested(stats: DataFrame, n: int = 5) -> DataFrame:
     """``link, peak_vcount, argmax_t``: the n links with the largest peak ``vcount``.
 
-    ``argmax_t`` is the earliest step at which the link reached its peak.
+    ``argmax_t`` is the earliest step at which the link reached its peak. Two hash
+    aggregates: the earliest ``t`` per ``(link, vcount)`` (map-side combined, so its output
+    is at most links x distinct counts), then ``max_by`` per link, which is exact because
+    ``vcount`` is now unique within a link. Both keep fixed-width buffers, so neither falls
+    back to a sort-based aggregate.
     """
     n = _positive(n)
-    # (vcount, -t) orders by count first, then prefers the earliest t.
-    peak = F.max(F.struct(F.col("vcount").alias("c"), (-F.col("t")).alias("neg_t")))
+    first_at_count = stats.groupBy("link", "vcount").agg(F.min("t").alias("first_t"))
     return (
-        stats.groupBy("link")
-        .agg(peak.alias("_peak"))
-        .select("link", F.col("_peak.c").alias("peak_vcount"), (-F.col("_peak.neg_t")).alias("argmax_t"))
+        first_at_count.groupBy("link")
+        .agg(F.max("vcount").alias("peak_vcount"), F.max_by("first_t", "vcount").alias("argmax_t"))
         .orderBy(F.col("peak_vcount").desc_nulls_last(), F.col("link").asc_nulls_first())
         .limit(n)
     )

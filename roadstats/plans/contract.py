@@ -320,8 +320,10 @@ SELECT link, start, "end", x0, y0, x1, y1, seq, has_data, vcount, round(vspeed,
 FROM j, vm""",
 }
 
-ALL_QUERIES: dict[str, Query] = dict(BATCH)
-ALL_SQL: dict[str, str] = {k: v for k, v in BATCH_SQL.items() if k in ALL_QUERIES}
+from roadstats.plans.streamed import STREAM_QUERIES, stream_sql  # noqa: E402
+
+ALL_QUERIES: dict[str, Query] = {**BATCH, **STREAM_QUERIES}
+ALL_SQL: dict[str, str] = {k: v for k, v in {**BATCH_SQL, **stream_sql(BATCH_SQL)}.items() if k in ALL_QUERIES}
 
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:

@@ -6,7 +6,7 @@ fuse into the surrounding whole-stage-codegen stage.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -24,6 +24,11 @@ def parse_events(messages: DataFrame, schema: StructType = EVENT_SCHEMA, value_c
     return messages.select(F.from_json(payload, schema).alias("_event")).select("_event.*")
 
 
+def message_value(columns: list[str]) -> Column:
+    """The JSON message of one row: ``to_json(struct(columns))`` as UTF-8 bytes."""
+    return F.to_json(F.struct(*[F.col(c) for c in columns])).cast("binary")
+
+
 def encode_events(events: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Encode each row as one UTF-8 JSON object in a ``value BINARY`` column.
 
@@ -31,4 +36,4 @@ def encode_events(events: DataFrame, columns: list[str] | None = None) -> DataFr
     so ``parse_events(encode_events(df)) == df``.
     """
     cols = columns or [f.name for f in EVENT_SCHEMA.fields]
-    return events.select(F.to_json(F.struct(*[F.col(c) for c in cols])).cast("binary").alias("value"))
+    return events.select(message_value(cols).alias("value"))
