@@ -8,6 +8,7 @@ from roadstats.operators.queries import (  # noqa: F401
     latest_n,
     latest_t,
     link_detail,
+    link_history,
     link_series,
     link_state_at,
     link_summary,

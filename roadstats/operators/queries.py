@@ -139,6 +139,15 @@ def link_detail(stats: DataFrame, link_id: str) -> dict | None:
     return {"link": link_id, "summary": summary.drop("link"), "series": link_series(stats, link_id)}
 
 
+def link_history(stats: DataFrame, windowed: DataFrame, link_id: str, source: str = "stats") -> DataFrame:
+    """The series shown for one link: per-step rows (``stats``) or windowed rows (``windowed``)."""
+    if source == "stats":
+        return link_series(stats, link_id)
+    if source == "windowed":
+        return windowed_series(windowed, link_id)
+    raise ValueError(f"source must be 'stats' or 'windowed', got {source!r}")
+
+
 def latest_t(stats: DataFrame) -> DataFrame:
     """One row ``latest_t``: the largest ``t``, NULL for an empty table."""
     return stats.agg(F.max("t").alias("latest_t"))

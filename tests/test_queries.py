@@ -104,3 +104,13 @@ def test_overview_counts_null_link_group(spark, stats):
 
 def test_sample_row(stats):
     assert q.sample_row(stats).count() == 1
+
+
+def test_link_history_source(spark, stats):
+    from roadstats.schemas import WINDOWED_SCHEMA
+
+    windowed = spark.createDataFrame([], WINDOWED_SCHEMA)
+    assert q.link_history(stats, windowed, "A").count() == 3
+    assert q.link_history(stats, windowed, "A", "windowed").count() == 0
+    with pytest.raises(ValueError):
+        q.link_history(stats, windowed, "A", "raw")

@@ -133,3 +133,22 @@ def test_state_ttl_mode_matches_batch_for_in_order_data(spark, work):
     replay_to_dir(events, f"{work}/msg", f"{work}/stage", chunks=3)
     job = _run(spark, work, f"{work}/msg", state_ttl="10 minutes", max_files=1)
     assert _sorted(open_tables(spark, job.out_root)["stats"]) == _sorted(link_stats(events))
+
+
+def test_publish_counts_messages(spark, work):
+    from roadstats.sources.stream import publish_events
+
+    events = load_events(spark, SF_SMALL)
+    n = publish_events(events, "parquet", f"{work}/pub")
+    assert n == events.count()
+    back = parse_events(spark.read.parquet(f"{work}/pub"))
+    assert _sorted(back) == _sorted(events)
+
+
+def test_run_until_first_ends(spark, work):
+    from roadstats.streaming.job import run_until_first_ends
+
+    _write_files(spark, f"{work}/msg", [[ev(1, "L", 1.0)]])
+    job = start_streams(spark, StreamSource("parquet", f"{work}/msg"), f"{work}/t", f"{work}/c", trigger=AVAILABLE_NOW)
+    run_until_first_ends(spark, job, timeout_seconds=120)
+    assert not any(q.isActive for q in job.queries.values())
