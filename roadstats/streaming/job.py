@@ -1,117777 +1,174 @@
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-gdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-jdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-gdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-qdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-*def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-vdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-*def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
--def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-;def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ydef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-*def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-gdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
--def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ydef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-qdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ydef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-qdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ydef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-zdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Qdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ydef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-gdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ydef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ydef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-qdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ydef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-qdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ydef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-qdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-gdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-gdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Qdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ydef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-vdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-gdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Vdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-=def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-gdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-qdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-xdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-gdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-vdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-#def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-vdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
--def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
--def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-0def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-#def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-<def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-=def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
--def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-1def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-1def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-vdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-=def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-8def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-6def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-4def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-0def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-0def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-vdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-[def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-]def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-=def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
--def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
->def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-vdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Gdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ydef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-vdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-vdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-gdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-vdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-vdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-vdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-gdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-vdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-vdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-=def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ydef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-gdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-+def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-=def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-vdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-vdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-vdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-vdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-gdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ydef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-vdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-gdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-gdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-1def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-vdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-vdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-gdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-vdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-vdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-vdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-vdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-@def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Jdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-qdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-[def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-gdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Qdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ydef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-]def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-[def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-]def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
--def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
->def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Jdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-qdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-vdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
--def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
->def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-qdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-qdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-vdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-qdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-vdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-qdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-jdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Jdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-|def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-=def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
--def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
->def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ydef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-qdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ydef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-qdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ydef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
--def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ydef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ydef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ydef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ydef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ydef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-jdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-qdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-[def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-gdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Qdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ydef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-]def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
--def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
->def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-vdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-qdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-;def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
--def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-qdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-qdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-qdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-qdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-xdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-gdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-qdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ydef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-{def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-qdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-!def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-}def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-{def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-qdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-xdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-}def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-=def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-=def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-[def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-]def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-=def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-|def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-=def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-gdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-gdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-|def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-=def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-[def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-]def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-|def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-=def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-|def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-=def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-=def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-gdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-=def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-xdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-=def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
--def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
->def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Jdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-qdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-qdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ydef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-gdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-gdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-gdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-gdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-gdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-gdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-{def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-vdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-}def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-{def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-gdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-1def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-}def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ydef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Jdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ydef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-`def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-=def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-{def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-*def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-*def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-{def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-}def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-}def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-=def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-/def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-/def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-=def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Vdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-'def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-1def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-0def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-'def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
--def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
->def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-vdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-=def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-{def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-}def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-vdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-=def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-{def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-gdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-qdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-qdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-gdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-vdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-}def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-qdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-qdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-gdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-vdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Vdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-qdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-[def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-gdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Qdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ydef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-]def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-=def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-{def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-}def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-[def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-]def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-=def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-{def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-}def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ydef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-=def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-[def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-]def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-=def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-{def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-}def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-/def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-{def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-}def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-[def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-]def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-=def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-=def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-qdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ydef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-{def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-xdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-}def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-{def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-}def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-{def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-}def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-/def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-{def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-}def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-[def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-]def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-gdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-gdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-=def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-gdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-gdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-*def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-*def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-gdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-gdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-qdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-[def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-]def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-=def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-gdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-=def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-[def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-]def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-[def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-0def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-]def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-wdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-qdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ydef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-{def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-xdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-}def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-gdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-qdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-[def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-gdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-"def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-]def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-=def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-gdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-gdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-*def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-*def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-gdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-gdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-gdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-gdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ydef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ydef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-vdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-vdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-vdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ydef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-:def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-fdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-.def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ydef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-vdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ldef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-adef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-mdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-Jdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-bdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-(def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-qdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-=def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-qdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-=def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-=def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-hdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-edef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-cdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-kdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-pdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-odef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-tdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-,def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
- def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-=def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-rdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-udef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-ndef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-_def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
-
-
-idef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
+"""The streaming job: one message source, three independent queries, three sink tables.
 
+* ``raw``      parsed events, output mode ``append``
+* ``stats``    per-(t, link) statistics, output mode ``update`` (no watermark; keyed upsert on read)
+* ``windowed`` tumbling-window statistics, output mode ``append`` (closed windows only)
 
-ddef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
-
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
+Each query reads and parses the source itself and has its own checkpoint folder and name.
+State partitions of a stateful query are frozen in its checkpoint (AQE does not apply to
+stateful streaming), so they are a parameter here.
+"""
 
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
+from __future__ import annotations
 
+from collections.abc import Iterable
+from dataclasses import dataclass
 
-sdef run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
+from roadstats.operators.stats import link_stats, status_filter, windowed_stats
+from roadstats.schemas import (
+    DEFAULT_WATERMARK,
+    DEFAULT_WINDOW_SECONDS,
+    RAW_TABLE,
+    STATS_TABLE,
+    STATUS_LINKS,
+    WINDOWED_TABLE,
+)
+from roadstats.sources.codec import parse_events
+from roadstats.sources.stream import StreamSource
+from roadstats.streaming.sink import batch_writer, run_id_for
 
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# Event-time offset of the state-TTL mode: the first watermark is epoch 0 and the late test
+# is "<=", so steps in (-1, 1) would be dropped in the first batch without a positive shift.
+TTL_TIME_SHIFT_SECONDS = 86_400
 
 
-)def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
+def link_stats_with_ttl(events: DataFrame, ttl: str, status_links: Iterable[str] = STATUS_LINKS) -> DataFrame:
+    """``link_stats`` whose state is evicted once the watermark passes a step.
 
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
+    Groups by ``(event_ts, t, link)`` with a watermark of ``ttl`` on ``event_ts`` (the same
+    groups, since ``event_ts`` is a function of ``t``), then drops ``event_ts``. Rows later
+    than the watermark are dropped in this mode, and rows without an event time are dropped
+    up front (their group could never be evicted).
     """
-    import time
-
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
-    try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
-    finally:
-        job.stop()
+    shifted = F.timestamp_seconds(F.col("t").try_cast("long") + F.lit(TTL_TIME_SHIFT_SECONDS))
+    timed = status_filter(events, status_links).withColumn("event_ts", shifted).where(F.col("event_ts").isNotNull())
+    return (
+        timed.withWatermark("event_ts", ttl)
+        .groupBy("event_ts", "t", "link")
+        .agg(F.count(F.lit(1)).alias("vcount"), F.avg("v").alias("vspeed"))
+        .select("t", "link", "vcount", "vspeed")
+    )
 
 
+@dataclass
+class StreamJob:
+    queries: dict[str, StreamingQuery]
+    out_root: str
+    checkpoint_root: str
+    run_ids: dict[str, int]
 
-def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
-    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
+    def drain(self) -> "StreamJob":
+        drain(self.queries.values())
+        return self
 
-    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
-    ended earlier in the session). A failed query re-raises its error here.
-    """
-    import time
+    def stop(self) -> None:
+        for q in self.queries.values():
+            if q.isActive:
+                q.stop()
+
+
+def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
+    """Block until one query of ``job`` ends (or the timeout passes), then stop the others.
+
+    Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
+    ended earlier in the session). A failed query re-raises its error here.
+    """
+    import time
+
+    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
+    try:
+        while deadline is None or time.monotonic() < deadline:
+            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
+                return
+    finally:
+        job.stop()
+
+
+def drain(queries: Iterable[StreamingQuery]) -> None:
+    """Wait for (``availableNow``) queries to finish; re-raise the first failure."""
+    for q in queries:
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(f"streaming query {q.name!r} failed: {q.exception()}")
+
+
+def start_streams(
+    spark: SparkSession,
+    source: StreamSource,
+    out_root: str,
+    checkpoint_root: str,
+    window_seconds: int = DEFAULT_WINDOW_SECONDS,
+    watermark: str = DEFAULT_WATERMARK,
+    status_links: Iterable[str] = STATUS_LINKS,
+    state_partitions: int | None = None,
+    trigger: dict | None = None,
+    tables: dict[str, str] | None = None,
+    state_ttl: str | None = None,
+    rocksdb: bool = False,
+    debug: bool = False,
+    name_prefix: str = "",
+) -> StreamJob:
+    """Start the raw, stats and windowed queries (plus a console query when ``debug``).
+
+    ``trigger`` is passed to ``DataStreamWriter.trigger`` (e.g. ``{"availableNow": True}``
+    to drain what is there, ``{"processingTime": "1 second"}`` to run continuously).
+    Wait with ``StreamJob.drain()`` or ``spark.streams.awaitAnyTermination()``.
+    """
+    names = {"raw": RAW_TABLE, "stats": STATS_TABLE, "windowed": WINDOWED_TABLE, **(tables or {})}
+    out_root, checkpoint_root = out_root.rstrip("/"), checkpoint_root.rstrip("/")
+    status_links = tuple(status_links)
+    if state_ttl is not None and not state_ttl.strip():
+        raise ValueError("state_ttl must be a duration such as '10 minutes'")
+
+    def parsed() -> DataFrame:
+        return parse_events(source.read(spark))
 
-    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
+    plans = {
+        "raw": (parsed(), "append"),
+        "stats": (
+            link_stats_with_ttl(parsed(), state_ttl, status_links) if state_ttl else link_stats(parsed(), status_links),
+            "update",
+        ),
+        "windowed": (windowed_stats(parsed(), window_seconds, watermark, status_links), "append"),
+    }
+    saved = {k: spark.conf.get(k, None) for k in ("spark.sql.shuffle.partitions", "spark.sql.streaming.stateStore.providerClass")}
+    if state_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(int(state_partitions)))
+    if rocksdb:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    queries: dict[str, StreamingQuery] = {}
+    run_ids: dict[str, int] = {}
     try:
-        while deadline is None or time.monotonic() < deadline:
-            if any(q.awaitTermination(poll_seconds / max(len(job.queries), 1)) for q in job.queries.values()):
-                return
+        for role, (df, mode) in plans.items():
+            table = names[role]
+            ckpt = f"{checkpoint_root}/{table}"
+            run_ids[role] = run_id_for(spark, ckpt)
+            writer = (
+                df.writeStream.queryName(f"{name_prefix}{table}")
+                .outputMode(mode)
+                .option("checkpointLocation", ckpt)
+                .foreachBatch(batch_writer(f"{out_root}/{table}", run_ids[role]))
+            )
+            if trigger:
+                writer = writer.trigger(**trigger)
+            queries[role] = writer.start()
+        if debug:
+            console = (
+                plans["stats"][0].writeStream.queryName(f"{name_prefix}debug_console")
+                .outputMode("update")
+                .format("console")
+                .option("truncate", False)
+            )
+            queries["debug"] = (console.trigger(**trigger) if trigger else console).start()
     finally:
-        job.stop()
-
-
+        for key, value in saved.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+    return StreamJob(queries=queries, out_root=out_root, checkpoint_root=checkpoint_root, run_ids=run_ids)
