@@ -44,7 +44,13 @@ def streamed_tables(spark: SparkSession, sf: str, variant: str) -> dict[str, Dat
         else:
             raise ValueError(f"unknown replay variant {variant!r}")
         source = StreamSource("parquet", messages, max_files_per_trigger=1)
-        start_streams(spark, source, f"{work}/tables", f"{work}/checkpoints", trigger={"availableNow": True}).drain()
+        # State partitions follow the cluster's cores, not the session's shuffle setting
+        # (stateful streams are not re-planned by AQE and 200 idle state tasks per
+        # micro-batch would dominate a small replay).
+        parts = max(1, spark.sparkContext.defaultParallelism)
+        start_streams(
+            spark, source, f"{work}/tables", f"{work}/checkpoints", trigger={"availableNow": True}, state_partitions=parts
+        ).drain()
         _RUNS[key] = f"{work}/tables"
     return open_tables(spark, _RUNS[key])
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -24,7 +24,7 @@ from roadstats.schemas import (
     WINDOWED_SCHEMA,
     WINDOWED_TABLE,
 )
-from roadstats.session import path_exists
+from roadstats.session import list_dir, path_exists
 from roadstats.streaming.sink import BATCH_BITS
 
 
@@ -32,26 +32,57 @@ def _with_batch_cols(schema: StructType) -> StructType:
     return StructType(list(schema.fields) + [StructField("run_id", LongType()), StructField("batch_id", LongType())])
 
 
+SNAPSHOT_SUFFIX = "__snapshot"
+
+
+def _version() -> Column:
+    return F.shiftleft(F.col("run_id"), BATCH_BITS) + F.col("batch_id")
+
+
+def latest_snapshot(spark: SparkSession, path: str) -> tuple[str, int] | None:
+    """``(folder, version)`` of the newest compacted snapshot of the table at ``path``."""
+    versions = [int(n[2:]) for n in list_dir(spark, path.rstrip("/") + SNAPSHOT_SUFFIX) if n.startswith("v=") and n[2:].isdigit()]
+    if not versions:
+        return None
+    v = max(versions)
+    return f"{path.rstrip('/')}{SNAPSHOT_SUFFIX}/v={v}", v
+
+
 def read_table(
     spark: SparkSession,
     path: str,
     schema: StructType,
     keys: Sequence[str] | None = None,
     fmt: str = "parquet",
+    keep_version: bool = False,
 ) -> DataFrame:
     """Read a sink table; with ``keys``, resolve to the newest row per key.
 
-    A table that does not exist yet reads as empty with ``schema``.
+    With a compacted snapshot, only batches newer than the snapshot are read (a partition
+    filter on ``run_id``/``batch_id``, so older batch folders are pruned at planning time)
+    and resolved together with the snapshot. A table that does not exist yet reads as empty.
     """
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], schema)
-    df = spark.read.schema(_with_batch_cols(schema)).format(fmt).load(path)
+    has_batches = path_exists(spark, path)
+    snapshot = latest_snapshot(spark, path) if keys else None
+    if not has_batches and snapshot is None:
+        empty = spark.createDataFrame([], schema)
+        return empty.withColumn("_version", F.lit(None).cast("long")) if keep_version else empty
     if not keys:
-        return df.select(*schema.names)
-    version = F.shiftleft(F.col("run_id"), BATCH_BITS) + F.col("batch_id")
+        return spark.read.schema(_with_batch_cols(schema)).format(fmt).load(path).select(*schema.names)
+    parts = []
+    if has_batches:
+        log = spark.read.schema(_with_batch_cols(schema)).format(fmt).load(path)
+        if snapshot is not None:
+            run, batch = snapshot[1] >> BATCH_BITS, snapshot[1] & ((1 << BATCH_BITS) - 1)
+            log = log.where((F.col("run_id") > run) | ((F.col("run_id") == run) & (F.col("batch_id") > batch)))
+        parts.append(log.withColumn("_version", _version()).select(*schema.names, "_version"))
+    if snapshot is not None:
+        parts.append(spark.read.schema(StructType(list(schema.fields) + [StructField("_version", LongType())])).parquet(snapshot[0]))
+    log = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     values = [c for c in schema.names if c not in keys]
-    resolved = df.withColumn("_version", version).groupBy(*keys).agg(*[F.max_by(c, "_version").alias(c) for c in values])
-    return resolved.select(*schema.names)
+    aggs = [F.max_by(c, "_version").alias(c) for c in values] + ([F.max("_version").alias("_version")] if keep_version else [])
+    out = log.groupBy(*keys).agg(*aggs)
+    return out.select(*schema.names, *(["_version"] if keep_version else []))
 
 
 def open_tables(
@@ -74,13 +105,48 @@ def open_tables(
     }
 
 
-def compact(spark: SparkSession, root: str, table: str, out: str, sort_within: Sequence[str] = ("link", "t")) -> str:
-    """Write the resolved table as one snapshot at ``out`` (sorted within files for pruning)."""
-    schemas = {STATS_TABLE: (STATS_SCHEMA, STATS_KEYS), WINDOWED_TABLE: (WINDOWED_SCHEMA, WINDOWED_KEYS), RAW_TABLE: (EVENT_SCHEMA, None)}
-    schema, keys = schemas.get(table, (None, None))
-    if schema is None:
-        raise ValueError(f"unknown table {table!r}")
-    df = read_table(spark, f"{root.rstrip('/')}/{table}", schema, keys)
-    cols = [c for c in sort_within if c in df.columns]
-    (df.sortWithinPartitions(*cols) if cols else df).write.mode("overwrite").parquet(out)
+def compact(
+    spark: SparkSession,
+    root: str,
+    table: str,
+    include_latest: bool = False,
+    sort_within: Sequence[str] = ("link", "t"),
+) -> str | None:
+    """Fold a keyed table's batches into a new snapshot; later reads skip the folded batches.
+
+    The snapshot holds the newest row per key with its version. It is written to a fresh folder
+    ``{table}__snapshot/v={bound}``, sorted within files for pruning. Readers pick the newest
+    snapshot and add only batches with a larger version, so compaction can run while the stream
+    keeps writing. By default the newest batch folder is left out, because it may still be
+    landing. Pass ``include_latest=True`` once the stream is stopped. Returns the snapshot folder,
+    or None when there is nothing to fold.
+    """
+    schemas = {STATS_TABLE: (STATS_SCHEMA, STATS_KEYS), WINDOWED_TABLE: (WINDOWED_SCHEMA, WINDOWED_KEYS)}
+    if table not in schemas:
+        raise ValueError(f"only keyed tables compact: {sorted(schemas)}, got {table!r}")
+    schema, keys = schemas[table]
+    path = f"{root.rstrip('/')}/{table}"
+    if not path_exists(spark, path):
+        return None
+    # Batch folders are partitions: their versions come from the listing, not from the data.
+    versions = sorted(
+        (int(r[len("run_id="):]) << BATCH_BITS) + int(b[len("batch_id="):])
+        for r in list_dir(spark, path)
+        if r.startswith("run_id=")
+        for b in list_dir(spark, f"{path}/{r}")
+        if b.startswith("batch_id=")
+    )
+    if not include_latest:
+        versions = versions[:-1]
+    if not versions:
+        return None
+    bound = versions[-1]
+    snap = latest_snapshot(spark, path)
+    if snap is not None and snap[1] >= bound:
+        return snap[0]
+    # Keys whose newest version is above the bound are left to the newer batches.
+    resolved = read_table(spark, path, schema, keys, keep_version=True).where(F.col("_version") <= F.lit(bound))
+    out = f"{path}{SNAPSHOT_SUFFIX}/v={bound}"
+    cols = [c for c in sort_within if c in schema.names]
+    (resolved.sortWithinPartitions(*cols) if cols else resolved).write.mode("overwrite").parquet(out)
     return out

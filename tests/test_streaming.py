@@ -152,3 +152,31 @@ def test_run_until_first_ends(spark, work):
     job = start_streams(spark, StreamSource("parquet", f"{work}/msg"), f"{work}/t", f"{work}/c", trigger=AVAILABLE_NOW)
     run_until_first_ends(spark, job, timeout_seconds=120)
     assert not any(q.isActive for q in job.queries.values())
+
+
+def test_compaction_snapshot_and_later_batches(spark, work, events_df):
+    from roadstats.streaming.store import compact
+
+    root = f"{work}/tables"
+    write = batch_writer(f"{root}/stats", run_id=3)
+    write(link_stats(events_df([ev(1, "L", 10.0)])), 0)
+    write(link_stats(events_df([ev(1, "L", 10.0), ev(1, "L", 20.0), ev(2, "L", 4.0)])), 1)
+    write(link_stats(events_df([ev(3, "L", 6.0)])), 2)
+    before = _sorted(read_table(spark, f"{root}/stats", STATS_SCHEMA, STATS_KEYS))
+    snap = compact(spark, root, "stats")  # folds batches 0 and 1, leaves the newest
+    assert snap is not None and snap.endswith(f"v={(3 << 32) + 1}")
+    assert _sorted(read_table(spark, f"{root}/stats", STATS_SCHEMA, STATS_KEYS)) == before
+    write(link_stats(events_df([ev(2, "L", 8.0), ev(2, "L", 4.0)])), 3)  # newer version of t=2
+    rows = {r.t: (r.vcount, r.vspeed) for r in read_table(spark, f"{root}/stats", STATS_SCHEMA, STATS_KEYS).collect()}
+    assert rows == {1.0: (2, 15.0), 2.0: (2, 6.0), 3.0: (1, 6.0)}
+    final = compact(spark, root, "stats", include_latest=True)
+    assert final.endswith(f"v={(3 << 32) + 3}")
+    assert {r.t: (r.vcount, r.vspeed) for r in read_table(spark, f"{root}/stats", STATS_SCHEMA, STATS_KEYS).collect()} == rows
+    assert compact(spark, root, "stats", include_latest=True) == final
+
+
+def test_rocksdb_state_store(spark, work):
+    events = load_events(spark, SF_SMALL)
+    replay_to_dir(events, f"{work}/msg", f"{work}/stage", chunks=2)
+    job = _run(spark, work, f"{work}/msg", rocksdb=True, state_partitions=2)
+    assert _sorted(open_tables(spark, job.out_root)["stats"]) == _sorted(link_stats(events))
