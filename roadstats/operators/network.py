@@ -36,6 +36,16 @@ def link_segments(
     return links.join(start, "start", "inner").join(end, "end", "inner").select(*cols)
 
 
+CHECKS: tuple[str, ...] = (
+    "unknown_endpoint",
+    "orphan_node",
+    "segment_count",
+    "non_finite_coordinate",
+    "duplicate_link",
+    "duplicate_coordinate",
+)
+
+
 def network_checks(
     spark: SparkSession,
     observed: DataFrame | None = None,
@@ -44,51 +54,69 @@ def network_checks(
 ) -> DataFrame:
     """Integrity report ``check, violations, ok``, one row per check.
 
-    Structural: unknown link endpoint, node on no link, segment count != link count,
-    non-finite segment coordinate, repeated link name, two nodes on one coordinate.
-    With ``observed`` (any table with a ``link`` column, e.g. ``stats``): road links seen in
-    the data that the network does not have (``unmapped_link``); those rows get no segment.
-    Each check is an anti join or a grouped count reduced to one row; the report is their union.
+    Structural checks: an unknown link endpoint, a node on no link, segment count != link
+    count, a non-finite segment coordinate, a repeated link name, two nodes on one coordinate.
+    With ``observed`` (any table with a ``link`` column, e.g. ``stats``) there is one more check,
+    ``unmapped_link``: road links seen in the data that the network lacks. Those rows get no
+    segment. All checks are answered from one tagged union: one ``groupBy`` on (kind, name, x, y),
+    then one global aggregate that is unpivoted into report rows. That is one shuffle instead of
+    one per check.
     """
     builtin = nodes is None and links is None
     nodes = nodes if nodes is not None else nodes_df(spark)
     links = links if links is not None else links_df(spark)
-    node_keys = _maybe_broadcast(nodes.select(F.col("node").alias("endpoint")), builtin)
-    endpoints = links.select(F.col("start").alias("endpoint")).unionByName(links.select(F.col("end").alias("endpoint")))
     segments = link_segments(spark, nodes, links)
-
-    def one(name: str, violations: DataFrame) -> DataFrame:
-        return violations.agg(F.count(F.lit(1)).alias("violations")).select(
-            F.lit(name).alias("check"), "violations", (F.col("violations") == 0).alias("ok")
+    null_d, zero, one = F.lit(None).cast("double"), F.lit(0), F.lit(1)
+
+    def fact(df: DataFrame, kind: str, name, x=null_d, y=null_d, is_node=zero, is_end=zero, bad=zero) -> DataFrame:
+        return df.select(
+            F.lit(kind).alias("kind"),
+            name.cast("string").alias("name"),
+            x.alias("x"),
+            y.alias("y"),
+            is_node.alias("is_node"),
+            is_end.alias("is_end"),
+            bad.alias("bad"),
         )
 
-    def repeated(df: DataFrame, *keys: str) -> DataFrame:
-        return df.groupBy(*keys).count().where(F.col("count") > 1)
-
-    link_count = links.agg(F.count(F.lit(1)).alias("n"))
-    seg_count = segments.agg(F.count(F.lit(1)).alias("m"))
-    count_mismatch = link_count.unionByName(seg_count.select(F.col("m").alias("n"))).agg(
-        (F.max("n") - F.min("n")).alias("diff")
-    ).where(F.col("diff") != 0)
     finite = F.lit(True)
     for c in ("x0", "y0", "x1", "y1"):
         finite = finite & F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(F.col(c)) != F.lit(float("inf")))
-
-    parts = [
-        one("unknown_endpoint", endpoints.join(node_keys, "endpoint", "left_anti")),
-        one("orphan_node", node_keys.join(endpoints, "endpoint", "left_anti")),
-        one("segment_count", count_mismatch),
-        one("non_finite_coordinate", segments.where(~finite)),
-        one("duplicate_link", repeated(links, "link")),
-        one("duplicate_coordinate", repeated(nodes, "x", "y")),
+    facts = [
+        fact(nodes, "name", F.col("node"), is_node=one),
+        fact(links, "name", F.col("start"), is_end=one),
+        fact(links, "name", F.col("end"), is_end=one),
+        fact(links, "link", F.col("link")),
+        fact(nodes, "coord", F.lit(None), F.col("x"), F.col("y")),
+        fact(segments, "segment", F.col("link"), bad=F.when(finite, 0).otherwise(1)),
     ]
     if observed is not None:
         seen = observed.select("link").where(F.col("link").isNotNull()).distinct()
-        parts.append(one("unmapped_link", seen.join(_maybe_broadcast(links.select("link"), builtin), "link", "left_anti")))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+        unmapped = seen.join(_maybe_broadcast(links.select("link"), builtin), "link", "left_anti")
+        facts.append(fact(unmapped, "unmapped", F.col("link")))
+    union = facts[0]
+    for f in facts[1:]:
+        union = union.unionByName(f)
+    grouped = union.groupBy("kind", "name", "x", "y").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("is_node").alias("nodes"), F.sum("is_end").alias("ends"), F.sum("bad").alias("bad")
+    )
+    kind = F.col("kind")
+    counts = {
+        "unknown_endpoint": F.sum(F.when((kind == "name") & (F.col("nodes") == 0), F.col("ends")).otherwise(0)),
+        "orphan_node": F.sum(F.when((kind == "name") & (F.col("ends") == 0), F.col("nodes")).otherwise(0)),
+        "segment_count": F.when(
+            F.sum(F.when(kind == "link", F.col("n")).otherwise(0)) != F.sum(F.when(kind == "segment", F.col("n")).otherwise(0)), 1
+        ).otherwise(0),
+        "non_finite_coordinate": F.sum(F.when(kind == "segment", F.col("bad")).otherwise(0)),
+        "duplicate_link": F.sum(F.when((kind == "link") & (F.col("n") > 1), 1).otherwise(0)),
+        "duplicate_coordinate": F.sum(F.when((kind == "coord") & (F.col("n") > 1), 1).otherwise(0)),
+    }
+    names = list(CHECKS) + (["unmapped_link"] if observed is not None else [])
+    if observed is not None:
+        counts["unmapped_link"] = F.sum(F.when(kind == "unmapped", F.col("n")).otherwise(0))
+    totals = grouped.agg(*[F.coalesce(counts[c], F.lit(0)).cast("long").alias(c) for c in names])
+    rows = F.explode(F.array(*[F.struct(F.lit(c).alias("check"), F.col(c).alias("violations")) for c in names]))
+    return totals.select(rows.alias("r")).select("r.check", "r.violations", (F.col("r.violations") == 0).alias("ok"))
 
 
 def network_state_at(

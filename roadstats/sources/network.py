@@ -47,13 +47,26 @@ LINKS: dict[str, tuple[str, str]] = {
 LINK_ORDER: tuple[str, ...] = tuple(LINKS)
 
 
+def _values(rows: list[tuple]) -> str:
+    def lit(v) -> str:
+        return f"'{v}'" if isinstance(v, str) else repr(v)
+
+    return ", ".join("(" + ", ".join(lit(v) for v in row) + ")" for row in rows)
+
+
 def nodes_df(spark: SparkSession) -> DataFrame:
-    """``node STRING, x DOUBLE, y DOUBLE``."""
+    """``node STRING, x DOUBLE, y DOUBLE`` as an inline table (a local relation: no scan tasks)."""
     rows = [(name, x, y) for name, (x, y) in NODES.items()]
-    return spark.createDataFrame(rows, "node string, x double, y double")
+    return spark.sql(
+        f"SELECT CAST(node AS STRING) AS node, CAST(x AS DOUBLE) AS x, CAST(y AS DOUBLE) AS y "
+        f"FROM VALUES {_values(rows)} AS nodes(node, x, y)"
+    )
 
 
 def links_df(spark: SparkSession) -> DataFrame:
-    """``link STRING, start STRING, end STRING, seq INT`` (``seq`` = declaration order)."""
+    """``link STRING, start STRING, end STRING, seq INT`` (``seq`` = declaration order), inline."""
     rows = [(name, a, b, i) for i, (name, (a, b)) in enumerate(LINKS.items())]
-    return spark.createDataFrame(rows, "link string, start string, `end` string, seq int")
+    return spark.sql(
+        "SELECT CAST(link AS STRING) AS link, CAST(start AS STRING) AS start, CAST(`end` AS STRING) AS `end`, "
+        f"CAST(seq AS INT) AS seq FROM VALUES {_values(rows)} AS links(link, start, `end`, seq)"
+    )
