@@ -112,12 +112,14 @@ def start_streams(
     rocksdb: bool = False,
     debug: bool = False,
     name_prefix: str = "",
+    output_files: int | None = None,
 ) -> StreamJob:
     """Start the raw, stats and windowed queries (plus a console query when ``debug``).
 
     ``trigger`` is passed to ``DataStreamWriter.trigger`` (e.g. ``{"availableNow": True}``
     to drain what is there, ``{"processingTime": "1 second"}`` to run continuously).
-    Wait with ``StreamJob.drain()`` or ``spark.streams.awaitAnyTermination()``.
+    Wait with ``StreamJob.drain()`` or ``run_until_first_ends``. ``output_files`` bounds the
+    files per micro-batch of the two aggregate tables (default: one per state partition).
     """
     names = {"raw": RAW_TABLE, "stats": STATS_TABLE, "windowed": WINDOWED_TABLE, **(tables or {})}
     out_root, checkpoint_root = out_root.rstrip("/"), checkpoint_root.rstrip("/")
@@ -152,7 +154,9 @@ def start_streams(
                 df.writeStream.queryName(f"{name_prefix}{table}")
                 .outputMode(mode)
                 .option("checkpointLocation", ckpt)
-                .foreachBatch(batch_writer(f"{out_root}/{table}", run_ids[role]))
+                .foreachBatch(
+                    batch_writer(f"{out_root}/{table}", run_ids[role], output_files=None if role == "raw" else output_files)
+                )
             )
             if trigger:
                 writer = writer.trigger(**trigger)

@@ -47,15 +47,20 @@ def batch_writer(
     run_id: int,
     fmt: str = "parquet",
     sort_within: Sequence[str] | None = ("link", "t"),
+    output_files: int | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function writing each micro-batch to its own overwritable directory.
 
     Rows are sorted within each output file by ``sort_within`` (when present), so parquet
-    row-group min/max statistics prune reads filtered on ``link`` and ``t``.
+    row-group min/max statistics prune reads filtered on ``link`` and ``t``. A stateful query
+    emits one partition per state partition; ``output_files`` re-partitions the (aggregated,
+    small) batch output to that many files so thousands of state partitions do not become
+    thousands of tiny files per trigger. The state operator keeps its parallelism (a
+    ``coalesce`` would shrink it).
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        out = batch
+        out = batch.repartition(int(output_files)) if output_files else batch
         cols = [c for c in (sort_within or ()) if c in batch.columns]
         if cols:
             out = out.sortWithinPartitions(*cols)

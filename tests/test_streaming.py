@@ -175,8 +175,11 @@ def test_compaction_snapshot_and_later_batches(spark, work, events_df):
     assert compact(spark, root, "stats", include_latest=True) == final
 
 
-def test_rocksdb_state_store(spark, work):
+def test_rocksdb_state_store_and_output_files(spark, work):
     events = load_events(spark, SF_SMALL)
     replay_to_dir(events, f"{work}/msg", f"{work}/stage", chunks=2)
-    job = _run(spark, work, f"{work}/msg", rocksdb=True, state_partitions=2)
+    job = _run(spark, work, f"{work}/msg", rocksdb=True, state_partitions=4, output_files=1)
     assert _sorted(open_tables(spark, job.out_root)["stats"]) == _sorted(link_stats(events))
+    files = spark.read.parquet(f"{job.out_root}/stats").select(F.input_file_name().alias("f"), "batch_id").distinct()
+    per_batch = files.groupBy("batch_id").count().collect()
+    assert per_batch and all(r["count"] == 1 for r in per_batch)
