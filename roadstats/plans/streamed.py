@@ -21,10 +21,11 @@ from roadstats.session import new_work_dir
 from roadstats.sources.events import load_events
 from roadstats.sources.stream import StreamSource, replay_to_dir
 from roadstats.streaming.job import start_streams
-from roadstats.streaming.store import open_tables
+from roadstats.schemas import STATS_TABLE
+from roadstats.streaming.store import compact, open_tables
 
 IN_ORDER_CHUNKS = 3
-SPLIT_CHUNKS = 4
+SPLIT_CHUNKS = 2
 _RUNS: dict[tuple[str, str], str] = {}
 
 
@@ -79,6 +80,14 @@ def _windowed(variant: str):
     return lambda spark, sf: _windowed_view(streamed_tables(spark, sf, variant)["windowed"])
 
 
+def _compacted_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """Streamed ``stats`` read back through a compacted snapshot (the run has drained)."""
+    streamed_tables(spark, sf, "split")
+    root = _RUNS[(sf.rstrip("/"), "split")]
+    compact(spark, root, STATS_TABLE, include_latest=True)
+    return _stats_view(open_tables(spark, root)["stats"])
+
+
 def _avg_speed(variant: str):
     return lambda spark, sf: q.avg_speed_per_link(streamed_tables(spark, sf, variant)["stats"]).withColumn(
         "avg_speed", F.round("avg_speed", 6)
@@ -98,6 +107,7 @@ STREAM_QUERIES = {
     "stream_top_n": _top_n("split"),
     "stream_late_data": _windowed("late"),
     "stream_late_stats": _stats("late"),
+    "stream_compacted_stats": _compacted_stats,
 }
 
 _STATUS = "('trip_end', 'waiting_at_origin_node')"
@@ -122,6 +132,7 @@ def stream_sql(batch_sql: dict[str, str]) -> dict[str, str]:
         "stream_avg_speed": batch_sql["avg_speed_per_link"],
         "stream_top_n": batch_sql["top_n_congested"],
         "stream_late_data": windowed_closed,
+        "stream_compacted_stats": batch_sql["link_stats"],
         "stream_late_stats": o.with_(o.EV, _LATE_EV)
         + f"""SELECT t, link, count(*) AS vcount, round(avg(v), 6) AS vspeed
 FROM ev_late WHERE link NOT IN {_STATUS} GROUP BY t, link""",
