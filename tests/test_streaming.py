@@ -183,3 +183,17 @@ def test_rocksdb_state_store_and_output_files(spark, work):
     files = spark.read.parquet(f"{job.out_root}/stats").select(F.input_file_name().alias("f"), "batch_id").distinct()
     per_batch = files.groupBy("batch_id").count().collect()
     assert per_batch and all(r["count"] == 1 for r in per_batch)
+
+
+def test_cli_stream_query_check(spark, work, capsys):
+    from roadstats.__main__ import main
+
+    events = load_events(spark, SF_SMALL)
+    replay_to_dir(events, f"{work}/msg", f"{work}/stage", chunks=2)
+    assert main(["stream", "--format", "parquet", "--path", f"{work}/msg", "--out", f"{work}/tables",
+                 "--checkpoint", f"{work}/ckpt", "--available-now", "--state-partitions", "2"]) == 0
+    assert main(["check", "--root", f"{work}/tables"]) == 0
+    assert "[OK] raw_data" in capsys.readouterr().out
+    assert main(["query", "top-congested", "--root", f"{work}/tables", "--n", "3"]) == 0
+    assert main(["check", "--root", f"{work}/tables", "--min-raw", str(10**9)]) == 1
+    assert main(["compact", "--root", f"{work}/tables", "--include-latest"]) == 0
