@@ -46,22 +46,29 @@ def get_session(
     return spark
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def shared_root(spark: SparkSession) -> str:
     """The cluster-wide shared folder for lineage cuts, stream checkpoints and sink output.
 
-    Read from ``spark.checkpoint.dir``. Only when the session has none (a local test run)
-    is a fresh local folder created and registered.
+    Read from ``spark.checkpoint.dir`` (session or context conf). Only when the session has
+    none (a local test run) is a fresh local folder created, registered with
+    ``SparkContext.setCheckpointDir`` and reused for the life of the application.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="roadstats-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
-    elif spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if root:
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(root)
+        return root.rstrip("/")
+    app = sc.applicationId
+    if app not in _LOCAL_ROOTS:
+        local = tempfile.mkdtemp(prefix="roadstats-ckpt-")
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(local)
+        _LOCAL_ROOTS[app] = local
+    return _LOCAL_ROOTS[app]
 
 
 def new_work_dir(spark: SparkSession, label: str) -> str:
