@@ -197,3 +197,11 @@ def test_cli_stream_query_check(spark, work, capsys):
     assert main(["query", "top-congested", "--root", f"{work}/tables", "--n", "3"]) == 0
     assert main(["check", "--root", f"{work}/tables", "--min-raw", str(10**9)]) == 1
     assert main(["compact", "--root", f"{work}/tables", "--include-latest"]) == 0
+
+
+def test_debug_console_query(spark, work):
+    _write_files(spark, f"{work}/msg", [[ev(1, "L", 1.0), ev(1, "L", 3.0)]])
+    job = start_streams(spark, StreamSource("parquet", f"{work}/msg"), f"{work}/t", f"{work}/c", trigger=AVAILABLE_NOW, debug=True)
+    job.drain()
+    assert set(job.queries) == {"raw", "stats", "windowed", "debug"}
+    assert job.queries["debug"].lastProgress["numInputRows"] == 2
