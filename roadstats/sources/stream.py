@@ -74,6 +74,7 @@ def replay_to_dir(
     files_per_chunk: int | None = None,
     fmt: str = "parquet",
     ranges: list[tuple[float, float]] | None = None,
+    whole: bool = True,
 ) -> list[tuple[float, float]]:
     """Write ``events`` as messages into ``path`` in time order, one write job per time range.
 
@@ -83,6 +84,9 @@ def replay_to_dir(
     ``max_files_per_trigger``). ``split_steps`` writes each range in two halves chosen by a
     row hash, so every step is spread over two jobs, i.e. two micro-batches. Every row is
     written exactly once. Returns the ranges used (``[lo, hi)``, the last one closed).
+
+    ``whole=False`` replays only the given ``ranges`` (all half-open, no rows without a time),
+    e.g. to send a time range again as late data.
     """
     if chunks <= 0:
         raise ValueError(f"chunks must be positive, got {chunks}")
@@ -103,7 +107,7 @@ def replay_to_dir(
         ranges = [(lo + i * width, lo + (i + 1) * width) for i in range(chunks)]
     timeless = staged.where(F.col("_t").isNull() | F.isnan("_t"))
     for i, (a, b) in enumerate(ranges):
-        last = i == len(ranges) - 1
+        last = whole and i == len(ranges) - 1
         cond = (F.col("_t") >= F.lit(a)) & ((F.col("_t") <= F.lit(b)) if last else (F.col("_t") < F.lit(b)))
         part = staged.where(cond)
         if last:
