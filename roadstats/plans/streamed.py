@@ -41,7 +41,7 @@ def streamed_tables(spark: SparkSession, sf: str, variant: str) -> dict[str, Dat
             replay_to_dir(events, messages, f"{work}/staging", chunks=SPLIT_CHUNKS, split_steps=True)
         elif variant == "late":
             ranges = replay_to_dir(events, messages, f"{work}/staging", chunks=IN_ORDER_CHUNKS)
-            replay_to_dir(events, messages, f"{work}/staging-late", ranges=ranges[:1], whole=False)
+            replay_to_dir(events, messages, f"{work}/staging", ranges=ranges[:1], whole=False, restage=False)
         else:
             raise ValueError(f"unknown replay variant {variant!r}")
         source = StreamSource("parquet", messages, max_files_per_trigger=1)

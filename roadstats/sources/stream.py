@@ -75,6 +75,7 @@ def replay_to_dir(
     fmt: str = "parquet",
     ranges: list[tuple[float, float]] | None = None,
     whole: bool = True,
+    restage: bool = True,
 ) -> list[tuple[float, float]]:
     """Write ``events`` as messages into ``path`` in time order, one write job per time range.
 
@@ -86,7 +87,8 @@ def replay_to_dir(
     written exactly once. Returns the ranges used (``[lo, hi)``, the last one closed).
 
     ``whole=False`` replays only the given ``ranges`` (all half-open, no rows without a time),
-    e.g. to send a time range again as late data.
+    e.g. to send a time range again as late data. ``restage=False`` reuses a ``staging``
+    folder written by an earlier call over the same events.
     """
     if chunks <= 0:
         raise ValueError(f"chunks must be positive, got {chunks}")
@@ -96,7 +98,8 @@ def replay_to_dir(
         F.xxhash64(*[F.col(c) for c in events.columns]).alias("_h"),
         message_value(events.columns).alias("value"),
     )
-    encoded.write.mode("overwrite").parquet(staging)
+    if restage:
+        encoded.write.mode("overwrite").parquet(staging)
     staged = spark.read.parquet(staging)
     if ranges is None:
         bounds = staged.agg(F.min("_t").alias("lo"), F.max("_t").alias("hi")).first()
