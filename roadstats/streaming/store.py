@@ -40,12 +40,18 @@ def _version() -> Column:
 
 
 def latest_snapshot(spark: SparkSession, path: str) -> tuple[str, int] | None:
-    """``(folder, version)`` of the newest compacted snapshot of the table at ``path``."""
-    versions = [int(n[2:]) for n in list_dir(spark, path.rstrip("/") + SNAPSHOT_SUFFIX) if n.startswith("v=") and n[2:].isdigit()]
-    if not versions:
-        return None
-    v = max(versions)
-    return f"{path.rstrip('/')}{SNAPSHOT_SUFFIX}/v={v}", v
+    """``(folder, version)`` of the newest complete snapshot of the table at ``path``.
+
+    Only snapshots whose write job committed (``_SUCCESS`` present) count, so a compaction that
+    died half way is ignored and the batches it would have folded are still read.
+    """
+    base = path.rstrip("/") + SNAPSHOT_SUFFIX
+    versions = sorted((int(n[2:]) for n in list_dir(spark, base) if n.startswith("v=") and n[2:].isdigit()), reverse=True)
+    for v in versions:
+        folder = f"{base}/v={v}"
+        if path_exists(spark, f"{folder}/_SUCCESS"):
+            return folder, v
+    return None
 
 
 def read_table(

@@ -205,3 +205,19 @@ def test_debug_console_query(spark, work):
     job.drain()
     assert set(job.queries) == {"raw", "stats", "windowed", "debug"}
     assert job.queries["debug"].lastProgress["numInputRows"] == 2
+
+
+def test_incomplete_snapshot_is_ignored(spark, work, events_df):
+    from roadstats.streaming.store import SNAPSHOT_SUFFIX, compact
+
+    root = f"{work}/tables"
+    write = batch_writer(f"{root}/stats", run_id=5)
+    write(link_stats(events_df([ev(1, "L", 10.0)])), 0)
+    write(link_stats(events_df([ev(2, "L", 20.0)])), 1)
+    good = compact(spark, root, "stats", include_latest=True)
+    # A newer snapshot folder without a commit marker (a compaction that died) must not win.
+    events_df([]).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(
+        f"{root}/stats{SNAPSHOT_SUFFIX}/v={(5 << 32) + 9}"
+    )
+    rows = {(r.t, r.vcount) for r in read_table(spark, f"{root}/stats", STATS_SCHEMA, STATS_KEYS).collect()}
+    assert rows == {(1.0, 1), (2.0, 1)} and good.endswith(f"v={(5 << 32) + 1}")
