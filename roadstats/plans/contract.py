@@ -187,6 +187,11 @@ def _latest_n_windowed(spark: SparkSession, sf: str) -> DataFrame:
     return windowed_view(q.latest_n(batch_tables(spark, sf).windowed, LATEST_N, "window_end", ["link"]))
 
 
+def _latest_n_raw(spark: SparkSession, sf: str) -> DataFrame:
+    # Many raw rows share the last step: every other column breaks the tie, in schema order.
+    return q.latest_n(batch_tables(spark, sf).raw, LATEST_N, "t")
+
+
 def _sample_row(spark: SparkSession, sf: str) -> DataFrame:
     return stats_view(q.sample_row(batch_tables(spark, sf).stats))
 
@@ -225,6 +230,7 @@ BATCH: dict[str, Query] = {
     "volume_checks": _volume_checks,
     "latest_n_stats": _latest_n_stats,
     "latest_n_windowed": _latest_n_windowed,
+    "latest_n_raw": _latest_n_raw,
     "sample_row": _sample_row,
     "network_checks": _network_checks,
     "network_state_at": _network_state_at,
@@ -292,6 +298,9 @@ UNION ALL SELECT 'stats_windowed', count(*) FROM win_t""",
 ORDER BY t DESC NULLS LAST, link ASC NULLS FIRST LIMIT {LATEST_N}""",
     "latest_n_windowed": _WN + f"""SELECT {_WIN_COLS} FROM win_t
 ORDER BY window_end DESC NULLS LAST, link ASC NULLS FIRST LIMIT {LATEST_N}""",
+    "latest_n_raw": _EV + f"""SELECT {o.EV_COLS} FROM ev
+ORDER BY t DESC NULLS LAST, name ASC NULLS FIRST, dn ASC NULLS FIRST, orig ASC NULLS FIRST, dest ASC NULLS FIRST,
+         link ASC NULLS FIRST, x ASC NULLS FIRST, s ASC NULLS FIRST, v ASC NULLS FIRST LIMIT {LATEST_N}""",
     "network_checks": o.with_(o.EV, o.STATS, o.NODES_SQL, o.LINKS_SQL, o.SEGS) + """, ends AS (
   SELECT start AS endpoint FROM links_t UNION ALL SELECT "end" FROM links_t)
 SELECT "check", violations, violations = 0 AS ok FROM (

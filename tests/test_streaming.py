@@ -221,3 +221,16 @@ def test_incomplete_snapshot_is_ignored(spark, work, events_df):
     )
     rows = {(r.t, r.vcount) for r in read_table(spark, f"{root}/stats", STATS_SCHEMA, STATS_KEYS).collect()}
     assert rows == {(1.0, 1), (2.0, 1)} and good.endswith(f"v={(5 << 32) + 1}")
+
+
+def test_nan_and_null_time_do_not_stop_the_stream(spark, work):
+    nan = float("nan")
+    _write_files(spark, f"{work}/msg", [[ev(1, "L", 1.0), ev(nan, "L", 2.0), ev(None, "L", 3.0), ev(1e300, "L", 4.0)]])
+    job = _run(spark, work, f"{work}/msg")
+    tables = open_tables(spark, job.out_root)
+    assert tables["raw"].count() == 4
+    wq = job.queries["windowed"]
+    assert wq.exception() is None
+    assert sum(p["numInputRows"] for p in wq.recentProgress) == 4  # read all, no ANSI cast failure
+    stats = {(None if r.t is None else ("nan" if r.t != r.t else r.t)): r.vcount for r in tables["stats"].collect()}
+    assert stats == {1.0: 1, "nan": 1, None: 1, 1e300: 1}
