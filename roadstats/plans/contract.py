@@ -18,7 +18,9 @@ from roadstats.operators import network as net
 from roadstats.operators import queries as q
 from roadstats.operators.stats import link_stats, status_filter, windowed_stats
 from roadstats.plans import oracle as o
+from roadstats.plans.streamed import STREAM_QUERIES, stream_sql
 from roadstats.plans.tables import batch_tables
+from roadstats.plans.views import rounded, stats_view, windowed_view
 from roadstats.schemas import EVENT_COLUMNS
 from roadstats.sources.codec import encode_events, parse_events
 from roadstats.sources.events import events_from_table, load_events
@@ -33,22 +35,6 @@ LATEST_N = 5
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def rounded(df: DataFrame, *cols: str, digits: int = 6) -> DataFrame:
-    return df.select(*[F.round(F.col(c), digits).alias(c) if c in cols else F.col(c) for c in df.columns])
-
-
-def ntz(df: DataFrame, *cols: str) -> DataFrame:
-    return df.select(*[to_utc_ntz(c).alias(c) if c in cols else F.col(c) for c in df.columns])
-
-
-def stats_view(df: DataFrame) -> DataFrame:
-    return rounded(df, "vspeed")
-
-
-def windowed_view(df: DataFrame) -> DataFrame:
-    return ntz(rounded(df, "vspeed_avg", "vspeed_min", "vspeed_max"), "window_start", "window_end")
-
-
 # --- batch: decode / filter / aggregate -------------------------------------------------------
 
 
@@ -329,8 +315,6 @@ SELECT link, start, "end", x0, y0, x1, y1, seq, has_data, vcount, round(vspeed,
 FROM j, vm""",
 }
 
-from roadstats.plans.streamed import STREAM_QUERIES, stream_sql  # noqa: E402
-
 ALL_QUERIES: dict[str, Query] = {**BATCH, **STREAM_QUERIES}
 ALL_SQL: dict[str, str] = {k: v for k, v in {**BATCH_SQL, **stream_sql(BATCH_SQL)}.items() if k in ALL_QUERIES}
 

@@ -13,15 +13,15 @@ Variants (each run once per process and data folder, under the shared checkpoint
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from roadstats.operators import queries as q
 from roadstats.plans import oracle as o
+from roadstats.plans.views import rounded, stats_view, windowed_view
 from roadstats.session import new_work_dir
 from roadstats.sources.events import load_events
 from roadstats.sources.stream import StreamSource, replay_to_dir
-from roadstats.streaming.job import start_streams
 from roadstats.schemas import STATS_TABLE
+from roadstats.streaming.job import start_streams
 from roadstats.streaming.store import compact, open_tables
 
 IN_ORDER_CHUNKS = 3
@@ -56,28 +56,16 @@ def streamed_tables(spark: SparkSession, sf: str, variant: str) -> dict[str, Dat
     return open_tables(spark, _RUNS[key])
 
 
-def _stats_view(df: DataFrame) -> DataFrame:
-    from roadstats.plans.contract import stats_view
-
-    return stats_view(df)
-
-
-def _windowed_view(df: DataFrame) -> DataFrame:
-    from roadstats.plans.contract import windowed_view
-
-    return windowed_view(df)
-
-
 def _raw(variant: str):
     return lambda spark, sf: streamed_tables(spark, sf, variant)["raw"]
 
 
 def _stats(variant: str):
-    return lambda spark, sf: _stats_view(streamed_tables(spark, sf, variant)["stats"])
+    return lambda spark, sf: stats_view(streamed_tables(spark, sf, variant)["stats"])
 
 
 def _windowed(variant: str):
-    return lambda spark, sf: _windowed_view(streamed_tables(spark, sf, variant)["windowed"])
+    return lambda spark, sf: windowed_view(streamed_tables(spark, sf, variant)["windowed"])
 
 
 def _compacted_stats(spark: SparkSession, sf: str) -> DataFrame:
@@ -85,13 +73,11 @@ def _compacted_stats(spark: SparkSession, sf: str) -> DataFrame:
     streamed_tables(spark, sf, "split")
     root = _RUNS[(sf.rstrip("/"), "split")]
     compact(spark, root, STATS_TABLE, include_latest=True)
-    return _stats_view(open_tables(spark, root)["stats"])
+    return stats_view(open_tables(spark, root)["stats"])
 
 
 def _avg_speed(variant: str):
-    return lambda spark, sf: q.avg_speed_per_link(streamed_tables(spark, sf, variant)["stats"]).withColumn(
-        "avg_speed", F.round("avg_speed", 6)
-    )
+    return lambda spark, sf: rounded(q.avg_speed_per_link(streamed_tables(spark, sf, variant)["stats"]), "avg_speed")
 
 
 def _top_n(variant: str, n: int = 5):
