@@ -1,6 +1,6 @@
 """Command line: run the streaming job, query the stored tables, check volumes, compact.
 
-    python -m roadstats stream --format kafka --bootstrap-servers b:9092 --topic uxsim --out DIR
+    python -m roadstats stream --format kafka --bootstrap-servers b:9092 --topic vehicle-events --out DIR
     python -m roadstats query avg-speed --root DIR
     python -m roadstats check --root DIR --min-raw 1 --min-stats 1
     python -m roadstats compact --root DIR --table stats
@@ -22,9 +22,10 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--format", default="kafka", choices=["kafka", "parquet", "json", "orc", "avro"])
     s.add_argument("--path", help="message folder for file formats")
     s.add_argument("--bootstrap-servers")
-    s.add_argument("--topic", default="uxsim")
+    s.add_argument("--topic", default="vehicle-events")
     s.add_argument("--starting-offsets", default="latest")
     s.add_argument("--max-files-per-trigger", type=int)
+    s.add_argument("--max-offsets-per-trigger", type=int)
     s.add_argument("--out", help="table root (default: <spark.checkpoint.dir>/tables)")
     s.add_argument("--checkpoint", help="checkpoint root (default: <spark.checkpoint.dir>/streams)")
     s.add_argument("--window-seconds", type=int, default=DEFAULT_WINDOW_SECONDS)
@@ -116,7 +117,9 @@ def main(argv: list[str] | None = None) -> int:
         if args.format == "kafka":
             if not args.bootstrap_servers:
                 raise SystemExit("--bootstrap-servers is required for kafka")
-            source = StreamSource.kafka(args.bootstrap_servers, args.topic, args.starting_offsets)
+            source = StreamSource.kafka(
+                args.bootstrap_servers, args.topic, args.starting_offsets, max_offsets_per_trigger=args.max_offsets_per_trigger
+            )
         else:
             source = StreamSource(args.format, args.path, max_files_per_trigger=args.max_files_per_trigger)
         root = shared_root(spark)

@@ -30,13 +30,15 @@ class StreamSource:
     """Where messages come from: ``fmt`` plus reader options (and a path for files).
 
     File sources always start at the earliest file; asking one for ``latest`` is an error
-    rather than silently ignored. ``max_files_per_trigger`` paces a file replay.
+    rather than silently ignored. ``max_files_per_trigger`` paces a file replay and
+    ``max_offsets_per_trigger`` a topic (the micro-batch size bound of each source type).
     """
 
     fmt: str = "parquet"
     path: str | None = None
     options: dict[str, str] = field(default_factory=dict)
     max_files_per_trigger: int | None = None
+    max_offsets_per_trigger: int | None = None
 
     def __post_init__(self) -> None:
         if self.fmt in FILE_FORMATS:
@@ -48,8 +50,19 @@ class StreamSource:
             raise ValueError(f"unsupported stream format {self.fmt!r}")
 
     @classmethod
-    def kafka(cls, bootstrap_servers: str, topic: str, starting_offsets: str = "latest", **extra: str) -> "StreamSource":
-        return cls(fmt="kafka", options={**kafka_options(bootstrap_servers, topic, starting_offsets), **extra})
+    def kafka(
+        cls,
+        bootstrap_servers: str,
+        topic: str,
+        starting_offsets: str = "latest",
+        max_offsets_per_trigger: int | None = None,
+        **extra: str,
+    ) -> "StreamSource":
+        return cls(
+            fmt="kafka",
+            options={**kafka_options(bootstrap_servers, topic, starting_offsets), **extra},
+            max_offsets_per_trigger=max_offsets_per_trigger,
+        )
 
     def read(self, spark: SparkSession) -> DataFrame:
         """The message stream: a streaming DataFrame whose ``value`` column holds the payload."""
@@ -59,6 +72,8 @@ class StreamSource:
             reader = reader.schema(MESSAGE_SCHEMA)
             if self.max_files_per_trigger:
                 opts["maxFilesPerTrigger"] = str(int(self.max_files_per_trigger))
+        elif self.max_offsets_per_trigger:
+            opts["maxOffsetsPerTrigger"] = str(int(self.max_offsets_per_trigger))
         reader = reader.options(**opts)
         stream = reader.load(self.path) if self.path else reader.load()
         return stream.select("value")

@@ -113,19 +113,19 @@ def test_append_without_watermark_is_rejected(spark, work):
 
 
 def test_source_options():
-    assert kafka_options("b:9092", "uxsim", "earliest") == {
+    assert kafka_options("b:9092", "vehicle-events", "earliest") == {
         "kafka.bootstrap.servers": "b:9092",
-        "subscribe": "uxsim",
+        "subscribe": "vehicle-events",
         "startingOffsets": "earliest",
     }
     with pytest.raises(ValueError):
-        kafka_options("b:9092", "uxsim", "newest")
+        kafka_options("b:9092", "vehicle-events", "newest")
     with pytest.raises(ValueError):
         StreamSource("parquet", "/x", options={"startingOffsets": "latest"})
     with pytest.raises(ValueError):
         StreamSource("parquet", None)
-    src = StreamSource.kafka("b:9092", "uxsim", "earliest")
-    assert src.fmt == "kafka" and src.options["subscribe"] == "uxsim"
+    src = StreamSource.kafka("b:9092", "vehicle-events", "earliest")
+    assert src.fmt == "kafka" and src.options["subscribe"] == "vehicle-events"
 
 
 def test_state_ttl_mode_matches_batch_for_in_order_data(spark, work):
