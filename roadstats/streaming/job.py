@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from roadstats.operators.stats import link_stats, status_filter, windowed_stats
 from roadstats.schemas import (
@@ -55,6 +55,38 @@ def link_stats_with_ttl(events: DataFrame, ttl: str, status_links: Iterable[str]
     )
 
 
+class BatchLogger(StreamingQueryListener):
+    """Logs each micro-batch's input rows, rate and watermark drops from query progress.
+
+    Counts come from ``StreamingQueryProgress``, so the sink needs no extra ``count()``
+    action (which would run the micro-batch twice).
+    """
+
+    def __init__(self, logger_name: str = "roadstats.streaming") -> None:
+        import logging
+
+        self.log = logging.getLogger(logger_name)
+        self.batches: list[tuple[str, int, int]] = []
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        self.log.info("query %s started (id %s)", event.name, event.id)
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        p = event.progress
+        dropped = sum(getattr(op, "numRowsDroppedByWatermark", 0) or 0 for op in (p.stateOperators or []))
+        self.batches.append((p.name, p.batchId, p.numInputRows))
+        self.log.info(
+            "query %s batch %d: %d rows in, %.1f rows/s, %d dropped by watermark",
+            p.name, p.batchId, p.numInputRows, p.processedRowsPerSecond or 0.0, dropped,
+        )
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        self.log.info("query %s terminated%s", event.id, f": {event.exception}" if event.exception else "")
+
+
 @dataclass
 class StreamJob:
     queries: dict[str, StreamingQuery]
@@ -113,6 +145,7 @@ def start_streams(
     debug: bool = False,
     name_prefix: str = "",
     output_files: int | None = None,
+    listener: StreamingQueryListener | None = None,
 ) -> StreamJob:
     """Start the raw, stats and windowed queries (plus a console query when ``debug``).
 
@@ -120,6 +153,7 @@ def start_streams(
     to drain what is there, ``{"processingTime": "1 second"}`` to run continuously).
     Wait with ``StreamJob.drain()`` or ``run_until_first_ends``. ``output_files`` bounds the
     files per micro-batch of the two aggregate tables (default: one per state partition).
+    ``listener`` (e.g. ``BatchLogger()``) is registered on the session before the queries start.
     """
     names = {"raw": RAW_TABLE, "stats": STATS_TABLE, "windowed": WINDOWED_TABLE, **(tables or {})}
     out_root, checkpoint_root = out_root.rstrip("/"), checkpoint_root.rstrip("/")
@@ -145,6 +179,8 @@ def start_streams(
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     queries: dict[str, StreamingQuery] = {}
     run_ids: dict[str, int] = {}
+    if listener is not None:
+        spark.streams.addListener(listener)
     try:
         for role, (df, mode) in plans.items():
             table = names[role]

@@ -234,3 +234,21 @@ def test_nan_and_null_time_do_not_stop_the_stream(spark, work):
     assert sum(p["numInputRows"] for p in wq.recentProgress) == 4  # read all, no ANSI cast failure
     stats = {(None if r.t is None else ("nan" if r.t != r.t else r.t)): r.vcount for r in tables["stats"].collect()}
     assert stats == {1.0: 1, "nan": 1, None: 1, 1e300: 1}
+
+
+def test_batch_logger_counts_rows(spark, work):
+    import time as _time
+
+    from roadstats.streaming.job import BatchLogger
+
+    _write_files(spark, f"{work}/msg", [[ev(1, "L", 1.0)], [ev(2, "L", 2.0), ev(3, "L", 2.0)]])
+    logger = BatchLogger()
+    try:
+        job = _run(spark, work, f"{work}/msg", listener=logger, name_prefix="logged_")
+        deadline = _time.time() + 30
+        while _time.time() < deadline and sum(n for name, _, n in logger.batches if name == "logged_raw_data") < 3:
+            _time.sleep(0.2)  # listener events arrive asynchronously
+        assert sum(n for name, _, n in logger.batches if name == "logged_raw_data") == 3
+        assert job.queries["raw"].lastProgress is not None
+    finally:
+        spark.streams.removeListener(logger)
