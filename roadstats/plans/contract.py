@@ -1,7 +1,7 @@
 """The named query contract: one Spark plan per operator, plus its DuckDB oracle.
 
 Each entry takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the whole driver
-tables. Presentation for the comparison only: floating aggregates are rounded to 6 decimals
+tables. Presentation for the comparison only: floating aggregates are quantized to multiples of 2**-20
 and event-time columns are shown as UTC wall clock (``TIMESTAMP_NTZ``); the operators
 themselves return full precision and ``TIMESTAMP``.
 """
@@ -229,8 +229,8 @@ _ST = o.with_(o.EV, o.STATS)
 _WN = o.with_(o.EV, o.win(30))
 _ALL = o.with_(o.EV, o.STATS, o.win(30))
 _STATUS = "('trip_end', 'waiting_at_origin_node')"
-_SUMMARY_SQL = f"""link, count(*) AS samples, {o.r6('avg(vspeed)', 'avg_speed')}, {o.r6('min(vspeed)', 'min_speed')},
-  {o.r6('max(vspeed)', 'max_speed')}, max(vcount) AS peak_vcount, min(t) AS first_t, max(t) AS last_t"""
+_SUMMARY_SQL = f"""link, count(*) AS samples, {o.qcol('avg(vspeed)', 'avg_speed')}, {o.qcol('min(vspeed)', 'min_speed')},
+  {o.qcol('max(vspeed)', 'max_speed')}, max(vcount) AS peak_vcount, min(t) AS first_t, max(t) AS last_t"""
 _WIN_COLS = "window_start, window_end, link, vcount, vspeed_avg, vspeed_min, vspeed_max"
 
 BATCH_SQL: dict[str, str] = {
@@ -249,25 +249,25 @@ BATCH_SQL: dict[str, str] = {
 FROM ev""",
     "status_filter": _EV + f"SELECT {o.EV_COLS} FROM ev WHERE link NOT IN {_STATUS}",
     "event_time": _EV + "SELECT t, link, make_timestamp(CAST(trunc(t) AS BIGINT) * 1000000) AS event_ts FROM ev",
-    "link_stats": _ST + f"SELECT t, link, vcount, {o.r6('vspeed', 'vspeed')} FROM stats_t",
-    "link_stats_unfiltered": _EV + f"SELECT t, link, count(*) AS vcount, {o.r6('avg(v)', 'vspeed')} FROM ev GROUP BY t, link",
+    "link_stats": _ST + f"SELECT t, link, vcount, {o.qcol('vspeed', 'vspeed')} FROM stats_t",
+    "link_stats_unfiltered": _EV + f"SELECT t, link, count(*) AS vcount, {o.qcol('avg(v)', 'vspeed')} FROM ev GROUP BY t, link",
     "windowed_stats": _WN + f"SELECT {_WIN_COLS} FROM win_t",
     "windowed_stats_10s": o.with_(o.EV, o.win(10)) + f"SELECT {_WIN_COLS} FROM win_t",
-    "avg_speed_per_link": _ST + f"""SELECT link, {o.r6('avg(vspeed)', 'avg_speed')}, count(*) AS samples
+    "avg_speed_per_link": _ST + f"""SELECT link, {o.qcol('avg(vspeed)', 'avg_speed')}, count(*) AS samples
 FROM stats_t GROUP BY link ORDER BY avg(vspeed) DESC NULLS LAST, link ASC NULLS FIRST""",
     "top_n_congested": _ST + f"""SELECT link, peak_vcount, argmax_t FROM (
   SELECT link, vcount AS peak_vcount, t AS argmax_t,
          row_number() OVER (PARTITION BY link ORDER BY vcount DESC, t ASC NULLS LAST) AS rn
   FROM stats_t) WHERE rn = 1
 ORDER BY peak_vcount DESC NULLS LAST, link ASC NULLS FIRST LIMIT {TOP_N}""",
-    "max_speed_delta": _ST + f"""SELECT link, {o.r6('max_speed', 'max_speed')}, {o.r6('min_speed', 'min_speed')}, {o.r6('max_speed - min_speed', 'delta')}
+    "max_speed_delta": _ST + f"""SELECT link, {o.qcol('max_speed', 'max_speed')}, {o.qcol('min_speed', 'min_speed')}, {o.qcol('max_speed - min_speed', 'delta')}
 FROM (SELECT link, max(vspeed) AS max_speed, min(vspeed) AS min_speed FROM stats_t GROUP BY link)
 ORDER BY max_speed - min_speed DESC NULLS LAST, link ASC NULLS FIRST LIMIT {TOP_N}""",
-    "link_state_at": _ST + f"""SELECT link, arg_max(vcount, t) AS vcount, {o.r6('arg_max(vspeed, t)', 'vspeed')}, max(t) AS t
+    "link_state_at": _ST + f"""SELECT link, arg_max(vcount, t) AS vcount, {o.qcol('arg_max(vspeed, t)', 'vspeed')}, max(t) AS t
 FROM stats_t WHERE t >= {STATE_T - STATE_TOL} AND t <= {STATE_T} GROUP BY link""",
     "link_summary": _ST + f"SELECT {_SUMMARY_SQL} FROM stats_t WHERE link = '{LINK_ID}' GROUP BY link",
     "link_summary_all": _ST + f"SELECT {_SUMMARY_SQL} FROM stats_t GROUP BY link",
-    "link_series": _ST + f"SELECT t, vcount, {o.r6('vspeed', 'vspeed')} FROM stats_t WHERE link = '{LINK_ID}' ORDER BY t",
+    "link_series": _ST + f"SELECT t, vcount, {o.qcol('vspeed', 'vspeed')} FROM stats_t WHERE link = '{LINK_ID}' ORDER BY t",
     "windowed_series": _WN + f"""SELECT window_start, window_end, vcount, vspeed_avg, vspeed_min, vspeed_max
 FROM win_t WHERE link = '{LINK_ID}' ORDER BY window_start""",
     "latest_t": _ST + "SELECT max(t) AS latest_t FROM stats_t",
@@ -280,7 +280,7 @@ UNION ALL SELECT 'stats_windowed', count(*) FROM win_t""",
   (SELECT count(*) FROM (SELECT link FROM stats_t GROUP BY link)) AS active_links""",
     "volume_checks": _ST + """SELECT "check", n >= 1 AS ok, format('{} docs (min {})', n, 1) AS detail FROM (
   SELECT 'raw_data' AS "check", count(*) AS n FROM ev UNION ALL SELECT 'stats', count(*) FROM stats_t)""",
-    "latest_n_stats": _ST + f"""SELECT t, link, vcount, {o.r6('vspeed', 'vspeed')} FROM stats_t
+    "latest_n_stats": _ST + f"""SELECT t, link, vcount, {o.qcol('vspeed', 'vspeed')} FROM stats_t
 ORDER BY t DESC NULLS LAST, link ASC NULLS FIRST LIMIT {LATEST_N}""",
     "latest_n_windowed": _WN + f"""SELECT {_WIN_COLS} FROM win_t
 ORDER BY window_end DESC NULLS LAST, link ASC NULLS FIRST LIMIT {LATEST_N}""",
@@ -307,11 +307,11 @@ j AS (
   SELECT s.*, st.vcount, st.vspeed, st.t, st.t IS NOT NULL AS has_data,
          least(1.0, greatest(0.0, st.vspeed / 50.0)) AS r
   FROM segs_t s LEFT JOIN state st ON s.link = st.link)
-SELECT link, start, "end", x0, y0, x1, y1, seq, has_data, vcount, round(vspeed, 6) AS vspeed, t,
-  round(CASE WHEN has_data THEN r END, 6) AS ratio,
+SELECT link, start, "end", x0, y0, x1, y1, seq, has_data, vcount, """ + o.qcol("vspeed", "vspeed") + """, t,
+  """ + o.qcol("CASE WHEN has_data THEN r END", "ratio") + """,
   CASE WHEN has_data THEN printf('rgb(%d,%d,60)', CAST(round_even(220.0 * (1.0 - r), 0) AS INTEGER),
                                  CAST(round_even(180.0 * r, 0) AS INTEGER)) ELSE '#bbbbbb' END AS color,
-  round(CASE WHEN has_data AND vmax > 0 THEN 2.0 + 12.0 * least(1.0, vcount / vmax) ELSE 2.0 END, 6) AS width
+  """ + o.qcol("CASE WHEN has_data AND vmax > 0 THEN 2.0 + 12.0 * least(1.0, vcount / vmax) ELSE 2.0 END", "width") + """
 FROM j, vm""",
 }
 

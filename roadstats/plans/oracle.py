@@ -2,8 +2,8 @@
 
 Tables ``events`` etc. are views over the same parquet files. ``ev`` re-states the adapter
 rule of ``sources.events`` in SQL; ``stats_t`` and ``win_t`` re-state the two aggregations.
-Floating aggregates are rounded to 6 decimals on both sides (summation order differs
-between engines); timestamps are compared as UTC wall clock.
+Floating aggregates are quantized to multiples of 2**-20 on both sides (see
+``plans.views``); timestamps are compared as UTC wall clock.
 """
 
 from __future__ import annotations
@@ -36,12 +36,16 @@ STATS = f"""stats_t AS (
 )"""
 
 
+def q20(expr: str) -> str:
+    return f"(round(({expr}) * 1048576.0) / 1048576.0)"
+
+
 def win(seconds: int = 30, name: str = "win_t") -> str:
     return f"""{name} AS (
   SELECT make_timestamp(CAST(floor(trunc(t) / {seconds}.0) * {seconds} AS BIGINT) * 1000000) AS window_start,
          make_timestamp((CAST(floor(trunc(t) / {seconds}.0) * {seconds} AS BIGINT) + {seconds}) * 1000000) AS window_end,
          link, count(*) AS vcount,
-         round(avg(v), 6) AS vspeed_avg, round(min(v), 6) AS vspeed_min, round(max(v), 6) AS vspeed_max
+         {q20('avg(v)')} AS vspeed_avg, {q20('min(v)')} AS vspeed_min, {q20('max(v)')} AS vspeed_max
   FROM ev WHERE link NOT IN {_STATUS} AND t IS NOT NULL
   GROUP BY 1, 2, link
 )"""
@@ -65,5 +69,6 @@ def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
 
-def r6(expr: str, alias: str) -> str:
-    return f"round({expr}, 6) AS {alias}"
+def qcol(expr: str, alias: str) -> str:
+    """``expr`` quantized like ``plans.views.rounded``, aliased."""
+    return f"{q20(expr)} AS {alias}"

@@ -120,6 +120,6 @@ def stream_sql(batch_sql: dict[str, str]) -> dict[str, str]:
         "stream_late_data": windowed_closed,
         "stream_compacted_stats": batch_sql["link_stats"],
         "stream_late_stats": o.with_(o.EV, _LATE_EV)
-        + f"""SELECT t, link, count(*) AS vcount, round(avg(v), 6) AS vspeed
+        + f"""SELECT t, link, count(*) AS vcount, {o.qcol('avg(v)', 'vspeed')}
 FROM ev_late WHERE link NOT IN {_STATUS} GROUP BY t, link""",
     }
