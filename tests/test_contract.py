@@ -17,7 +17,7 @@ TABLES = "events".split()
 
 def _norm(v):
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else repr(round(v, 9))
+        return "nan" if math.isnan(v) else repr(v)
     return repr(v)
 
 
