@@ -252,3 +252,16 @@ def test_batch_logger_counts_rows(spark, work):
         assert job.queries["raw"].lastProgress is not None
     finally:
         spark.streams.removeListener(logger)
+
+
+def test_malformed_messages_kept_raw_dropped_from_stats(spark, work):
+    good = '{"name":"a","dn":5,"orig":"I1","dest":"W1","t":5.0,"link":"I1W1","x":1.0,"s":2.0,"v":30.0}'
+    payloads = [good, "not json", "", "[]", '{"name":"b","t":"abc","link":"I1W1","v":10.0}']
+    spark.createDataFrame([(p.encode(),) for p in payloads], "value binary").coalesce(1).write.parquet(f"{work}/msg")
+    job = _run(spark, work, f"{work}/msg")
+    tables = open_tables(spark, job.out_root)
+    raw = tables["raw"].collect()
+    assert len(raw) == 5
+    assert sum(all(v is None for v in r) for r in raw) == 3
+    stats = {(r.t, r.link): r.vcount for r in tables["stats"].collect()}
+    assert stats == {(5.0, "I1W1"): 1, (None, "I1W1"): 1}  # t NULL keeps its group, status filter drops NULL links
