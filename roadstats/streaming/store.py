@@ -91,21 +91,36 @@ def read_table(
     return out.select(*schema.names, *(["_version"] if keep_version else []))
 
 
+def latest_run(spark: SparkSession, path: str) -> int | None:
+    """The largest ``run_id`` folder of a sink table (from the listing, no data read)."""
+    runs = [int(n[len("run_id="):]) for n in list_dir(spark, path) if n.startswith("run_id=") and n[len("run_id="):].isdigit()]
+    return max(runs) if runs else None
+
+
 def open_tables(
     spark: SparkSession,
     root: str,
     raw: str = RAW_TABLE,
     stats: str = STATS_TABLE,
     windowed: str = WINDOWED_TABLE,
+    raw_latest_run_only: bool = False,
 ) -> dict[str, DataFrame]:
     """``{"raw", "stats", "windowed"}`` over the sink tables under ``root``.
 
     ``stats`` and ``windowed`` are resolved to the newest version per key (a re-run over the
-    same keys replaces older rows); ``raw`` is the append-only event log.
+    same keys replaces older rows). ``raw`` is the append-only event log of all runs, or with
+    ``raw_latest_run_only`` only the newest run's (a re-run that replays the topic then does
+    not double the events); the run is chosen by a partition filter, so other runs are not read.
     """
     root = root.rstrip("/")
+    raw_df = read_table(spark, f"{root}/{raw}", EVENT_SCHEMA)
+    if raw_latest_run_only:
+        run = latest_run(spark, f"{root}/{raw}")
+        if run is not None:
+            full = spark.read.schema(_with_batch_cols(EVENT_SCHEMA)).parquet(f"{root}/{raw}")
+            raw_df = full.where(F.col("run_id") == F.lit(run)).select(*EVENT_SCHEMA.names)
     return {
-        "raw": read_table(spark, f"{root}/{raw}", EVENT_SCHEMA),
+        "raw": raw_df,
         "stats": read_table(spark, f"{root}/{stats}", STATS_SCHEMA, STATS_KEYS),
         "windowed": read_table(spark, f"{root}/{windowed}", WINDOWED_SCHEMA, WINDOWED_KEYS),
     }

@@ -265,3 +265,15 @@ def test_malformed_messages_kept_raw_dropped_from_stats(spark, work):
     assert sum(all(v is None for v in r) for r in raw) == 3
     stats = {(r.t, r.link): r.vcount for r in tables["stats"].collect()}
     assert stats == {(5.0, "I1W1"): 1, (None, "I1W1"): 1}  # t NULL keeps its group, status filter drops NULL links
+
+
+def test_raw_latest_run_only(spark, work, events_df):
+    from roadstats.schemas import EVENT_SCHEMA
+
+    root = f"{work}/tables"
+    rows = [ev(1, "L", 1.0), ev(2, "L", 2.0)]
+    batch_writer(f"{root}/raw_data", run_id=10)(events_df(rows), 0)
+    batch_writer(f"{root}/raw_data", run_id=11)(events_df(rows), 0)  # a fresh run replaying the topic
+    assert open_tables(spark, root)["raw"].count() == 4
+    latest = open_tables(spark, root, raw_latest_run_only=True)["raw"]
+    assert latest.count() == 2 and latest.columns == list(EVENT_SCHEMA.names)
