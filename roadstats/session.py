@@ -100,3 +100,35 @@ def list_dir(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(hpath):
         return []
     return [status.getPath().getName() for status in fs.listStatus(hpath)]
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def read_small_text(spark: SparkSession, path: str) -> str | None:
+    """Contents of a small UTF-8 file on the shared filesystem, None when it does not exist."""
+    fs, hpath = _fs(spark, path)
+    if not fs.exists(hpath):
+        return None
+    stream = fs.open(hpath)
+    try:
+        jvm = spark.sparkContext._jvm
+        return str(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def write_small_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small UTF-8 file unless it exists; returns False when it already existed."""
+    fs, hpath = _fs(spark, path)
+    if fs.exists(hpath):
+        return False
+    out = fs.create(hpath, False)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    return True

@@ -19,7 +19,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadstats.session import path_exists
+from roadstats.session import read_small_text, write_small_text
 
 RUN_MARKER = "_roadstats_run"
 # version = run_id * 2**32 + batch_id fits a signed 64-bit long for run ids in seconds.
@@ -27,15 +27,17 @@ BATCH_BITS = 32
 
 
 def run_id_for(spark: SparkSession, checkpoint: str) -> int:
-    """The run id bound to ``checkpoint`` (created on first use: epoch seconds)."""
+    """The run id bound to ``checkpoint`` (created on first use: epoch seconds).
+
+    Stored as a one-line file next to the checkpoint's own files, written with create-if-absent
+    so two starters cannot both win.
+    """
     marker = f"{checkpoint.rstrip('/')}/{RUN_MARKER}"
-    if path_exists(spark, marker):
-        row = spark.read.schema("run_id long").json(marker).first()
-        if row is not None and row["run_id"] is not None:
-            return int(row["run_id"])
-    run_id = int(time.time())
-    spark.createDataFrame([(run_id,)], "run_id long").coalesce(1).write.mode("overwrite").json(marker)
-    return run_id
+    text = read_small_text(spark, marker)
+    if text is None:
+        write_small_text(spark, marker, str(int(time.time())))
+        text = read_small_text(spark, marker)
+    return int(str(text).strip())
 
 
 def batch_path(table_path: str, run_id: int, batch_id: int) -> str:
