@@ -35,20 +35,22 @@ def streamed_tables(spark: SparkSession, sf: str, variant: str) -> dict[str, Dat
         work = new_work_dir(spark, f"stream-{variant}")
         events = load_events(spark, sf)
         messages = f"{work}/messages"
+        # Like the partitions of a topic: each replay job writes one file per core and each
+        # micro-batch takes one job's files, so a batch is parsed in parallel and batches stay
+        # in time order. State partitions also follow the cluster's cores, not the session's
+        # shuffle setting (stateful streams are not re-planned by AQE).
+        parts = max(1, spark.sparkContext.defaultParallelism)
+        replay = dict(files_per_chunk=parts)
         if variant == "in_order":
-            replay_to_dir(events, messages, f"{work}/staging", chunks=IN_ORDER_CHUNKS)
+            replay_to_dir(events, messages, f"{work}/staging", chunks=IN_ORDER_CHUNKS, **replay)
         elif variant == "split":
-            replay_to_dir(events, messages, f"{work}/staging", chunks=SPLIT_CHUNKS, split_steps=True)
+            replay_to_dir(events, messages, f"{work}/staging", chunks=SPLIT_CHUNKS, split_steps=True, **replay)
         elif variant == "late":
-            ranges = replay_to_dir(events, messages, f"{work}/staging", chunks=IN_ORDER_CHUNKS)
-            replay_to_dir(events, messages, f"{work}/staging", ranges=ranges[:1], whole=False, restage=False)
+            ranges = replay_to_dir(events, messages, f"{work}/staging", chunks=IN_ORDER_CHUNKS, **replay)
+            replay_to_dir(events, messages, f"{work}/staging", ranges=ranges[:1], whole=False, restage=False, **replay)
         else:
             raise ValueError(f"unknown replay variant {variant!r}")
-        source = StreamSource("parquet", messages, max_files_per_trigger=1)
-        # State partitions follow the cluster's cores, not the session's shuffle setting
-        # (stateful streams are not re-planned by AQE and 200 idle state tasks per
-        # micro-batch would dominate a small replay).
-        parts = max(1, spark.sparkContext.defaultParallelism)
+        source = StreamSource("parquet", messages, max_files_per_trigger=parts)
         start_streams(
             spark, source, f"{work}/tables", f"{work}/checkpoints", trigger={"availableNow": True}, state_partitions=parts
         ).drain()
