@@ -7,6 +7,7 @@ same parser and aggregations run on either.
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -91,6 +92,7 @@ def replay_to_dir(
     ranges: list[tuple[float, float]] | None = None,
     whole: bool = True,
     restage: bool = True,
+    pause_seconds: float = 0.0,
 ) -> list[tuple[float, float]]:
     """Write ``events`` as messages into ``path`` in time order, one write job per time range.
 
@@ -136,6 +138,8 @@ def replay_to_dir(
             if files_per_chunk:
                 out = out.repartition(int(files_per_chunk))
             out.write.mode("append").format(fmt).save(path)
+        if pause_seconds > 0 and i < len(ranges) - 1:
+            time.sleep(pause_seconds)
     return ranges
 
 

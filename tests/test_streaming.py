@@ -277,3 +277,26 @@ def test_raw_latest_run_only(spark, work, events_df):
     assert open_tables(spark, root)["raw"].count() == 4
     latest = open_tables(spark, root, raw_latest_run_only=True)["raw"]
     assert latest.count() == 2 and latest.columns == list(EVENT_SCHEMA.names)
+
+
+def test_replay_pacing_and_file_order(spark, work):
+    events = load_events(spark, SF_SMALL)
+    t0 = time.time()
+    ranges = replay_to_dir(events, f"{work}/msg", f"{work}/stage", chunks=3, files_per_chunk=2, pause_seconds=0.5)
+    assert time.time() - t0 >= 1.0 and len(ranges) == 3
+    msgs = spark.read.parquet(f"{work}/msg")
+    assert parse_events(msgs).count() == events.count()
+    per_file = (
+        msgs.select(
+            F.col("_metadata.file_path").alias("f"),
+            F.col("_metadata.file_modification_time").alias("m"),
+            F.get_json_object(F.col("value").cast("string"), "$.t").cast("double").alias("t"),
+        )
+        .groupBy("f")
+        .agg(F.max("m").alias("m"), F.min("t").alias("tmin"))
+        .orderBy("m")
+        .collect()
+    )
+    assert len(per_file) == 6  # 3 ranges x 2 files
+    index = [max(i for i, (lo, _) in enumerate(ranges) if r.tmin >= lo) for r in per_file]
+    assert index == sorted(index)  # files of a later range are all newer
