@@ -11,7 +11,16 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from roadstats.schemas import FREE_FLOW_SPEED, NO_DATA_COLOR, STATUS_LINKS
+from roadstats.schemas import (
+    FREE_FLOW_SPEED,
+    MAP_BLUE,
+    MAP_GREEN,
+    MAP_RED,
+    MAP_WIDTH_MIN,
+    MAP_WIDTH_SPAN,
+    NO_DATA_COLOR,
+    STATUS_LINKS,
+)
 
 
 def not_status(link: Column | str = "link", status_links: Iterable[str] = STATUS_LINKS) -> Column | None:
@@ -51,13 +60,15 @@ def speed_ratio(vspeed: Column | str = "vspeed", free_flow: float = FREE_FLOW_SP
 
 
 def speed_color(ratio: Column, has_data: Column) -> Column:
-    """Green-to-red map colour ``rgb(r,g,60)``; half-even rounding; grey without data."""
-    red = F.bround(F.lit(220.0) * (F.lit(1.0) - ratio), 0).cast("int")
-    green = F.bround(F.lit(180.0) * ratio, 0).cast("int")
-    return F.when(has_data, F.format_string("rgb(%d,%d,60)", red, green)).otherwise(F.lit(NO_DATA_COLOR))
+    """Green-to-red map colour ``rgb(r,g,b)``; half-even rounding; grey without data."""
+    red = F.bround(F.lit(float(MAP_RED)) * (F.lit(1.0) - ratio), 0).cast("int")
+    green = F.bround(F.lit(float(MAP_GREEN)) * ratio, 0).cast("int")
+    text = F.format_string(f"rgb(%d,%d,{MAP_BLUE})", red, green)
+    return F.when(has_data, text).otherwise(F.lit(NO_DATA_COLOR))
 
 
 def line_width(vcount: Column, vmax: Column, has_data: Column) -> Column:
-    """Map line width in [2, 14]: ``2 + 12 * min(1, vcount / vmax)``; 2 without data or vmax <= 0."""
-    scaled = F.lit(2.0) + F.lit(12.0) * F.least(F.lit(1.0), vcount.cast("double") / vmax.cast("double"))
-    return F.when(has_data & (vmax > 0), scaled).otherwise(F.lit(2.0))
+    """Map line width: ``MIN + SPAN * min(1, vcount / vmax)``; MIN without data or when vmax <= 0."""
+    share = F.least(F.lit(1.0), vcount.cast("double") / vmax.cast("double"))
+    scaled = F.lit(MAP_WIDTH_MIN) + F.lit(MAP_WIDTH_SPAN) * share
+    return F.when(has_data & (vmax > 0), scaled).otherwise(F.lit(MAP_WIDTH_MIN))

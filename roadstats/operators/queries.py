@@ -17,7 +17,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadstats.schemas import DEFAULT_STATE_TOLERANCE, RAW_TABLE, STATS_TABLE, WINDOWED_TABLE
+from roadstats.schemas import DEFAULT_STATE_TOLERANCE, RAW_TABLE, STATS_TABLE, VOLUME_DETAIL_FORMAT, WINDOWED_TABLE
 
 
 def _positive(n: int, name: str = "n") -> int:
@@ -199,7 +199,7 @@ def volume_checks(raw: DataFrame, stats: DataFrame, min_raw: int = 1, min_stats:
     return counts.select(
         F.col("table").alias("check"),
         (F.col("rows") >= minimum).alias("ok"),
-        F.format_string("%d docs (min %d)", F.col("rows"), minimum).alias("detail"),
+        F.format_string(VOLUME_DETAIL_FORMAT, F.col("rows"), minimum).alias("detail"),
     )
 
 

@@ -31,6 +31,12 @@ DEFAULT_STATE_TOLERANCE = 1.0
 MAP_STATE_TOLERANCE = 2.0
 # Map colour for a link without data.
 NO_DATA_COLOR = "#bbbbbb"
+# Network map encoding: colour rgb(220 * (1 - ratio), 180 * ratio, 60) with half-even rounding,
+# line width 2 + 12 * min(1, vcount / vmax).
+MAP_RED, MAP_GREEN, MAP_BLUE = 220, 180, 60
+MAP_WIDTH_MIN, MAP_WIDTH_SPAN = 2.0, 12.0
+# Volume check detail text: "<rows> docs (min <minimum>)".
+VOLUME_DETAIL_FORMAT = "%d docs (min %d)"
 # Default table names of the three sinks.
 RAW_TABLE = "raw_data"
 STATS_TABLE = "stats"
