@@ -33,6 +33,7 @@ def _with_batch_cols(schema: StructType) -> StructType:
 
 
 SNAPSHOT_SUFFIX = "__snapshot"
+_BATCH_MASK = (1 << BATCH_BITS) - 1
 
 
 def _version() -> Column:
@@ -54,6 +55,32 @@ def latest_snapshot(spark: SparkSession, path: str) -> tuple[str, int] | None:
     return None
 
 
+def _after(version: int) -> Column:
+    """Partition filter: batches with a larger ``(run_id, batch_id)`` than ``version``."""
+    run, batch = version >> BATCH_BITS, version & _BATCH_MASK
+    return (F.col("run_id") > F.lit(run)) | ((F.col("run_id") == F.lit(run)) & (F.col("batch_id") > F.lit(batch)))
+
+
+def read_log(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet") -> DataFrame | None:
+    """Every stored row of a sink table with its ``run_id`` and ``batch_id``.
+
+    That is the newest committed snapshot plus the batch folders newer than it (older folders
+    are pruned by a partition filter at planning time). None when the table does not exist.
+    """
+    full = _with_batch_cols(schema)
+    has_batches = path_exists(spark, path)
+    snapshot = latest_snapshot(spark, path)
+    parts = []
+    if has_batches:
+        log = spark.read.schema(full).format(fmt).load(path)
+        parts.append((log.where(_after(snapshot[1])) if snapshot else log).select(*full.names))
+    if snapshot is not None:
+        parts.append(spark.read.schema(full).parquet(snapshot[0]).select(*full.names))
+    if not parts:
+        return None
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
 def read_table(
     spark: SparkSession,
     path: str,
@@ -64,31 +91,20 @@ def read_table(
 ) -> DataFrame:
     """Read a sink table; with ``keys``, resolve to the newest row per key.
 
-    With a compacted snapshot, only batches newer than the snapshot are read (a partition
-    filter on ``run_id``/``batch_id``, so older batch folders are pruned at planning time)
-    and resolved together with the snapshot. A table that does not exist yet reads as empty.
+    The resolve is one hash aggregate per key (``max_by`` over the 64-bit version). A table
+    that does not exist yet reads as empty with ``schema``.
     """
-    has_batches = path_exists(spark, path)
-    snapshot = latest_snapshot(spark, path) if keys else None
-    if not has_batches and snapshot is None:
+    log = read_log(spark, path, schema, fmt)
+    extra = ["_version"] if keep_version else []
+    if log is None:
         empty = spark.createDataFrame([], schema)
         return empty.withColumn("_version", F.lit(None).cast("long")) if keep_version else empty
+    log = log.withColumn("_version", _version())
     if not keys:
-        return spark.read.schema(_with_batch_cols(schema)).format(fmt).load(path).select(*schema.names)
-    parts = []
-    if has_batches:
-        log = spark.read.schema(_with_batch_cols(schema)).format(fmt).load(path)
-        if snapshot is not None:
-            run, batch = snapshot[1] >> BATCH_BITS, snapshot[1] & ((1 << BATCH_BITS) - 1)
-            log = log.where((F.col("run_id") > run) | ((F.col("run_id") == run) & (F.col("batch_id") > batch)))
-        parts.append(log.withColumn("_version", _version()).select(*schema.names, "_version"))
-    if snapshot is not None:
-        parts.append(spark.read.schema(StructType(list(schema.fields) + [StructField("_version", LongType())])).parquet(snapshot[0]))
-    log = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        return log.select(*schema.names, *extra)
     values = [c for c in schema.names if c not in keys]
     aggs = [F.max_by(c, "_version").alias(c) for c in values] + ([F.max("_version").alias("_version")] if keep_version else [])
-    out = log.groupBy(*keys).agg(*aggs)
-    return out.select(*schema.names, *(["_version"] if keep_version else []))
+    return log.groupBy(*keys).agg(*aggs).select(*schema.names, *extra)
 
 
 def latest_run(spark: SparkSession, path: str) -> int | None:
@@ -116,9 +132,9 @@ def open_tables(
     raw_df = read_table(spark, f"{root}/{raw}", EVENT_SCHEMA)
     if raw_latest_run_only:
         run = latest_run(spark, f"{root}/{raw}")
-        if run is not None:
-            full = spark.read.schema(_with_batch_cols(EVENT_SCHEMA)).parquet(f"{root}/{raw}")
-            raw_df = full.where(F.col("run_id") == F.lit(run)).select(*EVENT_SCHEMA.names)
+        log = read_log(spark, f"{root}/{raw}", EVENT_SCHEMA)
+        if run is not None and log is not None:
+            raw_df = log.where(F.col("run_id") == F.lit(run)).select(*EVENT_SCHEMA.names)
     return {
         "raw": raw_df,
         "stats": read_table(spark, f"{root}/{stats}", STATS_SCHEMA, STATS_KEYS),
@@ -133,18 +149,25 @@ def compact(
     include_latest: bool = False,
     sort_within: Sequence[str] = ("link", "t"),
 ) -> str | None:
-    """Fold a keyed table's batches into a new snapshot; later reads skip the folded batches.
-
-    The snapshot holds the newest row per key with its version. It is written to a fresh folder
-    ``{table}__snapshot/v={bound}``, sorted within files for pruning. Readers pick the newest
-    snapshot and add only batches with a larger version, so compaction can run while the stream
-    keeps writing. By default the newest batch folder is left out, because it may still be
-    landing. Pass ``include_latest=True`` once the stream is stopped. Returns the snapshot folder,
-    or None when there is nothing to fold.
+    """Fold a table's batch folders into a new snapshot; later reads skip the folded batches.
+
+    Keyed tables (``stats``, ``stats_windowed``): the snapshot holds the newest row per key. The
+    raw table: the snapshot holds every row, rewritten without a shuffle. The scan packs the
+    many small batch files into splits of ``spark.sql.files.maxPartitionBytes``, so the output
+    files are large. Rows keep their ``run_id``/``batch_id``. The snapshot is written to a fresh
+    folder ``{table}__snapshot/v={bound}``, sorted within files for pruning. Readers pick the
+    newest committed snapshot and add only batches with a larger version, so compaction can run
+    while the stream keeps writing. By default the newest batch folder is left out, because it
+    may still be landing; pass ``include_latest=True`` once the stream is stopped. Returns the
+    snapshot folder, or None when there is nothing to fold.
     """
-    schemas = {STATS_TABLE: (STATS_SCHEMA, STATS_KEYS), WINDOWED_TABLE: (WINDOWED_SCHEMA, WINDOWED_KEYS)}
+    schemas = {
+        STATS_TABLE: (STATS_SCHEMA, STATS_KEYS),
+        WINDOWED_TABLE: (WINDOWED_SCHEMA, WINDOWED_KEYS),
+        RAW_TABLE: (EVENT_SCHEMA, None),
+    }
     if table not in schemas:
-        raise ValueError(f"only keyed tables compact: {sorted(schemas)}, got {table!r}")
+        raise ValueError(f"unknown table {table!r}; one of {sorted(schemas)}")
     schema, keys = schemas[table]
     path = f"{root.rstrip('/')}/{table}"
     if not path_exists(spark, path):
@@ -165,9 +188,14 @@ def compact(
     snap = latest_snapshot(spark, path)
     if snap is not None and snap[1] >= bound:
         return snap[0]
-    # Keys whose newest version is above the bound are left to the newer batches.
-    resolved = read_table(spark, path, schema, keys, keep_version=True).where(F.col("_version") <= F.lit(bound))
+    # Rows (or, for keyed tables, newest versions) above the bound stay with the newer batches.
+    rows = read_table(spark, path, schema, keys, keep_version=True).where(F.col("_version") <= F.lit(bound))
+    rows = rows.select(
+        *schema.names,
+        F.shiftright(F.col("_version"), BATCH_BITS).alias("run_id"),
+        F.col("_version").bitwiseAND(F.lit(_BATCH_MASK)).alias("batch_id"),
+    )
     out = f"{path}{SNAPSHOT_SUFFIX}/v={bound}"
     cols = [c for c in sort_within if c in schema.names]
-    (resolved.sortWithinPartitions(*cols) if cols else resolved).write.mode("overwrite").parquet(out)
+    (rows.sortWithinPartitions(*cols) if cols else rows).write.mode("overwrite").parquet(out)
     return out

@@ -300,3 +300,19 @@ def test_replay_pacing_and_file_order(spark, work):
     assert len(per_file) == 6  # 3 ranges x 2 files
     index = [max(i for i, (lo, _) in enumerate(ranges) if r.tmin >= lo) for r in per_file]
     assert index == sorted(index)  # files of a later range are all newer
+
+
+def test_raw_compaction_packs_files_and_keeps_rows(spark, work, events_df):
+    from roadstats.streaming.store import compact
+
+    root = f"{work}/tables"
+    for b in range(4):
+        batch_writer(f"{root}/raw_data", run_id=2)(events_df([ev(b, "L", 1.0), ev(b, "trip_end")]).repartition(2), b)
+    before = _sorted(open_tables(spark, root)["raw"])
+    snap = compact(spark, root, "raw_data")  # folds batches 0-2
+    assert snap is not None
+    assert spark.read.parquet(snap).count() == 6
+    assert _sorted(open_tables(spark, root)["raw"]) == before
+    batch_writer(f"{root}/raw_data", run_id=2)(events_df([ev(9, "L", 1.0)]), 4)
+    assert open_tables(spark, root)["raw"].count() == 9
+    assert open_tables(spark, root, raw_latest_run_only=True)["raw"].count() == 9
