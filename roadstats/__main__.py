@@ -60,7 +60,7 @@ def _parser() -> argparse.ArgumentParser:
 
     k = sub.add_parser("compact", help="fold a keyed table's batches into a snapshot")
     k.add_argument("--root", required=True)
-    k.add_argument("--table", default="stats", choices=["stats", "stats_windowed"])
+    k.add_argument("--table", default="stats", choices=["stats", "stats_windowed", "raw_data"])
     k.add_argument("--include-latest", action="store_true")
     return p
 
