@@ -25,8 +25,19 @@ def link_segments(
     spark: SparkSession,
     nodes: DataFrame | None = None,
     links: DataFrame | None = None,
+    observed: DataFrame | None = None,
 ) -> DataFrame:
-    """``link, start, end, x0, y0, x1, y1``: one drawable segment per link (inner joins)."""
+    """``link, start, end, x0, y0, x1, y1``: one drawable segment per link (inner joins).
+
+    With ``observed`` (any table with a ``link`` column, e.g. ``stats``), only the segments of
+    links that appear in the data: the distinct observed links are streamed and the segments
+    (the bounded side) are the build side of the join.
+    """
+    if observed is not None:
+        segs = link_segments(spark, nodes, links)
+        seen = observed.select("link").where(F.col("link").isNotNull()).distinct()
+        builtin = nodes is None and links is None
+        return seen.join(_maybe_broadcast(segs, builtin), "link", "inner").select(*segs.columns)
     builtin = nodes is None and links is None
     nodes = nodes if nodes is not None else nodes_df(spark)
     links = links if links is not None else links_df(spark)

@@ -179,6 +179,11 @@ def _sample_row(spark: SparkSession, sf: str) -> DataFrame:
     return stats_view(q.sample_row(batch_tables(spark, sf).stats))
 
 
+def _link_segments(spark: SparkSession, sf: str) -> DataFrame:
+    # The segments of the links that carry traffic in the data (J1 over the observed links).
+    return net.link_segments(spark, observed=batch_tables(spark, sf).stats)
+
+
 def _network_checks(spark: SparkSession, sf: str) -> DataFrame:
     return net.network_checks(spark, observed=batch_tables(spark, sf).stats)
 
@@ -215,6 +220,7 @@ BATCH: dict[str, Query] = {
     "latest_n_windowed": _latest_n_windowed,
     "latest_n_raw": _latest_n_raw,
     "sample_row": _sample_row,
+    "link_segments": _link_segments,
     "network_checks": _network_checks,
     "network_state_at": _network_state_at,
 }
@@ -284,6 +290,9 @@ ORDER BY window_end DESC NULLS LAST, link ASC NULLS FIRST LIMIT {LATEST_N}""",
     "latest_n_raw": _EV + f"""SELECT {o.EV_COLS} FROM ev
 ORDER BY t DESC NULLS LAST, name ASC NULLS FIRST, dn ASC NULLS FIRST, orig ASC NULLS FIRST, dest ASC NULLS FIRST,
          link ASC NULLS FIRST, x ASC NULLS FIRST, s ASC NULLS FIRST, v ASC NULLS FIRST LIMIT {LATEST_N}""",
+    "link_segments": o.with_(o.EV, o.STATS, o.NODES_SQL, o.LINKS_SQL, o.SEGS)
+    + """SELECT link, start, "end", x0, y0, x1, y1, seq FROM segs_t
+WHERE link IN (SELECT link FROM stats_t WHERE link IS NOT NULL)""",
     "network_checks": o.with_(o.EV, o.STATS, o.NODES_SQL, o.LINKS_SQL, o.SEGS) + """, ends AS (
   SELECT start AS endpoint FROM links_t UNION ALL SELECT "end" FROM links_t)
 SELECT "check", violations, violations = 0 AS ok FROM (

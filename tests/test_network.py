@@ -57,3 +57,9 @@ def test_network_state_empty_stats(spark):
     stats = spark.createDataFrame([], STATS_SCHEMA)
     rows = network_state_at(spark, stats).collect()
     assert len(rows) == 13 and all(not r.has_data and r.width == 2.0 for r in rows)
+
+
+def test_segments_of_observed_links(spark):
+    stats = spark.createDataFrame([(1.0, "I1W1", 1, 1.0), (2.0, "I1W1", 1, 1.0), (1.0, "XX", 1, 1.0), (1.0, None, 1, 1.0)], STATS_SCHEMA)
+    rows = link_segments(spark, observed=stats).collect()
+    assert [(r.link, r.start, r.end) for r in rows] == [("I1W1", "I1", "W1")]
