@@ -93,6 +93,7 @@ class StreamJob:
     out_root: str
     checkpoint_root: str
     run_ids: dict[str, int]
+    session: SparkSession | None = None  # the session the queries run in (see start_streams)
 
     def drain(self) -> "StreamJob":
         drain(self.queries.values())
@@ -121,6 +122,21 @@ def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: f
         job.stop()
 
 
+def stream_session(spark: SparkSession, overrides: dict[str, str]) -> SparkSession:
+    """A sibling session with the caller's runtime SQL settings plus ``overrides``.
+
+    Stream-only settings (state partitions, state store provider) are applied there, so the
+    caller's session is never changed, not even for a moment while queries start.
+    """
+    session = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
+            session.conf.set(key, value)
+    for key, value in overrides.items():
+        session.conf.set(key, value)
+    return session
+
+
 def drain(queries: Iterable[StreamingQuery]) -> None:
     """Wait for (``availableNow``) queries to finish; re-raise the first failure."""
     for q in queries:
@@ -151,7 +167,9 @@ def start_streams(
 
     ``trigger`` is passed to ``DataStreamWriter.trigger`` (e.g. ``{"availableNow": True}``
     to drain what is there, ``{"processingTime": "1 second"}`` to run continuously).
-    Wait with ``StreamJob.drain()`` or ``run_until_first_ends``. ``output_files`` bounds the
+    The queries run in a sibling session (``stream_session``) with the stream-only settings, so
+    the caller's session is left as it was; ``StreamJob.session`` is that session. Wait with
+    ``StreamJob.drain()`` or ``run_until_first_ends``. ``output_files`` bounds the
     files per micro-batch of the two aggregate tables (default: one per state partition).
     ``listener`` (e.g. ``BatchLogger()``) is registered on the session before the queries start.
     """
@@ -161,8 +179,15 @@ def start_streams(
     if state_ttl is not None and not state_ttl.strip():
         raise ValueError("state_ttl must be a duration such as '10 minutes'")
 
+    overrides: dict[str, str] = {}
+    if state_partitions:
+        overrides["spark.sql.shuffle.partitions"] = str(int(state_partitions))
+    if rocksdb:
+        overrides["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB_PROVIDER
+    session = stream_session(spark, overrides)
+
     def parsed() -> DataFrame:
-        return parse_events(source.read(spark))
+        return parse_events(source.read(session))
 
     plans = {
         "raw": (parsed(), "append"),
@@ -172,43 +197,31 @@ def start_streams(
         ),
         "windowed": (windowed_stats(parsed(), window_seconds, watermark, status_links), "append"),
     }
-    saved = {k: spark.conf.get(k, None) for k in ("spark.sql.shuffle.partitions", "spark.sql.streaming.stateStore.providerClass")}
-    if state_partitions:
-        spark.conf.set("spark.sql.shuffle.partitions", str(int(state_partitions)))
-    if rocksdb:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     queries: dict[str, StreamingQuery] = {}
     run_ids: dict[str, int] = {}
     if listener is not None:
-        spark.streams.addListener(listener)
-    try:
-        for role, (df, mode) in plans.items():
-            table = names[role]
-            ckpt = f"{checkpoint_root}/{table}"
-            run_ids[role] = run_id_for(spark, ckpt)
-            writer = (
-                df.writeStream.queryName(f"{name_prefix}{table}")
-                .outputMode(mode)
-                .option("checkpointLocation", ckpt)
-                .foreachBatch(
-                    batch_writer(f"{out_root}/{table}", run_ids[role], output_files=None if role == "raw" else output_files)
-                )
-            )
-            if trigger:
-                writer = writer.trigger(**trigger)
-            queries[role] = writer.start()
-        if debug:
-            console = (
-                plans["stats"][0].writeStream.queryName(f"{name_prefix}debug_console")
-                .outputMode("update")
-                .format("console")
-                .option("truncate", False)
+        session.streams.addListener(listener)
+    for role, (df, mode) in plans.items():
+        table = names[role]
+        ckpt = f"{checkpoint_root}/{table}"
+        run_ids[role] = run_id_for(session, ckpt)
+        writer = (
+            df.writeStream.queryName(f"{name_prefix}{table}")
+            .outputMode(mode)
+            .option("checkpointLocation", ckpt)
+            .foreachBatch(
+                batch_writer(f"{out_root}/{table}", run_ids[role], output_files=None if role == "raw" else output_files)
             )
-            queries["debug"] = (console.trigger(**trigger) if trigger else console).start()
-    finally:
-        for key, value in saved.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
-    return StreamJob(queries=queries, out_root=out_root, checkpoint_root=checkpoint_root, run_ids=run_ids)
+        )
+        if trigger:
+            writer = writer.trigger(**trigger)
+        queries[role] = writer.start()
+    if debug:
+        console = (
+            plans["stats"][0].writeStream.queryName(f"{name_prefix}debug_console")
+            .outputMode("update")
+            .format("console")
+            .option("truncate", False)
+        )
+        queries["debug"] = (console.trigger(**trigger) if trigger else console).start()
+    return StreamJob(queries=queries, out_root=out_root, checkpoint_root=checkpoint_root, run_ids=run_ids, session=session)

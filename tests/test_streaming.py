@@ -243,6 +243,7 @@ def test_batch_logger_counts_rows(spark, work):
 
     _write_files(spark, f"{work}/msg", [[ev(1, "L", 1.0)], [ev(2, "L", 2.0), ev(3, "L", 2.0)]])
     logger = BatchLogger()
+    job = None
     try:
         job = _run(spark, work, f"{work}/msg", listener=logger, name_prefix="logged_")
         deadline = _time.time() + 30
@@ -251,7 +252,8 @@ def test_batch_logger_counts_rows(spark, work):
         assert sum(n for name, _, n in logger.batches if name == "logged_raw_data") == 3
         assert job.queries["raw"].lastProgress is not None
     finally:
-        spark.streams.removeListener(logger)
+        if job is not None:
+            job.session.streams.removeListener(logger)
 
 
 def test_malformed_messages_kept_raw_dropped_from_stats(spark, work):
@@ -316,3 +318,12 @@ def test_raw_compaction_packs_files_and_keeps_rows(spark, work, events_df):
     batch_writer(f"{root}/raw_data", run_id=2)(events_df([ev(9, "L", 1.0)]), 4)
     assert open_tables(spark, root)["raw"].count() == 9
     assert open_tables(spark, root, raw_latest_run_only=True)["raw"].count() == 9
+
+
+def test_caller_session_conf_is_untouched(spark, work):
+    _write_files(spark, f"{work}/msg", [[ev(1, "L", 1.0)]])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    job = _run(spark, work, f"{work}/msg", state_partitions=3, rocksdb=True)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert job.session.conf.get("spark.sql.shuffle.partitions") == "3"
+    assert job.session.conf.get("spark.sql.session.timeZone") == spark.conf.get("spark.sql.session.timeZone")
