@@ -183,7 +183,10 @@ def start_streams(
     if state_partitions:
         overrides["spark.sql.shuffle.partitions"] = str(int(state_partitions))
     if rocksdb:
+        # Large state lives off-heap in RocksDB; changelog checkpointing uploads only the
+        # changes of each micro-batch instead of a full snapshot.
         overrides["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB_PROVIDER
+        overrides["spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"] = "true"
     session = stream_session(spark, overrides)
 
     def parsed() -> DataFrame:
