@@ -196,7 +196,18 @@ def test_cli_stream_query_check(spark, work, capsys):
     assert "[OK] raw_data" in capsys.readouterr().out
     assert main(["query", "top-congested", "--root", f"{work}/tables", "--n", "3"]) == 0
     assert main(["check", "--root", f"{work}/tables", "--min-raw", str(10**9)]) == 1
+    root = ["--root", f"{work}/tables"]
+    for name, extra in [
+        ("avg-speed", ["--ascending"]), ("speed-delta", []), ("state", ["--t", "1820", "--tolerance", "10"]),
+        ("network", []), ("link", ["--link", "I2I1"]), ("series", ["--link", "I2I1"]),
+        ("windowed-series", ["--link", "I2I1"]), ("latest-t", []), ("counts", []),
+        ("distinct-links", ["--table", "raw"]), ("overview", []), ("latest-n", ["--table", "windowed"]),
+    ]:
+        assert main(["query", name, *root, "--rows", "3", *extra]) == 0, name
+    with pytest.raises(ValueError):
+        main(["query", "state", *root])
     assert main(["compact", "--root", f"{work}/tables", "--include-latest"]) == 0
+    assert main(["compact", "--root", f"{work}/tables", "--table", "raw_data", "--include-latest"]) == 0
 
 
 def test_debug_console_query(spark, work):
