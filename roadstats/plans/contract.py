@@ -19,7 +19,7 @@ from roadstats.operators import queries as q
 from roadstats.operators.stats import link_stats, status_filter, windowed_stats
 from roadstats.plans import oracle as o
 from roadstats.plans.streamed import STREAM_QUERIES, stream_sql
-from roadstats.plans.tables import batch_tables
+from roadstats.plans.tables import stored_tables
 from roadstats.plans.views import rounded, stats_view, windowed_view
 from roadstats.schemas import EVENT_COLUMNS
 from roadstats.sources.codec import encode_events, parse_events
@@ -101,95 +101,95 @@ def _windowed(seconds: int) -> Query:
 
 
 def _avg_speed(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(q.avg_speed_per_link(batch_tables(spark, sf).stats), "avg_speed")
+    return rounded(q.avg_speed_per_link(stored_tables(spark, sf).stats), "avg_speed")
 
 
 def _top_n(spark: SparkSession, sf: str) -> DataFrame:
-    return q.top_n_congested(batch_tables(spark, sf).stats, TOP_N)
+    return q.top_n_congested(stored_tables(spark, sf).stats, TOP_N)
 
 
 def _delta(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(q.max_speed_delta(batch_tables(spark, sf).stats, TOP_N), "max_speed", "min_speed", "delta")
+    return rounded(q.max_speed_delta(stored_tables(spark, sf).stats, TOP_N), "max_speed", "min_speed", "delta")
 
 
 def _state_at(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(q.link_state_at(batch_tables(spark, sf).stats, STATE_T, STATE_TOL), "vspeed")
+    return rounded(q.link_state_at(stored_tables(spark, sf).stats, STATE_T, STATE_TOL), "vspeed")
 
 
 _SUMMARY_FLOATS = ("avg_speed", "min_speed", "max_speed")
 
 
 def _summary(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(q.link_summary(batch_tables(spark, sf).stats, LINK_ID), *_SUMMARY_FLOATS)
+    return rounded(q.link_summary(stored_tables(spark, sf).stats, LINK_ID), *_SUMMARY_FLOATS)
 
 
 def _summary_all(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(q.link_summary_all(batch_tables(spark, sf).stats), *_SUMMARY_FLOATS)
+    return rounded(q.link_summary_all(stored_tables(spark, sf).stats), *_SUMMARY_FLOATS)
 
 
 def _series(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(q.link_series(batch_tables(spark, sf).stats, LINK_ID), "vspeed")
+    return rounded(q.link_series(stored_tables(spark, sf).stats, LINK_ID), "vspeed")
 
 
 def _wseries(spark: SparkSession, sf: str) -> DataFrame:
-    return windowed_view(q.windowed_series(batch_tables(spark, sf).windowed, LINK_ID))
+    return windowed_view(q.windowed_series(stored_tables(spark, sf).windowed, LINK_ID))
 
 
 def _latest_t(spark: SparkSession, sf: str) -> DataFrame:
-    return q.latest_t(batch_tables(spark, sf).stats)
+    return q.latest_t(stored_tables(spark, sf).stats)
 
 
 def _table_counts(spark: SparkSession, sf: str) -> DataFrame:
-    tb = batch_tables(spark, sf)
+    tb = stored_tables(spark, sf)
     return q.default_table_counts(tb.raw, tb.stats, tb.windowed)
 
 
 def _distinct_links(spark: SparkSession, sf: str) -> DataFrame:
-    return q.distinct_links(batch_tables(spark, sf).stats)
+    return q.distinct_links(stored_tables(spark, sf).stats)
 
 
 def _distinct_links_raw(spark: SparkSession, sf: str) -> DataFrame:
-    return q.distinct_links(batch_tables(spark, sf).raw)
+    return q.distinct_links(stored_tables(spark, sf).raw)
 
 
 def _overview(spark: SparkSession, sf: str) -> DataFrame:
-    tb = batch_tables(spark, sf)
+    tb = stored_tables(spark, sf)
     return q.overview(tb.raw, tb.stats)
 
 
 def _volume_checks(spark: SparkSession, sf: str) -> DataFrame:
-    tb = batch_tables(spark, sf)
+    tb = stored_tables(spark, sf)
     return q.volume_checks(tb.raw, tb.stats)
 
 
 def _latest_n_stats(spark: SparkSession, sf: str) -> DataFrame:
-    return stats_view(q.latest_n(batch_tables(spark, sf).stats, LATEST_N, "t", ["link"]))
+    return stats_view(q.latest_n(stored_tables(spark, sf).stats, LATEST_N, "t", ["link"]))
 
 
 def _latest_n_windowed(spark: SparkSession, sf: str) -> DataFrame:
-    return windowed_view(q.latest_n(batch_tables(spark, sf).windowed, LATEST_N, "window_end", ["link"]))
+    return windowed_view(q.latest_n(stored_tables(spark, sf).windowed, LATEST_N, "window_end", ["link"]))
 
 
 def _latest_n_raw(spark: SparkSession, sf: str) -> DataFrame:
     # Many raw rows share the last step: every other column breaks the tie, in schema order.
-    return q.latest_n(batch_tables(spark, sf).raw, LATEST_N, "t")
+    return q.latest_n(stored_tables(spark, sf).raw, LATEST_N, "t")
 
 
 def _sample_row(spark: SparkSession, sf: str) -> DataFrame:
-    return stats_view(q.sample_row(batch_tables(spark, sf).stats))
+    return stats_view(q.sample_row(stored_tables(spark, sf).stats))
 
 
 def _link_segments(spark: SparkSession, sf: str) -> DataFrame:
     # The segments of the links that carry traffic in the data (J1 over the observed links).
-    return net.link_segments(spark, observed=batch_tables(spark, sf).stats)
+    return net.link_segments(spark, observed=stored_tables(spark, sf).stats)
 
 
 def _network_checks(spark: SparkSession, sf: str) -> DataFrame:
-    return net.network_checks(spark, observed=batch_tables(spark, sf).stats)
+    return net.network_checks(spark, observed=stored_tables(spark, sf).stats)
 
 
 def _network_state_at(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(net.network_state_at(spark, batch_tables(spark, sf).stats), "vspeed", "ratio", "width")
+    return rounded(net.network_state_at(spark, stored_tables(spark, sf).stats), "vspeed", "ratio", "width")
 
 
 BATCH: dict[str, Query] = {
