@@ -90,3 +90,16 @@ def test_late_variant_really_replays_late_rows(spark):
     assert late_run["raw"].count() == events.count() + late  # raw keeps the late copies
     assert sorted(map(tuple, late_run["windowed"].collect())) == sorted(map(tuple, in_order["windowed"].collect()))
     assert late_run["stats"].agg(F.sum("vcount")).first()[0] > in_order["stats"].agg(F.sum("vcount")).first()[0]
+
+
+def test_stored_tables_equal_batch_plans_and_are_written_once(spark):
+    from roadstats.plans.tables import _STORED, batch_tables, stored_tables
+
+    stored = stored_tables(spark, SF_SMALL)
+    lazy = batch_tables(spark, SF_SMALL)
+    for name in ("stats", "windowed"):
+        assert sorted(map(tuple, getattr(stored, name).collect())) == sorted(map(tuple, getattr(lazy, name).collect()))
+    roots = set(_STORED.values())
+    stored_tables(spark, SF_SMALL)
+    assert set(_STORED.values()) == roots  # same input, no second write
+    assert "InMemoryFileIndex" in stored.stats._jdf.queryExecution().executedPlan().toString()
