@@ -307,7 +307,7 @@ SELECT "check", violations, violations = 0 AS ok FROM (
     "network_state_at": o.with_(o.EV, o.STATS, o.NODES_SQL, o.LINKS_SQL, o.SEGS) + """, lt AS (SELECT max(t) AS t0 FROM stats_t),
 state AS (
   SELECT link, arg_max(vcount, t) AS vcount, arg_max(vspeed, t) AS vspeed, max(t) AS t
-  FROM stats_t, lt WHERE t >= t0 - 2.0 AND t <= t0 GROUP BY link),
+  FROM stats_t WHERE t >= (SELECT t0 FROM lt) - 2.0 AND t <= (SELECT t0 FROM lt) GROUP BY link),
 vm AS (SELECT coalesce(max(vcount), 0) AS vmax FROM state),
 j AS (
   SELECT s.*, st.vcount, st.vspeed, st.t, st.t IS NOT NULL AS has_data,
@@ -317,8 +317,8 @@ SELECT link, start, "end", x0, y0, x1, y1, seq, has_data, vcount, """ + o.qcol("
   """ + o.qcol("CASE WHEN has_data THEN r END", "ratio") + """,
   CASE WHEN has_data THEN printf('rgb(%d,%d,60)', CAST(round_even(220.0 * (1.0 - r), 0) AS INTEGER),
                                  CAST(round_even(180.0 * r, 0) AS INTEGER)) ELSE '#bbbbbb' END AS color,
-  """ + o.qcol("CASE WHEN has_data AND vmax > 0 THEN 2.0 + 12.0 * least(1.0, vcount / vmax) ELSE 2.0 END", "width") + """
-FROM j, vm""",
+  """ + o.qcol("CASE WHEN has_data AND (SELECT vmax FROM vm) > 0 THEN 2.0 + 12.0 * least(1.0, vcount / (SELECT vmax FROM vm)) ELSE 2.0 END", "width") + """
+FROM j""",
 }
 
 ALL_QUERIES: dict[str, Query] = {**BATCH, **STREAM_QUERIES}
