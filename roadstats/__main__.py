@@ -58,7 +58,7 @@ def _parser() -> argparse.ArgumentParser:
     c.add_argument("--min-raw", type=int, default=1)
     c.add_argument("--min-stats", type=int, default=1)
 
-    k = sub.add_parser("compact", help="fold a keyed table's batches into a snapshot")
+    k = sub.add_parser("compact", help="fold a table's batch folders into a snapshot")
     k.add_argument("--root", required=True)
     k.add_argument("--table", default="stats", choices=["stats", "stats_windowed", "raw_data"])
     k.add_argument("--include-latest", action="store_true")
