@@ -114,3 +114,12 @@ def test_link_history_source(spark, stats):
     assert q.link_history(stats, windowed, "A", "windowed").count() == 0
     with pytest.raises(ValueError):
         q.link_history(stats, windowed, "A", "raw")
+
+
+def test_ties_break_on_link_name(spark):
+    rows = [(1.0, "Z", 1, 10.0), (2.0, "Z", 1, 20.0), (1.0, "M", 1, 30.0), (2.0, "M", 1, 40.0), (1.0, "A", 1, 5.0)]
+    stats = spark.createDataFrame(rows, STATS_SCHEMA)
+    assert [r.link for r in q.max_speed_delta(stats, 2).collect()] == ["M", "Z"]  # equal deltas of 10
+    assert [r.link for r in q.latest_n(stats, 2, "t", ["link"]).collect()] == ["M", "Z"]  # equal t = 2
+    same_avg = spark.createDataFrame([(1.0, "B", 1, 7.0), (1.0, "A", 1, 7.0)], STATS_SCHEMA)
+    assert [r.link for r in q.avg_speed_per_link(same_avg).collect()] == ["A", "B"]
