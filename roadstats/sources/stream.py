@@ -80,6 +80,12 @@ class StreamSource:
         return stream.select("value")
 
 
+def _time_bounds() -> list:
+    """min/max of the staged time, NaN excluded (Spark orders NaN above every number)."""
+    t = F.when(~F.isnan("_t"), F.col("_t"))
+    return [F.min(t).alias("lo"), F.max(t).alias("hi")]
+
+
 def replay_to_dir(
     events: DataFrame,
     path: str,
@@ -115,12 +121,19 @@ def replay_to_dir(
         F.xxhash64(*[F.col(c) for c in events.columns]).alias("_h"),
         message_value(events.columns).alias("value"),
     )
+    bounds = None
     if restage:
-        encoded.write.mode("overwrite").parquet(staging)
+        # The time bounds are observed while staging (no second pass over the data).
+        from pyspark.sql import Observation
+
+        seen = Observation()
+        encoded.observe(seen, *_time_bounds()).write.mode("overwrite").parquet(staging)
+        bounds = seen.get
     staged = spark.read.parquet(staging)
     if ranges is None:
-        bounds = staged.agg(F.min("_t").alias("lo"), F.max("_t").alias("hi")).first()
-        lo, hi = bounds["lo"], bounds["hi"]
+        if bounds is None:
+            bounds = staged.agg(*_time_bounds()).first().asDict()
+        lo, hi = bounds.get("lo"), bounds.get("hi")
         if lo is None:
             return []
         width = (hi - lo) / chunks if hi > lo else 1.0
