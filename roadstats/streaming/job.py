@@ -67,8 +67,11 @@ class BatchLogger(StreamingQueryListener):
 
         self.log = logging.getLogger(logger_name)
         self.batches: list[tuple[str, int, int]] = []
+        self.started: set[str] = set()
+        self.terminated: set[str] = set()
 
     def onQueryStarted(self, event) -> None:  # noqa: N802
+        self.started.add(str(event.id))
         self.log.info("query %s started (id %s)", event.name, event.id)
 
     def onQueryProgress(self, event) -> None:  # noqa: N802
@@ -84,6 +87,7 @@ class BatchLogger(StreamingQueryListener):
         pass
 
     def onQueryTerminated(self, event) -> None:  # noqa: N802
+        self.terminated.add(str(event.id))
         self.log.info("query %s terminated%s", event.id, f": {event.exception}" if event.exception else "")
 
 
@@ -178,6 +182,8 @@ def start_streams(
     status_links = tuple(status_links)
     if state_ttl is not None and not state_ttl.strip():
         raise ValueError("state_ttl must be a duration such as '10 minutes'")
+    if not watermark:
+        raise ValueError("the windowed query writes closed windows (append) and needs a watermark")
 
     overrides: dict[str, str] = {}
     if state_partitions:
@@ -204,6 +210,17 @@ def start_streams(
     run_ids: dict[str, int] = {}
     if listener is not None:
         session.streams.addListener(listener)
+    try:
+        _start_all(plans, names, queries, run_ids, session, out_root, checkpoint_root, name_prefix, output_files, trigger, debug)
+    except Exception:
+        for q in queries.values():  # do not leave half a job running
+            if q.isActive:
+                q.stop()
+        raise
+    return StreamJob(queries=queries, out_root=out_root, checkpoint_root=checkpoint_root, run_ids=run_ids, session=session)
+
+
+def _start_all(plans, names, queries, run_ids, session, out_root, checkpoint_root, name_prefix, output_files, trigger, debug) -> None:
     for role, (df, mode) in plans.items():
         table = names[role]
         ckpt = f"{checkpoint_root}/{table}"
@@ -227,4 +244,3 @@ def start_streams(
             .option("truncate", False)
         )
         queries["debug"] = (console.trigger(**trigger) if trigger else console).start()
-    return StreamJob(queries=queries, out_root=out_root, checkpoint_root=checkpoint_root, run_ids=run_ids, session=session)

@@ -370,3 +370,22 @@ def test_stop_midway_then_resume(spark, work):
     max_sec = events.where(~F.col("link").isin("trip_end", "waiting_at_origin_node")).agg(F.max("t")).first()[0]
     closed = windowed_stats(events).where(F.unix_seconds("window_end") <= int(max_sec) - 60)
     assert _sorted(tables["windowed"]) == _sorted(closed)
+
+
+def test_failed_start_leaves_nothing_running(spark, work):
+    from roadstats.streaming.job import BatchLogger
+
+    _write_files(spark, f"{work}/msg", [[ev(1, "L", 1.0)]])
+    src = StreamSource("parquet", f"{work}/msg")
+    with pytest.raises(ValueError):
+        start_streams(spark, src, f"{work}/t", f"{work}/c", watermark=None)
+    watcher = BatchLogger()
+    with pytest.raises(Exception):  # raw starts, then stats reuses its name while raw is active
+        start_streams(
+            spark, src, f"{work}/t", f"{work}/c", tables={"stats": "raw_data"}, listener=watcher,
+            trigger={"processingTime": "30 seconds"},
+        )
+    deadline = time.time() + 30
+    while time.time() < deadline and (not watcher.started or watcher.started - watcher.terminated):
+        time.sleep(0.1)
+    assert watcher.started and watcher.started <= watcher.terminated
