@@ -75,3 +75,59 @@ def windowed_stats(
             "vspeed_max",
         )
     )
+
+
+# --- Batch roll-up: one pass over the events for both tables ----------------------------------
+
+
+def link_partials(events: DataFrame, status_links: Iterable[str] = STATUS_LINKS) -> DataFrame:
+    """Per-(t, link) partial aggregates: ``vcount, v_sum, v_count, v_min, v_max``.
+
+    Both tables follow from these without touching the events again: ``stats`` is a projection
+    and ``windowed`` a roll-up, because a tumbling window is a union of whole steps (every ``t``
+    maps to exactly one window). For batch backfills this halves the scans of the raw events.
+    """
+    return (
+        status_filter(events, status_links)
+        .groupBy("t", "link")
+        .agg(
+            F.count(F.lit(1)).alias("vcount"),
+            F.sum("v").alias("v_sum"),
+            F.count("v").alias("v_count"),
+            F.min("v").alias("v_min"),
+            F.max("v").alias("v_max"),
+        )
+    )
+
+
+def _mean(total: str, n: str) -> "F.Column":
+    # Like avg(): NULL when no value was present.
+    return F.when(F.col(n) > 0, F.col(total) / F.col(n).cast("double"))
+
+
+def stats_from_partials(partials: DataFrame) -> DataFrame:
+    """``link_stats`` from ``link_partials`` (a projection; the mean is ``sum / count`` as in ``avg``)."""
+    return partials.select("t", "link", "vcount", _mean("v_sum", "v_count").alias("vspeed"))
+
+
+def windowed_from_partials(partials: DataFrame, window_seconds: int = DEFAULT_WINDOW_SECONDS) -> DataFrame:
+    """``windowed_stats`` (batch) rolled up from ``link_partials``; steps without an event time drop out."""
+    if int(window_seconds) <= 0:
+        raise ValueError(f"window_seconds must be positive, got {window_seconds}")
+    timed = partials.withColumn("event_ts", event_time("t")).where(F.col("event_ts").isNotNull())
+    rolled = timed.groupBy(F.window("event_ts", f"{int(window_seconds)} seconds").alias("window"), "link").agg(
+        F.sum("vcount").alias("vcount"),
+        F.sum("v_sum").alias("v_sum"),
+        F.sum("v_count").alias("v_count"),
+        F.min("v_min").alias("vspeed_min"),
+        F.max("v_max").alias("vspeed_max"),
+    )
+    return rolled.select(
+        F.col("window.start").alias("window_start"),
+        F.col("window.end").alias("window_end"),
+        "link",
+        "vcount",
+        _mean("v_sum", "v_count").alias("vspeed_avg"),
+        "vspeed_min",
+        "vspeed_max",
+    )

@@ -1,8 +1,9 @@
 """The three stored tables, built in batch from the driver's ``events`` table.
 
 ``raw`` is the adapted event table, ``stats`` and ``windowed`` are the two aggregations over
-it. ``batch_tables`` gives them as lazy plans. ``stored_tables`` writes the two aggregates once
-per input (as parquet under the shared ``spark.checkpoint.dir``) and reads them back. That is
+it. ``batch_tables`` gives them as lazy plans. ``stored_tables`` writes the aggregates once per
+input (as parquet under the shared ``spark.checkpoint.dir``, one pass over the events for both)
+and reads them back. That is
 the shape of the read layer: questions are answered from the stored aggregates with column
 pruning and pushdown, not by re-aggregating the raw events for every query, and the written
 tables cut the lineage. ``raw`` stays a projection of ``events`` (a stored copy would be
@@ -15,9 +16,10 @@ import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from roadstats.operators.stats import link_stats, windowed_stats
-from roadstats.schemas import STATS_SCHEMA, STATS_TABLE, WINDOWED_SCHEMA, WINDOWED_TABLE
+from roadstats.operators.stats import link_partials, link_stats, stats_from_partials, windowed_from_partials, windowed_stats
+from roadstats.schemas import WINDOWED_SCHEMA, WINDOWED_TABLE
 from roadstats.session import new_work_dir, path_exists
 from roadstats.sources.events import load_events
 
@@ -48,26 +50,45 @@ def _fingerprint(spark: SparkSession, path: str) -> str:
 
 
 _STORED: dict[tuple[str, int], str] = {}
+PARTIALS = "stats_partials"
+PARTIALS_SCHEMA = StructType(
+    [
+        StructField("t", DoubleType()),
+        StructField("link", StringType()),
+        StructField("vcount", LongType()),
+        StructField("v_sum", DoubleType()),
+        StructField("v_count", LongType()),
+        StructField("v_min", DoubleType()),
+        StructField("v_max", DoubleType()),
+    ]
+)
 
 
 def stored_tables(spark: SparkSession, sf_dir: str, window_seconds: int = 30) -> Tables:
-    """``stats`` and ``windowed`` written once per input version and read back from parquet.
-
-    Files are sorted within partitions by ``(link, t)`` / ``(link, window_start)`` so filters
-    on a link or a time range prune row groups. The tables are written in a fresh folder and
-    used only after both writes have committed. ``raw`` is the lazy adapted ``events``.
+    """``stats`` and ``windowed`` from tables written once per input version.
+
+    One pass over the events writes the per-(t, link) partials (``link_partials``). ``stats`` is
+    a projection of that table and ``windowed`` is rolled up from it and written too, so the raw
+    events are scanned and shuffled once for both. Files are sorted within partitions by
+    ``(link, t)`` / ``(link, window_start)`` so filters on a link or a time range prune row
+    groups. The folder is used only after both writes have committed. ``raw`` is the lazy
+    adapted ``events``.
     """
     events_path = f"{sf_dir.rstrip('/')}/events.parquet"
     key = (_fingerprint(spark, events_path), int(window_seconds))
     root = _STORED.get(key)
     if root is None or not path_exists(spark, f"{root}/{WINDOWED_TABLE}/_SUCCESS"):
         root = new_work_dir(spark, f"tables-{key[0]}-{key[1]}s")
-        tb = batch_tables(spark, sf_dir, window_seconds)
-        tb.stats.sortWithinPartitions("link", "t").write.mode("overwrite").parquet(f"{root}/{STATS_TABLE}")
-        tb.windowed.sortWithinPartitions("link", "window_start").write.mode("overwrite").parquet(f"{root}/{WINDOWED_TABLE}")
+        link_partials(load_events(spark, sf_dir)).sortWithinPartitions("link", "t").write.mode("overwrite").parquet(
+            f"{root}/{PARTIALS}"
+        )
+        partials = spark.read.schema(PARTIALS_SCHEMA).parquet(f"{root}/{PARTIALS}")
+        windowed = windowed_from_partials(partials, window_seconds).sortWithinPartitions("link", "window_start")
+        windowed.write.mode("overwrite").parquet(f"{root}/{WINDOWED_TABLE}")
         _STORED[key] = root
+    partials = spark.read.schema(PARTIALS_SCHEMA).parquet(f"{root}/{PARTIALS}")
     return Tables(
         raw=load_events(spark, sf_dir),
-        stats=spark.read.schema(STATS_SCHEMA).parquet(f"{root}/{STATS_TABLE}"),
+        stats=stats_from_partials(partials),
         windowed=spark.read.schema(WINDOWED_SCHEMA).parquet(f"{root}/{WINDOWED_TABLE}"),
     )

@@ -101,3 +101,31 @@ def test_top_n_and_state_brute_force(spark, rows, n):
     avg = {r.link: (r.avg_speed, r.samples) for r in q.avg_speed_per_link(stats).collect()}
     for link, items in per_link.items():
         assert avg[link][1] == len(items) and _close(avg[link][0], _mean([x[2] for x in items]))
+
+
+event_rows_with_nan = st.lists(
+    st.tuples(
+        st.sampled_from([0.0, 5.0, 29.5, 30.0, float("nan"), None, -0.5]),
+        st.sampled_from(LINKS),
+        st.one_of(st.none(), st.sampled_from([0.0, 12.5, 60.0, float("nan")])),
+    ),
+    max_size=30,
+)
+
+
+@SETTINGS
+@given(rows=event_rows_with_nan, size=st.sampled_from([10, 30]))
+def test_rollup_from_partials_equals_direct_aggregations(spark, rows, size):
+    from roadstats.operators.stats import link_partials, stats_from_partials, windowed_from_partials
+
+    events = _events(spark, rows)
+    partials = link_partials(events)
+
+    def norm(df):
+        out = []
+        for r in df.collect():
+            out.append(tuple(("nan" if isinstance(v, float) and v != v else (round(v, 9) if isinstance(v, float) else v)) for v in r))
+        return sorted(out, key=repr)
+
+    assert norm(stats_from_partials(partials)) == norm(link_stats(events))
+    assert norm(windowed_from_partials(partials, size)) == norm(windowed_stats(events, window_seconds=size))
