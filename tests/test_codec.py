@@ -64,3 +64,10 @@ def test_one_bad_field_only_nulls_that_field(spark):
 def test_null_fields_survive_round_trip(events_df):
     df = events_df([(None, None, None, None, None, None, None, None, None), ev(1, "L", 3.0)])
     assert sorted(map(tuple, parse_events(encode_events(df)).collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
+
+
+def test_special_doubles_round_trip(events_df):
+    inf = float("inf")
+    df = events_df([ev(1, "L", float("nan")), ev(2, "L", inf), ev(3, "L", -inf)])
+    back = {r.t: r.v for r in parse_events(encode_events(df)).collect()}
+    assert math.isnan(back[1.0]) and back[2.0] == inf and back[3.0] == -inf
