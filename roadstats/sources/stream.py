@@ -111,7 +111,10 @@ def replay_to_dir(
 
     ``whole=False`` replays only the given ``ranges`` (all half-open, no rows without a time),
     e.g. to send a time range again as late data. ``restage=False`` reuses a ``staging``
-    folder written by an earlier call over the same events.
+    folder written by an earlier call over the same events. ``pause_seconds`` waits between
+    range writes (producer-side pacing of a live-looking replay); consumers can also pace with
+    ``max_files_per_trigger`` or a processing-time trigger. ``files_per_chunk`` sets the files
+    per range, like the partitions of a topic.
     """
     if chunks <= 0:
         raise ValueError(f"chunks must be positive, got {chunks}")
@@ -170,7 +173,7 @@ def publish_events(
     """
     from pyspark.sql import Observation
 
-    counter = Observation("published")
+    counter = Observation()
     messages = events.select(message_value(events.columns).alias("value")).observe(counter, F.count(F.lit(1)).alias("n"))
     writer = messages.write.mode("append").format(fmt).options(**(options or {}))
     if path:
