@@ -389,3 +389,10 @@ def test_failed_start_leaves_nothing_running(spark, work):
     while time.time() < deadline and (not watcher.started or watcher.started - watcher.terminated):
         time.sleep(0.1)
     assert watcher.started and watcher.started <= watcher.terminated
+
+
+def test_json_folder_source(spark, work):
+    events = load_events(spark, SF_SMALL)
+    replay_to_dir(events, f"{work}/msg", f"{work}/stage", chunks=2, fmt="json")
+    job = start_streams(spark, StreamSource("json", f"{work}/msg"), f"{work}/t", f"{work}/c", trigger=AVAILABLE_NOW).drain()
+    assert _sorted(open_tables(spark, job.out_root)["stats"]) == _sorted(link_stats(events))
