@@ -21,6 +21,7 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 from roadstats.operators.stats import link_partials, link_stats, stats_from_partials, windowed_from_partials, windowed_stats
 from roadstats.schemas import WINDOWED_SCHEMA, WINDOWED_TABLE
 from roadstats.session import new_work_dir, path_exists
+from roadstats.streaming.store import time_local
 from roadstats.sources.events import load_events
 
 
@@ -69,9 +70,9 @@ def stored_tables(spark: SparkSession, sf_dir: str, window_seconds: int = 30) ->
 
     One pass over the events writes the per-(t, link) partials (``link_partials``). ``stats`` is
     a projection of that table and ``windowed`` is rolled up from it and written too, so the raw
-    events are scanned and shuffled once for both. Files are sorted within partitions by
-    ``(link, t)`` / ``(link, window_start)`` so filters on a link or a time range prune row
-    groups. The folder is used only after both writes have committed. ``raw`` is the lazy
+    events are scanned and shuffled once for both. Both are laid out by ``time_local`` (files
+    cover narrow time ranges, rows sorted by link inside), so a time slice opens few files and a
+    link filter prunes row groups. The folder is used only after both writes have committed. ``raw`` is the lazy
     adapted ``events``.
     """
     events_path = f"{sf_dir.rstrip('/')}/events.parquet"
@@ -79,11 +80,9 @@ def stored_tables(spark: SparkSession, sf_dir: str, window_seconds: int = 30) ->
     root = _STORED.get(key)
     if root is None or not path_exists(spark, f"{root}/{WINDOWED_TABLE}/_SUCCESS"):
         root = new_work_dir(spark, f"tables-{key[0]}-{key[1]}s")
-        link_partials(load_events(spark, sf_dir)).sortWithinPartitions("link", "t").write.mode("overwrite").parquet(
-            f"{root}/{PARTIALS}"
-        )
+        time_local(link_partials(load_events(spark, sf_dir)), "t").write.mode("overwrite").parquet(f"{root}/{PARTIALS}")
         partials = spark.read.schema(PARTIALS_SCHEMA).parquet(f"{root}/{PARTIALS}")
-        windowed = windowed_from_partials(partials, window_seconds).sortWithinPartitions("link", "window_start")
+        windowed = time_local(windowed_from_partials(partials, window_seconds), "window_start")
         windowed.write.mode("overwrite").parquet(f"{root}/{WINDOWED_TABLE}")
         _STORED[key] = root
     partials = spark.read.schema(PARTIALS_SCHEMA).parquet(f"{root}/{PARTIALS}")

@@ -28,6 +28,18 @@ from roadstats.session import list_dir, path_exists
 from roadstats.streaming.sink import BATCH_BITS
 
 
+def time_local(df: DataFrame, time_col: str, files: int | None = None) -> DataFrame:
+    """Lay out an aggregate table for reading: range-partitioned on time, sorted by link inside.
+
+    Each output file covers a narrow time range (a time slice, e.g. the map's latest step, opens
+    few files), and rows are sorted by ``(link, time)`` within it (a link filter prunes row
+    groups). The range exchange samples the data once. With AQE on, small range partitions are
+    coalesced, so ``files`` (default: the shuffle partitions) is an upper bound.
+    """
+    ranged = df.repartitionByRange(int(files), time_col) if files else df.repartitionByRange(time_col)
+    return ranged.sortWithinPartitions("link", time_col)
+
+
 def _with_batch_cols(schema: StructType) -> StructType:
     return StructType(list(schema.fields) + [StructField("run_id", LongType()), StructField("batch_id", LongType())])
 
@@ -155,7 +167,8 @@ def compact(
     raw table: the snapshot holds every row, rewritten without a shuffle. The scan packs the
     many small batch files into splits of ``spark.sql.files.maxPartitionBytes``, so the output
     files are large. Rows keep their ``run_id``/``batch_id``. The snapshot is written to a fresh
-    folder ``{table}__snapshot/v={bound}``, sorted within files for pruning. Readers pick the
+    folder ``{table}__snapshot/v={bound}``: keyed tables laid out by ``time_local``, raw rows
+    sorted within files. Readers pick the
     newest committed snapshot and add only batches with a larger version, so compaction can run
     while the stream keeps writing. By default the newest batch folder is left out, because it
     may still be landing; pass ``include_latest=True`` once the stream is stopped. Returns the
@@ -196,6 +209,12 @@ def compact(
         F.col("_version").bitwiseAND(F.lit(_BATCH_MASK)).alias("batch_id"),
     )
     out = f"{path}{SNAPSHOT_SUFFIX}/v={bound}"
-    cols = [c for c in sort_within if c in schema.names]
-    (rows.sortWithinPartitions(*cols) if cols else rows).write.mode("overwrite").parquet(out)
+    if keys:
+        # The resolve already shuffled; lay the (small) aggregate out by time for slice reads.
+        rows = time_local(rows, "t" if "t" in schema.names else "window_start")
+    else:
+        # Raw: no shuffle; the batches are already time-local, the scan packs small files.
+        cols = [c for c in sort_within if c in schema.names]
+        rows = rows.sortWithinPartitions(*cols) if cols else rows
+    rows.write.mode("overwrite").parquet(out)
     return out
