@@ -402,3 +402,12 @@ def test_folder_source_formats(spark, work, fmt):
         raise
     job = start_streams(spark, StreamSource(fmt, f"{work}/msg"), f"{work}/t", f"{work}/c", trigger=AVAILABLE_NOW).drain()
     assert _sorted(open_tables(spark, job.out_root)["stats"]) == _sorted(link_stats(events))
+
+
+def test_run_ids_bound_to_checkpoints(spark, work):
+    from roadstats.streaming.sink import run_id_for
+
+    first = run_id_for(spark, f"{work}/ckpt-a")
+    assert run_id_for(spark, f"{work}/ckpt-a") == first  # a restart keeps its run
+    time.sleep(1.1)
+    assert run_id_for(spark, f"{work}/ckpt-b") > first  # a fresh checkpoint is a newer run
