@@ -30,7 +30,8 @@ def run_id_for(spark: SparkSession, checkpoint: str) -> int:
     """The run id bound to ``checkpoint`` (created on first use: epoch seconds).
 
     Stored as a one-line file next to the checkpoint's own files, written with create-if-absent
-    so two starters cannot both win.
+    so two starters cannot both win. Fresh runs of one table (new checkpoints) must start at
+    least a second apart to get distinct, increasing run ids.
     """
     marker = f"{checkpoint.rstrip('/')}/{RUN_MARKER}"
     text = read_small_text(spark, marker)
