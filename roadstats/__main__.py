@@ -11,7 +11,26 @@ from __future__ import annotations
 import argparse
 import sys
 
-from roadstats.schemas import DEFAULT_WATERMARK, DEFAULT_WINDOW_SECONDS, MAP_STATE_TOLERANCE
+from roadstats.schemas import (
+    DEFAULT_WATERMARK,
+    DEFAULT_WINDOW_SECONDS,
+    MAP_STATE_TOLERANCE,
+    RAW_TABLE,
+    STATS_TABLE,
+    WINDOWED_TABLE,
+)
+
+
+def _table_names(parser: argparse.ArgumentParser) -> None:
+    parser.add_argument("--raw-table", default=RAW_TABLE)
+    parser.add_argument("--stats-table", default=STATS_TABLE)
+    parser.add_argument("--windowed-table", default=WINDOWED_TABLE)
+
+
+def _open(spark, args):
+    from roadstats.streaming.store import open_tables
+
+    return open_tables(spark, args.root, raw=args.raw_table, stats=args.stats_table, windowed=args.windowed_table)
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -37,6 +56,7 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--state-ttl")
     s.add_argument("--rocksdb", action="store_true")
     s.add_argument("--debug", action="store_true", help="also print per-step stats to the console")
+    _table_names(s)
 
     q = sub.add_parser("query", help="run one read query over the stored tables")
     q.add_argument(
@@ -52,11 +72,13 @@ def _parser() -> argparse.ArgumentParser:
     q.add_argument("--table", default="stats", choices=["raw", "stats", "windowed"])
     q.add_argument("--ascending", action="store_true")
     q.add_argument("--rows", type=int, default=50, help="rows to print")
+    _table_names(q)
 
     c = sub.add_parser("check", help="raw and stats row counts against minimums (exit 1 on failure)")
     c.add_argument("--root", required=True)
     c.add_argument("--min-raw", type=int, default=1)
     c.add_argument("--min-stats", type=int, default=1)
+    _table_names(c)
 
     k = sub.add_parser("compact", help="fold a table's batch folders into a snapshot")
     k.add_argument("--root", required=True)
@@ -68,9 +90,7 @@ def _parser() -> argparse.ArgumentParser:
 def _query(spark, args):
     from roadstats.operators import network as net
     from roadstats.operators import queries as q
-    from roadstats.streaming.store import open_tables
-
-    t = open_tables(spark, args.root)
+    t = _open(spark, args)
     stats = t["stats"]
     name = args.name
     if name == "avg-speed":
@@ -131,6 +151,7 @@ def main(argv: list[str] | None = None) -> int:
             window_seconds=args.window_seconds, watermark=args.watermark, state_partitions=args.state_partitions,
             trigger=trigger, state_ttl=args.state_ttl, rocksdb=args.rocksdb, debug=args.debug,
             output_files=args.output_files,
+            tables={"raw": args.raw_table, "stats": args.stats_table, "windowed": args.windowed_table},
         )
         if args.available_now:
             job.drain()
@@ -142,9 +163,8 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     if args.cmd == "check":
         from roadstats.operators.queries import volume_checks
-        from roadstats.streaming.store import open_tables
 
-        t = open_tables(spark, args.root)
+        t = _open(spark, args)
         rows = volume_checks(t["raw"], t["stats"], args.min_raw, args.min_stats).collect()
         for r in rows:
             print(f"[{'OK' if r.ok else 'FAIL'}] {r.check}: {r.detail}")

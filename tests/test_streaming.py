@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import time
 
 import pytest
@@ -208,6 +209,12 @@ def test_cli_stream_query_check(spark, work, capsys):
         main(["query", "state", *root])
     assert main(["compact", "--root", f"{work}/tables", "--include-latest"]) == 0
     assert main(["compact", "--root", f"{work}/tables", "--table", "raw_data", "--include-latest"]) == 0
+    # Renamed tables, as with configurable collection names.
+    assert main(["stream", "--format", "parquet", "--path", f"{work}/msg", "--out", f"{work}/named",
+                 "--checkpoint", f"{work}/ckpt2", "--available-now", "--state-partitions", "2",
+                 "--stats-table", "per_step", "--windowed-table", "per_window", "--raw-table", "events_raw"]) == 0
+    assert sorted(os.listdir(f"{work}/named")) == ["events_raw", "per_step", "per_window"]
+    assert main(["check", "--root", f"{work}/named", "--stats-table", "per_step", "--raw-table", "events_raw"]) == 0
 
 
 def test_debug_console_query(spark, work):
