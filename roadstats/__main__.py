@@ -53,6 +53,7 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--output-files", type=int)
     s.add_argument("--trigger-seconds", type=float, help="processing-time trigger; default: as fast as possible")
     s.add_argument("--available-now", action="store_true", help="drain what is there, then stop")
+    s.add_argument("--timeout-seconds", type=float, help="stop all queries after this long (continuous mode)")
     s.add_argument("--state-ttl")
     s.add_argument("--rocksdb", action="store_true")
     s.add_argument("--debug", action="store_true", help="also print per-step stats to the console")
@@ -156,7 +157,7 @@ def main(argv: list[str] | None = None) -> int:
         if args.available_now:
             job.drain()
         else:
-            run_until_first_ends(spark, job)
+            run_until_first_ends(spark, job, timeout_seconds=args.timeout_seconds)
         return 0
     if args.cmd == "query":
         _query(spark, args).show(args.rows, truncate=False)

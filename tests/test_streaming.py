@@ -418,3 +418,14 @@ def test_run_ids_bound_to_checkpoints(spark, work):
     assert run_id_for(spark, f"{work}/ckpt-a") == first  # a restart keeps its run
     time.sleep(1.1)
     assert run_id_for(spark, f"{work}/ckpt-b") > first  # a fresh checkpoint is a newer run
+
+
+def test_cli_continuous_with_timeout(spark, work):
+    from roadstats.__main__ import main
+
+    _write_files(spark, f"{work}/msg", [[ev(1, "L", 1.0)], [ev(2, "L", 2.0)]])
+    t0 = time.time()
+    assert main(["stream", "--format", "parquet", "--path", f"{work}/msg", "--out", f"{work}/t", "--checkpoint",
+                 f"{work}/c", "--trigger-seconds", "0.5", "--timeout-seconds", "6", "--state-partitions", "2"]) == 0
+    assert 5 <= time.time() - t0 < 60
+    assert open_tables(spark, f"{work}/t")["raw"].count() == 2
