@@ -429,3 +429,16 @@ def test_cli_continuous_with_timeout(spark, work):
                  f"{work}/c", "--trigger-seconds", "0.5", "--timeout-seconds", "6", "--state-partitions", "2"]) == 0
     assert 5 <= time.time() - t0 < 60
     assert open_tables(spark, f"{work}/t")["raw"].count() == 2
+
+
+def test_compacting_every_table_keeps_reads(spark, work):
+    from roadstats.streaming.store import compact
+
+    events = load_events(spark, SF_SMALL)
+    replay_to_dir(events, f"{work}/msg", f"{work}/stage", chunks=4)
+    job = _run(spark, work, f"{work}/msg", state_partitions=2)
+    before = {k: _sorted(v) for k, v in open_tables(spark, job.out_root).items()}
+    for table in ("stats", "stats_windowed", "raw_data"):
+        assert compact(spark, job.out_root, table, include_latest=True) is not None
+    after = {k: _sorted(v) for k, v in open_tables(spark, job.out_root).items()}
+    assert after == before
