@@ -13,4 +13,5 @@ Batch and Structured Streaming share the same DataFrame operators:
 
 from roadstats.schemas import EVENT_SCHEMA, STATUS_LINKS  # noqa: F401
 
-__all__ = ["EVENT_SCHEMA", "STATUS_LINKS"]
+__version__ = "0.1.0"
+__all__ = ["EVENT_SCHEMA", "STATUS_LINKS", "__version__"]
