@@ -8,6 +8,8 @@ Variants (each run once per process and data folder, under the shared checkpoint
                   the latest-version read must not inflate ``samples``).
 * ``late``     -- the in-order replay followed by the first range again: the windowed query
                   drops the late rows (older than the watermark), the stats query counts them.
+* ``ttl``      -- the in-order replay with ``state_ttl`` on the stats query (bounded state);
+                  nothing is late in order, so stats equal the batch result.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from roadstats.streaming.job import start_streams
 from roadstats.streaming.store import compact, open_tables
 
 IN_ORDER_CHUNKS = 3
+STATE_TTL = "10 minutes"
 SPLIT_CHUNKS = 2
 _RUNS: dict[tuple[str, str], str] = {}
 
@@ -41,7 +44,7 @@ def streamed_tables(spark: SparkSession, sf: str, variant: str) -> dict[str, Dat
         # shuffle setting (stateful streams are not re-planned by AQE).
         parts = max(1, spark.sparkContext.defaultParallelism)
         replay = dict(files_per_chunk=parts)
-        if variant == "in_order":
+        if variant in ("in_order", "ttl"):
             replay_to_dir(events, messages, f"{work}/staging", chunks=IN_ORDER_CHUNKS, **replay)
         elif variant == "split":
             replay_to_dir(events, messages, f"{work}/staging", chunks=SPLIT_CHUNKS, split_steps=True, **replay)
@@ -52,7 +55,13 @@ def streamed_tables(spark: SparkSession, sf: str, variant: str) -> dict[str, Dat
             raise ValueError(f"unknown replay variant {variant!r}")
         source = StreamSource("parquet", messages, max_files_per_trigger=parts)
         start_streams(
-            spark, source, f"{work}/tables", f"{work}/checkpoints", trigger={"availableNow": True}, state_partitions=parts
+            spark,
+            source,
+            f"{work}/tables",
+            f"{work}/checkpoints",
+            trigger={"availableNow": True},
+            state_partitions=parts,
+            state_ttl=STATE_TTL if variant == "ttl" else None,
         ).drain()
         _RUNS[key] = f"{work}/tables"
     return open_tables(spark, _RUNS[key])
@@ -96,6 +105,7 @@ STREAM_QUERIES = {
     "stream_late_data": _windowed("late"),
     "stream_late_stats": _stats("late"),
     "stream_compacted_stats": _compacted_stats,
+    "stream_link_stats_ttl": _stats("ttl"),
 }
 
 _STATUS = "('trip_end', 'waiting_at_origin_node')"
@@ -121,6 +131,7 @@ def stream_sql(batch_sql: dict[str, str]) -> dict[str, str]:
         "stream_top_n": batch_sql["top_n_congested"],
         "stream_late_data": windowed_closed,
         "stream_compacted_stats": batch_sql["link_stats"],
+        "stream_link_stats_ttl": batch_sql["link_stats"],
         "stream_late_stats": o.with_(o.EV, _LATE_EV)
         + f"""SELECT t, link, count(*) AS vcount, {o.qcol('avg(v)', 'vspeed')}
 FROM ev_late WHERE link NOT IN {_STATUS} GROUP BY t, link""",
