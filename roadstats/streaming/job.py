@@ -211,36 +211,32 @@ def start_streams(
     if listener is not None:
         session.streams.addListener(listener)
     try:
-        _start_all(plans, names, queries, run_ids, session, out_root, checkpoint_root, name_prefix, output_files, trigger, debug)
+        for role, (df, mode) in plans.items():
+            table = names[role]
+            ckpt = f"{checkpoint_root}/{table}"
+            run_ids[role] = run_id_for(session, ckpt)
+            writer = (
+                df.writeStream.queryName(f"{name_prefix}{table}")
+                .outputMode(mode)
+                .option("checkpointLocation", ckpt)
+                .foreachBatch(
+                    batch_writer(f"{out_root}/{table}", run_ids[role], output_files=None if role == "raw" else output_files)
+                )
+            )
+            if trigger:
+                writer = writer.trigger(**trigger)
+            queries[role] = writer.start()
+        if debug:
+            console = (
+                plans["stats"][0].writeStream.queryName(f"{name_prefix}debug_console")
+                .outputMode("update")
+                .format("console")
+                .option("truncate", False)
+            )
+            queries["debug"] = (console.trigger(**trigger) if trigger else console).start()
     except Exception:
         for q in queries.values():  # do not leave half a job running
             if q.isActive:
                 q.stop()
         raise
     return StreamJob(queries=queries, out_root=out_root, checkpoint_root=checkpoint_root, run_ids=run_ids, session=session)
-
-
-def _start_all(plans, names, queries, run_ids, session, out_root, checkpoint_root, name_prefix, output_files, trigger, debug) -> None:
-    for role, (df, mode) in plans.items():
-        table = names[role]
-        ckpt = f"{checkpoint_root}/{table}"
-        run_ids[role] = run_id_for(session, ckpt)
-        writer = (
-            df.writeStream.queryName(f"{name_prefix}{table}")
-            .outputMode(mode)
-            .option("checkpointLocation", ckpt)
-            .foreachBatch(
-                batch_writer(f"{out_root}/{table}", run_ids[role], output_files=None if role == "raw" else output_files)
-            )
-        )
-        if trigger:
-            writer = writer.trigger(**trigger)
-        queries[role] = writer.start()
-    if debug:
-        console = (
-            plans["stats"][0].writeStream.queryName(f"{name_prefix}debug_console")
-            .outputMode("update")
-            .format("console")
-            .option("truncate", False)
-        )
-        queries["debug"] = (console.trigger(**trigger) if trigger else console).start()
