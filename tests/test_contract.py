@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import os
+import re
 
 import duckdb
 import pytest
@@ -104,3 +105,15 @@ def test_stored_tables_equal_batch_plans_and_are_written_once(spark):
     stored_tables(spark, SF_SMALL)
     assert set(_STORED.values()) == roots  # same input, no second write
     assert "InMemoryFileIndex" in stored.stats._jdf.queryExecution().executedPlan().toString()
+
+
+def test_read_keys_prune_columns(spark):
+    """Read keys scan only the stored columns they need (a guard on pruning)."""
+
+    def schemas(name):
+        spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+        plan = entry.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        return set(re.findall(r"ReadSchema: struct<([^>]*)>", plan))
+
+    assert schemas("latest_t") == {"t:double"}
+    assert schemas("avg_speed_per_link") == {"link:string,v_sum:double,v_count:bigint"}
