@@ -25,7 +25,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadstats.llm.words import mix, split_words
@@ -241,21 +241,37 @@ def digest(found: DataFrame) -> DataFrame:
     )
 
 
-def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = sf_dir.rstrip("/")
-    docs = spark.read.parquet(f"{root}/documents.parquet").select("doc_id", "text")
-    benchmark = spark.read.parquet(f"{root}/benchmark.parquet").select("item_id", "text")
-    return digest(find_benchmark(docs, benchmark))
+def has_benchmark(text: Column, spark: SparkSession, items: list, window: int = WINDOW) -> Column:
+    """Whether a text holds any window of the items."""
+    shared = spark.sparkContext.broadcast([vars(t) for t in build_index(items, window)])
+
+    @F.arrow_udf("boolean")
+    def run(column: pa.Array) -> pa.Array:
+        tables = [Table(**fields) for fields in shared.value]
+        return pa.array([bool(spans) for _, _, spans, _ in search_words(column, tables)], pa.bool_())
+
+    return run(text)
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``docs`` (all columns) whose text holds no benchmark window.
 
-    Rows keep their columns as they are; the verdict is computed beside them in the same pass.
-    Only for benchmarks of one block is the text kept out of a shuffle; with more, the
-    contaminated (doc_id, text) pairs are anti-joined.
+    A filter beside the scan, without a shuffle. Of a large benchmark four blocks are searched
+    at a time, the rows they leave being written to the shared folder.
     """
-    keyed = docs.withColumn("_key", F.xxhash64(F.col("text")))
-    found = find_benchmark(keyed.select(F.col("_key").alias("doc_id"), "text"), benchmark, window=window)
-    bad = found.where(F.size("spans") > 0).select(F.col("doc_id").alias("_key")).distinct()
-    return keyed.join(bad, "_key", "left_anti").select(*docs.columns)
+    spark = docs.sparkSession
+    kept, root = docs, None
+    for n, items in enumerate(item_blocks(benchmark, "item_id", "text", block_bytes)):
+        if n and n % 4 == 0:
+            root = root or new_work_dir(spark, "decontaminate")
+            kept.write.parquet(f"{root}/{n}")
+            kept = spark.read.parquet(f"{root}/{n}")
+        kept = kept.where(~has_benchmark(F.col("text"), spark, items, window))
+    return kept
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = sf_dir.rstrip("/")
+    docs = spark.read.parquet(f"{root}/documents.parquet").select("doc_id", "text")
+    benchmark = spark.read.parquet(f"{root}/benchmark.parquet").select("item_id", "text")
+    return digest(find_benchmark(docs, benchmark))

@@ -6,12 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from corpus_pipeline import run as pipeline
 from roadstats.llm.bpe import op4_bpe
 from roadstats.llm.decontaminate import op10_decontaminate
+from roadstats.llm.licenses import op5_licenses
+from roadstats.llm.quality import op1_quality
 from roadstats.llm.simhash import op3_simhash
+from roadstats.llm.syncmers import op2_syncmers
+from roadstats.llm.toxicity import op7_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
+    "op2_syncmers": op2_syncmers,
     "op3_simhash": op3_simhash,
     "op4_bpe": op4_bpe,
+    "op5_licenses": op5_licenses,
+    "op7_toxicity": op7_toxicity,
     "op10_decontaminate": op10_decontaminate,
+    "pipeline": pipeline,
 }
