@@ -11,9 +11,11 @@ from roadstats.llm.bpe import op4_bpe
 from roadstats.llm.decontaminate import op10_decontaminate
 from roadstats.llm.licenses import op5_licenses
 from roadstats.llm.quality import op1_quality
+from roadstats.llm.rollups import op8_token_counts
 from roadstats.llm.simhash import op3_simhash
 from roadstats.llm.syncmers import op2_syncmers
 from roadstats.llm.toxicity import op7_toxicity
+from roadstats.llm.urls import op6_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
@@ -21,7 +23,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op4_bpe": op4_bpe,
     "op5_licenses": op5_licenses,
+    "op6_urls": op6_urls,
     "op7_toxicity": op7_toxicity,
+    "op8_token_counts": op8_token_counts,
     "op10_decontaminate": op10_decontaminate,
     "pipeline": pipeline,
 }

@@ -1,3 +1,16 @@
 """DuckDB SQL for the contract queries that SQL can express."""
 
-ORACLE: dict[str, str] = {}
+_COUNT = "len(regexp_extract_all(coalesce(text, ''), '{}'))"
+_SPACE = _COUNT.format(r"[^\x20\x09-\x0D]+")
+_ALNUM = _COUNT.format(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+ORACLE: dict[str, str] = {
+    "op8_token_counts": f"""WITH d AS (
+  SELECT source, lang, quality, toxic, {_SPACE} AS space, {_ALNUM} AS alnum
+  FROM documents LEFT JOIN (SELECT doc_id, min(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id) USING (doc_id)
+  WHERE coalesce(quality, 1) <> 0)
+SELECT source, lang, tokenizer, count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_tokens FROM (
+  SELECT source, lang, CASE WHEN toxic = 1 THEN 'alnum-2' ELSE 'space-1' END AS tokenizer,
+         CASE WHEN toxic = 1 THEN alnum ELSE space END AS n FROM d)
+GROUP BY ALL""",
+}
