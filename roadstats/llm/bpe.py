@@ -19,6 +19,8 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import sys
+import types
 from collections.abc import Iterator
 from itertools import chain
 
@@ -75,12 +77,11 @@ class Bpe:
         self.merges = merges
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens") or ()}
         self.token_bytes |= {i: text.encode() for text, i in self.special.items()}
-        self.ids = list(range(max(self.token_bytes) + 1))  # one integer object an id
         self.words = regex.compile(PATTERN)
         longest = sorted(self.special, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, longest)) + ")") if longest else None
         self.cached = cached
-        self.cache: dict[str, tuple[int, ...]] = {}
+        self.cache: dict[str, bytes] = {}  # int32 ids of each unit
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of joining two adjacent parts (NO_RANK where there is no merge)."""
@@ -88,7 +89,7 @@ class Bpe:
         at = np.searchsorted(self.pairs, key)
         return np.where(self.pairs[at] == key, self.ranks[at], NO_RANK)
 
-    def _scan(self, words: list[bytes]) -> list[list[int]]:
+    def _scan(self, words: list[bytes]) -> list[bytes]:
         """Parts of short words: one row a word, all rows a step at a time.
 
         Row r holds the part ids between its boundaries, and beside them the ranks of adjacent
@@ -124,7 +125,8 @@ class Bpe:
             before = k > 0
             rank[n[before], k[before] - 1] = self._rank(part[n[before], k[before] - 1], part[n[before], k[before]])
             ids[row], ranks[row] = part, rank
-        return [r[:n] for r, n in zip(ids.tolist(), size.tolist())]
+        flat, stride = ids.tobytes(), 4 * width
+        return [flat[at : at + 4 * n] for at, n in zip(range(0, len(flat), stride), size.tolist())]
 
     def _heap(self, word: bytes) -> list[int]:
         """Parts of a long word: a heap of ranks over linked parts."""
@@ -151,29 +153,35 @@ class Bpe:
                 heapq.heappush(heap, (found[0], before[k]))
         return [i for i in ids if i >= 0]
 
-    def _words(self, words: set[str]) -> dict[str, list[int]]:
-        """Part ids of split words; rows of similar length share a table."""
-        out: dict[str, list[int]] = {}
-        widths: dict[int, list[str]] = {}
+    def _words(self, words: set[str]) -> dict[str, bytes]:
+        """Part ids (as int32 bytes) of split words; rows of similar length share a table."""
+        out: dict[str, bytes] = {}
+        widths: dict[int, tuple[list[str], list[bytes]]] = {}
         for word in words:
-            n = len(word.encode("utf-8"))
-            if n > SHORT_BYTES:
-                out[word] = self._heap(word.encode("utf-8"))
+            data = word.encode("utf-8")
+            if len(data) > SHORT_BYTES:
+                out[word] = np.array(self._heap(data), dtype=np.int32).tobytes()
             else:
-                widths.setdefault(max(4, (n + 3) // 4 * 4), []).append(word)
-        for same in widths.values():
+                same = widths.setdefault(max(4, (len(data) + 3) // 4 * 4), ([], []))
+                same[0].append(word)
+                same[1].append(data)
+        for same, data in widths.values():
             for lo in range(0, len(same), TABLE_ROWS):
-                part = same[lo : lo + TABLE_ROWS]
-                out.update(zip(part, self._scan([w.encode("utf-8") for w in part])))
+                out.update(zip(same[lo : lo + TABLE_ROWS], self._scan(data[lo : lo + TABLE_ROWS])))
         return out
 
     def _learn(self, units: set[str]) -> None:
         """Put the ids of new units into the cache."""
-        split = {unit: self.words.findall(unit) for unit in units}
-        words = self._words({w for ws in split.values() for w in ws})
-        shared = self.ids.__getitem__
-        for unit, ws in split.items():
-            self.cache[unit] = tuple(map(shared, chain.from_iterable(map(words.__getitem__, ws))))
+        whole, cut = [], {}
+        for unit in units:
+            if unit.isalpha() or (unit[:1] == " " and unit[1:].isalpha()):
+                whole.append(unit)  # a space and letters are one word
+            else:
+                cut[unit] = self.words.findall(unit)
+        words = self._words({*whole, *chain.from_iterable(cut.values())})
+        ids_of = words.__getitem__
+        self.cache.update(zip(whole, map(ids_of, whole)))
+        self.cache.update((unit, b"".join(map(ids_of, ws))) for unit, ws in cut.items())
 
     def _units(self, text: str) -> list[str]:
         """Cut before each space that a non-space follows: no split word crosses such a place."""
@@ -194,13 +202,8 @@ class Bpe:
             self._learn(new)
         ids_of, out = cache.__getitem__, []
         for of in parts:
-            ids: list[int] = []
-            for units in of:
-                if isinstance(units, int):
-                    ids.append(units)
-                else:
-                    ids.extend(chain.from_iterable(map(ids_of, units)))
-            out.append(ids)
+            joined = [np.int32(u).tobytes() if isinstance(u, int) else b"".join(map(ids_of, u)) for u in of]
+            out.append(np.frombuffer(b"".join(joined), dtype=np.int32).tolist())
         # The cache is emptied when it is full and never keeps long units beyond this call.
         for unit in new:
             if len(unit) > SHORT_BYTES:
@@ -227,10 +230,15 @@ def _read_vocabulary(path: str) -> str:
 
 def _each_batch(spark: SparkSession, vocabulary: str):
     """A function that gives a task its encoder; the file's text travels as one broadcast."""
-    shared = spark.sparkContext.broadcast(_read_vocabulary(vocabulary))
+    content = _read_vocabulary(vocabulary)
+    shared, key = spark.sparkContext.broadcast(content), hashlib.sha256(content.encode()).hexdigest()
 
     def encoder() -> Bpe:
-        return Bpe(shared.value)
+        # Spark reuses its Python workers: the next task finds the encoder and its cache here.
+        held = sys.modules.setdefault("_bpe_encoders", types.ModuleType("_bpe_encoders")).__dict__
+        if key not in held:
+            held[key] = Bpe(shared.value)
+        return held[key]
 
     return encoder
 
@@ -293,7 +301,7 @@ def round_trip(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_co
         for batch in batches:
             if bpe is None:
                 bpe = encoder()
-                decimal = [str(i) for i in bpe.ids]
+                decimal = [str(i) for i in range(max(bpe.token_bytes) + 1)]
             for part in pieces(batch):
                 n, hashed, decoded = [], [], []
                 for ids in bpe.encode_all([t or "" for t in part.column(1).to_pylist()]):

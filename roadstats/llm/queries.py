@@ -15,6 +15,7 @@ from roadstats.llm.rollups import op8_token_counts
 from roadstats.llm.simhash import op3_simhash
 from roadstats.llm.syncmers import op2_syncmers
 from roadstats.llm.toxicity import op7_toxicity
+from roadstats.llm.transcripts import op9_transcripts
 from roadstats.llm.urls import op6_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -26,6 +27,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_urls": op6_urls,
     "op7_toxicity": op7_toxicity,
     "op8_token_counts": op8_token_counts,
+    "op9_transcripts": op9_transcripts,
     "op10_decontaminate": op10_decontaminate,
     "pipeline": pipeline,
 }
