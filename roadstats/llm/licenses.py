@@ -3,9 +3,11 @@
 Text blocks are joined with license templates on word sets: a block matches a template if it
 holds at least ``CONTAINMENT`` of the template's distinct words. The join is exact:
 
-* Blocks are runs of ``BLOCK`` words of one line that begin every ``STEP`` words, so any
-  ``BLOCK - STEP`` consecutive words of a line lie whole in some block.
-* Words are ordered by how many blocks hold them (rarest first, over the whole table). A
+* Blocks are runs of ``BLOCK`` words that begin every ``STEP`` words of a text, so any
+  ``BLOCK - STEP`` consecutive words lie whole in some block. Function words say nothing and are
+  not among a template's words.
+* Words are ordered by how many blocks with enough of them hold each (rarest first, over the
+  whole table). A
   template of n words that needs a = ceil(n x CONTAINMENT) of them cannot match a block that
   lacks all of its first n - a + 1 words: only these prefix words are indexed.
 * Length filter: the block holds at least a of the template vocabulary's words.
@@ -40,6 +42,7 @@ PHRASES = {
     "general public license": "gpl",
     "all rights reserved": "reserved",
 }
+FUNCTION_WORDS = frozenset("a an and any are be by for in is may not of or that the this to under with without".split())
 #: Notices by label; a block with most of a notice's words carries it.
 TEMPLATES = {
     "agpl-3.0": "gnu affero general public license",
@@ -59,30 +62,37 @@ TEMPLATES = {
 CONTAINMENT = 0.85
 BLOCK, STEP = 32, 16
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def words_of(text: Column) -> Column:
-    """Lower-cased (A-Z) words: digits, letters and other non-ASCII characters."""
-    split = F.split(F.translate(text, _UPPER, _LOWER), SEPARATORS)
-    return F.filter(split, lambda w: w != "")
+def template_words(text: str) -> list[str]:
+    return sorted(set(text.split(" ")) - FUNCTION_WORDS)
 
 
-def phrase_places(words: Column, phrases: list[str]) -> Column:
+def lowered(text: Column) -> Column:
+    """Lower case that changes no other word into an ASCII one: the Kelvin sign, the only other
+    character that lower-cases to an ASCII letter alone, is put out of the way."""
+    return F.lower(F.replace(text, F.lit("\u212a"), F.lit("\u0138")))
+
+
+def pieces_of(low: Column) -> Column:
+    """Words (digits, letters and other non-ASCII characters) of a lower-cased text; an empty
+    piece stands before a leading and after a trailing separator."""
+    return F.split(low, SEPARATORS)
+
+
+def phrase_places(low: Column, pieces: Column, phrases: list[str]) -> Column:
     """Where a phrase's words stand consecutively: array<struct<phrase, at>>."""
     parts = [p.split(" ") for p in phrases]
+    lead = (pieces[0] == "").cast("int")
 
     def starts(n: int, part: list[str]) -> Column:
-        here = lambda i: _all([words[i + j] == w for j, w in enumerate(part)])
-        found = F.filter(_span(F.size(words) - len(part)), here)
-        return F.transform(found, lambda i: F.struct(F.lit(n).alias("phrase"), i.alias("at")))
+        here = lambda i: _all([pieces[i + j] == w for j, w in enumerate(part)])
+        found = F.filter(_span(F.size(pieces) - len(part)), here)
+        return F.transform(found, lambda i: F.struct(F.lit(n).alias("phrase"), (i - lead).alias("at")))
 
-    return F.concat(*[
-        F.when(F.arrays_overlap(words, F.array(F.lit(part[0]))), starts(n, part)).otherwise(
-            F.array().cast("array<struct<phrase:int,at:int>>")
-        )
-        for n, part in enumerate(parts)
-    ])
+    none = F.array().cast("array<struct<phrase:int,at:int>>")
+    # Words are only compared in texts that contain each of the phrase's words.
+    return F.concat(*[F.when(_all([low.contains(w) for w in part]), starts(n, part)).otherwise(none) for n, part in enumerate(parts)])
 
 
 def _all(tests: list[Column]) -> Column:
@@ -92,50 +102,56 @@ def _all(tests: list[Column]) -> Column:
     return out
 
 
-def blocks_of(text: Column, vocabulary: list[str]) -> Column:
-    """Each block's words of the vocabulary, distinct: array<array<string>>, blocks without any
-    left out."""
+def blocks_of(pieces: Column, vocabulary: list[str], least: int) -> Column:
+    """Each block's words of the vocabulary, distinct: array<array<string>>, blocks with fewer
+    than ``least`` of them left out (the length filter of every template)."""
     known = F.array(*map(F.lit, vocabulary))
-    lines = F.split(text, r"\n")
+    last = F.floor((F.greatest(F.size(pieces) - (BLOCK - STEP), F.lit(1)) - 1) / STEP).cast("int")
+    cut = F.transform(F.sequence(F.lit(0), last), lambda b: F.array_intersect(F.slice(pieces, b * STEP + 1, BLOCK), known))
+    some = F.size(F.array_intersect(pieces, known)) >= least
+    return F.when(some, F.filter(cut, lambda b: F.size(b) >= least)).otherwise(F.array().cast("array<array<string>>"))
 
-    def line(words: Column) -> Column:
-        first = _span(F.floor((F.greatest(F.size(words) - (BLOCK - STEP), F.lit(1)) - 1) / STEP).cast("int"))
-        cut = F.transform(first, lambda b: F.array_intersect(F.slice(words, b * STEP + 1, BLOCK), known))
-        return F.when(F.size(words) <= BLOCK, F.array(F.array_intersect(words, known))).otherwise(cut)
 
-    return F.filter(F.flatten(F.transform(lines, lambda x: _let(words_of(x), line))), lambda b: F.size(b) > 0)
+def needed(size: int, containment: float) -> int:
+    """Words that a block must share with a template of ``size`` words."""
+    return math.ceil(size * containment - 1e-9)
 
 
-def scan(docs: DataFrame, id_col: str, text_col: str, vocabulary: list[str], phrases: list[str]) -> DataFrame:
+def scan(docs: DataFrame, id_col: str, text_col: str, vocabulary: list[str], least: int, phrases: list[str]) -> DataFrame:
     """The narrow table: doc_id, text_key, n_words, places and blocks of every row."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
-    facts = _let(words_of(F.col("text")), lambda w: F.struct(F.size(w).cast("bigint").alias("n_words"), phrase_places(w, phrases).alias("places")))
-    return rows.select("doc_id", "text_key", facts.alias("facts"), blocks_of(F.col("text"), vocabulary).alias("blocks")).select(
-        "doc_id", "text_key", "facts.n_words", "facts.places", "blocks"
-    )
+
+    def facts(low: Column, pieces: Column) -> Column:
+        edges = (pieces[0] == "").cast("int") + ((F.element_at(pieces, -1) == "") & (F.size(pieces) > 1)).cast("int")
+        return F.struct(
+            (F.size(pieces) - edges).cast("bigint").alias("n_words"),
+            phrase_places(low, pieces, phrases).alias("places"),
+            blocks_of(pieces, vocabulary, least).alias("blocks"),
+        )
+
+    found = _let(lowered(F.col("text")), lambda low: _let(pieces_of(low), lambda pieces: facts(low, pieces)))
+    return rows.select("doc_id", "text_key", found.alias("facts")).select("doc_id", "text_key", "facts.*")
 
 
 def join_templates(scanned: DataFrame, templates: dict[str, str], containment: float) -> DataFrame:
     """(doc_id, text_key, label, contained): the best block of each label of each text."""
     spark = scanned.sparkSession
-    words = sorted({w for t in templates.values() for w in t.split(" ")})
+    words = sorted({w for t in templates.values() for w in template_words(t)})
     each = scanned.select("doc_id", "text_key", F.posexplode("blocks").alias("block", "words"))
     # Global order: rarest word first. The template vocabulary bounds this table.
     counted = each.select(F.explode("words").alias("word")).groupBy("word").count()
     frequency = {r["word"]: r["count"] for r in counted.collect()}
     rank = {w: n for n, w in enumerate(sorted(words, key=lambda w: (frequency.get(w, 0), w)))}
-    index, sets = [], {}
+    index = []
     for label, text in templates.items():
-        ordered = sorted({rank[w] for w in text.split(" ")})
-        need = math.ceil(len(ordered) * containment - 1e-9)
-        sets[label] = ordered
+        ordered = sorted(rank[w] for w in template_words(text))
+        need = needed(len(ordered), containment)
         index += [(word, label, place, len(ordered), need, ordered) for place, word in enumerate(ordered[: len(ordered) - need + 1])]
     prefixes = spark.createDataFrame(index, "word int, label string, place int, size int, need int, template array<int>")
     ranks = F.create_map(*[F.lit(x) for w, n in rank.items() for x in (w, n)])
     ordered = F.array_sort(F.transform("words", lambda w: ranks[w]))
-    least = min(row[4] for row in index)
-    blocks = each.select("doc_id", "text_key", "block", ordered.alias("block_words")).where(F.size("block_words") >= least)
+    blocks = each.select("doc_id", "text_key", "block", ordered.alias("block_words"))
     tokens = blocks.select("*", F.posexplode("block_words").alias("at", "word"))
     candidates = tokens.join(F.broadcast(prefixes), "word")
     candidates = candidates.where(
@@ -161,8 +177,9 @@ def find_licenses(
     (array<struct<label, contained>>)."""
     spark = docs.sparkSession
     root = new_work_dir(spark, "licenses")
-    vocabulary = sorted({w for t in templates.values() for w in t.split(" ")})
-    scan(docs, id_col, text_col, vocabulary, list(phrases)).write.parquet(root)
+    sets = [template_words(t) for t in templates.values()]
+    least = min(needed(len(words), containment) for words in sets)
+    scan(docs, id_col, text_col, sorted({w for words in sets for w in words}), least, list(phrases)).write.parquet(root)
     scanned = spark.read.parquet(root)
     found = join_templates(scanned, templates, containment)
     by_text = found.groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_list(F.struct("label", "contained"))).alias("found"))

@@ -37,7 +37,7 @@ HASH_BITS = 39
 #: Text that one range of ids holds, about, and the most ranges.
 RANGE_BYTES = 1 << 20
 MAX_RANGES = 1 << 16
-SYMBOL = r"[぀-ヿ㐀-䶿一-鿿가-힯]|[^\s぀-ヿ㐀-䶿一-鿿가-힯]+"
+CJK = r"([぀-ヿ㐀-䶿一-鿿가-힯])"
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -77,7 +77,8 @@ def anchors(text: Column, k: int = K, s: int = S) -> Column:
             .otherwise(_let(runs, lambda r: of_runs(words, r)))
         )
 
-    symbols = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(SYMBOL), F.lit(0))
+    spaced = F.regexp_replace(F.coalesce(text, F.lit("")), CJK, " $1 ")
+    symbols = F.array_remove(F.split(spaced, r"\s+"), "")
     return _let(F.transform(symbols, lambda w: F.xxhash64(w)), of_words)
 
 
@@ -88,7 +89,7 @@ def _hash(anchor: Column) -> Column:
 def sketch(found: Column, size: int = SIZE) -> Column:
     """The ``size`` anchors of smallest hash, in hash order, each hash once."""
     once = lambda ordered: F.filter(ordered, lambda a, i: (i == 0) | (_hash(a) != _hash(ordered[F.greatest(i - 1, F.lit(0))])))
-    return F.slice(_let(F.array_sort(found), once), 1, size)
+    return F.slice(_let(F.sort_array(found), once), 1, size)
 
 
 def as_text(fingerprint: Column) -> Column:
@@ -102,7 +103,7 @@ def likeness(a: Column, b: Column, size: int = SIZE) -> Column:
     hashes = lambda f: F.transform(f, _hash)
 
     def of(x: Column, y: Column) -> Column:
-        least = F.slice(F.array_sort(F.array_union(x, y)), 1, size)
+        least = F.slice(F.sort_array(F.array_union(x, y)), 1, size)
         shared = F.array_intersect(least, F.array_intersect(x, y))
         return F.when(F.size(least) == 0, F.lit(1.0)).otherwise(2 * F.size(shared) / (F.size(least) + F.size(shared)))
 
