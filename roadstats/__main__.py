@@ -9,6 +9,7 @@
 from __future__ import annotations
 
 import argparse
+import logging
 import sys
 
 from roadstats.schemas import (
@@ -55,7 +56,7 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--available-now", action="store_true", help="drain what is there, then stop")
     s.add_argument("--timeout-seconds", type=float, help="stop all queries after this long (continuous mode)")
     s.add_argument("--state-ttl")
-    s.add_argument("--rocksdb", action="store_true")
+    s.add_argument("--memory-state", action="store_true", help="keep state on the heap instead of in RocksDB")
     s.add_argument("--debug", action="store_true", help="also print per-step stats to the console")
     _table_names(s)
 
@@ -73,6 +74,8 @@ def _parser() -> argparse.ArgumentParser:
     q.add_argument("--table", default="stats", choices=["raw", "stats", "windowed"])
     q.add_argument("--ascending", action="store_true")
     q.add_argument("--rows", type=int, default=50, help="rows to print")
+    q.add_argument("--out", help="write the whole result to this folder instead of printing")
+    q.add_argument("--out-format", default="parquet", choices=["parquet", "json", "csv", "orc"])
     _table_names(q)
 
     c = sub.add_parser("check", help="raw and stats row counts against minimums (exit 1 on failure)")
@@ -83,8 +86,10 @@ def _parser() -> argparse.ArgumentParser:
 
     k = sub.add_parser("compact", help="fold a table's batch folders into a snapshot")
     k.add_argument("--root", required=True)
-    k.add_argument("--table", default="stats", choices=["stats", "stats_windowed", "raw_data"])
+    k.add_argument("--table", default=STATS_TABLE, help="the table's name; give --role for a renamed one")
+    k.add_argument("--role", choices=["raw", "stats", "windowed"])
     k.add_argument("--include-latest", action="store_true")
+    k.add_argument("--retain-seconds", type=float, help="delete folded batches and replaced segments older than this")
     return p
 
 
@@ -133,7 +138,9 @@ def main(argv: list[str] | None = None) -> int:
     spark = get_session()
     if args.cmd == "stream":
         from roadstats.sources.stream import StreamSource
-        from roadstats.streaming.job import run_until_first_ends, start_streams
+        from roadstats.streaming.job import BatchLogger, run_until_first_ends, start_streams
+
+        logging.basicConfig(level=logging.INFO, format="%(asctime)s %(message)s")
 
         if args.format == "kafka":
             if not args.bootstrap_servers:
@@ -150,8 +157,8 @@ def main(argv: list[str] | None = None) -> int:
         job = start_streams(
             spark, source, args.out or f"{root}/tables", args.checkpoint or f"{root}/streams",
             window_seconds=args.window_seconds, watermark=args.watermark, state_partitions=args.state_partitions,
-            trigger=trigger, state_ttl=args.state_ttl, rocksdb=args.rocksdb, debug=args.debug,
-            output_files=args.output_files,
+            trigger=trigger, state_ttl=args.state_ttl, rocksdb=not args.memory_state, debug=args.debug,
+            output_files=args.output_files, listener=BatchLogger(),
             tables={"raw": args.raw_table, "stats": args.stats_table, "windowed": args.windowed_table},
         )
         if args.available_now:
@@ -160,7 +167,11 @@ def main(argv: list[str] | None = None) -> int:
             run_until_first_ends(spark, job, timeout_seconds=args.timeout_seconds)
         return 0
     if args.cmd == "query":
-        _query(spark, args).show(args.rows, truncate=False)
+        result = _query(spark, args)
+        if args.out:
+            result.write.format(args.out_format).save(args.out)
+        else:
+            result.show(args.rows, truncate=False)
         return 0
     if args.cmd == "check":
         from roadstats.operators.queries import volume_checks
@@ -173,7 +184,9 @@ def main(argv: list[str] | None = None) -> int:
     if args.cmd == "compact":
         from roadstats.streaming.store import compact
 
-        print(compact(spark, args.root, args.table, include_latest=args.include_latest))
+        print(compact(
+            spark, args.root, args.table, include_latest=args.include_latest, role=args.role, retain_seconds=args.retain_seconds
+        ))
         return 0
     return 2
 

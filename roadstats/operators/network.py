@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadstats.functions.columns import line_width, speed_color, speed_ratio
-from roadstats.operators.queries import latest_t, link_state_at
+from roadstats.operators.queries import latest_per_link, link_state_at
 from roadstats.schemas import FREE_FLOW_SPEED, MAP_STATE_TOLERANCE
 from roadstats.sources.network import links_df, nodes_df
 
@@ -140,7 +140,7 @@ def network_state_at(
     """Every network link with its state at ``t`` and the map encoding.
 
     ``link, start, end, x0, y0, x1, y1, has_data, vcount, vspeed, t, ratio, color, width``.
-    ``t=None`` means the latest step (a scalar subquery). The state is ``link_state_at`` with
+    ``t=None`` means the latest step (a scalar subquery; NaN times are left out). The state is ``link_state_at`` with
     the map's tolerance; links without state keep ``has_data = false`` (grey, width 2); state
     for links the network lacks is dropped. ``vmax`` (peak ``vcount`` over the whole state,
     unknown links included) is a scalar subquery, so there is no join to compute it.
@@ -149,16 +149,16 @@ def network_state_at(
         raise ValueError(f"tolerance must be non-negative, got {tolerance}")
     segs = segments if segments is not None else link_segments(spark)
     if t is None:
-        t_col = latest_t(stats).scalar()
-        lo = t_col - F.lit(float(tolerance))
-        state = (
-            stats.where((F.col("t") >= lo) & (F.col("t") <= t_col))
-            .groupBy("link")
-            .agg(F.max_by("vcount", "t").alias("vcount"), F.max_by("vspeed", "t").alias("vspeed"), F.max("t").alias("t"))
-        )
+        # Nothing but NaN lies above the latest step, so one bound is enough; with the
+        # subtraction inside the subquery it reaches the scan as a pushed filter.
+        number = F.when(~F.isnan("t"), F.col("t"))
+        lo = stats.agg((F.max(number) - F.lit(float(tolerance))).alias("lo")).scalar()
+        state = latest_per_link(stats.where((F.col("t") >= lo) & ~F.isnan("t")))
     else:
         state = link_state_at(stats, t, tolerance)
-    vmax = state.agg(F.max("vcount").alias("vmax")).scalar()
+    # The peak is read from the same aggregate (all its columns), whose exchange is reused.
+    peak = state.agg(F.max(F.struct("vcount", "vspeed", "t")).alias("peak"))
+    vmax = peak.select(F.col("peak.vcount").alias("vmax")).scalar()
     # Every segment is kept, so the segments are the streamed (preserved) side and the state
     # the build side. State has one row per observed link but no static bound, so no hint:
     # AQE sees its runtime size after the aggregate and broadcasts it when it is small,

@@ -6,6 +6,9 @@ aggregation (shuffle on ``link`` only carries one partial row per link and parti
 top-n reports end in ``orderBy().limit(n)``, which Spark plans as a per-partition top-k
 (``TakeOrderedAndProject``) instead of a global sort.
 
+NaN (a JSON ``NaN`` the parser accepts) stands between NULL and the numbers: descending sorts
+put it after them, a maximum ignores it unless nothing else is there, a minimum shows it.
+
 Ties are broken deterministically: ``link`` ascending is always the last sort key, and the
 time of a peak is the earliest step that reached it.
 """
@@ -17,6 +20,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roadstats.functions.columns import max_number, min_number, ordered
 from roadstats.schemas import DEFAULT_STATE_TOLERANCE, RAW_TABLE, STATS_TABLE, VOLUME_DETAIL_FORMAT, WINDOWED_TABLE
 
 
@@ -28,11 +32,11 @@ def _positive(n: int, name: str = "n") -> int:
 
 def avg_speed_per_link(stats: DataFrame, ascending: bool = False) -> DataFrame:
     """``link, avg_speed, samples``: mean ``vspeed`` and number of (t, link) rows per link."""
-    speed = F.col("avg_speed").asc_nulls_first() if ascending else F.col("avg_speed").desc_nulls_last()
+    speed = ordered("avg_speed", descending=not ascending)
     return (
         stats.groupBy("link")
         .agg(F.avg("vspeed").alias("avg_speed"), F.count(F.lit(1)).alias("samples"))
-        .orderBy(speed, F.col("link").asc_nulls_first())
+        .orderBy(*speed, F.col("link").asc_nulls_first())
     )
 
 
@@ -60,9 +64,9 @@ def max_speed_delta(stats: DataFrame, n: int = 5) -> DataFrame:
     n = _positive(n)
     return (
         stats.groupBy("link")
-        .agg(F.max("vspeed").alias("max_speed"), F.min("vspeed").alias("min_speed"))
+        .agg(max_number("vspeed").alias("max_speed"), min_number("vspeed").alias("min_speed"))
         .withColumn("delta", F.col("max_speed") - F.col("min_speed"))
-        .orderBy(F.col("delta").desc_nulls_last(), F.col("link").asc_nulls_first())
+        .orderBy(*ordered("delta", descending=True), F.col("link").asc_nulls_first())
         .limit(n)
     )
 
@@ -77,14 +81,13 @@ def link_state_at(stats: DataFrame, t: float, tolerance: float = DEFAULT_STATE_T
         raise ValueError(f"tolerance must be non-negative, got {tolerance}")
     t = float(t)
     lo = t - float(tolerance)
-    return (
-        stats.where((F.col("t") >= F.lit(lo)) & (F.col("t") <= F.lit(t)))
-        .groupBy("link")
-        .agg(
-            F.max_by("vcount", "t").alias("vcount"),
-            F.max_by("vspeed", "t").alias("vspeed"),
-            F.max("t").alias("t"),
-        )
+    return latest_per_link(stats.where((F.col("t") >= F.lit(lo)) & (F.col("t") <= F.lit(t))))
+
+
+def latest_per_link(stats: DataFrame) -> DataFrame:
+    """``link, vcount, vspeed, t`` of each link's row with the largest ``t``."""
+    return stats.groupBy("link").agg(
+        F.max_by("vcount", "t").alias("vcount"), F.max_by("vspeed", "t").alias("vspeed"), F.max("t").alias("t")
     )
 
 
@@ -92,11 +95,11 @@ def _summary_aggs() -> list[Column]:
     return [
         F.count(F.lit(1)).alias("samples"),
         F.avg("vspeed").alias("avg_speed"),
-        F.min("vspeed").alias("min_speed"),
-        F.max("vspeed").alias("max_speed"),
+        min_number("vspeed").alias("min_speed"),
+        max_number("vspeed").alias("max_speed"),
         F.max("vcount").alias("peak_vcount"),
-        F.min("t").alias("first_t"),
-        F.max("t").alias("last_t"),
+        min_number("t").alias("first_t"),
+        max_number("t").alias("last_t"),
     ]
 
 
@@ -115,7 +118,7 @@ def link_summary_all(stats: DataFrame) -> DataFrame:
 
 def link_series(stats: DataFrame, link_id: str) -> DataFrame:
     """``t, vcount, vspeed`` of one link by ascending ``t``."""
-    return stats.where(F.col("link") == F.lit(link_id)).select("t", "vcount", "vspeed").orderBy(F.col("t").asc_nulls_first())
+    return stats.where(F.col("link") == F.lit(link_id)).select("t", "vcount", "vspeed").orderBy(*ordered("t"))
 
 
 def windowed_series(windowed: DataFrame, link_id: str) -> DataFrame:
@@ -149,8 +152,8 @@ def link_history(stats: DataFrame, windowed: DataFrame, link_id: str, source: st
 
 
 def latest_t(stats: DataFrame) -> DataFrame:
-    """One row ``latest_t``: the largest ``t``, NULL for an empty table."""
-    return stats.agg(F.max("t").alias("latest_t"))
+    """One row ``latest_t``: the largest ``t`` (NaN only if there is no number), NULL for an empty table."""
+    return stats.agg(max_number("t").alias("latest_t"))
 
 
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -181,8 +184,8 @@ def overview(raw: DataFrame, stats: DataFrame) -> DataFrame:
     raw_part = raw.agg(F.count(F.lit(1)).alias("raw_rows")).select(
         "raw_rows", F.lit(None).cast("double").alias("current_t"), F.lit(None).cast("long").alias("active_links")
     )
-    per_link = stats.groupBy("link").agg(F.max("t").alias("t_max"))
-    stats_part = per_link.agg(F.max("t_max").alias("current_t"), F.count(F.lit(1)).alias("active_links")).select(
+    per_link = stats.groupBy("link").agg(max_number("t").alias("t_max"))
+    stats_part = per_link.agg(max_number("t_max").alias("current_t"), F.count(F.lit(1)).alias("active_links")).select(
         F.lit(None).cast("long").alias("raw_rows"), "current_t", "active_links"
     )
     return raw_part.unionByName(stats_part).agg(
@@ -211,8 +214,9 @@ def latest_n(df: DataFrame, n: int = 5, sort_field: str = "t", tie_keys: list[st
     """
     n = _positive(n)
     keys = tie_keys if tie_keys is not None else [c for c in df.columns if c != sort_field]
-    order = [F.col(sort_field).desc_nulls_last()] + [F.col(k).asc_nulls_first() for k in keys]
-    return df.orderBy(*order).limit(n)
+    floats = {f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")}
+    order = ordered(sort_field, descending=True, floating=sort_field in floats)
+    return df.orderBy(*order, *[F.col(k).asc_nulls_first() for k in keys]).limit(n)
 
 
 def sample_row(df: DataFrame) -> DataFrame:

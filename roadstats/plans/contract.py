@@ -21,7 +21,7 @@ from roadstats.plans import oracle as o
 from roadstats.plans.streamed import STREAM_QUERIES, stream_sql
 from roadstats.plans.tables import stored_tables
 from roadstats.plans.views import rounded, stats_view, windowed_view
-from roadstats.schemas import EVENT_COLUMNS
+from roadstats.schemas import EVENT_COLUMNS, EVENT_SCHEMA
 from roadstats.sources.codec import encode_events, parse_events
 from roadstats.sources.events import events_from_table, load_events
 
@@ -44,10 +44,45 @@ def _parse_events(spark: SparkSession, sf: str) -> DataFrame:
 
 def _encode_events(spark: SparkSession, sf: str) -> DataFrame:
     # Read the encoded JSON back by field extraction (independent of from_json); json_tuple
-    # parses each message once for all four fields.
+    # parses each message once for all fields.
     msg = encode_events(load_events(spark, sf)).select(F.col("value").cast("string").alias("j"))
-    fields = msg.select(F.json_tuple("j", "name", "t", "link", "v").alias("name", "t", "link", "v"))
-    return fields.select("name", F.col("t").cast("double").alias("t"), "link", F.col("v").cast("double").alias("v"))
+    fields = msg.select(F.json_tuple("j", *EVENT_COLUMNS).alias(*EVENT_COLUMNS))
+    return fields.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in EVENT_SCHEMA.fields])
+
+
+def odd_times(events: DataFrame) -> DataFrame:
+    """Events whose time is spoilt by event type: view -> NaN, click -> 1e15 (no event time)."""
+    t = F.when(F.col("event_type") == "view", F.lit(float("nan"))).when(F.col("event_type") == "click", F.lit(1e15)).otherwise(F.col("t"))
+    return events.withColumn("t", t).drop("event_type")
+
+
+def _windowed_odd_times(spark: SparkSession, sf: str) -> DataFrame:
+    raw = spark.read.parquet(f"{sf.rstrip('/')}/events.parquet").select("ts", "user_id", "event_type", "value", "props")
+    return windowed_view(windowed_stats(odd_times(events_from_table(raw, keep=["event_type"]))))
+
+
+def _nan_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """``stats`` with NaN as speed where the count divides by 7 and as time where it does by 11."""
+    nan, n = F.lit(float("nan")), F.col("vcount")
+    stats = stored_tables(spark, sf).stats
+    return stats.withColumn("vspeed", F.when(n % 7 == 0, nan).otherwise(F.col("vspeed"))).withColumn("t", F.when(n % 11 == 0, nan).otherwise(F.col("t")))
+
+
+def _nan_summary(spark: SparkSession, sf: str) -> DataFrame:
+    rows = q.link_summary_all(_nan_stats(spark, sf)).crossJoin(F.broadcast(q.latest_t(_nan_stats(spark, sf))))  # one row
+    return rounded(rows, *_SUMMARY_FLOATS)
+
+
+def _nan_speed_delta(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(q.max_speed_delta(_nan_stats(spark, sf), TOP_N), "max_speed", "min_speed", "delta")
+
+
+def _link_detail(spark: SparkSession, sf: str) -> DataFrame:
+    """The detail view of one link as rows: its series, each row beside the summary."""
+    detail = q.link_detail(stored_tables(spark, sf).stats, LINK_ID)
+    series = rounded(detail["series"], "vspeed").withColumn("link", F.lit(detail["link"]))
+    summary = rounded(detail["summary"], *_SUMMARY_FLOATS).withColumn("link", F.lit(detail["link"]))
+    return series.join(summary, "link")
 
 
 def malformed_messages(events: DataFrame) -> DataFrame:
@@ -176,7 +211,13 @@ def _latest_n_raw(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _sample_row(spark: SparkSession, sf: str) -> DataFrame:
-    return stats_view(q.sample_row(stored_tables(spark, sf).stats))
+    # Which row it is, is free: there is one, and it is a row of the table.
+    stats = stored_tables(spark, sf).stats
+    row = q.sample_row(stats).select(*[F.col(c).alias(f"_{c}") for c in stats.columns])
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in stats.columns]
+    found = stats.join(F.broadcast(row), same[0] & same[1] & same[2] & same[3])
+    one = q.sample_row(stats).agg(F.count(F.lit(1)).alias("n_rows"))
+    return one.crossJoin(F.broadcast(found.agg((F.count(F.lit(1)) > 0).alias("in_stats"))))  # one row each
 
 
 def _link_segments(spark: SparkSession, sf: str) -> DataFrame:
@@ -220,6 +261,10 @@ BATCH: dict[str, Query] = {
     "latest_n_windowed": _latest_n_windowed,
     "latest_n_raw": _latest_n_raw,
     "sample_row": _sample_row,
+    "link_detail": _link_detail,
+    "nan_link_summary": _nan_summary,
+    "nan_speed_delta": _nan_speed_delta,
+    "windowed_odd_times": _windowed_odd_times,
     "link_segments": _link_segments,
     "network_checks": _network_checks,
     "network_state_at": _network_state_at,
@@ -234,11 +279,13 @@ _ALL = o.with_(o.EV, o.STATS, o.win(30))
 _STATUS = "('trip_end', 'waiting_at_origin_node')"
 _SUMMARY_SQL = f"""link, count(*) AS samples, {o.qcol('avg(vspeed)', 'avg_speed')}, {o.qcol('min(vspeed)', 'min_speed')},
   {o.qcol('max(vspeed)', 'max_speed')}, max(vcount) AS peak_vcount, min(t) AS first_t, max(t) AS last_t"""
+_ODD = """SELECT link, vcount, CASE WHEN vcount % 11 = 0 THEN CAST('NaN' AS DOUBLE) ELSE t END AS t,
+  CASE WHEN vcount % 7 = 0 THEN CAST('NaN' AS DOUBLE) ELSE vspeed END AS vspeed FROM stats_t"""
 _WIN_COLS = "window_start, window_end, link, vcount, vspeed_avg, vspeed_min, vspeed_max"
 
 BATCH_SQL: dict[str, str] = {
     "parse_events": _EV + f"SELECT {o.EV_COLS} FROM ev",
-    "encode_events": _EV + "SELECT name, t, link, v FROM ev",
+    "encode_events": _EV + f"SELECT {o.EV_COLS} FROM ev",
     "parse_malformed": _EV + """SELECT
   CASE WHEN event_type IN ('signup', 'error') THEN NULL ELSE name END AS name,
   CASE WHEN event_type IN ('signup', 'error', 'click') THEN NULL ELSE dn END AS dn,
@@ -290,6 +337,31 @@ ORDER BY window_end DESC NULLS LAST, link ASC NULLS FIRST LIMIT {LATEST_N}""",
     "latest_n_raw": _EV + f"""SELECT {o.EV_COLS} FROM ev
 ORDER BY t DESC NULLS LAST, name ASC NULLS FIRST, dn ASC NULLS FIRST, orig ASC NULLS FIRST, dest ASC NULLS FIRST,
          link ASC NULLS FIRST, x ASC NULLS FIRST, s ASC NULLS FIRST, v ASC NULLS FIRST LIMIT {LATEST_N}""",
+    "sample_row": _ST + "SELECT CAST(1 AS BIGINT) AS n_rows, true AS in_stats FROM (SELECT count(*) FROM stats_t)",
+    "link_detail": _ST + f"""SELECT t, vcount, {o.qcol('vspeed', 'vspeed')}, s.* FROM stats_t JOIN (
+  SELECT {_SUMMARY_SQL} FROM stats_t WHERE link = '{LINK_ID}' GROUP BY link) s USING (link)""".replace("t, vcount,", "stats_t.t, stats_t.vcount,", 1),
+    "nan_link_summary": _ST + f""", odd AS ({_ODD}), numbers AS (
+  SELECT link, count(*) AS samples, avg(vspeed) AS avg_speed, min(vspeed) AS least_speed,
+         max(vspeed) FILTER (NOT isnan(vspeed)) AS most_speed, bool_or(isnan(vspeed)) AS odd_speed, max(vcount) AS peak_vcount,
+         min(t) AS least_t, max(t) FILTER (NOT isnan(t)) AS most_t, bool_or(isnan(t)) AS odd_t
+  FROM odd GROUP BY link)
+SELECT link, samples, {o.qcol('avg_speed', 'avg_speed')},
+       {o.qcol("CASE WHEN odd_speed THEN CAST('NaN' AS DOUBLE) ELSE least_speed END", 'min_speed')},
+       {o.qcol("coalesce(most_speed, CASE WHEN odd_speed THEN CAST('NaN' AS DOUBLE) END)", 'max_speed')}, peak_vcount,
+       CASE WHEN odd_t THEN CAST('NaN' AS DOUBLE) ELSE least_t END AS first_t,
+       coalesce(most_t, CASE WHEN odd_t THEN CAST('NaN' AS DOUBLE) END) AS last_t,
+       (SELECT max(t) FROM odd WHERE NOT isnan(t)) AS latest_t
+FROM numbers""",
+    "nan_speed_delta": _ST + f""", odd AS ({_ODD}), numbers AS (
+  SELECT link, max(vspeed) FILTER (NOT isnan(vspeed)) AS most, min(vspeed) AS least, bool_or(isnan(vspeed)) AS odd_speed
+  FROM odd GROUP BY link), spread AS (
+  SELECT link, coalesce(most, CASE WHEN odd_speed THEN CAST('NaN' AS DOUBLE) END) AS max_speed,
+         CASE WHEN odd_speed THEN CAST('NaN' AS DOUBLE) ELSE least END AS min_speed FROM numbers)
+SELECT link, {o.qcol('max_speed', 'max_speed')}, {o.qcol('min_speed', 'min_speed')}, {o.qcol('max_speed - min_speed', 'delta')} FROM spread
+ORDER BY CASE WHEN max_speed - min_speed IS NULL THEN 0 WHEN isnan(max_speed - min_speed) THEN 1 ELSE 2 END DESC,
+         max_speed - min_speed DESC, link ASC NULLS FIRST LIMIT {TOP_N}""",
+    "windowed_odd_times": o.with_(o.EV, "ev_odd AS (SELECT * FROM ev WHERE event_type NOT IN ('view', 'click'))", o.win(30).replace("FROM ev", "FROM ev_odd"))
+    + f"SELECT {_WIN_COLS} FROM win_t",
     "link_segments": o.with_(o.EV, o.STATS, o.NODES_SQL, o.LINKS_SQL, o.SEGS)
     + """SELECT link, start, "end", x0, y0, x1, y1, seq FROM segs_t
 WHERE link IN (SELECT link FROM stats_t WHERE link IS NOT NULL)""",

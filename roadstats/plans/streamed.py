@@ -8,6 +8,9 @@ Variants (each run once per process and data folder, under the shared checkpoint
                   the latest-version read must not inflate ``samples``).
 * ``late``     -- the in-order replay followed by the first range again: the windowed query
                   drops the late rows (older than the watermark), the stats query counts them.
+* ``compact``  -- the split replay into tables of its own, which are then compacted.
+* ``two_runs`` -- two jobs with a checkpoint each write the same tables; the older one resumes
+                  after the tables were compacted. The raw table equals the events.
 * ``ttl``      -- the in-order replay with ``state_ttl`` on the stats query (bounded state);
                   nothing is late in order, so stats equal the batch result.
 """
@@ -15,14 +18,16 @@ Variants (each run once per process and data folder, under the shared checkpoint
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from roadstats.operators import queries as q
 from roadstats.plans import oracle as o
+from roadstats.plans.tables import fingerprint
 from roadstats.plans.views import rounded, stats_view, windowed_view
 from roadstats.session import new_work_dir
 from roadstats.sources.events import load_events
 from roadstats.sources.stream import StreamSource, replay_to_dir
-from roadstats.schemas import STATS_TABLE
+from roadstats.schemas import RAW_TABLE, STATS_TABLE
 from roadstats.streaming.job import start_streams
 from roadstats.streaming.store import compact, open_tables
 
@@ -34,7 +39,8 @@ _MESSAGES: dict[tuple[str, str], str] = {}
 
 
 def streamed_tables(spark: SparkSession, sf: str, variant: str) -> dict[str, DataFrame]:
-    key = (sf.rstrip("/"), variant)
+    stamp = fingerprint(spark, f"{sf.rstrip('/')}/events.parquet")
+    key = (stamp, variant)
     if key not in _RUNS:
         work = new_work_dir(spark, f"stream-{variant}")
         events = load_events(spark, sf)
@@ -45,11 +51,14 @@ def streamed_tables(spark: SparkSession, sf: str, variant: str) -> dict[str, Dat
         # shuffle setting (stateful streams are not re-planned by AQE).
         parts = max(1, spark.sparkContext.defaultParallelism)
         replay = dict(files_per_chunk=parts)
-        if variant == "ttl" and (key[0], "in_order") in _MESSAGES:
-            messages = _MESSAGES[(key[0], "in_order")]  # the same in-order replay, already written
+        same = {"ttl": "in_order", "compact": "split"}.get(variant)
+        if (stamp, same) in _MESSAGES:
+            messages = _MESSAGES[(stamp, same)]  # the same replay, already written
+        elif variant == "two_runs":
+            pass  # writes its messages between the runs
         elif variant in ("in_order", "ttl"):
             replay_to_dir(events, messages, f"{work}/staging", chunks=IN_ORDER_CHUNKS, **replay)
-        elif variant == "split":
+        elif variant in ("split", "compact"):
             replay_to_dir(events, messages, f"{work}/staging", chunks=SPLIT_CHUNKS, split_steps=True, **replay)
         elif variant == "late":
             ranges = replay_to_dir(events, messages, f"{work}/staging", chunks=IN_ORDER_CHUNKS, **replay)
@@ -57,15 +66,33 @@ def streamed_tables(spark: SparkSession, sf: str, variant: str) -> dict[str, Dat
         else:
             raise ValueError(f"unknown replay variant {variant!r}")
         source = StreamSource("parquet", messages, max_files_per_trigger=parts)
-        start_streams(
-            spark,
-            source,
-            f"{work}/tables",
-            f"{work}/checkpoints",
-            trigger={"availableNow": True},
-            state_partitions=parts,
-            state_ttl=STATE_TTL if variant == "ttl" else None,
-        ).drain()
+        tables = f"{work}/tables"
+
+        def job(checkpoint: str, reads: StreamSource = source) -> None:
+            start_streams(
+                spark,
+                reads,
+                tables,
+                f"{work}/{checkpoint}",
+                trigger={"availableNow": True},
+                state_partitions=parts,
+                state_ttl=STATE_TTL if variant == "ttl" else None,
+            ).drain()
+
+        if variant == "two_runs":
+            # Two checkpoints, one set of tables: a third of the rows by the first run, a third by
+            # a newer one, a compaction, and the last third by the first run, resumed.
+            third = lambda k: events.where(F.pmod(F.xxhash64(*events.columns), F.lit(3)) == k)
+            first, second = (StreamSource("parquet", f"{work}/messages-{n}", max_files_per_trigger=parts) for n in ("first", "second"))
+            for k, reads, checkpoint in ((0, first, "first"), (1, second, "second"), (2, first, "first")):
+                if k == 2:
+                    compact(spark, tables, RAW_TABLE, include_latest=True)
+                replay_to_dir(third(k), reads.path, f"{work}/staging-{k}", chunks=1, **replay)
+                job(checkpoint, reads)
+        else:
+            job("checkpoints")
+        if variant == "compact":
+            compact(spark, tables, STATS_TABLE, include_latest=True)
         _RUNS[key] = f"{work}/tables"
         _MESSAGES[key] = messages
     return open_tables(spark, _RUNS[key])
@@ -83,14 +110,6 @@ def _windowed(variant: str):
     return lambda spark, sf: windowed_view(streamed_tables(spark, sf, variant)["windowed"])
 
 
-def _compacted_stats(spark: SparkSession, sf: str) -> DataFrame:
-    """Streamed ``stats`` read back through a compacted snapshot (the run has drained)."""
-    streamed_tables(spark, sf, "split")
-    root = _RUNS[(sf.rstrip("/"), "split")]
-    compact(spark, root, STATS_TABLE, include_latest=True)
-    return stats_view(open_tables(spark, root)["stats"])
-
-
 def _avg_speed(variant: str):
     return lambda spark, sf: rounded(q.avg_speed_per_link(streamed_tables(spark, sf, variant)["stats"]), "avg_speed")
 
@@ -108,7 +127,8 @@ STREAM_QUERIES = {
     "stream_top_n": _top_n("split"),
     "stream_late_data": _windowed("late"),
     "stream_late_stats": _stats("late"),
-    "stream_compacted_stats": _compacted_stats,
+    "stream_compacted_stats": _stats("compact"),
+    "stream_two_runs": _raw("two_runs"),
     "stream_link_stats_ttl": _stats("ttl"),
 }
 
@@ -128,6 +148,7 @@ def stream_sql(batch_sql: dict[str, str]) -> dict[str, str]:
     windowed_closed = o.with_(o.EV, o.win(30)) + f"SELECT {_WIN_COLS} FROM win_t {_CLOSED}"
     return {
         "stream_raw": batch_sql["parse_events"],
+        "stream_two_runs": batch_sql["parse_events"],
         "stream_link_stats": batch_sql["link_stats"],
         "stream_windowed_stats": windowed_closed,
         "stream_link_stats_split": batch_sql["link_stats"],

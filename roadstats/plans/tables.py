@@ -20,7 +20,7 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 
 from roadstats.operators.stats import link_partials, link_stats, stats_from_partials, windowed_from_partials, windowed_stats
 from roadstats.schemas import WINDOWED_SCHEMA, WINDOWED_TABLE
-from roadstats.session import new_work_dir, path_exists
+from roadstats.session import folder_stamp, new_work_dir, path_exists
 from roadstats.streaming.store import time_local
 from roadstats.sources.events import load_events
 
@@ -37,17 +37,9 @@ def batch_tables(spark: SparkSession, sf_dir: str, window_seconds: int = 30) ->
     return Tables(raw=raw, stats=link_stats(raw), windowed=windowed_stats(raw, window_seconds=window_seconds))
 
 
-def _fingerprint(spark: SparkSession, path: str) -> str:
-    """Names, sizes and modification times of the files under ``path`` (a listing, no data read)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    files = fs.listFiles(hpath, True)
-    parts = []
-    while files.hasNext():
-        f = files.next()
-        parts.append(f"{f.getPath()}|{f.getLen()}|{f.getModificationTime()}")
-    return hashlib.sha256("\n".join(sorted(parts)).encode()).hexdigest()[:16]
+def fingerprint(spark: SparkSession, path: str) -> str:
+    """Changes when the files under ``path`` do (a summary of the folder, no loop over files)."""
+    return hashlib.sha256(folder_stamp(spark, path).encode()).hexdigest()[:16]
 
 
 _STORED: dict[tuple[str, int], str] = {}
@@ -76,7 +68,7 @@ def stored_tables(spark: SparkSession, sf_dir: str, window_seconds: int = 30) ->
     adapted ``events``.
     """
     events_path = f"{sf_dir.rstrip('/')}/events.parquet"
-    key = (_fingerprint(spark, events_path), int(window_seconds))
+    key = (fingerprint(spark, events_path), int(window_seconds))
     root = _STORED.get(key)
     if root is None or not path_exists(spark, f"{root}/{WINDOWED_TABLE}/_SUCCESS"):
         root = new_work_dir(spark, f"tables-{key[0]}-{key[1]}s")

@@ -52,9 +52,10 @@ _LOCAL_ROOTS: dict[str, str] = {}
 def shared_root(spark: SparkSession) -> str:
     """The cluster-wide shared folder for lineage cuts, stream checkpoints and sink output.
 
-    Read from ``spark.checkpoint.dir`` (session or context conf). Only when the session has
-    none (a local test run) is a fresh local folder created, registered with
-    ``SparkContext.setCheckpointDir`` and reused for the life of the application.
+    Read from ``spark.checkpoint.dir`` (session or context conf). Only a ``local`` master (a
+    test run) without one gets a fresh local folder, registered with
+    ``SparkContext.setCheckpointDir`` and reused for the life of the application. On any other
+    master executors would each write to their own disk, so a missing setting is an error.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
@@ -62,6 +63,8 @@ def shared_root(spark: SparkSession) -> str:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(root)
         return root.rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {sc.master} share")
     app = sc.applicationId
     if app not in _LOCAL_ROOTS:
         local = tempfile.mkdtemp(prefix="roadstats-ckpt-")
@@ -102,6 +105,25 @@ def list_dir(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in fs.listStatus(hpath)]
 
 
+def folder_stamp(spark: SparkSession, path: str) -> str:
+    """Length, number of files and modification time of ``path`` (two calls, no loop over files)."""
+    fs, hpath = _fs(spark, path)
+    summary, status = fs.getContentSummary(hpath), fs.getFileStatus(hpath)
+    return f"{status.getPath()}|{summary.getLength()}|{summary.getFileCount()}|{status.getModificationTime()}"
+
+
+def modified_at(spark: SparkSession, path: str) -> float:
+    """Modification time of ``path`` in epoch seconds."""
+    fs, hpath = _fs(spark, path)
+    return fs.getFileStatus(hpath).getModificationTime() / 1000.0
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete ``path`` and what is below it."""
+    fs, hpath = _fs(spark, path)
+    fs.delete(hpath, True)
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
@@ -122,11 +144,21 @@ def read_small_text(spark: SparkSession, path: str) -> str | None:
 
 
 def write_small_text(spark: SparkSession, path: str, text: str) -> bool:
-    """Create a small UTF-8 file unless it exists; returns False when it already existed."""
+    """Create a small UTF-8 file unless it exists; returns False when it already existed.
+
+    The file system decides between two creators (create without overwrite).
+    """
+    from py4j.protocol import Py4JJavaError
+
     fs, hpath = _fs(spark, path)
     if fs.exists(hpath):
         return False
-    out = fs.create(hpath, False)
+    try:
+        out = fs.create(hpath, False)
+    except Py4JJavaError as error:
+        if "AlreadyExists" in str(error.java_exception.getClass().getName()):
+            return False
+        raise
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:

@@ -83,7 +83,7 @@ class StreamSource:
 def _time_bounds() -> list:
     """min/max of the staged time, NaN excluded (Spark orders NaN above every number)."""
     t = F.when(~F.isnan("_t"), F.col("_t"))
-    return [F.min(t).alias("lo"), F.max(t).alias("hi")]
+    return [F.min(t).alias("lo"), F.max(t).alias("hi"), F.count(F.lit(1)).alias("n")]
 
 
 def replay_to_dir(
@@ -99,12 +99,14 @@ def replay_to_dir(
     whole: bool = True,
     restage: bool = True,
     pause_seconds: float = 0.0,
+    rows_per_range: int = 50_000_000,
 ) -> list[tuple[float, float]]:
     """Write ``events`` as messages into ``path`` in time order, one write job per time range.
 
-    The encoded events are staged once (one scan of the source), then each of ``chunks``
-    equal-width ranges of ``time_col`` is appended by its own job, so file modification times
-    follow simulation time and a file stream reads the steps in order (pace it with
+    The encoded events are staged once (one scan of the source), range-partitioned and sorted
+    by time, so that each range's job reads only its part of the staging. Then each of ``chunks``
+    equal-width ranges of ``time_col`` (more, if a range would average over ``rows_per_range``
+    rows) is appended by its own job, so file modification times follow simulation time and a file stream reads the steps in order (pace it with
     ``max_files_per_trigger``). ``split_steps`` writes each range in two halves chosen by a
     row hash, so every step is spread over two jobs, i.e. two micro-batches. Every row is
     written exactly once. Returns the ranges used (``[lo, hi)``, the last one closed).
@@ -130,7 +132,8 @@ def replay_to_dir(
         from pyspark.sql import Observation
 
         seen = Observation()
-        encoded.observe(seen, *_time_bounds()).write.mode("overwrite").parquet(staging)
+        ordered = encoded.observe(seen, *_time_bounds()).repartitionByRange("_t").sortWithinPartitions("_t")
+        ordered.write.mode("overwrite").parquet(staging)
         bounds = seen.get
     staged = spark.read.parquet(staging)
     if ranges is None:
@@ -139,6 +142,7 @@ def replay_to_dir(
         lo, hi = bounds.get("lo"), bounds.get("hi")
         if lo is None:
             return []
+        chunks = max(chunks, -(-int(bounds["n"]) // rows_per_range))
         width = (hi - lo) / chunks if hi > lo else 1.0
         ranges = [(lo + i * width, lo + (i + 1) * width) for i in range(chunks)]
     timeless = staged.where(F.col("_t").isNull() | F.isnan("_t"))

@@ -11,6 +11,8 @@ stateful streaming), so they are a parameter here.
 
 from __future__ import annotations
 
+import time
+from collections import deque
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -18,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from roadstats.functions.columns import event_time
 from roadstats.operators.stats import link_stats, status_filter, windowed_stats
 from roadstats.schemas import (
     DEFAULT_WATERMARK,
@@ -45,7 +48,7 @@ def link_stats_with_ttl(events: DataFrame, ttl: str, status_links: Iterable[str]
     than the watermark are dropped in this mode, and rows without an event time are dropped
     up front (their group could never be evicted).
     """
-    shifted = F.timestamp_seconds(F.col("t").try_cast("long") + F.lit(TTL_TIME_SHIFT_SECONDS))
+    shifted = F.timestamp_seconds(F.unix_seconds(event_time("t")) + F.lit(TTL_TIME_SHIFT_SECONDS))
     timed = status_filter(events, status_links).withColumn("event_ts", shifted).where(F.col("event_ts").isNotNull())
     return (
         timed.withWatermark("event_ts", ttl)
@@ -62,11 +65,12 @@ class BatchLogger(StreamingQueryListener):
     action (which would run the micro-batch twice).
     """
 
-    def __init__(self, logger_name: str = "roadstats.streaming") -> None:
+    def __init__(self, logger_name: str = "roadstats.streaming", remembered: int = 1000) -> None:
         import logging
 
         self.log = logging.getLogger(logger_name)
-        self.batches: list[tuple[str, int, int]] = []
+        #: The last batches, ``remembered`` at most: (query, batch id, rows).
+        self.batches: deque[tuple[str, int, int]] = deque(maxlen=remembered)
         self.started: set[str] = set()
         self.terminated: set[str] = set()
 
@@ -98,15 +102,31 @@ class StreamJob:
     checkpoint_root: str
     run_ids: dict[str, int]
     session: SparkSession | None = None  # the session the queries run in (see start_streams)
+    listener: StreamingQueryListener | None = None
 
     def drain(self) -> "StreamJob":
-        drain(self.queries.values())
+        """Wait for ``availableNow`` queries, whose listener then has heard all it will."""
+        try:
+            drain(self.queries.values())
+        finally:
+            self._forget_listener()
         return self
 
     def stop(self) -> None:
         for q in self.queries.values():
             if q.isActive:
                 q.stop()
+        self._forget_listener()
+
+    def _forget_listener(self, wait_seconds: float = 5.0) -> None:
+        """Unregister the listener once it has heard of every query's end."""
+        if self.listener is None or self.session is None:
+            return
+        ids, until = {str(q.id) for q in self.queries.values()}, time.monotonic() + wait_seconds
+        while not ids <= getattr(self.listener, "terminated", ids) and time.monotonic() < until:
+            time.sleep(0.05)
+        self.session.streams.removeListener(self.listener)
+        self.listener = None
 
 
 def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: float | None = None, poll_seconds: float = 0.5) -> None:
@@ -115,8 +135,6 @@ def run_until_first_ends(spark: SparkSession, job: StreamJob, timeout_seconds: f
     Polls this job's own queries (``awaitAnyTermination`` would also return for queries that
     ended earlier in the session). A failed query re-raises its error here.
     """
-    import time
-
     deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
     try:
         while deadline is None or time.monotonic() < deadline:
@@ -161,7 +179,7 @@ def start_streams(
     trigger: dict | None = None,
     tables: dict[str, str] | None = None,
     state_ttl: str | None = None,
-    rocksdb: bool = False,
+    rocksdb: bool = True,
     debug: bool = False,
     name_prefix: str = "",
     output_files: int | None = None,
@@ -175,7 +193,9 @@ def start_streams(
     the caller's session is left as it was; ``StreamJob.session`` is that session. Wait with
     ``StreamJob.drain()`` or ``run_until_first_ends``. ``output_files`` bounds the
     files per micro-batch of the two aggregate tables (default: one per state partition).
-    ``listener`` (e.g. ``BatchLogger()``) is registered on the session before the queries start.
+    ``listener`` (e.g. ``BatchLogger()``) is registered on the session before the queries start,
+    and unregistered when they have ended. State lives off-heap in RocksDB unless ``rocksdb`` is
+    False (the in-memory provider, for small state).
     """
     names = {"raw": RAW_TABLE, "stats": STATS_TABLE, "windowed": WINDOWED_TABLE, **(tables or {})}
     out_root, checkpoint_root = out_root.rstrip("/"), checkpoint_root.rstrip("/")
@@ -214,7 +234,7 @@ def start_streams(
         for role, (df, mode) in plans.items():
             table = names[role]
             ckpt = f"{checkpoint_root}/{table}"
-            run_ids[role] = run_id_for(session, ckpt)
+            run_ids[role] = run_id_for(session, ckpt, f"{out_root}/{table}")
             writer = (
                 df.writeStream.queryName(f"{name_prefix}{table}")
                 .outputMode(mode)
@@ -232,11 +252,14 @@ def start_streams(
                 .outputMode("update")
                 .format("console")
                 .option("truncate", False)
+                .option("checkpointLocation", f"{checkpoint_root}/debug")
             )
             queries["debug"] = (console.trigger(**trigger) if trigger else console).start()
     except Exception:
         for q in queries.values():  # do not leave half a job running
             if q.isActive:
                 q.stop()
+        if listener is not None:
+            session.streams.removeListener(listener)
         raise
-    return StreamJob(queries=queries, out_root=out_root, checkpoint_root=checkpoint_root, run_ids=run_ids, session=session)
+    return StreamJob(queries, out_root, checkpoint_root, run_ids, session, listener)

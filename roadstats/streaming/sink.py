@@ -4,12 +4,13 @@ Each micro-batch is written to its own directory ``{table}/run_id=R/batch_id=N``
 ``mode("overwrite")``: when Spark re-runs batch N after a failure (offsets and state come
 back from the checkpoint), the retry replaces the first attempt instead of appending a
 second copy. One write per batch, no extra ``count()`` action, so the micro-batch plan
-(source read, parse, stateful aggregate) runs once.
+(source read, parse, stateful aggregate) runs once. Rows are counted during the write, and a
+batch that had none leaves no folder. Readers take only folders whose write committed.
 
 ``run_id`` orders runs: batch ids restart at 0 with a new checkpoint, so the run id is
 fixed when a checkpoint is first used and stored next to it; a restart from the same
-checkpoint reuses it, a fresh run gets a larger one. Readers resolve keyed tables to the
-row of the largest ``(run_id, batch_id)``.
+checkpoint reuses it, a fresh run reserves a larger one at its table. Readers resolve keyed
+tables to the row of the largest ``(run_id, batch_id)``.
 """
 
 from __future__ import annotations
@@ -17,26 +18,43 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from roadstats.session import read_small_text, write_small_text
+from roadstats.session import delete_path, list_dir, read_small_text, write_small_text
 
 RUN_MARKER = "_roadstats_run"
-# version = run_id * 2**32 + batch_id fits a signed 64-bit long for run ids in seconds.
-BATCH_BITS = 32
+RUNS_SUFFIX = "__runs"
 
 
-def run_id_for(spark: SparkSession, checkpoint: str) -> int:
-    """The run id bound to ``checkpoint`` (created on first use: epoch seconds).
+def _numbers(names: list[str], prefix: str) -> list[int]:
+    return [int(n[len(prefix):]) for n in names if n.startswith(prefix) and n[len(prefix):].isdigit()]
+
+
+def reserve_run_id(spark: SparkSession, table_path: str) -> int:
+    """A run id larger than every one used or reserved at the table before.
+
+    A reservation is a file created only if it is absent, so two starters never share an id,
+    whatever their clocks say. The first id of a table is the epoch second.
+    """
+    base = table_path.rstrip("/")
+    used = _numbers(list_dir(spark, base), "run_id=") + _numbers(list_dir(spark, base + RUNS_SUFFIX), "")
+    run_id = max([int(time.time()) - 1, *used]) + 1
+    while not write_small_text(spark, f"{base}{RUNS_SUFFIX}/{run_id}", ""):
+        run_id += 1
+    return run_id
+
+
+def run_id_for(spark: SparkSession, checkpoint: str, table_path: str) -> int:
+    """The run id bound to ``checkpoint``, reserved at the table on first use.
 
     Stored as a one-line file next to the checkpoint's own files, written with create-if-absent
-    so two starters cannot both win. Fresh runs of one table (new checkpoints) must start at
-    least a second apart to get distinct, increasing run ids.
+    so two starters cannot both win.
     """
     marker = f"{checkpoint.rstrip('/')}/{RUN_MARKER}"
     text = read_small_text(spark, marker)
-    if text is None:
-        write_small_text(spark, marker, str(int(time.time())))
+    if not text:
+        write_small_text(spark, marker, str(reserve_run_id(spark, table_path)))
         text = read_small_text(spark, marker)
     return int(str(text).strip())
 
@@ -63,10 +81,15 @@ def batch_writer(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        out = batch.repartition(int(output_files)) if output_files else batch
+        seen = Observation()
+        out = batch.observe(seen, F.count(F.lit(1)).alias("n"))
+        out = out.repartition(int(output_files)) if output_files else out
         cols = [c for c in (sort_within or ()) if c in batch.columns]
         if cols:
             out = out.sortWithinPartitions(*cols)
-        out.write.mode("overwrite").format(fmt).save(batch_path(table_path, run_id, batch_id))
+        path = batch_path(table_path, run_id, batch_id)
+        out.write.mode("overwrite").format(fmt).save(path)
+        if not seen.get.get("n"):
+            delete_path(batch.sparkSession, path)
 
     return write

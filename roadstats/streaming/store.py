@@ -1,14 +1,23 @@
-"""Reading the sink tables back: latest version per key, and compaction.
+"""Reading the sink tables back: committed batches, latest version per key, and compaction.
 
 ``stats`` is written in update mode, so a key ``(t, link)`` whose step spans several
 micro-batches has one row per batch; the stored table is the newest version of each key.
-The resolve is one hash aggregate per key (``max_by`` over a 64-bit version), with
-map-side partial aggregation, so a hot key never gathers in one task.
+The resolve is one hash aggregate per key (``max_by`` over the version), with map-side
+partial aggregation, so a hot key never gathers in one task.
+
+Compaction adds segments: each call folds only the batches that came after the ones folded
+before, and commits by creating the next manifest, which lists the segments in use and, for each
+run, the last batch they hold. A run that resumes later is judged by its own bound, so none
+of its batches is ever taken for folded.
 """
 
 from __future__ import annotations
 
+import json
+import time
+import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,8 +33,16 @@ from roadstats.schemas import (
     WINDOWED_SCHEMA,
     WINDOWED_TABLE,
 )
-from roadstats.session import list_dir, path_exists
-from roadstats.streaming.sink import BATCH_BITS
+from roadstats.session import delete_path, list_dir, modified_at, path_exists, read_small_text, write_small_text
+
+SNAPSHOT_SUFFIX = "__snapshot"
+#: Segments a table may have before a compaction merges them into one.
+MAX_SEGMENTS = 8
+ROLES = {
+    "raw": (RAW_TABLE, EVENT_SCHEMA, None),
+    "stats": (STATS_TABLE, STATS_SCHEMA, STATS_KEYS),
+    "windowed": (WINDOWED_TABLE, WINDOWED_SCHEMA, WINDOWED_KEYS),
+}
 
 
 def time_local(df: DataFrame, time_col: str, files: int | None = None) -> DataFrame:
@@ -44,84 +61,104 @@ def _with_batch_cols(schema: StructType) -> StructType:
     return StructType(list(schema.fields) + [StructField("run_id", LongType()), StructField("batch_id", LongType())])
 
 
-SNAPSHOT_SUFFIX = "__snapshot"
-_BATCH_MASK = (1 << BATCH_BITS) - 1
+def _version() -> Column:
+    return F.struct("run_id", "batch_id")
 
 
-def _version() -> Column:
-    return F.shiftleft(F.col("run_id"), BATCH_BITS) + F.col("batch_id")
+@dataclass
+class Manifest:
+    """Segments in use and, by run, the last batch they hold."""
 
+    number: int = -1
+    segments: list[str] = field(default_factory=list)
+    bounds: dict[int, int] = field(default_factory=dict)
 
-def latest_snapshot(spark: SparkSession, path: str) -> tuple[str, int] | None:
-    """``(folder, version)`` of the newest complete snapshot of the table at ``path``.
 
-    Only snapshots whose write job committed (``_SUCCESS`` present) count, so a compaction that
-    died half way is ignored and the batches it would have folded are still read.
-    """
+def read_manifest(spark: SparkSession, path: str) -> Manifest:
+    """The newest manifest of the table at ``path`` (an empty one before the first compaction)."""
     base = path.rstrip("/") + SNAPSHOT_SUFFIX
-    versions = sorted((int(n[2:]) for n in list_dir(spark, base) if n.startswith("v=") and n[2:].isdigit()), reverse=True)
-    for v in versions:
-        folder = f"{base}/v={v}"
-        if path_exists(spark, f"{folder}/_SUCCESS"):
-            return folder, v
-    return None
-
+    for number in sorted((int(n) for n in list_dir(spark, f"{base}/manifests") if n.isdigit()), reverse=True):
+        try:
+            found = json.loads(read_small_text(spark, f"{base}/manifests/{number}") or "")
+        except ValueError:
+            continue  # a compaction that died while it created the file: the one before holds
+        return Manifest(number, found["segments"], {int(r): int(b) for r, b in found["bounds"].items()})
+    return Manifest()
+
+
+def committed_batches(spark: SparkSession, path: str, after: dict[int, int] | None = None) -> list[tuple[int, int]]:
+    """``(run_id, batch_id)`` of the batch folders whose write committed, in order; only those
+    after the run's bound in ``after``."""
+    found = []
+    for run in list_dir(spark, path):
+        if not run.startswith("run_id="):
+            continue
+        run_id = int(run[len("run_id="):])
+        for batch in list_dir(spark, f"{path}/{run}"):
+            if not batch.startswith("batch_id="):
+                continue
+            batch_id = int(batch[len("batch_id="):])
+            if batch_id > (after or {}).get(run_id, -1) and path_exists(spark, f"{path}/{run}/{batch}/_SUCCESS"):
+                found.append((run_id, batch_id))
+    return sorted(found)
+
+
+def _read_batches(spark: SparkSession, path: str, schema: StructType, batches: list[tuple[int, int]], fmt: str) -> DataFrame:
+    full = _with_batch_cols(schema)
+    paths = [f"{path}/run_id={r}/batch_id={b}" for r, b in batches]
+    return spark.read.schema(full).format(fmt).option("basePath", path).load(paths).select(*full.names)
 
-def _after(version: int) -> Column:
-    """Partition filter: batches with a larger ``(run_id, batch_id)`` than ``version``."""
-    run, batch = version >> BATCH_BITS, version & _BATCH_MASK
-    return (F.col("run_id") > F.lit(run)) | ((F.col("run_id") == F.lit(run)) & (F.col("batch_id") > F.lit(batch)))
 
+def _read_segments(spark: SparkSession, path: str, schema: StructType, segments: list[str]) -> DataFrame:
+    full = _with_batch_cols(schema)
+    return spark.read.schema(full).parquet(*[f"{path}{SNAPSHOT_SUFFIX}/{s}" for s in segments]).select(*full.names)
 
-def read_log(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet") -> DataFrame | None:
-    """Every stored row of a sink table with its ``run_id`` and ``batch_id``.
 
-    That is the newest committed snapshot plus the batch folders newer than it (older folders
-    are pruned by a partition filter at planning time). None when the table does not exist.
+def read_log(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", runs: Sequence[int] | None = None) -> DataFrame | None:
+    """Stored rows of a sink table with their ``run_id`` and ``batch_id``: the segments of the
+    newest manifest plus the committed batches after its bounds. With ``runs``, only theirs.
+    None when there is nothing.
     """
-    full = _with_batch_cols(schema)
-    has_batches = path_exists(spark, path)
-    snapshot = latest_snapshot(spark, path)
+    path = path.rstrip("/")
+    manifest = read_manifest(spark, path)
+    batches = committed_batches(spark, path, manifest.bounds)
     parts = []
-    if has_batches:
-        log = spark.read.schema(full).format(fmt).load(path)
-        parts.append((log.where(_after(snapshot[1])) if snapshot else log).select(*full.names))
-    if snapshot is not None:
-        parts.append(spark.read.schema(full).parquet(snapshot[0]).select(*full.names))
+    if manifest.segments:
+        parts.append(_read_segments(spark, path, schema, manifest.segments))
+    if runs is not None:
+        batches = [b for b in batches if b[0] in runs]
+        parts = [p.where(F.col("run_id").isin(list(runs))) for p in parts]
+    if batches:
+        parts.append(_read_batches(spark, path, schema, batches, fmt))
     if not parts:
         return None
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
-def read_table(
-    spark: SparkSession,
-    path: str,
-    schema: StructType,
-    keys: Sequence[str] | None = None,
-    fmt: str = "parquet",
-    keep_version: bool = False,
-) -> DataFrame:
+def _newest(log: DataFrame, schema: StructType, keys: Sequence[str]) -> DataFrame:
+    """The newest row of each key, with its ``run_id`` and ``batch_id``."""
+    values = [c for c in schema.names if c not in keys]
+    rows = log.withColumn("_version", _version())
+    newest = rows.groupBy(*keys).agg(*[F.max_by(c, "_version").alias(c) for c in values], F.max("_version").alias("_version"))
+    return newest.select(*schema.names, "_version.run_id", "_version.batch_id")
+
+
+def read_table(spark: SparkSession, path: str, schema: StructType, keys: Sequence[str] | None = None, fmt: str = "parquet") -> DataFrame:
     """Read a sink table; with ``keys``, resolve to the newest row per key.
 
-    The resolve is one hash aggregate per key (``max_by`` over the 64-bit version). A table
-    that does not exist yet reads as empty with ``schema``.
+    The resolve is one hash aggregate per key (``max_by`` over the version). A table that does
+    not exist yet reads as empty with ``schema``.
     """
     log = read_log(spark, path, schema, fmt)
-    extra = ["_version"] if keep_version else []
     if log is None:
-        empty = spark.createDataFrame([], schema)
-        return empty.withColumn("_version", F.lit(None).cast("long")) if keep_version else empty
-    log = log.withColumn("_version", _version())
-    if not keys:
-        return log.select(*schema.names, *extra)
-    values = [c for c in schema.names if c not in keys]
-    aggs = [F.max_by(c, "_version").alias(c) for c in values] + ([F.max("_version").alias("_version")] if keep_version else [])
-    return log.groupBy(*keys).agg(*aggs).select(*schema.names, *extra)
+        return spark.createDataFrame([], schema)
+    return (_newest(log, schema, keys) if keys else log).select(*schema.names)
 
 
 def latest_run(spark: SparkSession, path: str) -> int | None:
-    """The largest ``run_id`` folder of a sink table (from the listing, no data read)."""
-    runs = [int(n[len("run_id="):]) for n in list_dir(spark, path) if n.startswith("run_id=") and n[len("run_id="):].isdigit()]
+    """The largest run id that a sink table holds (from listings, no data read)."""
+    manifest = read_manifest(spark, path)
+    runs = [r for r, _ in committed_batches(spark, path.rstrip("/"), manifest.bounds)] + list(manifest.bounds)
     return max(runs) if runs else None
 
 
@@ -138,15 +175,15 @@ def open_tables(
     ``stats`` and ``windowed`` are resolved to the newest version per key (a re-run over the
     same keys replaces older rows). ``raw`` is the append-only event log of all runs, or with
     ``raw_latest_run_only`` only the newest run's (a re-run that replays the topic then does
-    not double the events); the run is chosen by a partition filter, so other runs are not read.
+    not double the events); other runs' batch folders are not read.
     """
     root = root.rstrip("/")
     raw_df = read_table(spark, f"{root}/{raw}", EVENT_SCHEMA)
     if raw_latest_run_only:
         run = latest_run(spark, f"{root}/{raw}")
-        log = read_log(spark, f"{root}/{raw}", EVENT_SCHEMA)
-        if run is not None and log is not None:
-            raw_df = log.where(F.col("run_id") == F.lit(run)).select(*EVENT_SCHEMA.names)
+        log = read_log(spark, f"{root}/{raw}", EVENT_SCHEMA, runs=[run]) if run is not None else None
+        if log is not None:
+            raw_df = log.select(*EVENT_SCHEMA.names)
     return {
         "raw": raw_df,
         "stats": read_table(spark, f"{root}/{stats}", STATS_SCHEMA, STATS_KEYS),
@@ -154,67 +191,87 @@ def open_tables(
     }
 
 
+def _role_of(table: str, role: str | None) -> str:
+    if role is not None:
+        if role not in ROLES:
+            raise ValueError(f"unknown role {role!r}; one of {sorted(ROLES)}")
+        return role
+    for name, (default, _, _) in ROLES.items():
+        if default == table:
+            return name
+    raise ValueError(f"unknown table {table!r}: name its role, one of {sorted(ROLES)}")
+
+
 def compact(
     spark: SparkSession,
     root: str,
     table: str,
     include_latest: bool = False,
     sort_within: Sequence[str] = ("link", "t"),
+    role: str | None = None,
+    retain_seconds: float | None = None,
 ) -> str | None:
-    """Fold a table's batch folders into a new snapshot; later reads skip the folded batches.
-
-    Keyed tables (``stats``, ``stats_windowed``): the snapshot holds the newest row per key. The
-    raw table: the snapshot holds every row, rewritten without a shuffle. The scan packs the
-    many small batch files into splits of ``spark.sql.files.maxPartitionBytes``, so the output
-    files are large. Rows keep their ``run_id``/``batch_id``. The snapshot is written to a fresh
-    folder ``{table}__snapshot/v={bound}``: keyed tables laid out by ``time_local``, raw rows
-    sorted within files. Readers pick the
-    newest committed snapshot and add only batches with a larger version, so compaction can run
-    while the stream keeps writing. By default the newest batch folder is left out, because it
-    may still be landing; pass ``include_latest=True`` once the stream is stopped. Returns the
-    snapshot folder, or None when there is nothing to fold.
+    """Fold the batches that no segment holds yet into a new segment; returns its folder.
+
+    Keyed tables (roles ``stats``, ``windowed``): the segment holds the newest row per key of
+    those batches, laid out by ``time_local``. Raw: every row, without a shuffle (the scan packs
+    the many small batch files into splits of ``spark.sql.files.maxPartitionBytes``). Rows keep
+    their ``run_id``/``batch_id``. With more than ``MAX_SEGMENTS`` segments the call merges all
+    into one, so the history is rewritten once in ``MAX_SEGMENTS`` compactions, not each time.
+
+    The segment counts once the next manifest is created, which only one of two concurrent
+    compactions can do; the other's segment is then named by nothing. Compaction can run while
+    the stream keeps writing. By default each run's newest batch is left out, because it may
+    still be landing; pass ``include_latest=True`` once the streams are stopped. ``role`` says
+    what a renamed table holds. With ``retain_seconds``, folded batch folders, and segments that
+    a merge replaced, are deleted when they are older. Returns None when there is nothing to
+    fold.
     """
-    schemas = {
-        STATS_TABLE: (STATS_SCHEMA, STATS_KEYS),
-        WINDOWED_TABLE: (WINDOWED_SCHEMA, WINDOWED_KEYS),
-        RAW_TABLE: (EVENT_SCHEMA, None),
-    }
-    if table not in schemas:
-        raise ValueError(f"unknown table {table!r}; one of {sorted(schemas)}")
-    schema, keys = schemas[table]
+    role = _role_of(table, role)
+    _, schema, keys = ROLES[role]
     path = f"{root.rstrip('/')}/{table}"
-    if not path_exists(spark, path):
-        return None
-    # Batch folders are partitions: their versions come from the listing, not from the data.
-    versions = sorted(
-        (int(r[len("run_id="):]) << BATCH_BITS) + int(b[len("batch_id="):])
-        for r in list_dir(spark, path)
-        if r.startswith("run_id=")
-        for b in list_dir(spark, f"{path}/{r}")
-        if b.startswith("batch_id=")
-    )
+    base = path + SNAPSHOT_SUFFIX
+    manifest = read_manifest(spark, path)
+    batches = committed_batches(spark, path, manifest.bounds)
     if not include_latest:
-        versions = versions[:-1]
-    if not versions:
-        return None
-    bound = versions[-1]
-    snap = latest_snapshot(spark, path)
-    if snap is not None and snap[1] >= bound:
-        return snap[0]
-    # Rows (or, for keyed tables, newest versions) above the bound stay with the newer batches.
-    rows = read_table(spark, path, schema, keys, keep_version=True).where(F.col("_version") <= F.lit(bound))
-    rows = rows.select(
-        *schema.names,
-        F.shiftright(F.col("_version"), BATCH_BITS).alias("run_id"),
-        F.col("_version").bitwiseAND(F.lit(_BATCH_MASK)).alias("batch_id"),
-    )
-    out = f"{path}{SNAPSHOT_SUFFIX}/v={bound}"
-    if keys:
-        # The resolve already shuffled; lay the (small) aggregate out by time for slice reads.
-        rows = time_local(rows, "t" if "t" in schema.names else "window_start")
-    else:
-        # Raw: no shuffle; the batches are already time-local, the scan packs small files.
-        cols = [c for c in sort_within if c in schema.names]
-        rows = rows.sortWithinPartitions(*cols) if cols else rows
-    rows.write.mode("overwrite").parquet(out)
+        newest = {r: b for r, b in batches}  # in order: the last of each run stays
+        batches = [(r, b) for r, b in batches if b < newest[r]]
+    out = None
+    if batches:
+        rows = _read_batches(spark, path, schema, batches, "parquet")
+        segments = manifest.segments
+        if len(segments) + 1 > MAX_SEGMENTS:
+            rows, segments = rows.unionByName(_read_segments(spark, path, schema, segments)), []
+        if keys:
+            # The resolve already shuffled; lay the (small) aggregate out by time for slice reads.
+            rows = time_local(_newest(rows, schema, keys), "t" if "t" in schema.names else "window_start")
+        else:
+            cols = [c for c in sort_within if c in schema.names]
+            rows = rows.sortWithinPartitions(*cols) if cols else rows
+        segment = f"segments/{manifest.number + 1:08d}-{uuid.uuid4().hex[:8]}"
+        rows.write.parquet(f"{base}/{segment}")
+        bounds = {**manifest.bounds, **{r: b for r, b in batches}}
+        text = json.dumps({"segments": [*segments, segment], "bounds": bounds})
+        if not write_small_text(spark, f"{base}/manifests/{manifest.number + 1}", text):
+            raise RuntimeError(f"another compaction of {path} committed first; run it again")
+        out = f"{base}/{segment}"
+    if retain_seconds is not None:
+        _remove_folded(spark, path, retain_seconds)
     return out
+
+
+def _remove_folded(spark: SparkSession, path: str, retain_seconds: float) -> None:
+    """Delete batch folders and segments that the newest manifest replaces, once they are older
+    than ``retain_seconds`` (longer than any reader keeps a plan)."""
+    manifest = read_manifest(spark, path)
+    limit = time.time() - retain_seconds
+    base = path + SNAPSHOT_SUFFIX
+    for run_id, bound in manifest.bounds.items():
+        for batch in list_dir(spark, f"{path}/run_id={run_id}"):
+            folder = f"{path}/run_id={run_id}/{batch}"
+            if batch.startswith("batch_id=") and int(batch[len("batch_id="):]) <= bound and modified_at(spark, folder) <= limit:
+                delete_path(spark, folder)
+    for name in list_dir(spark, f"{base}/segments"):
+        folder = f"{base}/segments/{name}"
+        if f"segments/{name}" not in manifest.segments and modified_at(spark, folder) <= limit:
+            delete_path(spark, folder)

@@ -11,6 +11,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from roadstats.plans.contract import ALL_QUERIES, ALL_SQL
 from tests.conftest import SF_SMALL
 
 TABLES = "events".split()
@@ -47,7 +48,7 @@ def test_every_sql_key_is_a_query():
     assert len(entry.queries()) >= 36
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ALL_SQL))
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF_SMALL)
     assert len(set(df.columns)) == len(df.columns), "the driver sorts columns by name"
@@ -60,21 +61,18 @@ def test_query_matches_oracle(spark, duck, name):
     assert _digest(df.columns, rows) == _digest(ocols, orows)
 
 
-def test_rows_only_keys_run(spark):
-    for name in set(entry.queries()) - set(entry.oracle_sql()):
-        assert entry.queries()[name](spark, SF_SMALL).count() >= 0
+def test_every_key_has_an_oracle():
+    assert set(ALL_QUERIES) == set(ALL_SQL)
 
 
-def test_queries_read_whole_tables():
-    """No registered plan may cap or sample its input."""
-    import inspect
-
-    import roadstats.plans.contract as c
-    import roadstats.plans.streamed as s
-
-    src = inspect.getsource(c) + inspect.getsource(s)
-    assert ".sample(" not in src
-    assert os.path.exists(f"{SF_SMALL}/events.parquet")
+def test_queries_read_whole_tables(spark, work):
+    """Twice the events give twice the rows: no plan caps or samples its input."""
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    events.unionAll(events).write.parquet(f"{work}/events.parquet")
+    for name in ("parse_events", "encode_events", "parse_malformed", "status_filter", "event_time"):
+        assert ALL_QUERIES[name](spark, work).count() == 2 * ALL_QUERIES[name](spark, SF_SMALL).count()
+    total = lambda sf: ALL_QUERIES["link_stats_unfiltered"](spark, sf).agg({"vcount": "sum"}).first()[0]
+    assert total(work) == 2 * total(SF_SMALL) == 2 * events.count()
 
 
 def test_late_variant_really_replays_late_rows(spark):

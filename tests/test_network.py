@@ -63,3 +63,40 @@ def test_segments_of_observed_links(spark):
     stats = spark.createDataFrame([(1.0, "I1W1", 1, 1.0), (2.0, "I1W1", 1, 1.0), (1.0, "XX", 1, 1.0), (1.0, None, 1, 1.0)], STATS_SCHEMA)
     rows = link_segments(spark, observed=stats).collect()
     assert [(r.link, r.start, r.end) for r in rows] == [("I1W1", "I1", "W1")]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().toString()
+
+
+def test_latest_state_prunes_the_scan_and_ignores_nan(spark, work):
+    from roadstats.operators.network import network_state_at
+    from roadstats.schemas import STATS_SCHEMA
+
+    rows = [(1.0, "I2I1", 1, 9.0), (10.0, "I2I1", 4, 25.0), (10.0, "I1W1", 2, None), (float("nan"), "I2I1", 7, 1.0)]
+    spark.createDataFrame(rows, STATS_SCHEMA).write.parquet(f"{work}/stats")
+    stats = spark.read.parquet(f"{work}/stats")
+    state = network_state_at(spark, stats)
+    found = {r.link: r for r in state.collect() if r.has_data}
+    assert {k: (r.t, r.vcount) for k, r in found.items()} == {"I2I1": (10.0, 4), "I1W1": (10.0, 2)}
+    assert found["I2I1"].width > found["I1W1"].width
+    assert found["I1W1"].ratio is None and found["I1W1"].color == "#bbbbbb"  # a row without a speed is not a jam
+    assert "GreaterThanOrEqual(t,ScalarSubquery" in _plan(state).replace("ScalarSubquery#", "ScalarSubquery").replace(" ", "")
+
+
+def test_shared_root_needs_a_setting_on_a_cluster():
+    import pytest
+
+    from roadstats.session import shared_root
+
+    class Context:
+        master, applicationId = "spark://host:7077", "app"
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext, conf = Context(), {}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_root(Session())

@@ -123,3 +123,37 @@ def test_ties_break_on_link_name(spark):
     assert [r.link for r in q.latest_n(stats, 2, "t", ["link"]).collect()] == ["M", "Z"]  # equal t = 2
     same_avg = spark.createDataFrame([(1.0, "B", 1, 7.0), (1.0, "A", 1, 7.0)], STATS_SCHEMA)
     assert [r.link for r in q.avg_speed_per_link(same_avg).collect()] == ["A", "B"]
+
+
+NAN = float("nan")
+
+
+def _nan_rows(spark):
+    rows = [(1.0, "A", 2, 10.0), (2.0, "A", 3, NAN), (NAN, "A", 9, 5.0), (3.0, "B", 1, 7.0), (NAN, "C", 4, NAN), (None, "D", 1, None)]
+    return spark.createDataFrame(rows, STATS_SCHEMA)
+
+
+def test_nan_stands_below_numbers(spark):
+    stats = _nan_rows(spark)
+    shown = lambda x: "nan" if x is not None and x != x else x
+    assert q.latest_t(stats).first().latest_t == 3.0
+    assert q.overview(stats, stats).first().current_t == 3.0
+    assert [shown(r.t) for r in q.latest_n(stats, 6).collect()] == [3.0, 2.0, 1.0, "nan", "nan", None]
+    assert [(r.link, shown(r.avg_speed)) for r in q.avg_speed_per_link(stats).collect()] == [("B", 7.0), ("A", "nan"), ("C", "nan"), ("D", None)]
+    assert [(r.link, shown(r.avg_speed)) for r in q.avg_speed_per_link(stats, ascending=True).collect()][:2] == [("D", None), ("A", "nan")]
+    assert [(r.link, shown(r.max_speed), shown(r.min_speed)) for r in q.max_speed_delta(stats, 3).collect()] == [
+        ("B", 7.0, 7.0), ("A", 10.0, "nan"), ("C", "nan", "nan")]
+    summary = q.link_summary(stats, "A").first()
+    assert (summary.max_speed, shown(summary.min_speed), summary.last_t, shown(summary.first_t)) == (10.0, "nan", 2.0, "nan")
+    assert [shown(r.t) for r in q.link_series(stats, "A").collect()] == ["nan", 1.0, 2.0]
+
+
+def test_event_time_range(spark):
+    from roadstats.functions.columns import MAX_EVENT_SECONDS, MIN_EVENT_SECONDS, event_time
+
+    times = [1e13, 1e15, 9e18, -1e15, 1e300, NAN, float("inf"), MAX_EVENT_SECONDS * 1.0, MIN_EVENT_SECONDS * 1.0, 5.9]
+    df = spark.createDataFrame([(t,) for t in times], "t double")
+    from pyspark.sql import functions as F
+
+    found = [r.s for r in df.select(F.unix_seconds(event_time("t")).alias("s")).collect()]
+    assert found == [None] * 7 + [MAX_EVENT_SECONDS, MIN_EVENT_SECONDS, 5]

@@ -156,7 +156,7 @@ def test_run_until_first_ends(spark, work):
 
 
 def test_compaction_snapshot_and_later_batches(spark, work, events_df):
-    from roadstats.streaming.store import compact
+    from roadstats.streaming.store import compact, read_manifest
 
     root = f"{work}/tables"
     write = batch_writer(f"{root}/stats", run_id=3)
@@ -165,15 +165,17 @@ def test_compaction_snapshot_and_later_batches(spark, work, events_df):
     write(link_stats(events_df([ev(3, "L", 6.0)])), 2)
     before = _sorted(read_table(spark, f"{root}/stats", STATS_SCHEMA, STATS_KEYS))
     snap = compact(spark, root, "stats")  # folds batches 0 and 1, leaves the newest
-    assert snap is not None and snap.endswith(f"v={(3 << 32) + 1}")
+    assert snap is not None and read_manifest(spark, f"{root}/stats").bounds == {3: 1}
     assert _sorted(read_table(spark, f"{root}/stats", STATS_SCHEMA, STATS_KEYS)) == before
     write(link_stats(events_df([ev(2, "L", 8.0), ev(2, "L", 4.0)])), 3)  # newer version of t=2
     rows = {r.t: (r.vcount, r.vspeed) for r in read_table(spark, f"{root}/stats", STATS_SCHEMA, STATS_KEYS).collect()}
     assert rows == {1.0: (2, 15.0), 2.0: (2, 6.0), 3.0: (1, 6.0)}
+    # The second compaction reads the two batches after the first one only.
     final = compact(spark, root, "stats", include_latest=True)
-    assert final.endswith(f"v={(3 << 32) + 3}")
+    assert {r.batch_id for r in spark.read.parquet(final).collect()} == {2, 3}
+    assert read_manifest(spark, f"{root}/stats").bounds == {3: 3}
     assert {r.t: (r.vcount, r.vspeed) for r in read_table(spark, f"{root}/stats", STATS_SCHEMA, STATS_KEYS).collect()} == rows
-    assert compact(spark, root, "stats", include_latest=True) == final
+    assert compact(spark, root, "stats", include_latest=True) is None  # nothing new
 
 
 def test_rocksdb_state_store_and_output_files(spark, work):
@@ -207,13 +209,16 @@ def test_cli_stream_query_check(spark, work, capsys):
         assert main(["query", name, *root, "--rows", "3", *extra]) == 0, name
     with pytest.raises(ValueError):
         main(["query", "state", *root])
+    assert main(["query", "series", *root, "--link", "I2I1", "--out", f"{work}/series"]) == 0
+    assert spark.read.parquet(f"{work}/series").count() == link_stats(events).where("link = 'I2I1'").count()
     assert main(["compact", "--root", f"{work}/tables", "--include-latest"]) == 0
     assert main(["compact", "--root", f"{work}/tables", "--table", "raw_data", "--include-latest"]) == 0
     # Renamed tables, as with configurable collection names.
     assert main(["stream", "--format", "parquet", "--path", f"{work}/msg", "--out", f"{work}/named",
                  "--checkpoint", f"{work}/ckpt2", "--available-now", "--state-partitions", "2",
                  "--stats-table", "per_step", "--windowed-table", "per_window", "--raw-table", "events_raw"]) == 0
-    assert sorted(os.listdir(f"{work}/named")) == ["events_raw", "per_step", "per_window"]
+    assert sorted(n for n in os.listdir(f"{work}/named") if not n.endswith("__runs")) == ["events_raw", "per_step", "per_window"]
+    assert main(["compact", "--root", f"{work}/named", "--table", "per_step", "--role", "stats", "--include-latest"]) == 0
     assert main(["check", "--root", f"{work}/named", "--stats-table", "per_step", "--raw-table", "events_raw"]) == 0
 
 
@@ -223,22 +228,79 @@ def test_debug_console_query(spark, work):
     job.drain()
     assert set(job.queries) == {"raw", "stats", "windowed", "debug"}
     assert job.queries["debug"].lastProgress["numInputRows"] == 2
+    assert os.path.isdir(f"{work}/c/debug")  # its checkpoint lies with the others
 
 
-def test_incomplete_snapshot_is_ignored(spark, work, events_df):
+def test_incomplete_compaction_is_ignored(spark, work, events_df):
+    from roadstats.session import write_small_text
     from roadstats.streaming.store import SNAPSHOT_SUFFIX, compact
 
     root = f"{work}/tables"
     write = batch_writer(f"{root}/stats", run_id=5)
     write(link_stats(events_df([ev(1, "L", 10.0)])), 0)
     write(link_stats(events_df([ev(2, "L", 20.0)])), 1)
-    good = compact(spark, root, "stats", include_latest=True)
-    # A newer snapshot folder without a commit marker (a compaction that died) must not win.
-    events_df([]).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(
-        f"{root}/stats{SNAPSHOT_SUFFIX}/v={(5 << 32) + 9}"
-    )
+    compact(spark, root, "stats", include_latest=True)
+    # A segment no manifest names, and a manifest that was cut short, must not count.
+    events_df([ev(9, "L")]).write.parquet(f"{root}/stats{SNAPSHOT_SUFFIX}/segments/00000001-dead")
+    write_small_text(spark, f"{root}/stats{SNAPSHOT_SUFFIX}/manifests/1", '{"segm')
     rows = {(r.t, r.vcount) for r in read_table(spark, f"{root}/stats", STATS_SCHEMA, STATS_KEYS).collect()}
-    assert rows == {(1.0, 1), (2.0, 1)} and good.endswith(f"v={(5 << 32) + 1}")
+    assert rows == {(1.0, 1), (2.0, 1)}
+
+
+def test_older_run_that_resumes_after_compaction_keeps_its_rows(spark, work, events_df):
+    from roadstats.streaming.store import compact
+
+    root = f"{work}/tables"
+    old, new = batch_writer(f"{root}/raw_data", run_id=100), batch_writer(f"{root}/raw_data", run_id=200)
+    old(events_df([ev(1, "L")]), 0)
+    new(events_df([ev(2, "L")]), 0)
+    compact(spark, root, "raw_data", include_latest=True)
+    old(events_df([ev(3, "L")]), 1)
+    assert sorted(r.t for r in open_tables(spark, root)["raw"].collect()) == [1.0, 2.0, 3.0]
+    compact(spark, root, "raw_data", include_latest=True)
+    assert sorted(r.t for r in open_tables(spark, root)["raw"].collect()) == [1.0, 2.0, 3.0]
+
+
+def test_uncommitted_and_empty_batches(spark, work, events_df):
+    root = f"{work}/tables"
+    write = batch_writer(f"{root}/raw_data", run_id=1)
+    write(events_df([ev(1, "L")]), 0)
+    write(events_df([]), 1)  # no folder for a batch without rows
+    assert sorted(os.listdir(f"{root}/raw_data/run_id=1")) == ["batch_id=0"]
+    write(events_df([ev(2, "L")]), 2)
+    os.remove(f"{root}/raw_data/run_id=1/batch_id=2/_SUCCESS")  # the job died while it committed
+    assert [r.t for r in open_tables(spark, root)["raw"].collect()] == [1.0]
+
+
+def test_retention_merging_and_renamed_tables(spark, work, events_df):
+    from roadstats.streaming import store
+
+    root = f"{work}/tables"
+    write = batch_writer(f"{root}/per_step", run_id=1)
+    for b in range(store.MAX_SEGMENTS + 1):
+        write(link_stats(events_df([ev(b, "L", 1.0), ev(0, "L", float(b))])), b)
+        assert store.compact(spark, root, "per_step", include_latest=True, role="stats", retain_seconds=0) is not None
+        assert os.listdir(f"{root}/per_step/run_id=1") == []  # folded and past its retention
+    manifest = store.read_manifest(spark, f"{root}/per_step")
+    assert len(manifest.segments) == 1 and len(os.listdir(f"{root}/per_step__snapshot/segments")) == 1
+    rows = {r.t: r.vspeed for r in open_tables(spark, root, stats="per_step")["stats"].collect()}
+    assert rows == {0.0: float(store.MAX_SEGMENTS), **{float(b): 1.0 for b in range(1, store.MAX_SEGMENTS + 1)}}
+    with pytest.raises(ValueError, match="role"):
+        store.compact(spark, root, "per_step")
+
+
+@pytest.mark.parametrize("ttl", [None, "10 minutes"])
+def test_times_out_of_range_do_not_stop_the_stream(spark, work, ttl):
+    odd = [1e13, 1e15, 9e18, -1e15, float("nan")]
+    _write_files(spark, f"{work}/msg", [[ev(1, "L", 1.0), *[ev(t, "L", 2.0) for t in odd]]])
+    _run(spark, work, f"{work}/msg", state_ttl=ttl)
+    _write_files(spark, f"{work}/msg", [[ev(200, "L", 3.0)]])
+    job = _run(spark, work, f"{work}/msg", state_ttl=ttl)
+    tables = open_tables(spark, job.out_root)
+    assert tables["raw"].count() == 7
+    stats = {r.t for r in tables["stats"].collect() if r.t == r.t}
+    assert stats == ({1.0, 200.0} if ttl else {1.0, 200.0, *odd[:4]})
+    assert [r.vcount for r in tables["windowed"].collect()] == [1]  # the first window is closed by t = 200
 
 
 def test_nan_and_null_time_do_not_stop_the_stream(spark, work):
@@ -412,12 +474,16 @@ def test_folder_source_formats(spark, work, fmt):
 
 
 def test_run_ids_bound_to_checkpoints(spark, work):
-    from roadstats.streaming.sink import run_id_for
-
-    first = run_id_for(spark, f"{work}/ckpt-a")
-    assert run_id_for(spark, f"{work}/ckpt-a") == first  # a restart keeps its run
-    time.sleep(1.1)
-    assert run_id_for(spark, f"{work}/ckpt-b") > first  # a fresh checkpoint is a newer run
+    from roadstats.streaming.sink import reserve_run_id, run_id_for
+
+    table = f"{work}/tables/raw_data"
+    first = run_id_for(spark, f"{work}/ckpt-a", table)
+    assert run_id_for(spark, f"{work}/ckpt-a", table) == first  # a restart keeps its run
+    # Fresh checkpoints get newer runs, also within the same second.
+    others = [run_id_for(spark, f"{work}/ckpt-{k}", table) for k in "bcd"]
+    assert [first, *others] == list(range(first, first + 4))
+    os.makedirs(f"{table}/run_id={first + 50}")  # a clock that stepped back
+    assert reserve_run_id(spark, table) == first + 51
 
 
 def test_cli_continuous_with_timeout(spark, work):
