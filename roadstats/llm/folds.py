@@ -1,4 +1,4 @@
-"""Label handling that the classifiers share."""
+"""Small helpers that the operators share: folds, labels, free column names."""
 
 from __future__ import annotations
 
@@ -16,3 +16,11 @@ def one_label(labels: DataFrame, label_col: str, id_col: str = "doc_id") -> Data
     """(doc_id, label): the largest label of each id; null ids and labels are left out."""
     rows = labels.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
     return rows.where("doc_id IS NOT NULL AND label IS NOT NULL").groupBy("doc_id").agg(F.max("label").alias("label"))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it (Spark ignores case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

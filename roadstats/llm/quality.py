@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadstats.llm.folds import fold
+from roadstats.llm.folds import fold, free_name
 from roadstats.llm.words import mix, row_means, split_words, text_bytes
 
 FEATURES = 1 << 18
@@ -248,8 +248,9 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 def select_documents(docs: DataFrame, labels: DataFrame, at_least: int = 1, probability: float = 0.5) -> DataFrame:
     """The rows of ``docs`` (all columns) with P(grade >= at_least) >= probability."""
     model = fit(docs, ratings_of(labels))
-    valued = docs.select("*", model.value("text").alias("_value"))
-    return valued.where(model.tail(F.col("_value"), at_least) >= probability).select(*docs.columns)
+    value = free_name(docs, "_value")
+    valued = docs.select("*", model.value("text").alias(value))
+    return valued.where(model.tail(F.col(value), at_least) >= probability).select(*docs.columns)
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

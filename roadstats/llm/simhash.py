@@ -36,6 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadstats.llm.folds import free_name
 from roadstats.session import new_work_dir
 
 SHINGLE = 3
@@ -245,10 +246,11 @@ def one_of_each(
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "fp")
     by_fp = rows.groupBy("fp").agg(F.min(order).alias("first"))
     first = by_fp.join(classes.select("fp", "root"), "fp").groupBy("root").agg(F.min("first").alias("first"))
-    kept = first.select(F.col("first.doc_id").alias("_id"), F.col("first.text_key").alias("_key"))
-    keyed = docs.withColumn("_key", text_key(text_col)).withColumn("_id", F.col(id_col).cast("bigint"))
-    on = keyed["_id"].eqNullSafe(kept["_id"]) & (keyed["_key"] == kept["_key"])
-    return keyed.join(kept, on, "left_semi").dropDuplicates(["_id", "_key"]).select(*docs.columns)
+    own, key = free_name(docs, "_id"), free_name(docs, "_key")
+    kept = first.select(F.col("first.doc_id").alias(own), F.col("first.text_key").alias(key))
+    keyed = docs.withColumns({key: text_key(text_col), own: F.col(id_col).cast("bigint")})
+    on = keyed[own].eqNullSafe(kept[own]) & (keyed[key] == kept[key])
+    return keyed.join(kept, on, "left_semi").dropDuplicates([own, key]).select(*docs.columns)
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

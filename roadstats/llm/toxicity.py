@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadstats.llm.folds import fold, one_label
+from roadstats.llm.folds import fold, free_name, one_label
 from roadstats.llm.words import LOWER, WORD, mix, text_bytes
 from roadstats.session import new_work_dir
 
@@ -227,8 +227,9 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` (all columns) that score below ``threshold``."""
     model = fit(docs, labels)
-    scored = docs.select("*", model.ratio("text").alias("_ratio"))
-    return scored.where(model.probability(F.col("_ratio")) < threshold).select(*docs.columns)
+    ratio = free_name(docs, "_ratio")
+    scored = docs.select("*", model.ratio("text").alias(ratio))
+    return scored.where(model.probability(F.col(ratio)) < threshold).select(*docs.columns)
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
