@@ -41,6 +41,8 @@ DISCOUNT = 0.75
 SHARED_MASS = 300.0
 SLOTS = 1 << 22
 THRESHOLD = 0.3
+#: Most labels that are broadcast to the texts (about 32 MB); more are joined by shuffle.
+MOST_BROADCAST = 1_000_000
 #: Histogram of ratios for the logistic curve: bins a unit, and units on either side of 0.
 BINS, SPAN = 256, 16
 _FOLDED = np.where(WORD, LOWER, 32).astype(np.uint8)
@@ -198,17 +200,21 @@ def fit_curve(bins: list[tuple[float, int, int]], steps: int = 50) -> tuple[floa
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """Fit both class models and the curve from the labelled rows outside fold 2."""
     spark = docs.sparkSession
-    known = one_label(labels, label_col, id_col)
+    known = one_label(labels, label_col, id_col).withColumn("label", (F.col("label") > 0).cast("int"))
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")).withColumn("fold", fold())
     root = new_work_dir(spark, "toxicity")
-    counted = rows.where("fold IN (0, 1)").join(known.where(fold() < 2), "doc_id").select((F.col("label") > 0).cast("int").alias("label"), "text")
+    known.write.parquet(f"{root}/labels")
+    known = spark.read.parquet(f"{root}/labels")
+    few = known.count() <= MOST_BROADCAST
+    counted = rows.where("fold IN (0, 1)").join(F.broadcast(known) if few else known, "doc_id")
     count_grams(counted).write.parquet(f"{root}/grams")
     grams = spark.read.parquet(f"{root}/grams")
     seen = grams.agg(F.sum("c0"), F.sum("c1")).first()
     if not seen[0] or not seen[1]:
         return Model(spark, None)
     model = Model(spark, slot_table(ratios(grams)))
-    held = rows.where("fold = 3").join(known.where(fold() == 3), "doc_id").select((F.col("label") > 0).cast("int").alias("label"), model.ratio("text").alias("x"))
+    # Of fold 3 only ids and ratios are joined, not texts.
+    held = rows.where("fold = 3").select("doc_id", model.ratio("text").alias("x")).join(known, "doc_id")
     bin_no = F.floor(F.greatest(F.lit(-float(SPAN)), F.least(F.lit(float(SPAN)), F.col("x"))) * BINS)
     bins = held.groupBy(bin_no.alias("bin"), "label").count().collect()
     if len({r["label"] for r in bins}) < 2:
