@@ -4,8 +4,8 @@ A document has a grade 0 .. K-1. One weight vector over hashed features gives f(
 thresholds t_1 < ... < t_{K-1} cut it: P(grade >= k) = sigmoid(f(x) - t_k). All grades share the
 weights. From these come the expected grade and the tail probability that selects documents.
 
-Features are the shares of lower-cased words and of raw byte trigrams (which carry case and
-symbols), each hashed to ``FEATURES`` slots. Ratings come from ``labels``: grade 0 is quality 0,
+Features are the shares of lower-cased words, of raw byte trigrams (which carry case and
+symbols) and of words that repeat the one before them, each hashed to ``FEATURES`` slots. Ratings come from ``labels``: grade 0 is quality 0,
 grade 1 quality 1 but marked toxic, grade 2 quality 1 and not marked toxic (see ``grade``); any
 column of grades can be used instead.
 
@@ -38,7 +38,8 @@ PENALTY = 1e-5
 #: Shares are small numbers; this scale lets the penalty leave useful weights.
 SCALE = 20.0
 _TRIGRAMS, _WORDS = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
-_GROUP = 1 << 20
+#: Slots of a word that repeats the one before it and of one that does not.
+_REPEATS = (1, 2)
 
 
 def grade(quality: Column, toxic: Column) -> Column:
@@ -50,8 +51,9 @@ def _slots(hashes: np.ndarray) -> np.ndarray:
     return (hashes & np.uint64(FEATURES - 1)).astype(np.int64)
 
 
-def features(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(first row, trigram slots, trigrams by row, word slots, words by row) of whole rows."""
+def features(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first row, trigram slots, trigrams by row, word slots, repetition slots, words by row) of
+    whole rows."""
     raw, offs = text_bytes(column)
     for group in split_words(column):
         lo, hi = group.first, group.first + len(group.counts)
@@ -69,25 +71,30 @@ def features(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np
                 row_of = np.searchsorted(at, np.arange(len(grams)), side="right") - 1
                 inside = np.arange(len(grams)) + 3 <= at[row_of + 1]
             grams = grams[inside]
-        yield lo, _slots(mix(grams * _TRIGRAMS)), np.maximum(sizes - 2, 0), _slots(mix(group.hashes * _WORDS)), group.counts
+        again = np.zeros(len(group.hashes), dtype=bool)
+        again[1:] = group.hashes[1:] == group.hashes[:-1]
+        again[group.bounds()[:-1][group.counts > 0]] = False
+        words, repeats = _slots(mix(group.hashes * _WORDS)), np.where(again, *_REPEATS)
+        yield lo, _slots(mix(grams * _TRIGRAMS)), np.maximum(sizes - 2, 0), words, repeats, group.counts
 
 
 def text_values(column: pa.Array, weights: np.ndarray) -> np.ndarray:
     """f(x) of each row."""
     out = np.zeros(len(column))
-    for first, grams, n_grams, words, n_words in features(column):
-        value = SCALE * (row_means(weights[grams], n_grams) + row_means(weights[words], n_words))
+    for first, grams, n_grams, words, repeats, n_words in features(column):
+        value = SCALE * (row_means(weights[grams], n_grams) + row_means(weights[words] + weights[repeats], n_words))
         out[first : first + len(n_grams)] = value
     return out
 
 
 def _rows(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Sparse features (slots, values) of each row."""
-    for _, grams, n_grams, words, n_words in features(column):
+    for _, grams, n_grams, words, repeats, n_words in features(column):
         a, b = np.concatenate(([0], np.cumsum(n_grams))), np.concatenate(([0], np.cumsum(n_words)))
         for r in range(len(n_grams)):
-            slots, at = np.unique(np.concatenate((grams[a[r] : a[r + 1]], words[b[r] : b[r + 1]])), return_inverse=True)
-            share = np.repeat([SCALE / max(n_grams[r], 1), SCALE / max(n_words[r], 1)], [n_grams[r], n_words[r]])
+            own = slice(b[r], b[r + 1])
+            slots, at = np.unique(np.concatenate((grams[a[r] : a[r + 1]], words[own], repeats[own])), return_inverse=True)
+            share = np.repeat([SCALE / max(n_grams[r], 1), SCALE / max(n_words[r], 1)], [n_grams[r], 2 * n_words[r]])
             yield slots.astype(np.int32), np.bincount(at, weights=share, minlength=len(slots)).astype(np.float32)
 
 

@@ -67,11 +67,12 @@ def test_ordinal_fit_orders_grades():
 
 
 def test_features_count_whole_texts():
-    texts = ["", None, "a", "ab", "abc", "abcd efg", "é x", "a", "zz"]
-    for _, grams, n_grams, word, n_words in quality.features(pa.array(texts)):
+    texts = ["", None, "a", "ab", "abc", "abcd efg", "é x", "a", "a a", "zz", "zz Zz zz zz"]
+    for _, grams, n_grams, word, repeats, n_words in quality.features(pa.array(texts)):
         sizes = [len((t or "").encode()) for t in texts]
         assert n_grams.tolist() == [max(0, s - 2) for s in sizes] and len(grams) == n_grams.sum()
-        assert n_words.tolist() == [len((t or "").split()) for t in texts] and len(word) == n_words.sum()
+        assert n_words.tolist() == [len((t or "").split()) for t in texts] and len(word) == len(repeats) == n_words.sum()
+        assert repeats.tolist().count(1) == 4  # "a a" and "zz Zz zz zz", not across rows
     weights = np.random.default_rng(2).normal(size=quality.FEATURES).astype(np.float32)
     whole = quality.text_values(pa.array(texts), weights)
     alone = [quality.text_values(pa.array([t], pa.string()), weights)[0] for t in texts]
