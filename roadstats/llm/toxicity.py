@@ -2,20 +2,23 @@
 
 Text is lower-cased (A-Z) and every run of separators becomes one space; the events are byte
 5-grams: a byte given the four before it. The toxic and the ordinary class each have a
-Kneser-Ney distribution over the next byte that backs off to counts the classes share:
+Kneser-Ney distribution over the next byte, from 5-grams down to 3-grams, that ends in counts
+the classes share:
 
-    P_class(w | h) = (max(c - D, 0) + (S + D t) P_shared(w | h)) / (S + c(h))
+    P_class(w | h) = (max(c - D, 0) + (S + D t) P_class(w | shorter h)) / (S + c(h))
 
-with c and t the class's count and number of different continuations, and P_shared the pooled
-Kneser-Ney estimate (5-grams, then continuation counts of 4-grams, then uniform). ``S`` counts
-of shared mass and the discount ``D`` make a rare expression say little either way. The score is
-a document's log-likelihood ratio divided by the square root of its length, put through a
-logistic curve.
+with c the class's count of 5-grams, or below those its continuation count (how many different
+bytes come before), c(h) the sum and t the number of different bytes after h. Under the 3-grams
+stands P_shared, the same estimate from both classes' counts over a uniform one. ``S`` counts of
+backoff mass and the discount ``D`` make a rare expression say little either way. The score is a
+document's log-likelihood ratio divided by the square root of its length, put through a logistic
+curve.
 
 Counts cover every labelled row of folds 0 and 1, gathered by a distributed aggregation keyed by
 the 5-gram; the logistic curve is fitted on a histogram of all labelled rows of fold 3. Fold 2
-(see ``folds.fold``) is held out. The ratios travel as one table of ``SLOTS`` hashed slots (16 MB
-at any corpus size); 5-grams that share a slot share their count-weighted mean.
+(see ``folds.fold``) is held out. Ratios and backoff weights travel as one table of ``SLOTS``
+hashed slots (16 MB at any corpus size); n-grams that share a slot share their count-weighted
+mean.
 
 Defined results: null and empty texts have ratio 0 and so the curve's value there. Repeated rows
 score alike; in training each counts. Without labels of both classes every score is 0. Labels
@@ -36,9 +39,9 @@ from roadstats.llm.folds import fold, free_name, one_label
 from roadstats.llm.words import LOWER, WORD, mix, text_bytes
 from roadstats.session import new_work_dir
 
-ORDER = 5
+ORDER, LOWEST = 5, 3
 DISCOUNT = 0.75
-SHARED_MASS = 300.0
+BACKOFF_MASS = 5.0
 SLOTS = 1 << 22
 THRESHOLD = 0.3
 #: Most labels that are broadcast to the texts (about 32 MB); more are joined by shuffle.
@@ -83,8 +86,8 @@ def _grams(text: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return grams
 
 
-def slot_of(grams: np.ndarray) -> np.ndarray:
-    return (mix(grams) & np.uint64(SLOTS - 1)).astype(np.int64)
+def slot_of(keys: np.ndarray) -> np.ndarray:
+    return (mix(keys) & np.uint64(SLOTS - 1)).astype(np.int64)
 
 
 def count_grams(rows: DataFrame) -> DataFrame:
@@ -105,27 +108,49 @@ def count_grams(rows: DataFrame) -> DataFrame:
 
 
 def ratios(grams: DataFrame) -> DataFrame:
-    """(gram, weight, ratio): log P_toxic - log P_ordinary of each 5-gram; a gram whose newest
-    byte is 0 stands for its context followed by any byte not seen after it."""
-    d, s = F.lit(DISCOUNT), F.lit(SHARED_MASS)
-    low = (1 << 8 * (ORDER - 1)) - 1
-    g = grams.withColumn("ctx", F.shiftright("gram", 8)).withColumn("sub", F.col("gram").bitwiseAND(F.lit(low).cast("bigint")))
-    # Shared lower order: how many different bytes come before each 4-gram.
-    sub = g.groupBy("sub").agg(F.count("*").alias("cont")).withColumn("sub_ctx", F.shiftright("sub", 8))
-    total = sub.groupBy("sub_ctx").agg(F.sum("cont").alias("all"), F.count("*").alias("kinds"))
-    sub = sub.join(total, "sub_ctx").select("sub", ((F.greatest(F.col("cont") - d, F.lit(0.0)) + d * F.col("kinds") / 64) / F.col("all")).alias("p_low"))
-    seen = lambda c: F.sum((F.col(c) > 0).cast("bigint"))
-    ctx = g.groupBy("ctx").agg(
-        F.sum("c0").alias("n0"), F.sum("c1").alias("n1"), seen("c0").alias("t0"), seen("c1").alias("t1"), F.count("*").alias("t")
-    )
-    joined = g.join(sub, "sub").join(ctx, "ctx")
-    pool = F.col("c0") + F.col("c1")
-    shared = (F.greatest(pool - d, F.lit(0.0)) + d * F.col("t") * F.col("p_low")) / (F.col("n0") + F.col("n1"))
-    p = lambda k: (F.greatest(F.col(f"c{k}") - d, F.lit(0.0)) + (s + d * F.col(f"t{k}")) * shared) / (s + F.col(f"n{k}"))
-    rest = lambda k: (s + d * F.col(f"t{k}")) / (s + F.col(f"n{k}"))
-    own = joined.select("gram", pool.cast("double").alias("weight"), F.log(p(1) / p(0)).alias("ratio"))
-    unseen = ctx.select(F.shiftleft("ctx", 8).alias("gram"), (F.col("n0") + F.col("n1")).cast("double").alias("weight"), F.log(rest(1) / rest(0)).alias("ratio"))
-    return own.unionByName(unseen)
+    """(key, weight, ratio): log P_toxic - log P_ordinary of each n-gram of the orders 5 to 3, and
+    of the weight that each context gives to the order below (see ``seen_key``, ``rest_key``)."""
+    d, s = F.lit(DISCOUNT), F.lit(BACKOFF_MASS)
+    counts = {ORDER: grams}
+    for n in range(ORDER - 1, LOWEST - 1, -1):
+        shorter = F.col("gram").bitwiseAND(F.lit((1 << 8 * n) - 1).cast("bigint"))
+        kinds = [F.sum((F.col(c) > 0).cast("bigint")).alias(c) for c in ("c0", "c1")]
+        counts[n] = counts[n + 1].groupBy(shorter.alias("gram")).agg(*kinds)
+    found, lower = [], None
+    for n in range(LOWEST, ORDER + 1):
+        rows = counts[n].withColumn("ctx", F.shiftright("gram", 8))
+        sums = [F.sum(c).alias(c.replace("c", "n")) for c in ("c0", "c1")]
+        kinds = [F.sum((F.col(c) > 0).cast("bigint")).alias(c.replace("c", "t")) for c in ("c0", "c1")]
+        contexts = rows.groupBy("ctx").agg(*sums, *kinds, F.count("*").alias("t"))
+        rows = rows.join(contexts, "ctx")
+        pool, total = F.col("c0") + F.col("c1"), F.col("n0") + F.col("n1")
+        if lower is None:
+            shared = (F.greatest(pool - d, F.lit(0.0)) + d * F.col("t") / 64) / total
+            rows = rows.withColumns({"q0": shared, "q1": shared})
+        else:
+            below = lower.select(F.col("gram").alias("sub"), F.col("p0").alias("q0"), F.col("p1").alias("q1"))
+            sub = F.col("gram").bitwiseAND(F.lit((1 << 8 * (n - 1)) - 1).cast("bigint"))
+            rows = rows.withColumn("sub", sub).join(below, "sub")
+        rest = lambda k: (s + d * F.col(f"t{k}")) / (s + F.col(f"n{k}"))
+        p = lambda k: F.greatest(F.col(f"c{k}") - d, F.lit(0.0)) / (s + F.col(f"n{k}")) + rest(k) * F.col(f"q{k}")
+        lower = rows.select("gram", pool.cast("double").alias("weight"), p(0).alias("p0"), p(1).alias("p1"))
+        found.append(lower.select(seen_key(F.col("gram"), n).alias("key"), "weight", F.log(F.col("p1") / F.col("p0")).alias("ratio")))
+        weights = contexts.select(rest_key(F.col("ctx"), n).alias("key"), total.cast("double").alias("weight"), F.log(rest(1) / rest(0)).alias("ratio"))
+        found.append(weights)
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def seen_key(gram, order: int):
+    """Key of an n-gram: the gram and its order (Column or numpy)."""
+    return gram * 16 + order if isinstance(gram, Column) else gram << np.uint64(4) | np.uint64(order)
+
+
+def rest_key(context, order: int):
+    """Key of the weight that a context leaves to the order below."""
+    return context * 16 + (order + 8) if isinstance(context, Column) else context << np.uint64(4) | np.uint64(order + 8)
 
 
 def slot_table(found: DataFrame) -> np.ndarray:
@@ -133,8 +158,8 @@ def slot_table(found: DataFrame) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            gram, weight, ratio = (np.asarray(c) for c in batch.columns)
-            columns = [slot_of(gram.view(np.uint64)), weight, weight * ratio]
+            key, weight, ratio = (np.asarray(c) for c in batch.columns)
+            columns = [slot_of(key.view(np.uint64)), weight, weight * ratio]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["slot", "weight", "total"])
 
     by_slot = found.mapInArrow(run, "slot bigint, weight double, total double").groupBy("slot")
@@ -145,13 +170,22 @@ def slot_table(found: DataFrame) -> np.ndarray:
     return table
 
 
+def _gram_ratios(grams: np.ndarray, table: np.ndarray, order: int) -> np.ndarray:
+    """Ratio of each n-gram; an unseen one has its context's weight and the shorter gram's ratio."""
+    ratio = table[slot_of(seen_key(grams, order))]
+    new = np.flatnonzero(np.isnan(ratio))
+    if len(new):
+        rest = np.nan_to_num(table[slot_of(rest_key(grams[new] >> np.uint64(8), order))])
+        shorter = grams[new] & np.uint64((1 << 8 * (order - 1)) - 1)
+        ratio[new] = rest + _gram_ratios(shorter, table, order - 1) if order > LOWEST else rest
+    return ratio
+
+
 def text_ratios(column: pa.Array, table: np.ndarray) -> np.ndarray:
     """Log-likelihood ratio of each row over the square root of its length."""
     out = np.zeros(len(column))
     for first, grams, counts in stream(column):
-        ratio = table[slot_of(grams)]
-        new = np.flatnonzero(np.isnan(ratio))
-        ratio[new] = np.nan_to_num(table[slot_of(grams[new] & ~np.uint64(0xFF))])
+        ratio = _gram_ratios(grams, table, ORDER)
         sums = np.concatenate(([0.0], np.cumsum(ratio, dtype=np.float64)))
         at = np.concatenate(([0], np.cumsum(counts)))
         out[first : first + len(counts)] = (sums[at[1:]] - sums[at[:-1]]) / np.sqrt(np.maximum(counts, 1))

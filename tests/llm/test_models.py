@@ -111,26 +111,35 @@ def test_ratios_by_definition(spark):
     df = spark.createDataFrame([(int(a), b) for a, b in rows], "label int, text string")
     table = toxicity.count_grams(df)
     assert {r.gram: [r.c0, r.c1] for r in table.collect()} == counts
-    d, s = toxicity.DISCOUNT, toxicity.SHARED_MASS
-    low = {}
-    for g in counts:
-        low[g & 0xFFFFFFFF] = low.get(g & 0xFFFFFFFF, 0) + 1
-
-    def shared(g):
-        sub, ctx = g & 0xFFFFFFFF, g >> 8
-        same = [n for k, n in low.items() if k >> 8 == sub >> 8]
-        p_low = (max(low[sub] - d, 0) + d * len(same) / 64) / sum(same)
-        own = [c for k, c in counts.items() if k >> 8 == ctx]
-        return (max(sum(counts[g]) - d, 0) + d * len(own) * p_low) / sum(map(sum, own))
-
-    def p(g, k):
-        own = [c[k] for x, c in counts.items() if x >> 8 == g >> 8]
-        return (max(counts[g][k] - d, 0) + (s + d * sum(c > 0 for c in own)) * shared(g)) / (s + sum(own))
-
-    found = {r.gram: r.ratio for r in toxicity.ratios(table).collect()}
-    for g in counts:
-        assert found[g] == pytest.approx(np.log(p(g, 1) / p(g, 0)))
-    assert {g for g in found if g & 0xFF == 0} == {g >> 8 << 8 for g in counts}
+    d, s = toxicity.DISCOUNT, toxicity.BACKOFF_MASS
+    orders = {5: counts}
+    for n in (4, 3):
+        orders[n] = {}
+        for g, c in orders[n + 1].items():
+            own = orders[n].setdefault(g & (1 << 8 * n) - 1, [0, 0])
+            own[0], own[1] = own[0] + (c[0] > 0), own[1] + (c[1] > 0)
+
+    def p(g, n, k):
+        table = orders[n]
+        near = [c for x, c in table.items() if x >> 8 == g >> 8]
+        if n == 3:
+            total = sum(map(sum, near))
+            low = (max(sum(table.get(g, [0, 0])) - d, 0) + d * len(near) / 64) / total if near else None
+        else:
+            low = p(g & (1 << 8 * (n - 1)) - 1, n - 1, k)
+        own = [c[k] for c in near]
+        return (max(table.get(g, [0, 0])[k] - d, 0) + (s + d * sum(c > 0 for c in own)) * low) / (s + sum(own))
+
+    found = {r.key: r.ratio for r in toxicity.ratios(table).collect()}
+    for n, grams in orders.items():
+        for g in grams:
+            assert found[toxicity.seen_key(np.uint64(g), n).item()] == pytest.approx(np.log(p(g, n, 1) / p(g, n, 0)))
+    slots = toxicity.slot_table(toxicity.ratios(table))
+    for g in counts:  # "x" after each context: unseen at some order, seen below or not at all
+        new = g >> 8 << 8 | ord("b")
+        got = toxicity._gram_ratios(np.array([new], dtype=np.uint64), slots, 5)[0]
+        if new & 0xFFFFFF in orders[3]:
+            assert got == pytest.approx(np.log(p(new, 5, 1) / p(new, 5, 0)), abs=1e-5)
 
 
 def test_op7_finds_planted_words(spark, work):
