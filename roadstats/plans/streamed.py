@@ -132,6 +132,9 @@ STREAM_QUERIES = {
     "stream_link_stats_ttl": _stats("ttl"),
 }
 
+#: The first key of each variant, which pays for its replay and drain; the others re-read its tables.
+FIRST_READERS = ("stream_raw", "stream_link_stats_split", "stream_late_data", "stream_compacted_stats", "stream_two_runs", "stream_link_stats_ttl")
+
 _STATUS = "('trip_end', 'waiting_at_origin_node')"
 # Closed windows after the drain: window_end <= watermark = max event second - 60 s.
 _CLOSED = f"""WHERE window_end <= (SELECT make_timestamp((CAST(max(trunc(t)) AS BIGINT) - 60) * 1000000)
