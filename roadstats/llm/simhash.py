@@ -246,11 +246,15 @@ def one_of_each(
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "fp")
     by_fp = rows.groupBy("fp").agg(F.min(order).alias("first"))
     first = by_fp.join(classes.select("fp", "root"), "fp").groupBy("root").agg(F.min("first").alias("first"))
-    own, key = free_name(docs, "_id"), free_name(docs, "_key")
-    kept = first.select(F.col("first.doc_id").alias(own), F.col("first.text_key").alias(key))
-    keyed = docs.withColumns({key: text_key(text_col), own: F.col(id_col).cast("bigint")})
-    on = keyed[own].eqNullSafe(kept[own]) & (keyed[key] == kept[key])
-    return keyed.join(kept, on, "left_semi").dropDuplicates([own, key]).select(*docs.columns)
+    # The same plain keys serve the join and the removal of repeated rows: one shuffle of the texts.
+    keys = [free_name(docs, n) for n in ("_id", "_none", "_key")]
+
+    def values(doc_id: Column, key: Column) -> dict[str, Column]:
+        return dict(zip(keys, (F.coalesce(doc_id, F.lit(0).cast("bigint")), doc_id.isNull(), key)))
+
+    kept = first.select(*[v.alias(k) for k, v in values(F.col("first.doc_id"), F.col("first.text_key")).items()])
+    keyed = docs.withColumns(values(F.col(id_col).cast("bigint"), text_key(text_col)))
+    return keyed.join(kept, keys, "left_semi").dropDuplicates(keys).select(*docs.columns)
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
