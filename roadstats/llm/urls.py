@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadstats.llm.folds import one_label
+from roadstats.session import new_work_dir
 
 #: (verdict, host, path): fixed values of the contract.
 RULES = (
@@ -106,7 +107,6 @@ def mine(transactions: DataFrame, min_support: float, min_confidence: float, min
 
 def matched(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """(url, rule, confidence): the most confident mined rule that each distinct URL meets."""
-    rules = rules.cache()
     few = rules.count() <= MOST_BROADCAST
     tokens = urls.select("url", tokens_of(F.col("url")).alias("tokens")).select("url", "tokens", F.explode("tokens").alias("key"))
     meetings = tokens.join(F.broadcast(rules) if few else rules, "key").where(F.size(F.array_except("rule", "tokens")) == 0)
@@ -122,7 +122,9 @@ def judge(
     known = one_label(rejected, "bad").withColumnRenamed("doc_id", "page_id")
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), "url")
     transactions = rows.join(known, "page_id").select(tokens_of(F.col("url")).alias("tokens"), (F.col("label") > 0).alias("blocked"))
-    rules = mine(transactions, min_support, min_confidence, min_lift)
+    root = new_work_dir(pages.sparkSession, "url-rules")
+    mine(transactions, min_support, min_confidence, min_lift).write.parquet(root)
+    rules = pages.sparkSession.read.parquet(root)
     mined = matched(rows.where("url IS NOT NULL").select("url").distinct(), rules)
     judged = rows.join(mined, "url", "left")
     host, path = F.coalesce(host_of(F.col("url")), F.lit("")), F.coalesce(path_of(F.col("url")), F.lit(""))
