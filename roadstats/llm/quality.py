@@ -138,32 +138,49 @@ def _minimise(function, at: np.ndarray, steps: int, memory: int = 8) -> np.ndarr
     return at
 
 
+def _row_groups(ends: np.ndarray, values: int = 1 << 18) -> list[tuple[int, int]]:
+    """Runs of rows with about ``values`` features each, so that the fit's temporaries stay small."""
+    out, lo = [], 0
+    while lo < len(ends) - 1:
+        hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + values, side="right")) - 1)
+        out.append((lo, hi))
+        lo = hi
+    return out
+
+
 def fit_weights(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, n_grades: int, steps: int = 60) -> tuple[np.ndarray, np.ndarray]:
     """(weights, thresholds) that maximise the cumulative-link likelihood.
 
     Thresholds are the first one and log-steps between the others, so they stay ordered.
     """
-    used, at = np.unique(np.concatenate([s for s, _ in rows]), return_inverse=True)
-    values = np.concatenate([v for _, v in rows]).astype(np.float64)
-    row = np.repeat(np.arange(len(rows)), [len(s) for s, _ in rows])
+    slots = np.concatenate([s for s, _ in rows])
+    values = np.concatenate([v for _, v in rows])
+    ends = np.cumsum([0, *(len(s) for s, _ in rows)])
+    rows_of = _row_groups(ends)
     cuts = n_grades - 1
 
     def thresholds(tail: np.ndarray) -> np.ndarray:
         return tail[0] + np.concatenate(([0.0], np.cumsum(np.exp(tail[1:]))))
 
     def loss(x: np.ndarray) -> tuple[float, np.ndarray]:
-        w, tail = x[: len(used)], x[len(used) :]
-        t = thresholds(tail)
-        f = np.bincount(row, weights=values * w[at], minlength=len(rows))
+        w, tail = x[:FEATURES], x[FEATURES:]
+        t, f = thresholds(tail), np.zeros(len(grades))
+        for lo, hi in rows_of:
+            part = slice(ends[lo], ends[hi])
+            row = np.repeat(np.arange(hi - lo), np.diff(ends[lo : hi + 1]))
+            f[lo:hi] = np.bincount(row, weights=values[part] * w[slots[part]], minlength=hi - lo)
         edge = np.concatenate(([-np.inf], t, [np.inf]))
         upper, lower = _sigmoid(edge[grades + 1] - f), _sigmoid(edge[grades] - f)
         upper, lower = np.where(grades == cuts, 1.0, upper), np.where(grades == 0, 0.0, lower)
         p = np.maximum(upper - lower, 1e-12)
-        by_f = -(upper + lower - 1) / len(rows)
+        by_f = -(upper + lower - 1) / len(grades)
         by_t = np.zeros(cuts)
-        np.add.at(by_t, np.minimum(grades, cuts - 1), np.where(grades < cuts, -upper * (1 - upper) / p, 0.0) / len(rows))
-        np.add.at(by_t, np.maximum(grades - 1, 0), np.where(grades > 0, lower * (1 - lower) / p, 0.0) / len(rows))
-        by_w = np.bincount(at, weights=values * by_f[row], minlength=len(used)) + 2 * PENALTY * w
+        np.add.at(by_t, np.minimum(grades, cuts - 1), np.where(grades < cuts, -upper * (1 - upper) / p, 0.0) / len(grades))
+        np.add.at(by_t, np.maximum(grades - 1, 0), np.where(grades > 0, lower * (1 - lower) / p, 0.0) / len(grades))
+        by_w = 2 * PENALTY * w
+        for lo, hi in rows_of:
+            part = slice(ends[lo], ends[hi])
+            by_w += np.bincount(slots[part], weights=values[part] * np.repeat(by_f[lo:hi], np.diff(ends[lo : hi + 1])), minlength=FEATURES)
         later = np.cumsum(by_t[::-1])[::-1]
         by_tail = np.concatenate(([later[0]], later[1:] * np.exp(tail[1:])))
         return float(-np.log(p).mean() + PENALTY * (w @ w)), np.concatenate((by_w, by_tail))
@@ -171,10 +188,8 @@ def fit_weights(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, n
     share = np.array([(np.sum(grades < k) + 1) / (len(grades) + 2) for k in range(1, n_grades)])
     first = np.log(share / (1 - share))
     tail = np.concatenate((first[:1], np.log(np.maximum(np.diff(first), 1e-2))))
-    best = _minimise(loss, np.concatenate((np.zeros(len(used)), tail)), steps)
-    weights = np.zeros(FEATURES, dtype=np.float32)
-    weights[used] = best[: len(used)]
-    return weights, thresholds(best[len(used) :])
+    best = _minimise(loss, np.concatenate((np.zeros(FEATURES), tail)), steps)
+    return best[:FEATURES].astype(np.float32), thresholds(best[FEATURES:])
 
 
 class Model:
