@@ -16,9 +16,10 @@ curve.
 
 Counts cover every labelled row of folds 0 and 1, gathered by a distributed aggregation keyed by
 the 5-gram; the logistic curve is fitted on a histogram of all labelled rows of fold 3. Fold 2
-(see ``folds.fold``) is held out. Ratios and backoff weights travel as one table of ``SLOTS``
-hashed slots (16 MB at any corpus size); n-grams that share a slot share their count-weighted
-mean.
+(see ``folds.fold``) is held out. Ratios and backoff weights are written under their exact keys
+(n-gram and order), one row each, so the table grows with the input. Up to ``MOST_KEYS`` rows it is
+broadcast in key order; beyond that the texts' distinct n-grams are joined with it by key, those in
+many texts by broadcast (``joined_ratios``). Both ways give the same ratios.
 
 Defined results: null and empty texts have ratio 0 and so the curve's value there. Repeated rows
 score alike; in training each counts. Without labels of both classes every score is 0. Labels
@@ -36,16 +37,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadstats.llm.folds import fold, free_name, one_label
-from roadstats.llm.words import LOWER, WORD, mix, text_bytes
+from roadstats.llm.words import LOWER, WORD, text_bytes
 from roadstats.session import new_work_dir
 
 ORDER, LOWEST = 5, 3
 DISCOUNT = 0.75
 BACKOFF_MASS = 5.0
-SLOTS = 1 << 22
 THRESHOLD = 0.3
 #: Most labels that are broadcast to the texts (about 32 MB); more are joined by shuffle.
 MOST_BROADCAST = 1_000_000
+#: Most ratios and backoff weights that are broadcast to the texts (64 MB); more are joined by shuffle.
+MOST_KEYS = 1 << 22
+#: In that join an n-gram with more than one of so many (text, n-gram) pairs is broadcast: fewer than
+#: so many n-grams have that many.
+HOT_SHARE = 100_000
 #: Histogram of ratios for the logistic curve: bins a unit, and units on either side of 0.
 BINS, SPAN = 256, 16
 _FOLDED = np.where(WORD, LOWER, 32).astype(np.uint8)
@@ -86,10 +91,6 @@ def _grams(text: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return grams
 
 
-def slot_of(keys: np.ndarray) -> np.ndarray:
-    return (mix(keys) & np.uint64(SLOTS - 1)).astype(np.int64)
-
-
 def count_grams(rows: DataFrame) -> DataFrame:
     """(gram, c0, c1) over rows (label 0/1, text)."""
 
@@ -108,7 +109,7 @@ def count_grams(rows: DataFrame) -> DataFrame:
 
 
 def ratios(grams: DataFrame) -> DataFrame:
-    """(key, weight, ratio): log P_toxic - log P_ordinary of each n-gram of the orders 5 to 3, and
+    """(key, ratio): log P_toxic - log P_ordinary of each n-gram of the orders 5 to 3, and
     of the weight that each context gives to the order below (see ``seen_key``, ``rest_key``)."""
     d, s = F.lit(DISCOUNT), F.lit(BACKOFF_MASS)
     counts = {ORDER: grams}
@@ -133,10 +134,9 @@ def ratios(grams: DataFrame) -> DataFrame:
             rows = rows.withColumn("sub", sub).join(below, "sub")
         rest = lambda k: (s + d * F.col(f"t{k}")) / (s + F.col(f"n{k}"))
         p = lambda k: F.greatest(F.col(f"c{k}") - d, F.lit(0.0)) / (s + F.col(f"n{k}")) + rest(k) * F.col(f"q{k}")
-        lower = rows.select("gram", pool.cast("double").alias("weight"), p(0).alias("p0"), p(1).alias("p1"))
-        found.append(lower.select(seen_key(F.col("gram"), n).alias("key"), "weight", F.log(F.col("p1") / F.col("p0")).alias("ratio")))
-        weights = contexts.select(rest_key(F.col("ctx"), n).alias("key"), total.cast("double").alias("weight"), F.log(rest(1) / rest(0)).alias("ratio"))
-        found.append(weights)
+        lower = rows.select("gram", p(0).alias("p0"), p(1).alias("p1"))
+        found.append(lower.select(seen_key(F.col("gram"), n).alias("key"), F.log(F.col("p1") / F.col("p0")).alias("ratio")))
+        found.append(contexts.select(rest_key(F.col("ctx"), n).alias("key"), F.log(rest(1) / rest(0)).alias("ratio")))
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
@@ -153,65 +153,128 @@ def rest_key(context, order: int):
     return context * 16 + (order + 8) if isinstance(context, Column) else context << np.uint64(4) | np.uint64(order + 8)
 
 
-def slot_table(found: DataFrame) -> np.ndarray:
-    """The ratios by hashed slot (NaN where nothing was counted): ``SLOTS`` floats at most."""
+def slot_table(found: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Keys in order and their ratios; the last key is above all others and has none."""
+    rows = found.select("key", "ratio").toArrow()
+    keys = np.asarray(rows.column("key")).astype(np.uint64)
+    order = np.argsort(keys)
+    ratio = np.asarray(rows.column("ratio")).astype(np.float64)
+    return np.append(keys[order], np.uint64(2**64 - 1)), np.append(ratio[order], np.nan)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            key, weight, ratio = (np.asarray(c) for c in batch.columns)
-            columns = [slot_of(key.view(np.uint64)), weight, weight * ratio]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["slot", "weight", "total"])
 
-    by_slot = found.mapInArrow(run, "slot bigint, weight double, total double").groupBy("slot")
-    slots = by_slot.agg((F.sum("total") / F.sum("weight")).cast("float").alias("ratio"))
-    table = np.full(SLOTS, np.nan, dtype=np.float32)
-    rows = slots.select(F.col("slot").cast("int"), "ratio").toArrow()
-    table[np.asarray(rows.column("slot"))] = np.asarray(rows.column("ratio"))
-    return table
+def _look_up(keys: np.ndarray, table: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Ratio of each key, NaN where it was not counted."""
+    known, ratio = table
+    at = np.searchsorted(known, keys)
+    return np.where(known[at] == keys, ratio[at], np.nan)
 
 
-def _gram_ratios(grams: np.ndarray, table: np.ndarray, order: int) -> np.ndarray:
+def _gram_ratios(grams: np.ndarray, table: tuple[np.ndarray, np.ndarray], order: int) -> np.ndarray:
     """Ratio of each n-gram; an unseen one has its context's weight and the shorter gram's ratio."""
-    ratio = table[slot_of(seen_key(grams, order))]
+    ratio = _look_up(seen_key(grams, order), table)
     new = np.flatnonzero(np.isnan(ratio))
     if len(new):
-        rest = np.nan_to_num(table[slot_of(rest_key(grams[new] >> np.uint64(8), order))])
+        rest = np.nan_to_num(_look_up(rest_key(grams[new] >> np.uint64(8), order), table))
         shorter = grams[new] & np.uint64((1 << 8 * (order - 1)) - 1)
         ratio[new] = rest + _gram_ratios(shorter, table, order - 1) if order > LOWEST else rest
     return ratio
 
 
-def text_ratios(column: pa.Array, table: np.ndarray) -> np.ndarray:
+def text_ratios(column: pa.Array, table: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     """Log-likelihood ratio of each row over the square root of its length."""
     out = np.zeros(len(column))
     for first, grams, counts in stream(column):
-        ratio = _gram_ratios(grams, table, ORDER)
+        distinct, place = np.unique(grams, return_inverse=True)
+        ratio = _gram_ratios(distinct, table, ORDER)[place]
         sums = np.concatenate(([0.0], np.cumsum(ratio, dtype=np.float64)))
         at = np.concatenate(([0], np.cumsum(counts)))
         out[first : first + len(counts)] = (sums[at[1:]] - sums[at[:-1]]) / np.sqrt(np.maximum(counts, 1))
     return out
 
 
+def text_grams(rows: DataFrame) -> DataFrame:
+    """(text_key, gram, n, size) over rows (text_key, text): each text's distinct 5-grams, how often
+    each occurs in it and how many it has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, grams, counts in stream(batch.column(1)):
+                row = np.repeat(np.arange(len(counts), dtype=np.uint64), counts)
+                pairs, n = np.unique(row << np.uint64(8 * ORDER) | grams, return_counts=True)
+                row = (pairs >> np.uint64(8 * ORDER)).astype(np.int64)
+                gram = (pairs & np.uint64((1 << 8 * ORDER) - 1)).view(np.int64)
+                columns = [batch.column(0).take(pa.array(first + row)), *(pa.array(c.astype(np.int64)) for c in (gram, n, counts[row]))]
+                yield pa.RecordBatch.from_arrays(columns, ["text_key", "gram", "n", "size"])
+
+    return rows.select("text_key", "text").mapInArrow(run, "text_key string, gram bigint, n bigint, size bigint")
+
+
+def resolved(grams: DataFrame, found: DataFrame) -> DataFrame:
+    """``grams`` with the ratio of each 5-gram, by joins what ``_gram_ratios`` looks up."""
+    rows = grams.withColumns({"ratio": F.lit(0.0), "open": F.lit(True)})
+    for n in range(ORDER, LOWEST - 1, -1):
+        kind = lambda tag, key, value: found.where(F.col("key").bitwiseAND(F.lit(15)) == tag).select(F.shiftright("key", 4).alias(key), F.col("ratio").alias(value))
+        shorter = F.col("gram").bitwiseAND(F.lit((1 << 8 * n) - 1).cast("bigint"))
+        rows = rows.withColumns({"shorter": shorter, "ctx": F.shiftright(shorter, 8)})
+        rests = kind(n + 8, "ctx", "rest")
+        # Two bytes make few contexts, but very many n-grams share one.
+        rows = rows.join(kind(n, "shorter", "seen"), "shorter", "left").join(F.broadcast(rests) if n == LOWEST else rests, "ctx", "left")
+        step = F.when(F.col("open"), F.coalesce("seen", "rest", F.lit(0.0))).otherwise(0.0)
+        rows = rows.select(*grams.columns, (F.col("ratio") + step).alias("ratio"), (F.col("open") & F.col("seen").isNull()).alias("open"))
+    return rows.drop("open")
+
+
+def joined_ratios(docs: DataFrame, text_col: str, name: str, found: DataFrame) -> DataFrame:
+    """``docs`` and the ratio of each row's text as ``name``, with the texts' n-grams joined to
+    ``found`` by key. Texts are told apart by their SHA-256; repeated ones have one ratio."""
+    root, key = new_work_dir(docs.sparkSession, "toxicity-pairs"), free_name(docs, "_text_key")
+    read = docs.sparkSession.read.parquet
+    digest = F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)
+    text_grams(docs.select(digest.alias("text_key"), F.col(text_col).alias("text"))).write.parquet(f"{root}/pairs")
+    pairs = read(f"{root}/pairs")
+    pairs.groupBy("gram").agg(F.count("*").alias("texts")).write.parquet(f"{root}/grams")
+    resolved(read(f"{root}/grams"), found).write.parquet(f"{root}/ratios")
+    ratio = read(f"{root}/ratios")
+    most = (ratio.agg(F.sum("texts")).first()[0] or 0) / HOT_SHARE
+    hot = ratio.where(F.col("texts") > most).select("gram", "ratio")
+    cold = ratio.where(F.col("texts") <= most).select("gram", "ratio")
+    far = pairs.join(F.broadcast(hot.select("gram")), "gram", "left_anti").join(cold, "gram")
+    both = pairs.join(F.broadcast(hot), "gram").unionByName(far)
+    # The mean is the same however often a text is repeated.
+    mean = F.sum(F.col("n") * F.col("ratio")) / F.sum("n")
+    by_text = both.groupBy(F.col("text_key").alias(key)).agg((mean * F.sqrt(F.max("size"))).alias(name))
+    rows = docs.withColumn(key, digest).join(by_text, key, "left")
+    return rows.select(*docs.columns, F.coalesce(F.col(name), F.lit(0.0)).alias(name))
+
+
 class Model:
-    """Fitted ratios and logistic curve: probability of toxic = sigmoid(slope x ratio + offset)."""
+    """Fitted ratios and logistic curve: probability of toxic = sigmoid(slope x ratio + offset).
 
-    def __init__(self, spark: SparkSession, table: np.ndarray | None, slope: float = 0.0, offset: float = 0.0):
-        self.shared = spark.sparkContext.broadcast(table) if table is not None else None
-        self.slope, self.offset = slope, offset
+    ``found`` has the ratios by key; ``shared`` has them broadcast where they are few. Without
+    ``found`` every ratio is 0.
+    """
+
+    def __init__(self, found: DataFrame | None):
+        self.found, self.shared, self.slope, self.offset = found, None, 0.0, 0.0
+        if found is not None and found.count() <= MOST_KEYS:
+            self.shared = found.sparkSession.sparkContext.broadcast(slot_table(found))
 
-    def ratio(self, text: Column | str) -> Column:
+    def with_ratio(self, docs: DataFrame, text_col: str, name: str) -> DataFrame:
+        """``docs`` and the ratio of each row's text as ``name`` (a free name)."""
+        if self.found is None:
+            return docs.select("*", F.lit(0.0).alias(name))
         if self.shared is None:
-            return F.lit(0.0)
+            return joined_ratios(docs, text_col, name, self.found)
         shared = self.shared
 
         @F.arrow_udf("double")
         def run(column: pa.Array) -> pa.Array:
             return pa.array(text_ratios(column, shared.value))
 
-        return run(F.col(text) if isinstance(text, str) else text)
+        return docs.select("*", run(F.col(text_col)).alias(name))
 
     def probability(self, ratio: Column) -> Column:
-        if self.shared is None:
+        if self.found is None:
             return F.lit(0.0)
         return 1.0 / (1.0 + F.exp(-(F.lit(self.slope) * ratio + F.lit(self.offset))))
 
@@ -245,21 +308,24 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     grams = spark.read.parquet(f"{root}/grams")
     seen = grams.agg(F.sum("c0"), F.sum("c1")).first()
     if not seen[0] or not seen[1]:
-        return Model(spark, None)
-    model = Model(spark, slot_table(ratios(grams)))
+        return Model(None)
+    ratios(grams).write.parquet(f"{root}/ratios")
+    model = Model(spark.read.parquet(f"{root}/ratios"))
     # Of fold 3 only ids and ratios are joined, not texts.
-    held = rows.where("fold = 3").select("doc_id", model.ratio("text").alias("x")).join(known, "doc_id")
+    held = model.with_ratio(rows.where("fold = 3"), "text", "x").select("doc_id", "x").join(known, "doc_id")
     bin_no = F.floor(F.greatest(F.lit(-float(SPAN)), F.least(F.lit(float(SPAN)), F.col("x"))) * BINS)
     bins = held.groupBy(bin_no.alias("bin"), "label").count().collect()
     if len({r["label"] for r in bins}) < 2:
-        return Model(spark, None)
-    slope, offset = fit_curve([((r["bin"] + 0.5) / BINS, r["label"], r["count"]) for r in bins])
-    return Model(spark, model.shared.value, max(slope, 0.0), offset)
+        return Model(None)
+    slope, model.offset = fit_curve([((r["bin"] + 0.5) / BINS, r["label"], r["count"]) for r in bins])
+    model.slope = max(slope, 0.0)
+    return model
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row."""
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), model.ratio(text_col).alias("ratio"))
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    rows = model.with_ratio(rows, "text", "ratio")
     scored = rows.select("doc_id", (fold() == 2).alias("held_out"), model.probability(F.col("ratio")).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
@@ -268,7 +334,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
     """The rows of ``docs`` (all columns) that score below ``threshold``."""
     model = fit(docs, labels)
     ratio = free_name(docs, "_ratio")
-    scored = docs.select("*", model.ratio("text").alias(ratio))
+    scored = model.with_ratio(docs, "text", ratio)
     return scored.where(model.probability(F.col(ratio)) < threshold).select(*docs.columns)
 
 

@@ -142,6 +142,31 @@ def test_ratios_by_definition(spark):
             assert got == pytest.approx(np.log(p(new, 5, 1) / p(new, 5, 0)), abs=1e-5)
 
 
+def test_unseen_grams_are_told_from_seen(spark):
+    seen = F.when(F.col("id") % 2 == 0, toxicity.seen_key(F.col("id") * 7919, 5)).otherwise(toxicity.rest_key(F.col("id") * 7919, 5))
+    found = spark.range(400_000).select(seen.alias("key"), F.lit(1.0).alias("weight"), (F.col("id") + 1.0).alias("ratio"))
+    table = toxicity.slot_table(found)
+    ids = np.arange(0, 400_000, 2, dtype=np.uint64)
+    assert (toxicity._gram_ratios(ids * np.uint64(7919), table, 5) == ids + 1.0).all()
+    strangers = (np.arange(400_000, dtype=np.uint64) * np.uint64(7919)) + (np.uint64(1) << np.uint64(39))
+    assert not toxicity._gram_ratios(strangers, table, 5).any()
+
+
+def test_joined_ratios_equal_broadcast_ones(spark, odd_dir, monkeypatch):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    docs = docs.union(spark.read.parquet(f"{odd_dir}/documents.parquet").selectExpr("doc_id + 1000000", "text")).union(docs.limit(50))
+    labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet")
+    near = toxicity.fit(docs, labels)
+    monkeypatch.setattr(toxicity, "MOST_KEYS", 0)
+    monkeypatch.setattr(toxicity, "HOT_SHARE", 2_000)
+    far = toxicity.fit(docs, labels)
+    assert near.shared is not None and far.shared is None
+    assert (far.slope, far.offset) == pytest.approx((near.slope, near.offset), rel=0.02)
+    got = [sorted((repr(r.doc_id), r.text or "", r.x) for r in m.with_ratio(docs, "text", "x").collect()) for m in (near, far)]
+    assert [r[:2] for r in got[0]] == [r[:2] for r in got[1]] and len(got[0]) == docs.count()
+    assert np.allclose([r[2] for r in got[0]], [r[2] for r in got[1]], atol=1e-9)
+
+
 def test_op7_finds_planted_words(spark, work):
     rng = np.random.default_rng(3)
     rows, labels = [], []
