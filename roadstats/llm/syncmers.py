@@ -6,15 +6,16 @@ smallest inner run of ``S`` words, by hash, is the first or the last one. The ch
 nothing outside the k-mer, so an edit changes only the anchors it touches: equal stretches keep
 equal anchors, wherever they move.
 
-``anchors`` gives every syncmer of a text as one bigint, hash above position. ``fingerprint``
-keeps the ``SIZE`` anchors of smallest hash (each hash once, at its first position), a sketch
-of bounded size whatever the text's length. ``likeness`` estimates from two sketches the share
-of anchors the texts have in common; ``matches`` gives the anchors two fingerprints share with
-both positions, for positional matching.
+``anchors`` gives every syncmer of a text as one bigint, hash above position, and ``sketch`` puts
+all of them in hash order: the fingerprint grows with the text. ``likeness`` is the share of
+distinct anchors the texts have in common; ``matches`` gives the anchors two fingerprints share
+with both positions, for positional matching (a repeated anchor with each of its positions);
+``last_match`` is the last such position in the first text.
 
 ``next_texts`` puts beside each row the text of the next doc_id without a one-task sort: doc_id
 ranges from approximate percentiles hold about ``RANGE_BYTES`` each, and the first rows of every
-range are repeated in the range before it.
+range are repeated in the range before it. Columns made from the rows (the fingerprint) are made
+after the rows were dealt out, so that only texts are shuffled.
 
 Defined results: a null or empty text has no anchor and an empty fingerprint; a shorter text
 than a k-mer has its whole sequence as its one anchor. Two empty fingerprints are alike (1), an
@@ -31,7 +32,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 K, S = 4, 2
-SIZE = 64
 MAX_POSITION = (1 << 24) - 1
 HASH_BITS = 39
 #: Text that one range of ids holds, about, and the most ranges.
@@ -86,10 +86,9 @@ def _hash(anchor: Column) -> Column:
     return F.shiftright(anchor, 24)
 
 
-def sketch(found: Column, size: int = SIZE) -> Column:
-    """The ``size`` anchors of smallest hash, in hash order, each hash once."""
-    once = lambda ordered: F.filter(ordered, lambda a, i: (i == 0) | (_hash(a) != _hash(ordered[F.greatest(i - 1, F.lit(0))])))
-    return F.slice(_let(F.sort_array(found), once), 1, size)
+def sketch(found: Column) -> Column:
+    """All anchors, in hash order."""
+    return F.sort_array(found)
 
 
 def as_text(fingerprint: Column) -> Column:
@@ -97,31 +96,71 @@ def as_text(fingerprint: Column) -> Column:
     return F.lower(F.array_join(F.transform(fingerprint, lambda a: F.lpad(F.hex(a), 16, "0")), ""))
 
 
-def likeness(a: Column, b: Column, size: int = SIZE) -> Column:
-    """Estimated share of anchors that two texts have in common, 0 to 1 (Dice: twice the shared
-    ones over the sum of both), from the sketches' smallest hashes of the union."""
-    hashes = lambda f: F.transform(f, _hash)
+def likeness(a: Column, b: Column) -> Column:
+    """Share of distinct anchors that two texts have in common, 0 to 1 (Dice: twice the shared
+    ones over the sum of both)."""
+    hashes = lambda f: F.array_distinct(F.transform(f, _hash))
 
     def of(x: Column, y: Column) -> Column:
-        least = F.slice(F.sort_array(F.array_union(x, y)), 1, size)
-        shared = F.array_intersect(least, F.array_intersect(x, y))
-        return F.when(F.size(least) == 0, F.lit(1.0)).otherwise(2 * F.size(shared) / (F.size(least) + F.size(shared)))
+        both = F.size(x) + F.size(y)
+        return F.when(both == 0, F.lit(1.0)).otherwise(2 * F.size(F.array_intersect(x, y)) / both)
 
     return _let(hashes(a), lambda x: _let(hashes(b), lambda y: of(x, y)))
 
 
+def _merged(a: Column, b: Column) -> Column:
+    """Anchors of both in one order: by hash, those of ``a`` before those of ``b``, by position."""
+    side = lambda n: lambda x: F.shiftleft(_hash(x), 25).bitwiseOR(F.lit(n << 24).cast("bigint")).bitwiseOR(_place(x))
+    return F.sort_array(F.concat(F.transform(a, side(0)), F.transform(b, side(1))))
+
+
+def _place(anchor: Column) -> Column:
+    return anchor.bitwiseAND(F.lit(MAX_POSITION).cast("bigint"))
+
+
+def _group(merged: Column) -> Column:
+    return F.shiftrightunsigned(merged, 25)
+
+
+def _of_b(merged: Column) -> Column:
+    return F.shiftright(merged, 24).bitwiseAND(F.lit(1).cast("bigint")) == 1
+
+
 def matches(a: Column, b: Column) -> Column:
-    """Anchors of both fingerprints: array<struct<hash, position in a, position in b>>."""
-    place = lambda x: x.bitwiseAND(F.lit(MAX_POSITION).cast("bigint"))
-    of_b = F.map_from_entries(F.transform(b, lambda x: F.struct(_hash(x), place(x))))
-    shared = lambda m: F.filter(a, lambda x: F.map_contains_key(m, _hash(x)))
-    row = lambda m, x: F.struct(_hash(x).alias("hash"), place(x).alias("a"), m[_hash(x)].alias("b"))
-    return _let(of_b, lambda m: F.transform(shared(m), lambda x: row(m, x)))
+    """Anchors of both fingerprints, each pair of places: array<struct<hash, position in a, position in b>>."""
+    row = lambda x, y: F.struct(_group(x).alias("hash"), _place(x).alias("a"), _place(y).alias("b"))
+
+    def pairs(group: Column) -> Column:
+        of_a, of_b = F.filter(group, lambda x: ~_of_b(x)), F.filter(group, _of_b)
+        return _let(of_b, lambda ys: F.flatten(F.transform(of_a, lambda x: F.transform(ys, lambda y: row(x, y)))))
+
+    def of(merged: Column) -> Column:
+        begins = F.filter(_span(F.size(merged) - 1), lambda i: (i == 0) | (_group(F.get(merged, i - 1)) != _group(F.get(merged, i))))
+        end = lambda f, n: F.coalesce(F.get(f, n + 1), F.size(merged))
+        group = lambda f: F.transform(f, lambda at, n: pairs(F.slice(merged, at + 1, end(f, n) - at)))
+        return F.flatten(_let(begins, group))
+
+    return _let(_merged(a, b), of)
+
+
+def last_match(a: Column, b: Column) -> Column:
+    """Largest position in ``a`` of an anchor that ``b`` has too, null without one."""
+
+    def of(merged: Column) -> Column:
+        # The last anchor of a with some hash stands right before the first of b with it.
+        def meets(x: Column, i: Column) -> Column:
+            after = F.get(merged, i + 1)
+            return ~_of_b(x) & _of_b(after) & (_group(x) == _group(after))
+
+        return F.array_max(F.transform(F.filter(merged, meets), _place))
+
+    return _let(_merged(a, b), of)
 
 
-def next_texts(docs: DataFrame, kept: list[str], range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """``docs`` (doc_id, text, ...) with ``next_<name>`` of the row that follows in doc_id order,
-    for each name in ``kept``; the last row is followed by the first."""
+def next_texts(docs: DataFrame, kept: list[str], range_bytes: int = RANGE_BYTES, made: dict[str, Column] | None = None) -> DataFrame:
+    """``docs`` (doc_id, text, ...) and the columns ``made`` from each row, with ``next_<name>`` of
+    the row that follows in doc_id order, for each name in ``kept``; the last row is followed by
+    the first."""
     size = docs.agg(F.sum(F.octet_length("text")).alias("bytes"), F.count("*").alias("rows")).first()
     ranges = max(1, min(MAX_RANGES, (size["bytes"] or 0) // range_bytes, size["rows"] // 2))
     wanted = [F.lit(n / ranges) for n in range(1, ranges)] or [F.lit(0.5)]
@@ -142,6 +181,8 @@ def next_texts(docs: DataFrame, kept: list[str], range_bytes: int = RANGE_BYTES)
     round_up = rows.where(first_id).withColumn("_range", F.lit(len(cuts))).withColumn("_ahead", F.lit(True))
     order = Window.partitionBy("_range").orderBy("_ahead", F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
     both = rows.unionByName(ahead).unionByName(round_up)
+    if made:
+        both = both.repartition("_range").withColumns(made)
     # The last range is followed by the round-up rows only; elsewhere "ahead" rows sort last too.
     for name in kept:
         both = both.withColumn(f"next_{name}", F.lead(name).over(order))
@@ -157,10 +198,9 @@ def edited(text: Column, after: Column) -> Column:
 def op2_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = next_texts(docs.withColumn("fp", sketch(anchors(F.col("text")))), ["text", "fp"])
+    rows = next_texts(docs, ["text", "fp"], made={"fp": sketch(anchors(F.col("text")))})
     rows = rows.withColumn("edit", edited(F.col("text"), F.col("next_text")))
     rows = rows.withColumn("edit_fp", sketch(anchors(F.col("edit"))))
-    shared = matches(F.col("fp"), F.col("edit_fp"))
     return rows.select(
         "doc_id",
         F.char_length("text").cast("bigint").alias("n_chars"),
@@ -169,5 +209,5 @@ def op2_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
         as_text(F.col("edit_fp")).alias("edited_fingerprint"),
         likeness(F.col("fp"), F.col("edit_fp")).alias("near_edited"),
         likeness(F.col("fp"), F.col("next_fp")).alias("near_next"),
-        F.array_max(F.transform(shared, lambda m: m["a"])).alias("last_match"),
+        last_match(F.col("fp"), F.col("edit_fp")).alias("last_match"),
     )

@@ -105,6 +105,38 @@ def test_syncmers_match_moved_text(spark):
     assert {m["b"] - m["a"] for m in got.m} == {4} and got.near > 0.9 and got.same == 1.0
 
 
+def test_fingerprints_hold_every_syncmer(spark):
+    rng = np.random.default_rng(5)
+    a = [f"w{n}" for n in rng.integers(0, 10**9, 20_000)]
+    b = [f"w{n}" for n in rng.integers(0, 10**9, 20_000)]
+    b[7_000:7_050] = a[12_000:12_050]
+    edit = a[:9_000] + ["other"] + a[9_001:]
+    rows = [(" ".join(a), " ".join(b)), (" ".join(a), " ".join(edit)), ("x y x y x y z x y x y q", "x y x y x y"), ("", "a b"), ("", "")]
+    df = spark.createDataFrame([(n, *r) for n, r in enumerate(rows)], "n int, a string, b string")
+    fa, fb = (syncmers.sketch(syncmers.anchors(F.col(c))) for c in "ab")
+    made = df.select("n", syncmers.anchors(F.col("a")).alias("all"), fa.alias("fa"), fb.alias("fb"))
+    last = F.array_max(F.transform(syncmers.matches(F.col("fa"), F.col("fb")), lambda m: m["a"]))
+    got = made.select("*", syncmers.matches(F.col("fa"), F.col("fb")).alias("m"), syncmers.likeness(F.col("fa"), F.col("fb")).alias("near"), last.alias("last"))
+    got = got.orderBy("n").collect()
+    place = lambda x: x & syncmers.MAX_POSITION
+    for r in got:
+        assert r.fa == sorted(r["all"])
+        x, y = {v >> 24 for v in r.fa}, {v >> 24 for v in r.fb}
+        assert r.near == (2 * len(x & y) / (len(x) + len(y)) if x or y else 1.0)
+        pairs = sorted((u >> 24, place(u), place(v)) for u in r.fa for v in r.fb if u >> 24 == v >> 24) if r.n > 1 else None
+        assert pairs is None or sorted((m["hash"], m["a"], m["b"]) for m in r.m) == pairs
+    assert sum(m["a"] - m["b"] == 5_000 for m in got[0].m) > 20 and 0.99 < got[1].near < 1
+
+
+def test_last_match(spark, small):
+    df, docs = small
+    fa, fb = (syncmers.sketch(syncmers.anchors(c)) for c in (F.col("text"), F.reverse("text")))
+    made = df.select(fa.alias("a"), fb.alias("b")).union(df.select(fa.alias("a"), F.slice(fa, 1, 5).alias("b")))
+    for r in made.select("a", "b", syncmers.last_match(F.col("a"), F.col("b")).alias("last")).collect():
+        held = {x >> 24 for x in r.b}
+        assert r.last == max((x & syncmers.MAX_POSITION for x in r.a if x >> 24 in held), default=None)
+
+
 # --- 3: SimHash -------------------------------------------------------------------------------
 
 
