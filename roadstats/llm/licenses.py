@@ -3,22 +3,19 @@
 Text blocks are joined with license templates on word sets: a block matches a template if it
 holds at least ``CONTAINMENT`` of the template's distinct words. The join is exact:
 
-* Blocks are runs of ``BLOCK`` words that begin every ``STEP`` words of a text, so any
-  ``BLOCK - STEP`` consecutive words lie whole in some block. Function words say nothing and are
-  not among a template's words.
-* Words are ordered by how many blocks with enough of them hold each (rarest first, over the
-  whole table). A
-  template of n words that needs a = ceil(n x CONTAINMENT) of them cannot match a block that
+* A block is as many consecutive words as ``BLOCK`` or twice the template's words, whichever is
+  more, and begins at any word of the text. Function words say nothing and are not among a
+  template's words.
+* Words are ordered by how many texts hold each (rarest first, over the whole table). A
+  template of n words that needs a = ceil(n x CONTAINMENT) of them cannot match a text that
   lacks all of its first n - a + 1 words: only these prefix words are indexed.
-* Length filter: the block holds at least a of the template vocabulary's words.
-* Positional filter: with the prefix word at place i of the block's and j of the template's
-  words, 1 + min(words after i, words after j) must reach a.
-* The rest are verified by counting the shared words.
+* Length filter: the text holds at least a of the template vocabulary's words.
+* The rest are verified by the most distinct template words that any block holds, from one sweep
+  over the places of the template's words (``most_in_span``).
 
-One pass over the texts writes a narrow table (counts, phrase places and, for each block, the
-words it shares with the template vocabulary) to the shared folder; frequencies, candidates and
-verification read that. Template words and the prefix index are bounded by the templates given
-and are broadcast.
+One pass over the texts writes a narrow table (counts, phrase places and the places of words of
+the template vocabulary) to the shared folder; frequencies, candidates and verification read that.
+The template vocabulary and its index are bounded by the templates given and are broadcast.
 
 Beside the join, fixed phrases are located as consecutive words (``PHRASES``).
 
@@ -29,6 +26,7 @@ get their row. An empty table gives no rows. Extra columns are ignored.
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,7 +41,7 @@ PHRASES = {
     "all rights reserved": "reserved",
 }
 FUNCTION_WORDS = frozenset("a an and any are be by for in is may not of or that the this to under with without".split())
-#: Notices by label; a block with most of a notice's words carries it.
+#: Notices and license bodies by label; a block with most of a template's words carries it.
 TEMPLATES = {
     "agpl-3.0": "gnu affero general public license",
     "apache-2.0": "licensed under the apache license version 2 0",
@@ -57,15 +55,39 @@ TEMPLATES = {
     "lgpl-3.0": "gnu lesser general public license",
     "mit": "released under the mit license",
     "mit-grant": "permission is hereby granted free of charge to any person obtaining a copy of this software",
+    "bsd-2-text": """Redistribution and use in source and binary forms, with or without modification, are permitted
+        provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright
+        notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the
+        above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other
+        materials provided with the distribution.""",
+    "isc-text": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is
+        hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE
+        SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL
+        IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.""",
+    "mit-text": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+        documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
+        rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to
+        permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright
+        notice and this permission notice shall be included in all copies or substantial portions of the Software.""",
     "mpl-2.0": "subject to the terms of the mozilla public license version 2 0",
 }
 CONTAINMENT = 0.85
-BLOCK, STEP = 32, 16
+#: Fewest words of a block, and words from one block's begin to the next.
+BLOCK, STEP = 32, 1
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
+def template_pieces(text: str) -> list[str]:
+    return [w for w in re.split(SEPARATORS, text.replace("\u212a", "\u0138").lower()) if w]
+
+
 def template_words(text: str) -> list[str]:
-    return sorted(set(text.split(" ")) - FUNCTION_WORDS)
+    return sorted(set(template_pieces(text)) - FUNCTION_WORDS)
+
+
+def span_of(text: str) -> int:
+    """Words of a block that is compared with a template."""
+    return max(BLOCK, 2 * len(template_pieces(text)))
 
 
 def lowered(text: Column) -> Column:
@@ -102,14 +124,41 @@ def _all(tests: list[Column]) -> Column:
     return out
 
 
-def blocks_of(pieces: Column, vocabulary: list[str], least: int) -> Column:
-    """Each block's words of the vocabulary, distinct: array<array<string>>, blocks with fewer
-    than ``least`` of them left out (the length filter of every template)."""
+def tokens_of(pieces: Column, vocabulary: list[str], least: int) -> Column:
+    """Words of the vocabulary in a text: array<bigint> of number in the vocabulary (from 1) << 32 |
+    place; empty for texts with fewer than ``least`` distinct ones (the length filter of every template)."""
     known = F.array(*map(F.lit, vocabulary))
-    last = F.floor((F.greatest(F.size(pieces) - (BLOCK - STEP), F.lit(1)) - 1) / STEP).cast("int")
-    cut = F.transform(F.sequence(F.lit(0), last), lambda b: F.array_intersect(F.slice(pieces, b * STEP + 1, BLOCK), known))
+    token = lambda w, i: F.shiftleft(F.array_position(known, w), 32).bitwiseOR(i.cast("bigint"))
+    found = F.filter(F.transform(pieces, lambda w, i: F.when(w.isin(vocabulary), token(w, i))), lambda t: t.isNotNull())
     some = F.size(F.array_intersect(pieces, known)) >= least
-    return F.when(some, F.filter(cut, lambda b: F.size(b) >= least)).otherwise(F.array().cast("array<array<string>>"))
+    return F.when(some, found).otherwise(F.array().cast("array<bigint>"))
+
+
+def word_of(token: Column) -> Column:
+    return F.shiftright(token, 32).cast("int")
+
+
+def most_in_span(tokens: Column, span: Column) -> Column:
+    """Most distinct words that ``span`` consecutive words of the text hold, among ``tokens``.
+
+    Blocks that begin from max(place before of the same word + 1, place - span + 1) to its place count
+    a token as their first of its word: the maximum of the running sum over those beginnings."""
+    at = lambda t: t.bitwiseAND(F.lit((1 << 32) - 1))
+
+    def events(ordered: Column) -> Column:
+        def begin(t: Column, i: Column) -> Column:
+            before = F.get(ordered, i - 1)
+            again = F.when(word_of(before) == word_of(t), at(before) + 1)
+            return F.greatest(at(t) - span + 1, again, F.lit(0)) * 2 + 1
+
+        return F.sort_array(F.concat(F.transform(ordered, begin), F.transform(ordered, lambda t: at(t) * 2 + 2)))
+
+    def step(so_far: Column, event: Column) -> Column:
+        now = so_far["now"] + F.when(event % 2 == 1, 1).otherwise(-1)
+        return F.struct(now.alias("now"), F.greatest(so_far["most"], now).alias("most"))
+
+    none = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+    return F.aggregate(_let(F.sort_array(tokens), events), none, step, lambda x: x["most"])
 
 
 def needed(size: int, containment: float) -> int:
@@ -118,7 +167,7 @@ def needed(size: int, containment: float) -> int:
 
 
 def scan(docs: DataFrame, id_col: str, text_col: str, vocabulary: list[str], least: int, phrases: list[str]) -> DataFrame:
-    """The narrow table: doc_id, text_key, n_words, places and blocks of every row."""
+    """The narrow table: doc_id, text_key, n_words, places and tokens of every row."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
 
@@ -127,42 +176,38 @@ def scan(docs: DataFrame, id_col: str, text_col: str, vocabulary: list[str], lea
         return F.struct(
             (F.size(pieces) - edges).cast("bigint").alias("n_words"),
             phrase_places(low, pieces, phrases).alias("places"),
-            blocks_of(pieces, vocabulary, least).alias("blocks"),
+            tokens_of(pieces, vocabulary, least).alias("tokens"),
         )
 
     found = _let(lowered(F.col("text")), lambda low: _let(pieces_of(low), lambda pieces: facts(low, pieces)))
     return rows.select("doc_id", "text_key", found.alias("facts")).select("doc_id", "text_key", "facts.*")
 
 
-def join_templates(scanned: DataFrame, templates: dict[str, str], containment: float) -> DataFrame:
+def join_templates(scanned: DataFrame, templates: dict[str, str], vocabulary: list[str], containment: float) -> DataFrame:
     """(doc_id, text_key, label, contained): the best block of each label of each text."""
     spark = scanned.sparkSession
-    words = sorted({w for t in templates.values() for w in template_words(t)})
-    each = scanned.select("doc_id", "text_key", F.posexplode("blocks").alias("block", "words"))
+    texts = scanned.where(F.size("tokens") > 0).select("doc_id", "text_key", "tokens").dropDuplicates(["doc_id", "text_key"])
+    texts = texts.withColumn("own", F.array_distinct(F.transform("tokens", word_of)))
     # Global order: rarest word first. The template vocabulary bounds this table.
-    counted = each.select(F.explode("words").alias("word")).groupBy("word").count()
-    frequency = {r["word"]: r["count"] for r in counted.collect()}
-    rank = {w: n for n, w in enumerate(sorted(words, key=lambda w: (frequency.get(w, 0), w)))}
-    index = []
-    for label, text in templates.items():
-        ordered = sorted(rank[w] for w in template_words(text))
+    frequency = {r["word"]: r["count"] for r in texts.select(F.explode("own").alias("word")).groupBy("word").count().collect()}
+    number = {w: n for n, w in enumerate(vocabulary, 1)}
+    index: dict[int, list[int]] = {}
+    members = []
+    for n, (label, text) in enumerate(templates.items()):
+        ordered = sorted((number[w] for w in template_words(text)), key=lambda w: (frequency.get(w, 0), w))
         need = needed(len(ordered), containment)
-        index += [(word, label, place, len(ordered), need, ordered) for place, word in enumerate(ordered[: len(ordered) - need + 1])]
-    prefixes = spark.createDataFrame(index, "word int, label string, place int, size int, need int, template array<int>")
-    ranks = F.create_map(*[F.lit(x) for w, n in rank.items() for x in (w, n)])
-    ordered = F.array_sort(F.transform("words", lambda w: ranks[w]))
-    blocks = each.select("doc_id", "text_key", "block", ordered.alias("block_words"))
-    tokens = blocks.select("*", F.posexplode("block_words").alias("at", "word"))
-    candidates = tokens.join(F.broadcast(prefixes), "word")
-    candidates = candidates.where(
-        (F.size("block_words") >= F.col("need"))
-        & (1 + F.least(F.size("block_words") - F.col("at") - 1, F.col("size") - F.col("place") - 1) >= F.col("need"))
-    )
-    # A block meets a template at each prefix word they share: keep the first.
-    first = F.element_at(F.filter(F.array_intersect("block_words", "template"), lambda w: w <= F.col("word")), 1) == F.col("word")
-    shared = F.size(F.array_intersect("block_words", "template"))
-    verified = candidates.where(first & (shared >= F.col("need")))
-    return verified.groupBy("doc_id", "text_key", "label").agg(F.max(shared / F.col("size")).alias("contained"))
+        members += [(word, n, label, len(ordered), need, span_of(text)) for word in ordered]
+        for word in ordered[: len(ordered) - need + 1]:
+            index.setdefault(word, []).append(n)
+    of_word = spark.createDataFrame(members, "word int, template int, label string, size int, need int, span int")
+    prefixes = F.array(*[F.array(*map(F.lit, index.get(n, []))).cast("array<int>") for n in range(1, len(vocabulary) + 1)])
+    met = F.array_distinct(F.flatten(F.transform("own", lambda w: F.element_at(prefixes, w))))
+    tokens = texts.withColumn("met", met).where(F.size("met") > 0).select("doc_id", "text_key", "met", F.size("own").alias("words"), F.explode("tokens").alias("token"))
+    pairs = tokens.withColumn("word", word_of(F.col("token"))).join(F.broadcast(of_word), "word")
+    pairs = pairs.where(F.array_contains("met", F.col("template")) & (F.col("words") >= F.col("need")))
+    groups = pairs.groupBy("doc_id", "text_key", "label", "size", "need", "span").agg(F.collect_list("token").alias("tokens"))
+    shared = groups.select("*", most_in_span(F.col("tokens"), F.col("span")).alias("shared")).where(F.col("shared") >= F.col("need"))
+    return shared.select("doc_id", "text_key", "label", (F.col("shared") / F.col("size")).alias("contained"))
 
 
 def find_licenses(
@@ -179,9 +224,10 @@ def find_licenses(
     root = new_work_dir(spark, "licenses")
     sets = [template_words(t) for t in templates.values()]
     least = min(needed(len(words), containment) for words in sets)
-    scan(docs, id_col, text_col, sorted({w for words in sets for w in words}), least, list(phrases)).write.parquet(root)
+    vocabulary = sorted({w for words in sets for w in words})
+    scan(docs, id_col, text_col, vocabulary, least, list(phrases)).write.parquet(root)
     scanned = spark.read.parquet(root)
-    found = join_templates(scanned, templates, containment)
+    found = join_templates(scanned, templates, vocabulary, containment)
     by_text = found.groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_list(F.struct("label", "contained"))).alias("found"))
     rows = scanned.select("doc_id", "text_key", "n_words", "places")
     on = rows["doc_id"].eqNullSafe(by_text["doc_id"]) & (rows["text_key"] == by_text["text_key"])

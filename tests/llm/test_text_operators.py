@@ -287,6 +287,24 @@ def test_op5_against_brute_force(spark, work):
         assert found[:6] == expected[:6] and math.isclose(found[6], expected[6], abs_tol=1e-12), (text, found, expected)
 
 
+def test_blocks_begin_at_every_word(spark):
+    cut = "x " * 15 + "cc " + "x " * 5 + "sa x 4 " + "x " * 8 + "0" + " x" * 40
+    body = licenses.TEMPLATES["mit-text"]
+    terms = {**licenses.TEMPLATES, "long": " ".join(f"term{n}" for n in range(400))}
+    texts = [cut, "pad " * 70 + body + " tail" * 50, terms["long"], " ".join(w + " z z" for w in terms["long"].split(" ")), "term1 " * 400 + "mit", "cc sa 4 " + "cc " * 31 + "0"]
+    docs = spark.createDataFrame(list(enumerate(texts)) + [(0, cut)], "doc_id bigint, text string")
+    got = {r.doc_id: {f["label"]: f["contained"] for f in r.found} for r in licenses.find_licenses(docs, templates=terms).collect()}
+    for n, text in enumerate(texts):
+        pieces, expected = re.split(licenses.SEPARATORS, lower(text)), {}
+        for label, template in terms.items():
+            own, span = set(licenses.template_words(template)), licenses.span_of(template)
+            best = max(len(own.intersection(pieces[b : b + span])) for b in range(len(pieces)))
+            if best >= licenses.needed(len(own), licenses.CONTAINMENT):
+                expected[label] = best / len(own)
+        assert got[n] == expected, (n, got[n], expected)
+    assert "cc-by-sa-4.0" in got[0] and {"mit-grant", "mit-text"} <= set(got[1]) and got[2] == {"long": 1.0} and got[3] == {}
+
+
 # --- 10: decontamination ----------------------------------------------------------------------
 
 
