@@ -230,6 +230,9 @@ def fit(
     spark = docs.sparkSession
     rated = ratings.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("grade").cast("int").alias("grade"))
     rated = rated.where(F.col("doc_id").isNotNull() & F.col("grade").between(0, n_grades - 1) & (fold() != 2))
+    # Only ratings of these documents count: docs may be a part of what the ratings cover.
+    ids = docs.select(F.col(id_col).cast("bigint").alias("doc_id")).distinct()
+    rated = rated.join(ids, "doc_id", "left_semi")
     sample = rated.groupBy("doc_id").agg(F.min("grade").alias("grade")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     joined = texts.join(F.broadcast(sample), "doc_id").select("doc_id", "grade", "text")

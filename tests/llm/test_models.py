@@ -87,6 +87,14 @@ def test_op1_held_out(spark):
     assert _auc(held.quality.values, held.p_acceptable.values) > 0.85
 
 
+def test_sample_is_taken_from_the_documents_own_ratings(spark):
+    ratings = spark.range(2_000).selectExpr("id AS doc_id", "CAST(id % 2 * 2 AS int) AS grade")
+    later = [r.doc_id for r in ratings.orderBy(F.xxhash64("doc_id")).collect()[1_500:]]
+    docs = spark.createDataFrame([(i, ["bad bad words", "fine long text"][i % 2]) for i in later], "doc_id bigint, text string")
+    model = quality.fit(docs, ratings, rows=50)
+    assert model.shared is not None and model.only is None
+
+
 # --- 7: toxicity ------------------------------------------------------------------------------
 
 
