@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import itertools
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -131,36 +133,78 @@ def _fs(spark: SparkSession, path: str):
 
 
 def read_small_text(spark: SparkSession, path: str) -> str | None:
-    """Contents of a small UTF-8 file on the shared filesystem, None when it does not exist."""
-    fs, hpath = _fs(spark, path)
-    if not fs.exists(hpath):
-        return None
-    stream = fs.open(hpath)
-    try:
-        jvm = spark.sparkContext._jvm
-        return str(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-    finally:
-        stream.close()
+    """Contents of a small UTF-8 file on the shared filesystem, None when nothing was written.
+
+    An empty file is one whose writer died after it was created; it is passed over for the next
+    attempt at the same name (``write_small_text``).
+    """
+    for name in _attempts(path):
+        fs, hpath = _fs(spark, name)
+        if not fs.exists(hpath):
+            return None
+        stream = fs.open(hpath)
+        try:
+            jvm = spark.sparkContext._jvm
+            text = str(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+        if text:
+            return text
+    return None
 
 
 def write_small_text(spark: SparkSession, path: str, text: str) -> bool:
-    """Create a small UTF-8 file unless it exists; returns False when it already existed.
+    """Write a small UTF-8 file unless one was written before; False when there is one.
 
-    The file system decides between two creators (create without overwrite).
+    The text goes to a file of its own, which then gets its name in one step that fails if the
+    name is taken, so of two writers one wins and no reader sees half a file. A name taken by an
+    empty file (a writer of an older version that died) is left, and the next attempt's is used.
     """
+    if not text:
+        raise ValueError("an empty file counts as never written")
+    for name in _attempts(path):
+        fs, hpath = _fs(spark, name)
+        if not fs.exists(hpath):
+            if _publish(spark, name, text):
+                return True
+        if fs.getFileStatus(hpath).getLen() > 0:
+            return False
+    return False
+
+
+def _attempts(path: str) -> Iterator[str]:
+    yield path
+    for n in itertools.count(1):
+        yield f"{path}.{n}"
+
+
+def _publish(spark: SparkSession, path: str, text: str) -> bool:
+    """Write ``text`` beside ``path`` and name it so; False if the name was taken meanwhile."""
     from py4j.protocol import Py4JJavaError
 
-    fs, hpath = _fs(spark, path)
-    if fs.exists(hpath):
-        return False
+    folder, name = path.rsplit("/", 1)
+    draft = f"{folder}/.{name}.{uuid.uuid4().hex[:12]}"
+    fs, hdraft = _fs(spark, draft)
+    out = fs.create(hdraft, False)
     try:
-        out = fs.create(hpath, False)
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    jvm = spark.sparkContext._jvm
+    try:
+        if fs.getScheme() == "file":
+            # A local rename replaces its target; a hard link does not.
+            os.link(hdraft.toUri().getPath(), fs.makeQualified(jvm.org.apache.hadoop.fs.Path(path)).toUri().getPath())
+            return True
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(hdraft.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+        options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+        context.rename(fs.makeQualified(hdraft), fs.makeQualified(jvm.org.apache.hadoop.fs.Path(path)), options)
+        return True
+    except FileExistsError:
+        return False
     except Py4JJavaError as error:
         if "AlreadyExists" in str(error.java_exception.getClass().getName()):
             return False
         raise
-    try:
-        out.write(bytearray(text.encode("utf-8")))
     finally:
-        out.close()
-    return True
+        fs.delete(hdraft, False)

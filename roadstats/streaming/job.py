@@ -256,10 +256,7 @@ def start_streams(
             )
             queries["debug"] = (console.trigger(**trigger) if trigger else console).start()
     except Exception:
-        for q in queries.values():  # do not leave half a job running
-            if q.isActive:
-                q.stop()
-        if listener is not None:
-            session.streams.removeListener(listener)
+        # Do not leave half a job running; the listener hears of each query's end first.
+        StreamJob(queries, out_root, checkpoint_root, run_ids, session, listener).stop()
         raise
     return StreamJob(queries, out_root, checkpoint_root, run_ids, session, listener)

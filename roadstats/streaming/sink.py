@@ -40,7 +40,7 @@ def reserve_run_id(spark: SparkSession, table_path: str) -> int:
     base = table_path.rstrip("/")
     used = _numbers(list_dir(spark, base), "run_id=") + _numbers(list_dir(spark, base + RUNS_SUFFIX), "")
     run_id = max([int(time.time()) - 1, *used]) + 1
-    while not write_small_text(spark, f"{base}{RUNS_SUFFIX}/{run_id}", ""):
+    while not write_small_text(spark, f"{base}{RUNS_SUFFIX}/{run_id}", str(run_id)):
         run_id += 1
     return run_id
 
@@ -48,8 +48,8 @@ def reserve_run_id(spark: SparkSession, table_path: str) -> int:
 def run_id_for(spark: SparkSession, checkpoint: str, table_path: str) -> int:
     """The run id bound to ``checkpoint``, reserved at the table on first use.
 
-    Stored as a one-line file next to the checkpoint's own files, written with create-if-absent
-    so two starters cannot both win.
+    Stored as a one-line file next to the checkpoint's own files, written in one step and only
+    if absent, so two starters cannot both win and a start that died leaves nothing behind.
     """
     marker = f"{checkpoint.rstrip('/')}/{RUN_MARKER}"
     text = read_small_text(spark, marker)

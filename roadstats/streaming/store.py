@@ -69,7 +69,7 @@ def _version() -> Column:
 class Manifest:
     """Segments in use and, by run, the last batch they hold."""
 
-    number: int = -1
+    number: int = -1  #: The newest name taken, readable or not.
     segments: list[str] = field(default_factory=list)
     bounds: dict[int, int] = field(default_factory=dict)
 
@@ -77,13 +77,14 @@ class Manifest:
 def read_manifest(spark: SparkSession, path: str) -> Manifest:
     """The newest manifest of the table at ``path`` (an empty one before the first compaction)."""
     base = path.rstrip("/") + SNAPSHOT_SUFFIX
-    for number in sorted((int(n) for n in list_dir(spark, f"{base}/manifests") if n.isdigit()), reverse=True):
+    numbers = sorted((int(n) for n in list_dir(spark, f"{base}/manifests") if n.isdigit()), reverse=True)
+    for number in numbers:
         try:
             found = json.loads(read_small_text(spark, f"{base}/manifests/{number}") or "")
         except ValueError:
-            continue  # a compaction that died while it created the file: the one before holds
-        return Manifest(number, found["segments"], {int(r): int(b) for r, b in found["bounds"].items()})
-    return Manifest()
+            continue  # its writer died: the one before holds, and the next one takes a new number
+        return Manifest(numbers[0], found["segments"], {int(r): int(b) for r, b in found["bounds"].items()})
+    return Manifest(numbers[0] if numbers else -1)
 
 
 def committed_batches(spark: SparkSession, path: str, after: dict[int, int] | None = None) -> list[tuple[int, int]]:

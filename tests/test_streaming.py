@@ -247,6 +247,32 @@ def test_incomplete_compaction_is_ignored(spark, work, events_df):
     assert rows == {(1.0, 1), (2.0, 1)}
 
 
+def test_empty_markers_stop_nothing(spark, work, events_df):
+    from roadstats.session import read_small_text, write_small_text
+    from roadstats.streaming.sink import run_id_for
+    from roadstats.streaming.store import SNAPSHOT_SUFFIX, compact
+
+    root = f"{work}/tables"
+    write = batch_writer(f"{root}/stats", run_id=5)
+    write(link_stats(events_df([ev(1, "L", 10.0)])), 0)
+    os.makedirs(f"{root}/stats{SNAPSHOT_SUFFIX}/manifests")
+    open(f"{root}/stats{SNAPSHOT_SUFFIX}/manifests/0", "w").close()  # its writer died
+    assert compact(spark, root, "stats", include_latest=True) is not None
+    write(link_stats(events_df([ev(2, "L", 20.0)])), 1)
+    assert compact(spark, root, "stats", include_latest=True) is not None  # and the next one
+    rows = {(r.t, r.vcount) for r in read_table(spark, f"{root}/stats", STATS_SCHEMA, STATS_KEYS).collect()}
+    assert rows == {(1.0, 1), (2.0, 1)}
+    os.makedirs(f"{work}/ckpt")
+    open(f"{work}/ckpt/_roadstats_run", "w").close()
+    assert run_id_for(spark, f"{work}/ckpt", f"{root}/stats") == run_id_for(spark, f"{work}/ckpt", f"{root}/stats") >= 6
+    # One of two writers of a name wins, and no draft is left.
+    assert write_small_text(spark, f"{work}/m/one", "a") and not write_small_text(spark, f"{work}/m/one", "b")
+    assert read_small_text(spark, f"{work}/m/one") == "a" and os.listdir(f"{work}/m") == ["one"]
+    assert read_small_text(spark, f"{work}/m/none") is None
+    with pytest.raises(ValueError):
+        write_small_text(spark, f"{work}/m/two", "")
+
+
 def test_older_run_that_resumes_after_compaction_keeps_its_rows(spark, work, events_df):
     from roadstats.streaming.store import compact
 
