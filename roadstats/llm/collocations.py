@@ -44,8 +44,9 @@ THRESHOLD = 10
 SLACK = 2
 #: Bits of the survivors' map (32 MB, broadcast).
 MAP_BITS = 1 << 28
-#: Bytes of text behind a part of the first pass, and most parts that one shuffle deals to.
-PART_BYTES, FAN_OUT = 1 << 24, 1 << 12
+#: Bytes of text behind a part of the first pass; least and most parts, as powers of two. Beyond 4 TB
+#: the parts grow, to about 40 million counters (0.6 GB) each at 100 TB.
+PART_BYTES, LEAST_PARTS, MOST_PARTS = 1 << 24, 5, 18
 #: N-grams that a task gathers before it hands them on.
 RUN = 1 << 22
 LONGEST = 3
@@ -165,18 +166,26 @@ def _hand_on(keys: np.ndarray, counts: np.ndarray, bits: int) -> Iterator[pa.Rec
     rest = ((keys >> np.uint64(32 - bits)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
     at = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
     ends = np.append(at[1:], len(part))
-    small = counts.max() < 256
     columns = [
         pa.array(part[at]), pa.array(np.add.reduceat(counts, at)),
-        pa.array([rest[a:b].tobytes() for a, b in zip(at, ends)], pa.binary()),
-        pa.array([counts[a:b].astype(np.uint8 if small else np.int64).tobytes() for a, b in zip(at, ends)], pa.binary()),
+        pa.array([_pack(np.diff(rest[a:b], prepend=np.uint32(0))) for a, b in zip(at, ends)], pa.binary()),
+        pa.array([_pack(counts[a:b].astype(np.uint32)) for a, b in zip(at, ends)], pa.binary()),
     ]
     yield pa.RecordBatch.from_arrays(columns, ["part", "mass", "keys", "counts"])
 
 
+def _pack(values: np.ndarray) -> bytes:
+    """32-bit values with their lowest bytes first, then the next ones: steps between sorted keys and
+    small counts leave runs of zeros that Spark's own compression takes away."""
+    return values.view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _unpack(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view(np.uint32).ravel()
+
+
 def _open(keys: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
-    keys = np.frombuffer(keys, np.uint32).astype(np.uint64)
-    return keys, np.frombuffer(counts, np.uint8 if len(counts) == len(keys) else np.int64).astype(np.int64)
+    return np.cumsum(_unpack(keys), dtype=np.uint32).astype(np.uint64), _unpack(counts).astype(np.int64)
 
 
 def runs(rows: DataFrame, bits: int, careful: bool = False) -> DataFrame:
@@ -235,5 +244,171 @@ def survivors(found: DataFrame, bits: int, threshold: int, slack: float = SLACK,
     masses = found.groupBy("part").agg(F.sum("mass").alias("mass"))
     first = masses.select("part", "mass", F.lit(None).cast("binary").alias("keys"), F.lit(None).cast("binary").alias("counts"))
     both = first.withColumn("turn", F.lit(0)).unionByName(found.withColumn("turn", F.lit(1)))
-    dealt = both.repartition(1 << min(bits, 12), "part").sortWithinPartitions("part", "turn")
+    dealt = both.repartition(1 << min(bits, 14), "part").sortWithinPartitions("part", "turn")
     return dealt.select("part", "mass", "keys", "counts").mapInArrow(summarise, "part bigint, survivors bigint, mass bigint, taken bigint, map binary")
+
+
+# --- second pass: exact counts ----------------------------------------------------------------
+
+_COUNTS = "w1 bigint, w2 bigint, w3 bigint, lang string, word string, n bigint"
+
+
+def _texts(group: Words, places: np.ndarray) -> pa.Array:
+    """The words at ``places`` as strings."""
+    starts, sizes = group.starts[places], (group.ends - group.starts)[places]
+    offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+    at = np.repeat(starts - offsets[:-1], sizes) + np.arange(offsets[-1])
+    return pa.StringArray.from_buffers(len(places), pa.py_buffer(offsets), pa.py_buffer(group.low[at].tobytes()))
+
+
+def _rows(w: list[np.ndarray], lang: pa.Array | None, word: pa.Array | None, n: np.ndarray) -> pa.RecordBatch:
+    size = len(n)
+    ids = [pa.array(x.view(np.int64)) if x is not None else pa.nulls(size, pa.int64()) for x in w]
+    text = [x if x is not None else pa.nulls(size, pa.string()) for x in (lang, word)]
+    return pa.RecordBatch.from_arrays([*ids, *text, pa.array(n.astype(np.int64))], ["w1", "w2", "w3", "lang", "word", "n"])
+
+
+def exact_counts(rows: DataFrame, shared, bits: int, slots: int, careful: bool = False) -> DataFrame:
+    """(w1, w2, w3, lang, word, n) of every n-gram whose bit is set; of single words with their
+    language and text. Rows without w1 hold a language's number of words."""
+
+    def known(marks: np.ndarray) -> np.ndarray:
+        part = marks >> np.uint64(64 - bits)
+        bit = part * np.uint64(slots) + _bits_of((marks >> np.uint64(32 - bits)) & np.uint64(0xFFFFFFFF), slots)
+        return (shared.value[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 > 0
+
+    def hand_on(words: list[pa.Table], held: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        if words:
+            once = pa.concat_tables(words).group_by(["w1", "lang", "word"]).aggregate([("n", "sum")])
+            for part in once.select(["w1", "lang", "word", "n_sum"]).to_batches():
+                none = pa.nulls(part.num_rows, pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column(0), none, none, *part.columns[1:]], ["w1", "w2", "w3", "lang", "word", "n"])
+        for n, columns in enumerate(held, start=2):
+            if not columns:
+                continue
+            marks, *w = (np.concatenate(c) for c in zip(*columns))
+            order = np.argsort(marks, kind="stable")
+            w = [x[order] for x in w]
+            new = np.ones(len(order), dtype=bool)
+            new[1:] = np.any([x[1:] != x[:-1] for x in w], axis=0)
+            at = np.flatnonzero(new)
+            yield _rows([*(x[at] for x in w), *[None] * (LONGEST - n)], None, None, np.diff(np.append(at, len(order))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, held, size, totals = [], [[] for _ in range(LONGEST - 1)], 0, {}
+        for batch in batches:
+            for group, lang in _groups(batch):
+                ids, piece = word_ids(group, lang, careful), pieces(group)
+                for x, k in zip(lang, group.counts.tolist()):
+                    totals[x] = totals.get(x, 0) + k
+                for n, places, marks in ngrams(ids, piece):
+                    kept = known(marks)
+                    places, marks = places[kept], marks[kept]
+                    size += len(places)
+                    if n > 1:
+                        held[n - 2].append([marks, *(ids[places + k] for k in range(n))])
+                        continue
+                    # A word counts under its own text, so two words with one id stay apart.
+                    row = np.repeat(np.arange(len(lang)), group.counts)[places]
+                    langs = pa.array(lang, pa.string()).take(pa.array(row))
+                    table = pa.table({"w1": pa.array(ids[places].view(np.int64)), "lang": langs, "word": _texts(group, places)})
+                    words.append(table.group_by(["w1", "lang", "word"]).aggregate([([], "count_all")]).rename_columns(["w1", "lang", "word", "n"]))
+                if size >= RUN:
+                    yield from hand_on(words, held)
+                    words, held, size = [], [[] for _ in range(LONGEST - 1)], 0
+        yield from hand_on(words, held)
+        if totals:
+            yield _rows([None] * 3, pa.array(list(totals), pa.string()), None, np.array(list(totals.values()), dtype=np.int64))
+
+    return rows.mapInArrow(run, _COUNTS).groupBy("w1", "w2", "w3", "lang", "word").agg(F.sum("n").alias("n"))
+
+
+def frequent(docs: DataFrame, threshold: int = THRESHOLD, text_col: str = "text", lang_col: str = "lang", careful: bool = False) -> DataFrame:
+    """(w1, w2, w3, lang, word, n) of the n-grams that occur ``threshold`` times, from a written table.
+
+    Both passes are jobs of their own over the whole texts; what the first one finds is written
+    before it is summarised.
+    """
+    spark, root = docs.sparkSession, new_work_dir(docs.sparkSession, "collocations")
+    rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).alias("text"))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = min(max(LEAST_PARTS, int(size // PART_BYTES).bit_length()), MOST_PARTS)
+    slots = max(MAP_BITS >> bits, 8)
+    runs(rows, bits, careful).write.parquet(f"{root}/runs")
+    survivors(spark.read.schema(_RUNS).parquet(f"{root}/runs"), bits, threshold).write.parquet(f"{root}/map")
+    stretches = spark.read.schema("part bigint, taken bigint, map binary").parquet(f"{root}/map").toArrow()
+    bitmap = np.zeros((1 << bits, slots // 8), dtype=np.uint8)
+    for part, taken, stretch in zip(*(stretches.column(k).to_pylist() for k in range(3))):
+        if taken >= threshold:
+            raise RuntimeError("a summary took as much as the threshold; its capacity is below mass / threshold")
+        bitmap[part] = np.frombuffer(stretch, np.uint8)
+    shared = spark.sparkContext.broadcast(bitmap.ravel())
+    counts = exact_counts(rows, shared, bits, slots, careful)
+    counts.where((F.col("n") >= threshold) | F.col("w1").isNull()).write.parquet(f"{root}/counts")
+    shared.unpersist()
+    counts = spark.read.schema(_COUNTS).parquet(f"{root}/counts")
+    if not careful and counts.where("w1 IS NOT NULL AND w2 IS NULL").groupBy("w1").count().where("count > 1").limit(1).count():
+        return frequent(docs, threshold, text_col, lang_col, careful=True)
+    return counts
+
+
+# --- scores -----------------------------------------------------------------------------------
+
+
+def _attach(left: DataFrame, right: DataFrame, keys: list[str], salts: int) -> DataFrame:
+    """Inner join on ``keys`` with each key of the left side dealt to ``salts`` parts."""
+    dealt = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int"))
+    copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return dealt.join(copies, [*keys, "_salt"]).drop("_salt")
+
+
+def _score(l: str, r: str) -> Column:  # noqa: E741
+    """floor(1000000 a a / (l r)) in decimals of 38 digits."""
+    whole = "CAST({} AS DECIMAL(19, 0))"
+    a = whole.format("a")
+    return F.expr(f"(CAST(1000000 AS DECIMAL(7, 0)) * {a} * {a}) DIV ({whole.format(l)} * {whole.format(r)})")
+
+
+def phrases(counts: DataFrame, share: float = 0.5) -> DataFrame:
+    """(lang, phrase, a, l, r, score) of the phrases of 2 and 3 words that no longer one explains."""
+    words = counts.where("w1 IS NOT NULL AND w2 IS NULL").select(F.col("w1").alias("w"), "lang", "word", "n")
+    named = lambda k: words.select(F.col("w").alias(f"w{k}"), F.col("word").alias(f"word{k}"), F.col("n").alias(f"f{k}"))
+    pairs = counts.where("w2 IS NOT NULL AND w3 IS NULL").select("w1", "w2", F.col("n").alias("a"))
+    pairs = _attach(pairs, named(1).join(words.select(F.col("w").alias("w1"), "lang"), "w1"), ["w1"], SALTS)
+    pairs = _attach(pairs, named(2), ["w2"], SALTS)
+    triples = counts.where("w3 IS NOT NULL").select("w1", "w2", "w3", F.col("n").alias("a"))
+    head = pairs.select("w1", "w2", "lang", "word1", "word2", "f1", F.col("a").alias("f12"))
+    tail = pairs.select(F.col("w1").alias("w2"), F.col("w2").alias("w3"), F.col("word2").alias("word3"), F.col("f2").alias("f3"), F.col("a").alias("f23"))
+    around = triples.select("w1", "w2", "a").unionByName(triples.select(F.col("w2").alias("w1"), F.col("w3").alias("w2"), "a"))
+    longest = around.groupBy("w1", "w2").agg(F.max("a").alias("longer"))
+    two = pairs.join(longest, ["w1", "w2"], "left").where(F.coalesce(F.col("longer"), F.lit(0)) < F.col("a") * F.lit(share))
+    two = two.select("lang", F.concat_ws(" ", "word1", "word2").alias("phrase"), "a", F.col("f1").alias("l"), F.col("f2").alias("r"), _score("f1", "f2").alias("score"))
+    three = _attach(_attach(triples, head, ["w1", "w2"], SALTS // 4), tail, ["w2", "w3"], SALTS // 4)
+    three = three.withColumns({"s1": _score("f1", "f23"), "s2": _score("f12", "f3")})
+    first = F.col("s1") <= F.col("s2")
+    three = three.select(
+        "lang", F.concat_ws(" ", "word1", "word2", "word3").alias("phrase"), "a", F.when(first, F.col("f1")).otherwise(F.col("f12")).alias("l"),
+        F.when(first, F.col("f23")).otherwise(F.col("f3")).alias("r"), F.least("s1", "s2").alias("score"),
+    )
+    return two.unionByName(three)
+
+
+def collocations(docs: DataFrame, threshold: int = THRESHOLD, share: float = 0.5, best: int = 2000, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """(lang, rank, phrase, a, l, r, n, score): each language's ``best`` phrases.
+
+    ``a`` is the phrase's count, ``l`` and ``r`` those of the parts at its weakest cut, ``n`` the
+    language's words. Candidates are ranked in parts first, so no task sorts a whole language.
+    """
+    counts = frequent(docs, threshold, text_col, lang_col)
+    found = phrases(counts, share)
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase").asc()]
+    found = found.withColumn("_part", F.pmod(F.xxhash64("phrase"), F.lit(parts)))
+    top = found.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "_part").orderBy(*order))).where(F.col("rank") <= best)
+    top = top.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("bigint")).where(F.col("rank") <= best)
+    totals = counts.where("w1 IS NULL").select("lang", "n")
+    return top.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet").select("lang", "text"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from corpus_pipeline import run as pipeline
 from roadstats.llm.bpe import op4_bpe
+from roadstats.llm.collocations import op11_collocations
 from roadstats.llm.decontaminate import op10_decontaminate
 from roadstats.llm.licenses import op5_licenses
 from roadstats.llm.quality import op1_quality
@@ -29,5 +30,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_transcripts": op9_transcripts,
     "op10_decontaminate": op10_decontaminate,
+    "op11_collocations": op11_collocations,
     "pipeline": pipeline,
 }
