@@ -11,6 +11,7 @@ from roadstats.llm.bpe import op4_bpe
 from roadstats.llm.collocations import op11_collocations
 from roadstats.llm.decontaminate import op10_decontaminate
 from roadstats.llm.licenses import op5_licenses
+from roadstats.llm.negatives import op13_negatives
 from roadstats.llm.quality import op1_quality
 from roadstats.llm.rollups import op8_token_counts
 from roadstats.llm.simhash import op3_simhash
@@ -31,5 +32,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_transcripts": op9_transcripts,
     "op10_decontaminate": op10_decontaminate,
     "op11_collocations": op11_collocations,
+    "op13_negatives": op13_negatives,
     "pipeline": pipeline,
 }

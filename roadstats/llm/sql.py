@@ -33,4 +33,17 @@ SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DES
        CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n.n, CAST(score AS BIGINT) AS score
 FROM best b JOIN n ON n.lang = b.lang LEFT JOIN longer ON longer.lang = b.lang AND longer.inside = b.phrase
 WHERE coalesce(100 * longer.f, 0) < 50 * a QUALIFY rank <= 2000""",
+    "op13_negatives": """WITH e AS (
+  SELECT DISTINCT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.id AS anchor_id, e.id, e.label = a.label AS same, CAST(list_inner_product(a.v, e.v) AS BIGINT) AS score
+      FROM e a JOIN e ON e.id <> a.id WHERE a.id % 100 = 0),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, s.id) AS INTEGER) AS rank,
+       s.id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY rank <= 5""",
 }
