@@ -44,11 +44,11 @@ THRESHOLD = 10
 SLACK = 2
 #: Bits of the survivors' map (32 MB, broadcast).
 MAP_BITS = 1 << 28
-#: Bytes of text behind a part of the first pass; least and most parts, as powers of two. Beyond 4 TB
+#: Bytes of text behind a part of the first pass; least and most parts, as powers of two. Beyond 1 TB
 #: the parts grow, to about 40 million counters (0.6 GB) each at 100 TB.
-PART_BYTES, LEAST_PARTS, MOST_PARTS = 1 << 24, 5, 18
-#: N-grams that a task gathers before it hands them on.
-RUN = 1 << 22
+PART_BYTES, LEAST_PARTS, MOST_PARTS = 1 << 22, 5, 18
+#: N-grams that a task gathers before it hands them on, in the first and in the second pass.
+RUN, COUNTED = 1 << 21, 1 << 20
 LONGEST = 3
 #: Parts that a join key is dealt to, since few words begin many phrases.
 SALTS = 16
@@ -169,7 +169,7 @@ def _hand_on(keys: np.ndarray, counts: np.ndarray, bits: int) -> Iterator[pa.Rec
     columns = [
         pa.array(part[at]), pa.array(np.add.reduceat(counts, at)),
         pa.array([_pack(np.diff(rest[a:b], prepend=np.uint32(0))) for a, b in zip(at, ends)], pa.binary()),
-        pa.array([_pack(counts[a:b].astype(np.uint32)) for a, b in zip(at, ends)], pa.binary()),
+        pa.array([_pack(counts[a:b].astype(np.uint32)) if counts[a:b].max() > 255 else counts[a:b].astype(np.uint8).tobytes() for a, b in zip(at, ends)], pa.binary()),
     ]
     yield pa.RecordBatch.from_arrays(columns, ["part", "mass", "keys", "counts"])
 
@@ -185,7 +185,8 @@ def _unpack(data: bytes) -> np.ndarray:
 
 
 def _open(keys: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
-    return np.cumsum(_unpack(keys), dtype=np.uint32).astype(np.uint64), _unpack(counts).astype(np.int64)
+    sizes = np.frombuffer(counts, np.uint8) if 4 * len(counts) == len(keys) else _unpack(counts)
+    return np.cumsum(_unpack(keys), dtype=np.uint32).astype(np.uint64), sizes.astype(np.int64)
 
 
 def runs(rows: DataFrame, bits: int, careful: bool = False) -> DataFrame:
@@ -313,7 +314,7 @@ def exact_counts(rows: DataFrame, shared, bits: int, slots: int, careful: bool =
                     langs = pa.array(lang, pa.string()).take(pa.array(row))
                     table = pa.table({"w1": pa.array(ids[places].view(np.int64)), "lang": langs, "word": _texts(group, places)})
                     words.append(table.group_by(["w1", "lang", "word"]).aggregate([([], "count_all")]).rename_columns(["w1", "lang", "word", "n"]))
-                if size >= RUN:
+                if size >= COUNTED:
                     yield from hand_on(words, held)
                     words, held, size = [], [[] for _ in range(LONGEST - 1)], 0
         yield from hand_on(words, held)

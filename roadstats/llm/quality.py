@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadstats.llm.fitting import minimise
 from roadstats.llm.folds import fold, free_name
 from roadstats.llm.words import mix, row_means, split_words, text_bytes
 
@@ -102,42 +103,6 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def _minimise(function, at: np.ndarray, steps: int, memory: int = 8) -> np.ndarray:
-    """L-BFGS with a backtracking line search; ``function`` returns (value, gradient)."""
-    value, slope = function(at)
-    moves: list[tuple[np.ndarray, np.ndarray]] = []
-    for _ in range(steps):
-        way, kept = -slope, []
-        for s, y in reversed(moves):
-            a = (s @ way) / (s @ y)
-            kept.append(a)
-            way = way - a * y
-        if moves:
-            s, y = moves[-1]
-            way = way * ((s @ y) / (y @ y))
-        for (s, y), a in zip(moves, reversed(kept)):
-            way = way + s * (a - (y @ way) / (s @ y))
-        descent, size = slope @ way, 1.0 if moves else 1.0 / max(1.0, np.linalg.norm(slope))
-        if descent > -1e-12:
-            break
-        while size > 1e-10:
-            new = at + size * way
-            new_value, new_slope = function(new)
-            if new_value <= value + 1e-4 * size * descent:
-                break
-            size /= 2
-        else:
-            break
-        step, change = new - at, new_slope - slope
-        if step @ change > 1e-12:
-            moves = [*moves, (step, change)][-memory:]
-        done = value - new_value < 1e-7 * max(1.0, abs(value))
-        at, value, slope = new, new_value, new_slope
-        if done:
-            break
-    return at
-
-
 def _row_groups(ends: np.ndarray, values: int = 1 << 18) -> list[tuple[int, int]]:
     """Runs of rows with about ``values`` features each, so that the fit's temporaries stay small."""
     out, lo = [], 0
@@ -188,7 +153,7 @@ def fit_weights(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, n
     share = np.array([(np.sum(grades < k) + 1) / (len(grades) + 2) for k in range(1, n_grades)])
     first = np.log(share / (1 - share))
     tail = np.concatenate((first[:1], np.log(np.maximum(np.diff(first), 1e-2))))
-    best = _minimise(loss, np.concatenate((np.zeros(FEATURES), tail)), steps)
+    best = minimise(loss, np.concatenate((np.zeros(FEATURES), tail)), steps)
     return best[:FEATURES].astype(np.float32), thresholds(best[FEATURES:])
 
 

@@ -10,6 +10,7 @@ from corpus_pipeline import run as pipeline
 from roadstats.llm.bpe import op4_bpe
 from roadstats.llm.collocations import op11_collocations
 from roadstats.llm.decontaminate import op10_decontaminate
+from roadstats.llm.langid import op12_langid
 from roadstats.llm.licenses import op5_licenses
 from roadstats.llm.negatives import op13_negatives
 from roadstats.llm.quality import op1_quality
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_transcripts": op9_transcripts,
     "op10_decontaminate": op10_decontaminate,
     "op11_collocations": op11_collocations,
+    "op12_langid": op12_langid,
     "op13_negatives": op13_negatives,
     "pipeline": pipeline,
 }
