@@ -34,6 +34,13 @@ def _open(spark, args):
     return open_tables(spark, args.root, raw=args.raw_table, stats=args.stats_table, windowed=args.windowed_table)
 
 
+def _statistics(spark, args):
+    from roadstats.streaming.store import table_statistics
+
+    names = {"raw": args.raw_table, "stats": args.stats_table, "windowed": args.windowed_table}
+    return {role: table_statistics(spark, args.root, table, role) for role, table in names.items()}
+
+
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="roadstats")
     sub = p.add_subparsers(dest="cmd", required=True)
@@ -55,7 +62,8 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--trigger-seconds", type=float, help="processing-time trigger; default: as fast as possible")
     s.add_argument("--available-now", action="store_true", help="drain what is there, then stop")
     s.add_argument("--timeout-seconds", type=float, help="stop all queries after this long (continuous mode)")
-    s.add_argument("--state-ttl")
+    s.add_argument("--stats-mode", choices=["changes", "update"], help="changes (default): no state; update: running values from state")
+    s.add_argument("--state-ttl", help="bound the state of --stats-mode update")
     s.add_argument("--memory-state", action="store_true", help="keep state on the heap instead of in RocksDB")
     s.add_argument("--debug", action="store_true", help="also print per-step stats to the console")
     _table_names(s)
@@ -96,9 +104,20 @@ def _parser() -> argparse.ArgumentParser:
 def _query(spark, args):
     from roadstats.operators import network as net
     from roadstats.operators import queries as q
+    from roadstats.streaming import statistics as st
+
+    name = args.name
+    if name in ("latest-t", "counts", "distinct-links", "overview"):  # from the folders' statistics
+        s = _statistics(spark, args)
+        if name == "latest-t":
+            return st.latest_t(s["stats"])
+        if name == "distinct-links":
+            return st.distinct_links(s[args.table])
+        if name == "overview":
+            return st.overview(s["raw"], s["stats"])
+        return st.table_counts({RAW_TABLE: s["raw"], STATS_TABLE: s["stats"], WINDOWED_TABLE: s["windowed"]})
     t = _open(spark, args)
     stats = t["stats"]
-    name = args.name
     if name == "avg-speed":
         return q.avg_speed_per_link(stats, ascending=args.ascending)
     if name == "top-congested":
@@ -117,14 +136,6 @@ def _query(spark, args):
         if name == "link":
             return q.link_summary(stats, args.link)
         return q.link_series(stats, args.link) if name == "series" else q.windowed_series(t["windowed"], args.link)
-    if name == "latest-t":
-        return q.latest_t(stats)
-    if name == "counts":
-        return q.default_table_counts(t["raw"], stats, t["windowed"])
-    if name == "distinct-links":
-        return q.distinct_links(t[args.table])
-    if name == "overview":
-        return q.overview(t["raw"], stats)
     if name == "latest-n":
         field = "window_end" if args.table == "windowed" else "t"
         return q.latest_n(t[args.table], args.n, field)
@@ -157,7 +168,7 @@ def main(argv: list[str] | None = None) -> int:
         job = start_streams(
             spark, source, args.out or f"{root}/tables", args.checkpoint or f"{root}/streams",
             window_seconds=args.window_seconds, watermark=args.watermark, state_partitions=args.state_partitions,
-            trigger=trigger, state_ttl=args.state_ttl, rocksdb=not args.memory_state, debug=args.debug,
+            trigger=trigger, stats_mode=args.stats_mode, state_ttl=args.state_ttl, rocksdb=not args.memory_state, debug=args.debug,
             output_files=args.output_files, listener=BatchLogger(),
             tables={"raw": args.raw_table, "stats": args.stats_table, "windowed": args.windowed_table},
         )
@@ -174,10 +185,11 @@ def main(argv: list[str] | None = None) -> int:
             result.show(args.rows, truncate=False)
         return 0
     if args.cmd == "check":
-        from roadstats.operators.queries import volume_checks
+        from roadstats.operators.queries import checks_of_counts
+        from roadstats.streaming.statistics import table_counts
 
-        t = _open(spark, args)
-        rows = volume_checks(t["raw"], t["stats"], args.min_raw, args.min_stats).collect()
+        s = _statistics(spark, args)
+        rows = checks_of_counts(table_counts({RAW_TABLE: s["raw"], STATS_TABLE: s["stats"]}), args.min_raw, args.min_stats).collect()
         for r in rows:
             print(f"[{'OK' if r.ok else 'FAIL'}] {r.check}: {r.detail}")
         return 0 if all(r.ok for r in rows) else 1

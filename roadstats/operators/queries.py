@@ -195,9 +195,8 @@ def overview(raw: DataFrame, stats: DataFrame) -> DataFrame:
     )
 
 
-def volume_checks(raw: DataFrame, stats: DataFrame, min_raw: int = 1, min_stats: int = 1) -> DataFrame:
-    """``check, ok, detail``: raw and stats row counts against minimums."""
-    counts = table_counts({RAW_TABLE: raw, STATS_TABLE: stats})
+def checks_of_counts(counts: DataFrame, min_raw: int = 1, min_stats: int = 1) -> DataFrame:
+    """``check, ok, detail`` of ``table, rows``: raw and stats row counts against minimums."""
     minimum = F.when(F.col("table") == RAW_TABLE, F.lit(int(min_raw))).otherwise(F.lit(int(min_stats)))
     return counts.select(
         F.col("table").alias("check"),
@@ -206,6 +205,11 @@ def volume_checks(raw: DataFrame, stats: DataFrame, min_raw: int = 1, min_stats:
     )
 
 
+def volume_checks(raw: DataFrame, stats: DataFrame, min_raw: int = 1, min_stats: int = 1) -> DataFrame:
+    """``check, ok, detail``: raw and stats row counts against minimums."""
+    return checks_of_counts(table_counts({RAW_TABLE: raw, STATS_TABLE: stats}), min_raw, min_stats)
+
+
 def latest_n(df: DataFrame, n: int = 5, sort_field: str = "t", tie_keys: list[str] | None = None) -> DataFrame:
     """The n rows with the largest ``sort_field`` (top-k, no global sort).
 

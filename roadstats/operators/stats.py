@@ -105,6 +105,19 @@ def _mean(total: str, n: str) -> "F.Column":
     return F.when(F.col(n) > 0, F.col(total) / F.col(n).cast("double"))
 
 
+def link_changes(events: DataFrame, status_links: Iterable[str] = STATUS_LINKS) -> DataFrame:
+    """Per-(t, link) additive statistics of some events: ``vcount, v_sum, v_count``.
+
+    Sums over any split of the events give those of the whole, in any order, so batches need not
+    know each other (``stats_from_partials`` turns the sums into ``link_stats``).
+    """
+    return (
+        status_filter(events, status_links)
+        .groupBy("t", "link")
+        .agg(F.count(F.lit(1)).alias("vcount"), F.sum("v").alias("v_sum"), F.count("v").alias("v_count"))
+    )
+
+
 def stats_from_partials(partials: DataFrame) -> DataFrame:
     """``link_stats`` from ``link_partials`` (a projection; the mean is ``sum / count`` as in ``avg``)."""
     return partials.select("t", "link", "vcount", _mean("v_sum", "v_count").alias("vspeed"))

@@ -4,15 +4,19 @@ job with ``availableNow``, and read the sink tables back as batch DataFrames.
 Variants (each run once per process and data folder, under the shared checkpoint root):
 
 * ``in_order`` -- equal-width time ranges, one micro-batch per file, steps in order.
-* ``split``    -- every step spread over two micro-batches (update mode re-emits its keys;
-                  the latest-version read must not inflate ``samples``).
+* ``split``    -- every step spread over two micro-batches (each adds to its keys; the read must
+                  not inflate ``samples``).
 * ``late``     -- the in-order replay followed by the first range again: the windowed query
                   drops the late rows (older than the watermark), the stats query counts them.
+* ``state``    -- the split replay in ``stats_mode="update"``: running values from state, of which the
+                  newest version counts.
 * ``compact``  -- the split replay into tables of its own, which are then compacted.
 * ``two_runs`` -- two jobs with a checkpoint each write the same tables; the older one resumes
                   after the tables were compacted. The raw table equals the events.
 * ``ttl``      -- the in-order replay with ``state_ttl`` on the stats query (bounded state);
                   nothing is late in order, so stats equal the batch result.
+
+Counts, times and links of the ``late`` and ``compact`` tables also come from their folders' statistics.
 """
 
 from __future__ import annotations
@@ -27,9 +31,10 @@ from roadstats.plans.views import rounded, stats_view, windowed_view
 from roadstats.session import new_work_dir
 from roadstats.sources.events import load_events
 from roadstats.sources.stream import StreamSource, replay_to_dir
-from roadstats.schemas import RAW_TABLE, STATS_TABLE
+from roadstats.schemas import RAW_TABLE, STATS_TABLE, WINDOWED_TABLE
+from roadstats.streaming import statistics as st
 from roadstats.streaming.job import start_streams
-from roadstats.streaming.store import compact, open_tables
+from roadstats.streaming.store import compact, open_tables, table_statistics
 
 IN_ORDER_CHUNKS = 3
 STATE_TTL = "10 minutes"
@@ -38,7 +43,8 @@ _RUNS: dict[tuple[str, str], str] = {}
 _MESSAGES: dict[tuple[str, str], str] = {}
 
 
-def streamed_tables(spark: SparkSession, sf: str, variant: str) -> dict[str, DataFrame]:
+def streamed_root(spark: SparkSession, sf: str, variant: str) -> str:
+    """Folder of the variant's sink tables, written on first use."""
     stamp = fingerprint(spark, f"{sf.rstrip('/')}/events.parquet")
     key = (stamp, variant)
     if key not in _RUNS:
@@ -51,14 +57,14 @@ def streamed_tables(spark: SparkSession, sf: str, variant: str) -> dict[str, Dat
         # shuffle setting (stateful streams are not re-planned by AQE).
         parts = max(1, spark.sparkContext.defaultParallelism)
         replay = dict(files_per_chunk=parts)
-        same = {"ttl": "in_order", "compact": "split"}.get(variant)
+        same = {"ttl": "in_order", "compact": "split", "state": "split"}.get(variant)
         if (stamp, same) in _MESSAGES:
             messages = _MESSAGES[(stamp, same)]  # the same replay, already written
         elif variant == "two_runs":
             pass  # writes its messages between the runs
         elif variant in ("in_order", "ttl"):
             replay_to_dir(events, messages, f"{work}/staging", chunks=IN_ORDER_CHUNKS, **replay)
-        elif variant in ("split", "compact"):
+        elif variant in ("split", "compact", "state"):
             replay_to_dir(events, messages, f"{work}/staging", chunks=SPLIT_CHUNKS, split_steps=True, **replay)
         elif variant == "late":
             ranges = replay_to_dir(events, messages, f"{work}/staging", chunks=IN_ORDER_CHUNKS, **replay)
@@ -76,6 +82,7 @@ def streamed_tables(spark: SparkSession, sf: str, variant: str) -> dict[str, Dat
                 f"{work}/{checkpoint}",
                 trigger={"availableNow": True},
                 state_partitions=parts,
+                stats_mode="update" if variant == "state" else None,
                 state_ttl=STATE_TTL if variant == "ttl" else None,
             ).drain()
 
@@ -92,10 +99,36 @@ def streamed_tables(spark: SparkSession, sf: str, variant: str) -> dict[str, Dat
         else:
             job("checkpoints")
         if variant == "compact":
-            compact(spark, tables, STATS_TABLE, include_latest=True)
+            for table in (RAW_TABLE, STATS_TABLE, WINDOWED_TABLE):
+                compact(spark, tables, table, include_latest=True)
         _RUNS[key] = f"{work}/tables"
         _MESSAGES[key] = messages
-    return open_tables(spark, _RUNS[key])
+    return _RUNS[key]
+
+
+def streamed_tables(spark: SparkSession, sf: str, variant: str) -> dict[str, DataFrame]:
+    return open_tables(spark, streamed_root(spark, sf, variant))
+
+
+def _statistics(variant: str, table: str):
+    return lambda spark, sf: table_statistics(spark, streamed_root(spark, sf, variant), table)
+
+
+def _overview(spark: SparkSession, sf: str) -> DataFrame:
+    return st.overview(_statistics("compact", RAW_TABLE)(spark, sf), _statistics("compact", STATS_TABLE)(spark, sf))
+
+
+def _table_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Of the late replay: its last batch shares every key of the first third."""
+    return st.table_counts({name: _statistics("late", name)(spark, sf) for name in (RAW_TABLE, STATS_TABLE, WINDOWED_TABLE)})
+
+
+def _latest_t(spark: SparkSession, sf: str) -> DataFrame:
+    return st.latest_t(_statistics("late", STATS_TABLE)(spark, sf))
+
+
+def _distinct_links(spark: SparkSession, sf: str) -> DataFrame:
+    return st.distinct_links(_statistics("late", RAW_TABLE)(spark, sf))
 
 
 def _raw(variant: str):
@@ -130,10 +163,15 @@ STREAM_QUERIES = {
     "stream_compacted_stats": _stats("compact"),
     "stream_two_runs": _raw("two_runs"),
     "stream_link_stats_ttl": _stats("ttl"),
+    "stream_link_stats_state": _stats("state"),
+    "stream_overview": _overview,
+    "stream_table_counts": _table_counts,
+    "stream_latest_t": _latest_t,
+    "stream_distinct_links": _distinct_links,
 }
 
 #: The first key of each variant, which pays for its replay and drain; the others re-read its tables.
-FIRST_READERS = ("stream_raw", "stream_link_stats_split", "stream_late_data", "stream_compacted_stats", "stream_two_runs", "stream_link_stats_ttl")
+FIRST_READERS = ("stream_raw", "stream_link_stats_split", "stream_late_data", "stream_compacted_stats", "stream_two_runs", "stream_link_stats_ttl", "stream_link_stats_state")
 
 _STATUS = "('trip_end', 'waiting_at_origin_node')"
 # Closed windows after the drain: window_end <= watermark = max event second - 60 s.
@@ -160,6 +198,14 @@ def stream_sql(batch_sql: dict[str, str]) -> dict[str, str]:
         "stream_late_data": windowed_closed,
         "stream_compacted_stats": batch_sql["link_stats"],
         "stream_link_stats_ttl": batch_sql["link_stats"],
+        "stream_link_stats_state": batch_sql["link_stats"],
+        "stream_overview": batch_sql["overview"],
+        "stream_latest_t": batch_sql["latest_t"],
+        "stream_distinct_links": batch_sql["distinct_links_raw"],
+        "stream_table_counts": o.with_(o.EV, o.STATS, o.win(30), _LATE_EV)
+        + f"""SELECT 'raw_data' AS "table", count(*) AS "rows" FROM ev_late
+UNION ALL SELECT 'stats', count(*) FROM stats_t
+UNION ALL SELECT 'stats_windowed', count(*) FROM win_t {_CLOSED}""",
         "stream_late_stats": o.with_(o.EV, _LATE_EV)
         + f"""SELECT t, link, count(*) AS vcount, {o.qcol('avg(v)', 'vspeed')}
 FROM ev_late WHERE link NOT IN {_STATUS} GROUP BY t, link""",

@@ -74,6 +74,17 @@ STATS_SCHEMA = StructType(
 )
 STATS_KEYS: tuple[str, ...] = ("t", "link")
 
+#: Additive form of the per-(t, link) statistics: what one batch adds to a key.
+CHANGES_SCHEMA = StructType(
+    [
+        StructField("t", DoubleType()),
+        StructField("link", StringType()),
+        StructField("vcount", LongType()),
+        StructField("v_sum", DoubleType()),
+        StructField("v_count", LongType()),
+    ]
+)
+
 #: Per-(tumbling window, link) statistics.
 WINDOWED_SCHEMA = StructType(
     [

@@ -114,6 +114,12 @@ def folder_stamp(spark: SparkSession, path: str) -> str:
     return f"{status.getPath()}|{summary.getLength()}|{summary.getFileCount()}|{status.getModificationTime()}"
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the files under ``path``."""
+    fs, hpath = _fs(spark, path)
+    return int(fs.getContentSummary(hpath).getLength())
+
+
 def modified_at(spark: SparkSession, path: str) -> float:
     """Modification time of ``path`` in epoch seconds."""
     fs, hpath = _fs(spark, path)

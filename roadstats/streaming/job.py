@@ -1,7 +1,8 @@
 """The streaming job: one message source, three independent queries, three sink tables.
 
 * ``raw``      parsed events, output mode ``append``
-* ``stats``    per-(t, link) statistics, output mode ``update`` (no watermark; keyed upsert on read)
+* ``stats``    per-(t, link) statistics: each batch's additions (``changes``, no state: late rows count
+               and nothing grows in memory), or newest versions from state (``update``)
 * ``windowed`` tumbling-window statistics, output mode ``append`` (closed windows only)
 
 Each query reads and parses the source itself and has its own checkpoint folder and name.
@@ -15,13 +16,14 @@ import time
 from collections import deque
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from roadstats.functions.columns import event_time
-from roadstats.operators.stats import link_stats, status_filter, windowed_stats
+from roadstats.operators.stats import link_changes, link_stats, status_filter, windowed_stats
 from roadstats.schemas import (
     DEFAULT_WATERMARK,
     DEFAULT_WINDOW_SECONDS,
@@ -33,6 +35,7 @@ from roadstats.schemas import (
 from roadstats.sources.codec import parse_events
 from roadstats.sources.stream import StreamSource
 from roadstats.streaming.sink import batch_writer, run_id_for
+from roadstats.streaming.store import CHANGES, VERSIONS, set_kind
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 # Event-time offset of the state-TTL mode: the first watermark is epoch 0 and the late test
@@ -178,6 +181,7 @@ def start_streams(
     state_partitions: int | None = None,
     trigger: dict | None = None,
     tables: dict[str, str] | None = None,
+    stats_mode: str | None = None,
     state_ttl: str | None = None,
     rocksdb: bool = True,
     debug: bool = False,
@@ -196,12 +200,19 @@ def start_streams(
     ``listener`` (e.g. ``BatchLogger()``) is registered on the session before the queries start,
     and unregistered when they have ended. State lives off-heap in RocksDB unless ``rocksdb`` is
     False (the in-memory provider, for small state).
+
+    ``stats_mode``: ``changes`` (default) stores what each batch adds to a key; reads add it up. It
+    keeps no state, so it needs no bound. ``update`` keeps every key's running value in state, which
+    ``state_ttl`` bounds at the price of dropping later rows. A table keeps the mode it began with.
     """
     names = {"raw": RAW_TABLE, "stats": STATS_TABLE, "windowed": WINDOWED_TABLE, **(tables or {})}
     out_root, checkpoint_root = out_root.rstrip("/"), checkpoint_root.rstrip("/")
     status_links = tuple(status_links)
     if state_ttl is not None and not state_ttl.strip():
         raise ValueError("state_ttl must be a duration such as '10 minutes'")
+    stats_mode = stats_mode or ("update" if state_ttl else "changes")
+    if stats_mode not in ("changes", "update") or (state_ttl and stats_mode == "changes"):
+        raise ValueError("stats_mode is 'changes' (which has no state to bound) or 'update'")
     if not watermark:
         raise ValueError("the windowed query writes closed windows (append) and needs a watermark")
 
@@ -218,12 +229,13 @@ def start_streams(
     def parsed() -> DataFrame:
         return parse_events(source.read(session))
 
+    def versions() -> DataFrame:
+        return link_stats_with_ttl(parsed(), state_ttl, status_links) if state_ttl else link_stats(parsed(), status_links)
+
+    changes = stats_mode == "changes"
     plans = {
         "raw": (parsed(), "append"),
-        "stats": (
-            link_stats_with_ttl(parsed(), state_ttl, status_links) if state_ttl else link_stats(parsed(), status_links),
-            "update",
-        ),
+        "stats": (parsed().select("t", "link", "v"), "append") if changes else (versions(), "update"),
         "windowed": (windowed_stats(parsed(), window_seconds, watermark, status_links), "append"),
     }
     queries: dict[str, StreamingQuery] = {}
@@ -234,13 +246,18 @@ def start_streams(
         for role, (df, mode) in plans.items():
             table = names[role]
             ckpt = f"{checkpoint_root}/{table}"
+            if role == "stats":
+                set_kind(session, f"{out_root}/{table}", CHANGES if changes else VERSIONS)
             run_ids[role] = run_id_for(session, ckpt, f"{out_root}/{table}")
             writer = (
                 df.writeStream.queryName(f"{name_prefix}{table}")
                 .outputMode(mode)
                 .option("checkpointLocation", ckpt)
                 .foreachBatch(
-                    batch_writer(f"{out_root}/{table}", run_ids[role], output_files=None if role == "raw" else output_files)
+                    batch_writer(
+                        f"{out_root}/{table}", run_ids[role], output_files=None if role == "raw" else output_files,
+                        prepare=partial(link_changes, status_links=status_links) if role == "stats" and changes else None,
+                    )
                 )
             )
             if trigger:
@@ -248,7 +265,7 @@ def start_streams(
             queries[role] = writer.start()
         if debug:
             console = (
-                plans["stats"][0].writeStream.queryName(f"{name_prefix}debug_console")
+                versions().writeStream.queryName(f"{name_prefix}debug_console")
                 .outputMode("update")
                 .format("console")
                 .option("truncate", False)

@@ -4,8 +4,9 @@ Each micro-batch is written to its own directory ``{table}/run_id=R/batch_id=N``
 ``mode("overwrite")``: when Spark re-runs batch N after a failure (offsets and state come
 back from the checkpoint), the retry replaces the first attempt instead of appending a
 second copy. One write per batch, no extra ``count()`` action, so the micro-batch plan
-(source read, parse, stateful aggregate) runs once. Rows are counted during the write, and a
-batch that had none leaves no folder. Readers take only folders whose write committed.
+(source read, parse, aggregate) runs once. The folder's statistics (rows, times, links; see
+``statistics``) are observed during the write and stored after it, and a batch without rows
+leaves no folder. Readers take only folders whose write committed.
 
 ``run_id`` orders runs: batch ids restart at 0 with a new checkpoint, so the run id is
 fixed when a checkpoint is first used and stored next to it; a restart from the same
@@ -19,9 +20,9 @@ import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
 
 from roadstats.session import delete_path, list_dir, read_small_text, write_small_text
+from roadstats.streaming.statistics import forget_stats, observed, write_stats
 
 RUN_MARKER = "_roadstats_run"
 RUNS_SUFFIX = "__runs"
@@ -69,9 +70,12 @@ def batch_writer(
     fmt: str = "parquet",
     sort_within: Sequence[str] | None = ("link", "t"),
     output_files: int | None = None,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function writing each micro-batch to its own overwritable directory.
 
+    ``prepare`` turns the batch into the rows to store (e.g. ``link_changes``), without state.
+
     Rows are sorted within each output file by ``sort_within`` (when present), so parquet
     row-group min/max statistics prune reads filtered on ``link`` and ``t``. A stateful query
     emits one partition per state partition; ``output_files`` re-partitions the (aggregated,
@@ -81,15 +85,20 @@ def batch_writer(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        seen = Observation()
-        out = batch.observe(seen, F.count(F.lit(1)).alias("n"))
+        spark, path = batch.sparkSession, batch_path(table_path, run_id, batch_id)
+        folder = path[len(table_path.rstrip("/")) + 1 :]
+        rows, seen = prepare(batch) if prepare else batch, Observation()
+        out = rows.observe(seen, *observed(rows.schema))
         out = out.repartition(int(output_files)) if output_files else out
-        cols = [c for c in (sort_within or ()) if c in batch.columns]
+        cols = [c for c in (sort_within or ()) if c in rows.columns]
         if cols:
             out = out.sortWithinPartitions(*cols)
-        path = batch_path(table_path, run_id, batch_id)
+        forget_stats(spark, table_path, folder)  # of an attempt that this one replaces
         out.write.mode("overwrite").format(fmt).save(path)
-        if not seen.get.get("n"):
-            delete_path(batch.sparkSession, path)
+        found = seen.get
+        if not found.get("rows"):
+            delete_path(spark, path)
+            return
+        write_stats(spark, table_path, folder, found)
 
     return write

@@ -1,14 +1,20 @@
-"""Reading the sink tables back: committed batches, latest version per key, and compaction.
+"""Reading the sink tables back: committed batches, one row per key, and compaction.
 
-``stats`` is written in update mode, so a key ``(t, link)`` whose step spans several
-micro-batches has one row per batch; the stored table is the newest version of each key.
-The resolve is one hash aggregate per key (``max_by`` over the version), with map-side
-partial aggregation, so a hot key never gathers in one task.
+``stats`` comes in two kinds, said by a marker beside the table:
+
+* ``changes``: each batch holds what it adds to a key ``(t, link)`` (count, sum, non-null count).
+  The stored table is the sum over the batches of the newest run that has the key.
+* ``versions`` (no marker; also ``windowed``): a batch holds the key's value as of then, and the
+  stored table is the newest version of each key.
+
+Either way the resolve is a hash aggregate per key with map-side partial aggregation, so a
+hot key never gathers in one task.
 
 Compaction adds segments: each call folds only the batches that came after the ones folded
 before, and commits by creating the next manifest, which lists the segments in use and, for each
 run, the last batch they hold. A run that resumes later is judged by its own bound, so none
-of its batches is ever taken for folded.
+of its batches is ever taken for folded. Segments of similar size are merged (``plan_merge``), so a
+row is rewritten about once per size tier, not with every merge.
 """
 
 from __future__ import annotations
@@ -19,11 +25,13 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from roadstats.operators.stats import stats_from_partials
 from roadstats.schemas import (
+    CHANGES_SCHEMA,
     EVENT_SCHEMA,
     RAW_TABLE,
     STATS_KEYS,
@@ -33,18 +41,43 @@ from roadstats.schemas import (
     WINDOWED_SCHEMA,
     WINDOWED_TABLE,
 )
-from roadstats.session import delete_path, list_dir, modified_at, path_exists, read_small_text, write_small_text
+from roadstats.session import delete_path, folder_bytes, list_dir, modified_at, path_exists, read_small_text, write_small_text
+from roadstats.streaming.statistics import FolderStats, forget_stats, observed, statistics, write_stats
 
 SNAPSHOT_SUFFIX = "__snapshot"
-#: Segments a table may have before a compaction merges them into one.
-MAX_SEGMENTS = 8
+KIND_SUFFIX = "__kind"
+CHANGES = "changes"
+VERSIONS = "versions"
+#: Segments of a size tier that are merged into one; a tier's sizes span this factor.
+FAN_IN = 4
+#: Segments up to this size are one tier.
+LEAST_TIER_BYTES = 1 << 20
+#: A raw segment of this size is never rewritten.
+RAW_TARGET_BYTES = 16 << 30
 ROLES = {
     "raw": (RAW_TABLE, EVENT_SCHEMA, None),
     "stats": (STATS_TABLE, STATS_SCHEMA, STATS_KEYS),
     "windowed": (WINDOWED_TABLE, WINDOWED_SCHEMA, WINDOWED_KEYS),
+    CHANGES: (STATS_TABLE, CHANGES_SCHEMA, STATS_KEYS),
 }
 
 
+def table_kind(spark: SparkSession, path: str) -> str:
+    """How the table at ``path`` stores its keys: ``changes`` or ``versions``."""
+    return read_small_text(spark, path.rstrip("/") + KIND_SUFFIX) or VERSIONS
+
+
+def set_kind(spark: SparkSession, path: str, kind: str) -> None:
+    """Mark a table's kind; an error if it holds rows of another kind."""
+    path = path.rstrip("/")
+    if read_small_text(spark, path + KIND_SUFFIX) is None and kind != VERSIONS:
+        manifest = read_manifest(spark, path)
+        if not manifest.segments and not committed_batches(spark, path):
+            write_small_text(spark, path + KIND_SUFFIX, kind)
+    if table_kind(spark, path) != kind:
+        raise ValueError(f"{path} stores {table_kind(spark, path)}, not {kind}: give the table another name or its own mode")
+
+
 def time_local(df: DataFrame, time_col: str, files: int | None = None) -> DataFrame:
     """Lay out an aggregate table for reading: range-partitioned on time, sorted by link inside.
 
@@ -65,14 +98,30 @@ def _version() -> Column:
     return F.struct("run_id", "batch_id")
 
 
+@dataclass(frozen=True)
+class Segment:
+    name: str
+    bytes: int = 0
+
+
 @dataclass
 class Manifest:
     """Segments in use and, by run, the last batch they hold."""
 
     number: int = -1  #: The newest name taken, readable or not.
-    segments: list[str] = field(default_factory=list)
+    segments: list[Segment] = field(default_factory=list)
     bounds: dict[int, int] = field(default_factory=dict)
 
+    def text(self) -> str:
+        return json.dumps({"segments": [[s.name, s.bytes] for s in self.segments], "bounds": self.bounds})
+
+    @classmethod
+    def parse(cls, number: int, text: str) -> "Manifest":
+        found = json.loads(text)
+        # Older manifests list names alone.
+        segments = [Segment(s) if isinstance(s, str) else Segment(*s) for s in found["segments"]]
+        return cls(number, segments, {int(r): int(b) for r, b in found["bounds"].items()})
+
 
 def read_manifest(spark: SparkSession, path: str) -> Manifest:
     """The newest manifest of the table at ``path`` (an empty one before the first compaction)."""
@@ -80,10 +129,9 @@ def read_manifest(spark: SparkSession, path: str) -> Manifest:
     numbers = sorted((int(n) for n in list_dir(spark, f"{base}/manifests") if n.isdigit()), reverse=True)
     for number in numbers:
         try:
-            found = json.loads(read_small_text(spark, f"{base}/manifests/{number}") or "")
+            return Manifest.parse(numbers[0], read_small_text(spark, f"{base}/manifests/{number}") or "")
         except ValueError:
             continue  # its writer died: the one before holds, and the next one takes a new number
-        return Manifest(numbers[0], found["segments"], {int(r): int(b) for r, b in found["bounds"].items()})
     return Manifest(numbers[0] if numbers else -1)
 
 
@@ -110,9 +158,9 @@ def _read_batches(spark: SparkSession, path: str, schema: StructType, batches: l
     return spark.read.schema(full).format(fmt).option("basePath", path).load(paths).select(*full.names)
 
 
-def _read_segments(spark: SparkSession, path: str, schema: StructType, segments: list[str]) -> DataFrame:
+def _read_segments(spark: SparkSession, path: str, schema: StructType, segments: Sequence[Segment]) -> DataFrame:
     full = _with_batch_cols(schema)
-    return spark.read.schema(full).parquet(*[f"{path}{SNAPSHOT_SUFFIX}/{s}" for s in segments]).select(*full.names)
+    return spark.read.schema(full).parquet(*[f"{path}{SNAPSHOT_SUFFIX}/{s.name}" for s in segments]).select(*full.names)
 
 
 def read_log(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", runs: Sequence[int] | None = None) -> DataFrame | None:
@@ -144,6 +192,30 @@ def _newest(log: DataFrame, schema: StructType, keys: Sequence[str]) -> DataFram
     return newest.select(*schema.names, "_version.run_id", "_version.batch_id")
 
 
+def _summed(log: DataFrame, one_run: bool) -> DataFrame:
+    """The changes of each key added up, with their run and its last batch: those of the newest run
+    that has the key (a run that replays the source replaces what an older one stored)."""
+    sums = [F.sum(c).alias(c) for c in ("vcount", "v_sum", "v_count")]
+    by_run = log.groupBy(*STATS_KEYS, "run_id").agg(*sums, F.max("batch_id").alias("batch_id"))
+    if not one_run:
+        values = F.struct("vcount", "v_sum", "v_count", "run_id", "batch_id")
+        by_run = by_run.groupBy(*STATS_KEYS).agg(F.max_by(values, "run_id").alias("_of")).select(*STATS_KEYS, "_of.*")
+    return by_run.select(*CHANGES_SCHEMA.names, "run_id", "batch_id")
+
+
+def read_changes(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """``link_stats`` as stored in a table of changes: late rows count, whatever their batch."""
+    log = read_log(spark, path, CHANGES_SCHEMA, fmt)
+    if log is None:
+        return spark.createDataFrame([], STATS_SCHEMA)
+    return stats_from_partials(_summed(log, len(_runs(spark, path)) < 2))
+
+
+def _runs(spark: SparkSession, path: str) -> set[int]:
+    manifest = read_manifest(spark, path)
+    return {r for r, _ in committed_batches(spark, path.rstrip("/"), manifest.bounds)} | set(manifest.bounds)
+
+
 def read_table(spark: SparkSession, path: str, schema: StructType, keys: Sequence[str] | None = None, fmt: str = "parquet") -> DataFrame:
     """Read a sink table; with ``keys``, resolve to the newest row per key.
 
@@ -158,9 +230,36 @@ def read_table(spark: SparkSession, path: str, schema: StructType, keys: Sequenc
 
 def latest_run(spark: SparkSession, path: str) -> int | None:
     """The largest run id that a sink table holds (from listings, no data read)."""
+    return max(_runs(spark, path), default=None)
+
+
+def read_stats_table(spark: SparkSession, path: str) -> DataFrame:
+    """The per-(t, link) statistics of a table of either kind."""
+    if table_kind(spark, path) == CHANGES:
+        return read_changes(spark, path)
+    return read_table(spark, path, STATS_SCHEMA, STATS_KEYS)
+
+
+def table_statistics(spark: SparkSession, root: str, table: str, role: str | None = None) -> FolderStats:
+    """Statistics of the folders that hold a sink table's rows now (see ``statistics``)."""
+    path = f"{root.rstrip('/')}/{table}"
+    _, schema, keys = ROLES[_role_of(spark, path, table, role)]
     manifest = read_manifest(spark, path)
-    runs = [r for r, _ in committed_batches(spark, path.rstrip("/"), manifest.bounds)] + list(manifest.bounds)
-    return max(runs) if runs else None
+    segments = {s.name: s for s in manifest.segments}
+    batches = {f"run_id={r}/batch_id={b}": (r, b) for r, b in committed_batches(spark, path, manifest.bounds)}
+
+    def read(folders: Sequence[str]) -> DataFrame:
+        parts = [_read_segments(spark, path, schema, [segments[f]]).withColumn("_folder", F.lit(f)) for f in folders if f in segments]
+        own = [batches[f] for f in folders if f in batches]
+        if own:
+            name = F.format_string("run_id=%d/batch_id=%d", "run_id", "batch_id")
+            parts.append(_read_batches(spark, path, schema, own, "parquet").withColumn("_folder", name))
+        out = parts[0]
+        for part in parts[1:]:
+            out = out.unionByName(part)
+        return out
+
+    return statistics(spark, path, schema, keys, [*segments, *batches], read)
 
 
 def open_tables(
@@ -187,20 +286,45 @@ def open_tables(
             raw_df = log.select(*EVENT_SCHEMA.names)
     return {
         "raw": raw_df,
-        "stats": read_table(spark, f"{root}/{stats}", STATS_SCHEMA, STATS_KEYS),
+        "stats": read_stats_table(spark, f"{root}/{stats}"),
         "windowed": read_table(spark, f"{root}/{windowed}", WINDOWED_SCHEMA, WINDOWED_KEYS),
     }
 
 
-def _role_of(table: str, role: str | None) -> str:
-    if role is not None:
-        if role not in ROLES:
-            raise ValueError(f"unknown role {role!r}; one of {sorted(ROLES)}")
-        return role
-    for name, (default, _, _) in ROLES.items():
-        if default == table:
-            return name
-    raise ValueError(f"unknown table {table!r}: name its role, one of {sorted(ROLES)}")
+def _role_of(spark: SparkSession, path: str, table: str, role: str | None) -> str:
+    if role is None:
+        role = next((name for name, (default, _, _) in ROLES.items() if default == table), None)
+        if role is None:
+            raise ValueError(f"unknown table {table!r}: name its role, one of {sorted(ROLES)}")
+    if role not in ROLES:
+        raise ValueError(f"unknown role {role!r}; one of {sorted(ROLES)}")
+    return CHANGES if role == "stats" and table_kind(spark, path) == CHANGES else role
+
+
+def _tier(size: int) -> int:
+    tier = 0
+    while size > LEAST_TIER_BYTES * FAN_IN**tier:
+        tier += 1
+    return tier
+
+
+def plan_merge(segments: Sequence[Segment], new_bytes: int, most_bytes: int | None = None) -> list[Segment]:
+    """The segments to write together with ``new_bytes`` of new rows.
+
+    Whenever the new segment and those of its size tier would be ``FAN_IN``, they are merged, and
+    the result may meet ``FAN_IN - 1`` segments of the next tier. A byte thus climbs a tier with every
+    rewrite, and n compactions rewrite about n log n. Segments of ``most_bytes`` or more stay as
+    they are.
+    """
+    merged: list[Segment] = []
+    size = new_bytes
+    while most_bytes is None or size < most_bytes:
+        same = [s for s in segments if s not in merged and _tier(s.bytes) <= _tier(size) and (most_bytes is None or s.bytes < most_bytes)]
+        if len(same) + 1 < FAN_IN:
+            break
+        merged += same
+        size += sum(s.bytes for s in same)
+    return merged
 
 
 def compact(
@@ -211,14 +335,15 @@ def compact(
     sort_within: Sequence[str] = ("link", "t"),
     role: str | None = None,
     retain_seconds: float | None = None,
+    raw_target_bytes: int = RAW_TARGET_BYTES,
 ) -> str | None:
     """Fold the batches that no segment holds yet into a new segment; returns its folder.
 
-    Keyed tables (roles ``stats``, ``windowed``): the segment holds the newest row per key of
-    those batches, laid out by ``time_local``. Raw: every row, without a shuffle (the scan packs
+    Keyed tables: the segment holds one row per key of those batches (``changes`` added up, else the
+    newest version), laid out by ``time_local``. Raw: every row, without a shuffle (the scan packs
     the many small batch files into splits of ``spark.sql.files.maxPartitionBytes``). Rows keep
-    their ``run_id``/``batch_id``. With more than ``MAX_SEGMENTS`` segments the call merges all
-    into one, so the history is rewritten once in ``MAX_SEGMENTS`` compactions, not each time.
+    their ``run_id``/``batch_id``. Segments of similar size go into the new one with them
+    (``plan_merge``); a raw segment of ``raw_target_bytes`` is never rewritten.
 
     The segment counts once the next manifest is created, which only one of two concurrent
     compactions can do; the other's segment is then named by nothing. Compaction can run while
@@ -228,9 +353,9 @@ def compact(
     a merge replaced, are deleted when they are older. Returns None when there is nothing to
     fold.
     """
-    role = _role_of(table, role)
-    _, schema, keys = ROLES[role]
     path = f"{root.rstrip('/')}/{table}"
+    role = _role_of(spark, path, table, role)
+    _, schema, keys = ROLES[role]
     base = path + SNAPSHOT_SUFFIX
     manifest = read_manifest(spark, path)
     batches = committed_batches(spark, path, manifest.bounds)
@@ -240,22 +365,27 @@ def compact(
     out = None
     if batches:
         rows = _read_batches(spark, path, schema, batches, "parquet")
-        segments = manifest.segments
-        if len(segments) + 1 > MAX_SEGMENTS:
-            rows, segments = rows.unionByName(_read_segments(spark, path, schema, segments)), []
+        new_bytes = sum(folder_bytes(spark, f"{path}/run_id={r}/batch_id={b}") for r, b in batches)
+        merged = plan_merge(manifest.segments, new_bytes, None if keys else raw_target_bytes)
+        if merged:
+            rows = rows.unionByName(_read_segments(spark, path, schema, merged))
         if keys:
             # The resolve already shuffled; lay the (small) aggregate out by time for slice reads.
-            rows = time_local(_newest(rows, schema, keys), "t" if "t" in schema.names else "window_start")
+            one = _summed(rows, len(_runs(spark, path)) < 2) if role == CHANGES else _newest(rows, schema, keys)
+            rows = time_local(one, "t" if "t" in schema.names else "window_start")
         else:
             cols = [c for c in sort_within if c in schema.names]
             rows = rows.sortWithinPartitions(*cols) if cols else rows
-        segment = f"segments/{manifest.number + 1:08d}-{uuid.uuid4().hex[:8]}"
-        rows.write.parquet(f"{base}/{segment}")
+        name = f"segments/{manifest.number + 1:08d}-{uuid.uuid4().hex[:8]}"
+        seen = Observation()
+        rows.observe(seen, *observed(schema)).write.parquet(f"{base}/{name}")
+        write_stats(spark, path, name, seen.get)
+        kept = [s for s in manifest.segments if s not in merged]
         bounds = {**manifest.bounds, **{r: b for r, b in batches}}
-        text = json.dumps({"segments": [*segments, segment], "bounds": bounds})
-        if not write_small_text(spark, f"{base}/manifests/{manifest.number + 1}", text):
+        new = Manifest(manifest.number + 1, [*kept, Segment(name, folder_bytes(spark, f"{base}/{name}"))], bounds)
+        if not write_small_text(spark, f"{base}/manifests/{new.number}", new.text()):
             raise RuntimeError(f"another compaction of {path} committed first; run it again")
-        out = f"{base}/{segment}"
+        out = f"{base}/{name}"
     if retain_seconds is not None:
         _remove_folded(spark, path, retain_seconds)
     return out
@@ -263,16 +393,17 @@ def compact(
 
 def _remove_folded(spark: SparkSession, path: str, retain_seconds: float) -> None:
     """Delete batch folders and segments that the newest manifest replaces, once they are older
-    than ``retain_seconds`` (longer than any reader keeps a plan)."""
+    than ``retain_seconds`` (longer than any reader keeps a plan), and their statistics."""
     manifest = read_manifest(spark, path)
     limit = time.time() - retain_seconds
-    base = path + SNAPSHOT_SUFFIX
+    base, used = path + SNAPSHOT_SUFFIX, {s.name for s in manifest.segments}
+    old = []
     for run_id, bound in manifest.bounds.items():
         for batch in list_dir(spark, f"{path}/run_id={run_id}"):
-            folder = f"{path}/run_id={run_id}/{batch}"
-            if batch.startswith("batch_id=") and int(batch[len("batch_id="):]) <= bound and modified_at(spark, folder) <= limit:
-                delete_path(spark, folder)
-    for name in list_dir(spark, f"{base}/segments"):
-        folder = f"{base}/segments/{name}"
-        if f"segments/{name}" not in manifest.segments and modified_at(spark, folder) <= limit:
+            if batch.startswith("batch_id=") and int(batch[len("batch_id="):]) <= bound:
+                old.append((f"run_id={run_id}/{batch}", f"{path}/run_id={run_id}/{batch}"))
+    old += [(f"segments/{n}", f"{base}/segments/{n}") for n in list_dir(spark, f"{base}/segments") if f"segments/{n}" not in used]
+    for name, folder in old:
+        if modified_at(spark, folder) <= limit:
             delete_path(spark, folder)
+            forget_stats(spark, path, name)
