@@ -42,16 +42,18 @@ from roadstats.session import new_work_dir
 THRESHOLD = 10
 #: Capacity of a summary over mass / threshold.
 SLACK = 2
-#: Bits of the survivors' map (32 MB, broadcast).
-MAP_BITS = 1 << 28
+#: Bits of the survivors' map (16 MB, broadcast).
+MAP_BITS = 1 << 27
 #: Bytes of text behind a part of the first pass; least and most parts, as powers of two. Beyond 1 TB
 #: the parts grow, to about 40 million counters (0.6 GB) each at 100 TB.
 PART_BYTES, LEAST_PARTS, MOST_PARTS = 1 << 22, 5, 18
 #: N-grams that a task gathers before it hands them on, in the first and in the second pass.
-RUN, COUNTED = 1 << 21, 1 << 20
+RUN, COUNTED = 1 << 19, 1 << 19
+#: Most rows of a batch that goes back to Spark, and bytes of text that are cut into words together.
+HANDED, TEXT = 1 << 14, 1 << 18
 LONGEST = 3
-#: Parts that a join key is dealt to, since few words begin many phrases.
-SALTS = 16
+#: Parts that a word is dealt to in joins, since few words begin or end many phrases.
+SALTS = 4
 _STEPS = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 _LANG = np.uint64(0xD6E8FEB86659FD93)
 
@@ -99,7 +101,7 @@ def ngrams(ids: np.ndarray, piece: np.ndarray) -> Iterator[tuple[int, np.ndarray
 def _groups(batch: pa.RecordBatch) -> Iterator[tuple[Words, list[str]]]:
     """Words and languages of whole rows of a batch (lang, text)."""
     lang = pc.fill_null(batch.column(0), "und").to_pylist()
-    for group in split_words(batch.column(1), word=_WORD):
+    for group in split_words(batch.column(1), word=_WORD, piece=TEXT):
         yield group, lang[group.first : group.first + len(group.counts)]
 
 
@@ -281,7 +283,7 @@ def exact_counts(rows: DataFrame, shared, bits: int, slots: int, careful: bool =
     def hand_on(words: list[pa.Table], held: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
         if words:
             once = pa.concat_tables(words).group_by(["w1", "lang", "word"]).aggregate([("n", "sum")])
-            for part in once.select(["w1", "lang", "word", "n_sum"]).to_batches():
+            for part in once.select(["w1", "lang", "word", "n_sum"]).to_batches(max_chunksize=HANDED):
                 none = pa.nulls(part.num_rows, pa.int64())
                 yield pa.RecordBatch.from_arrays([part.column(0), none, none, *part.columns[1:]], ["w1", "w2", "w3", "lang", "word", "n"])
         for n, columns in enumerate(held, start=2):
@@ -293,7 +295,10 @@ def exact_counts(rows: DataFrame, shared, bits: int, slots: int, careful: bool =
             new = np.ones(len(order), dtype=bool)
             new[1:] = np.any([x[1:] != x[:-1] for x in w], axis=0)
             at = np.flatnonzero(new)
-            yield _rows([*(x[at] for x in w), *[None] * (LONGEST - n)], None, None, np.diff(np.append(at, len(order))))
+            sizes = np.diff(np.append(at, len(order)))
+            for lo in range(0, len(at), HANDED):
+                part = slice(lo, lo + HANDED)
+                yield _rows([*(x[at[part]] for x in w), *[None] * (LONGEST - n)], None, None, sizes[part])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, held, size, totals = [], [[] for _ in range(LONGEST - 1)], 0, {}
@@ -356,11 +361,11 @@ def frequent(docs: DataFrame, threshold: int = THRESHOLD, text_col: str = "text"
 # --- scores -----------------------------------------------------------------------------------
 
 
-def _attach(left: DataFrame, right: DataFrame, keys: list[str], salts: int) -> DataFrame:
-    """Inner join on ``keys`` with each key of the left side dealt to ``salts`` parts."""
-    dealt = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int"))
-    copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return dealt.join(copies, [*keys, "_salt"]).drop("_salt")
+def _attach(left: DataFrame, words: DataFrame, key: str) -> DataFrame:
+    """Inner join with each word of the left side dealt to ``SALTS`` parts."""
+    dealt = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(SALTS)).cast("int"))
+    copies = words.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return dealt.join(copies, [key, "_salt"]).drop("_salt")
 
 
 def _score(l: str, r: str) -> Column:  # noqa: E741
@@ -373,10 +378,9 @@ def _score(l: str, r: str) -> Column:  # noqa: E741
 def phrases(counts: DataFrame, share: float = 0.5) -> DataFrame:
     """(lang, phrase, a, l, r, score) of the phrases of 2 and 3 words that no longer one explains."""
     words = counts.where("w1 IS NOT NULL AND w2 IS NULL").select(F.col("w1").alias("w"), "lang", "word", "n")
-    named = lambda k: words.select(F.col("w").alias(f"w{k}"), F.col("word").alias(f"word{k}"), F.col("n").alias(f"f{k}"))
+    named = lambda k, *more: words.select(F.col("w").alias(f"w{k}"), F.col("word").alias(f"word{k}"), F.col("n").alias(f"f{k}"), *more)
     pairs = counts.where("w2 IS NOT NULL AND w3 IS NULL").select("w1", "w2", F.col("n").alias("a"))
-    pairs = _attach(pairs, named(1).join(words.select(F.col("w").alias("w1"), "lang"), "w1"), ["w1"], SALTS)
-    pairs = _attach(pairs, named(2), ["w2"], SALTS)
+    pairs = _attach(_attach(pairs, named(1, "lang"), "w1"), named(2), "w2")
     triples = counts.where("w3 IS NOT NULL").select("w1", "w2", "w3", F.col("n").alias("a"))
     head = pairs.select("w1", "w2", "lang", "word1", "word2", "f1", F.col("a").alias("f12"))
     tail = pairs.select(F.col("w1").alias("w2"), F.col("w2").alias("w3"), F.col("word2").alias("word3"), F.col("f2").alias("f3"), F.col("a").alias("f23"))
@@ -384,7 +388,7 @@ def phrases(counts: DataFrame, share: float = 0.5) -> DataFrame:
     longest = around.groupBy("w1", "w2").agg(F.max("a").alias("longer"))
     two = pairs.join(longest, ["w1", "w2"], "left").where(F.coalesce(F.col("longer"), F.lit(0)) < F.col("a") * F.lit(share))
     two = two.select("lang", F.concat_ws(" ", "word1", "word2").alias("phrase"), "a", F.col("f1").alias("l"), F.col("f2").alias("r"), _score("f1", "f2").alias("score"))
-    three = _attach(_attach(triples, head, ["w1", "w2"], SALTS // 4), tail, ["w2", "w3"], SALTS // 4)
+    three = triples.join(head, ["w1", "w2"]).join(tail, ["w2", "w3"])
     three = three.withColumns({"s1": _score("f1", "f23"), "s2": _score("f12", "f3")})
     first = F.col("s1") <= F.col("s2")
     three = three.select(

@@ -104,31 +104,31 @@ def _split(low: np.ndarray, is_word: np.ndarray, cuts: np.ndarray) -> tuple[np.n
     return starts, ends, mix((sums[ends] - sums[starts]) * inverse[starts])
 
 
-def _pieces(is_word: np.ndarray) -> Iterator[tuple[int, int]]:
+def _pieces(is_word: np.ndarray, piece: int) -> Iterator[tuple[int, int]]:
     """Cut one long row into pieces between words (a longer word stays whole)."""
     at, n = 0, len(is_word)
     while at < n:
-        end = min(at + PIECE, n)
+        end = min(at + piece, n)
         while end < n:
             gaps = np.flatnonzero(~is_word[at:end])
             if len(gaps):
                 end = at + int(gaps[-1]) + 1
                 break
-            end = min(end + PIECE, n)
+            end = min(end + piece, n)
         yield at, end
         at = end
 
 
-def split_words(column: pa.Array, word: np.ndarray = WORD, lower: np.ndarray = LOWER) -> Iterator[Words]:
-    """The words of a string column, in groups of whole rows of about ``PIECE`` bytes."""
+def split_words(column: pa.Array, word: np.ndarray = WORD, lower: np.ndarray = LOWER, piece: int = PIECE) -> Iterator[Words]:
+    """The words of a string column, in groups of whole rows of about ``piece`` bytes."""
     raw, offs = text_bytes(column)
     rows, row = len(offs) - 1, 0
     while row < rows:
-        last = max(row + 1, int(np.searchsorted(offs, offs[row] + PIECE, side="right")) - 1)
+        last = max(row + 1, int(np.searchsorted(offs, offs[row] + piece, side="right")) - 1)
         part = raw[offs[row] : offs[last]]
         low, is_word = lower[part], word[part]
-        if last == row + 1 and len(part) > PIECE:
-            found = [(a, _split(low[a:b], is_word[a:b], np.zeros(0, dtype=np.int64))) for a, b in _pieces(is_word)]
+        if last == row + 1 and len(part) > piece:
+            found = [(a, _split(low[a:b], is_word[a:b], np.zeros(0, dtype=np.int64))) for a, b in _pieces(is_word, piece)]
             starts = np.concatenate([a + s for a, (s, _, _) in found])
             ends = np.concatenate([a + e for a, (_, e, _) in found])
             hashes = np.concatenate([h for _, (_, _, h) in found])
