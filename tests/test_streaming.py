@@ -23,7 +23,8 @@ AVAILABLE_NOW = {"availableNow": True}
 
 
 def _sorted(df):
-    return sorted(tuple(r) for r in df.collect())
+    """Rows in order; sums of parts may differ from one sum in the last bits."""
+    return sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in df.collect())
 
 
 def _run(spark, work, messages, **kw):
@@ -40,15 +41,15 @@ def _write_files(spark, path, files):
         time.sleep(0.02)
 
 
-@pytest.mark.parametrize("chunks,split", [(1, False), (3, False), (10, False), (5, True)])
-def test_stream_equals_batch(spark, work, chunks, split):
+@pytest.mark.parametrize("chunks,split,mode", [(1, False, "update"), (3, False, "changes"), (10, False, "changes"), (5, True, "changes"), (4, True, "update")])
+def test_stream_equals_batch(spark, work, chunks, split, mode):
     events = load_events(spark, SF_SMALL)
     replay_to_dir(events, f"{work}/msg", f"{work}/stage", chunks=chunks, split_steps=split)
-    job = _run(spark, work, f"{work}/msg")
+    job = _run(spark, work, f"{work}/msg", stats_mode=mode)
     tables = open_tables(spark, job.out_root)
     assert _sorted(tables["stats"]) == _sorted(link_stats(events))
     assert tables["raw"].count() == events.count()
-    if split:  # update mode re-emitted keys; the log holds more rows than the resolved table
+    if split:  # keys come in two batches; the log holds more rows than the resolved table
         log = spark.read.parquet(f"{job.out_root}/stats")
         assert log.count() > tables["stats"].count()
     max_sec = events.where(~F.col("link").isin("trip_end", "waiting_at_origin_node")).agg(F.max("t")).first()[0]
@@ -217,7 +218,7 @@ def test_cli_stream_query_check(spark, work, capsys):
     assert main(["stream", "--format", "parquet", "--path", f"{work}/msg", "--out", f"{work}/named",
                  "--checkpoint", f"{work}/ckpt2", "--available-now", "--state-partitions", "2",
                  "--stats-table", "per_step", "--windowed-table", "per_window", "--raw-table", "events_raw"]) == 0
-    assert sorted(n for n in os.listdir(f"{work}/named") if not n.endswith("__runs")) == ["events_raw", "per_step", "per_window"]
+    assert sorted(n for n in os.listdir(f"{work}/named") if "__" not in n) == ["events_raw", "per_step", "per_window"]
     assert main(["compact", "--root", f"{work}/named", "--table", "per_step", "--role", "stats", "--include-latest"]) == 0
     assert main(["check", "--root", f"{work}/named", "--stats-table", "per_step", "--raw-table", "events_raw"]) == 0
 
@@ -301,16 +302,16 @@ def test_uncommitted_and_empty_batches(spark, work, events_df):
 def test_retention_merging_and_renamed_tables(spark, work, events_df):
     from roadstats.streaming import store
 
-    root = f"{work}/tables"
+    root, n = f"{work}/tables", store.FAN_IN + 1
     write = batch_writer(f"{root}/per_step", run_id=1)
-    for b in range(store.MAX_SEGMENTS + 1):
+    for b in range(n):
         write(link_stats(events_df([ev(b, "L", 1.0), ev(0, "L", float(b))])), b)
         assert store.compact(spark, root, "per_step", include_latest=True, role="stats", retain_seconds=0) is not None
         assert os.listdir(f"{root}/per_step/run_id=1") == []  # folded and past its retention
     manifest = store.read_manifest(spark, f"{root}/per_step")
-    assert len(manifest.segments) == 1 and len(os.listdir(f"{root}/per_step__snapshot/segments")) == 1
+    assert len(manifest.segments) == len(os.listdir(f"{root}/per_step__snapshot/segments")) == len(os.listdir(f"{root}/per_step__stats")) == 2
     rows = {r.t: r.vspeed for r in open_tables(spark, root, stats="per_step")["stats"].collect()}
-    assert rows == {0.0: float(store.MAX_SEGMENTS), **{float(b): 1.0 for b in range(1, store.MAX_SEGMENTS + 1)}}
+    assert rows == {0.0: float(n - 1), **{float(b): 1.0 for b in range(1, n)}}
     with pytest.raises(ValueError, match="role"):
         store.compact(spark, root, "per_step")
 
