@@ -9,9 +9,10 @@ symbols) and of words that repeat the one before them, each hashed to ``FEATURES
 grade 1 quality 1 but marked toxic, grade 2 quality 1 and not marked toxic (see ``grade``); any
 column of grades can be used instead.
 
-The fit is maximum likelihood with an L2 penalty (L-BFGS) on at most ``FIT_ROWS`` labelled rows,
-those with the smallest hash of the id: the documented bound of what reaches the driver. Fold 2
-of the ids (see ``folds.fold``) is held out. Scoring covers every row, whole texts.
+The fit is maximum likelihood with an L2 penalty (L-BFGS) on a bounded sample: labelled rows in the
+order of their ids' hashes, at most ``FIT_ROWS`` of them with at most ``FIT_BYTES`` of text in all (a
+longer text is not fitted). One task fits, and the driver gets the weights alone. Fold 2 of
+the ids (see ``folds.fold``) is held out. Scoring covers every row, whole texts.
 
 Defined results: null and empty texts have no features and score f = 0. Repeated rows score
 alike; a repeated id is fitted once. With fewer than two grades among the rated rows nothing can
@@ -27,13 +28,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from roadstats.llm.fitting import minimise
 from roadstats.llm.folds import fold, free_name
 from roadstats.llm.words import mix, row_means, split_words, text_bytes
+from roadstats.session import new_work_dir
 
 FEATURES = 1 << 18
-FIT_ROWS = 8192
+FIT_ROWS, FIT_BYTES = 8192, 32 << 20
 GRADES = 3
 PENALTY = 1e-5
 #: Shares are small numbers; this scale lets the penalty leave useful weights.
@@ -189,34 +192,53 @@ class Model:
 
 
 def fit(
-    docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_grades: int = GRADES, rows: int = FIT_ROWS
-) -> Model:
-    """Fit on at most ``rows`` rows of ``ratings`` (doc_id, grade) outside fold 2."""
-    spark = docs.sparkSession
+    docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_grades: int = GRADES,
+    rows: int = FIT_ROWS, most_bytes: int = FIT_BYTES,
+) -> Model:
+    """Fit on at most ``rows`` rows of ``ratings`` (doc_id, grade) outside fold 2 with at most
+    ``most_bytes`` of text."""
+    spark, root = docs.sparkSession, new_work_dir(docs.sparkSession, "quality")
     rated = ratings.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("grade").cast("int").alias("grade"))
     rated = rated.where(F.col("doc_id").isNotNull() & F.col("grade").between(0, n_grades - 1) & (fold() != 2))
-    # Only ratings of these documents count: docs may be a part of what the ratings cover.
-    ids = docs.select(F.col(id_col).cast("bigint").alias("doc_id")).distinct()
-    rated = rated.join(ids, "doc_id", "left_semi")
-    sample = rated.groupBy("doc_id").agg(F.min("grade").alias("grade")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    # Only ratings of these documents count: docs may be a part of what the ratings cover. A
+    # repeated id has the size of all its texts.
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    sizes = texts.groupBy("doc_id").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).alias("size")).where(F.col("size") <= most_bytes)
+    rated = rated.groupBy("doc_id").agg(F.min("grade").alias("grade")).join(sizes, "doc_id")
+    order = F.xxhash64("doc_id")
+    sample = rated.withColumn("order", order).orderBy("order", "doc_id").limit(rows)
+    before = Window.orderBy("order", "doc_id").rowsBetween(Window.unboundedPreceding, 0)  # of ``rows`` rows
+    sample.withColumn("total", F.sum("size").over(before)).where(F.col("total") <= most_bytes).select("doc_id", "grade").write.parquet(f"{root}/sample")
+    sample = spark.read.schema("doc_id bigint, grade int").parquet(f"{root}/sample")
     joined = texts.join(F.broadcast(sample), "doc_id").select("doc_id", "grade", "text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = list(_rows(batch.column(2)))
             packed = [pa.array([x[k].tobytes() for x in found], pa.binary()) for k in (0, 1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *packed], ["doc_id", "grade", "slots", "shares"])
 
-    found = joined.mapInArrow(run, "doc_id bigint, grade int, slots binary, shares binary")
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grades, pairs = [], []
+        for batch in batches:
+            grades += batch.column(0).to_pylist()
+            pairs += [(np.frombuffer(s.as_py(), np.int32), np.frombuffer(v.as_py(), np.float32)) for s, v in zip(batch.column(1), batch.column(2))]
+        if not grades:
+            return
+        weights, thresholds = b"", b""
+        if len(set(grades)) > 1:
+            weights, thresholds = (x.tobytes() for x in fit_weights(pairs, np.array(grades, dtype=np.int64), n_grades))
+        yield pa.RecordBatch.from_arrays([pa.array([weights]), pa.array([thresholds]), pa.array([grades[0]], pa.int32())], ["weights", "thresholds", "only"])
+
+    found = joined.mapInArrow(read, "doc_id bigint, grade int, slots binary, shares binary")
     once = found.groupBy("doc_id").agg(F.min(F.struct("grade", "slots", "shares")).alias("row")).select("doc_id", "row.*")
-    got = once.toArrow().sort_by("doc_id")
-    grades = np.asarray(got.column("grade"), dtype=np.int64)
-    if len(set(grades.tolist())) < 2:
-        return Model(spark, None, np.zeros(0), int(grades[0]) if len(grades) else None)
-    pairs = zip(got.column("slots").to_pylist(), got.column("shares").to_pylist())
-    weights, thresholds = fit_weights([(np.frombuffer(s, np.int32), np.frombuffer(v, np.float32)) for s, v in pairs], grades, n_grades)
-    return Model(spark, weights, thresholds)
+    ordered = once.repartition(1).sortWithinPartitions("doc_id").select("grade", "slots", "shares")
+    got = ordered.mapInArrow(solve, "weights binary, thresholds binary, only int").collect()
+    if not got:
+        return Model(spark, None, np.zeros(0))
+    if not got[0]["weights"]:
+        return Model(spark, None, np.zeros(0), got[0]["only"])
+    return Model(spark, np.frombuffer(got[0]["weights"], np.float32), np.frombuffer(got[0]["thresholds"], np.float64))
 
 
 def ratings_of(labels: DataFrame) -> DataFrame:
