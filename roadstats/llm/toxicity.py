@@ -108,39 +108,43 @@ def count_grams(rows: DataFrame) -> DataFrame:
     return found.groupBy("gram").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))
 
 
-def ratios(grams: DataFrame) -> DataFrame:
+def ratios(grams: DataFrame, root: str) -> DataFrame:
     """(key, ratio): log P_toxic - log P_ordinary of each n-gram of the orders 5 to 3, and
-    of the weight that each context gives to the order below (see ``seen_key``, ``rest_key``)."""
+    of the weight that each context gives to the order below (see ``seen_key``, ``rest_key``).
+
+    Each order's counts and probabilities are written under ``root`` once and read by the next step,
+    so every step is a plan of two joins at most.
+    """
+    read = grams.sparkSession.read.parquet
     d, s = F.lit(DISCOUNT), F.lit(BACKOFF_MASS)
     counts = {ORDER: grams}
     for n in range(ORDER - 1, LOWEST - 1, -1):
         shorter = F.col("gram").bitwiseAND(F.lit((1 << 8 * n) - 1).cast("bigint"))
         kinds = [F.sum((F.col(c) > 0).cast("bigint")).alias(c) for c in ("c0", "c1")]
-        counts[n] = counts[n + 1].groupBy(shorter.alias("gram")).agg(*kinds)
-    found, lower = [], None
+        counts[n + 1].groupBy(shorter.alias("gram")).agg(*kinds).write.parquet(f"{root}/counts-{n}")
+        counts[n] = read(f"{root}/counts-{n}")
     for n in range(LOWEST, ORDER + 1):
         rows = counts[n].withColumn("ctx", F.shiftright("gram", 8))
         sums = [F.sum(c).alias(c.replace("c", "n")) for c in ("c0", "c1")]
         kinds = [F.sum((F.col(c) > 0).cast("bigint")).alias(c.replace("c", "t")) for c in ("c0", "c1")]
-        contexts = rows.groupBy("ctx").agg(*sums, *kinds, F.count("*").alias("t"))
+        rows.groupBy("ctx").agg(*sums, *kinds, F.count("*").alias("t")).write.parquet(f"{root}/contexts-{n}")
+        contexts = read(f"{root}/contexts-{n}")
         rows = rows.join(contexts, "ctx")
         pool, total = F.col("c0") + F.col("c1"), F.col("n0") + F.col("n1")
-        if lower is None:
+        if n == LOWEST:
             shared = (F.greatest(pool - d, F.lit(0.0)) + d * F.col("t") / 64) / total
             rows = rows.withColumns({"q0": shared, "q1": shared})
         else:
-            below = lower.select(F.col("gram").alias("sub"), F.col("p0").alias("q0"), F.col("p1").alias("q1"))
+            below = read(f"{root}/lower-{n - 1}").select(F.col("gram").alias("sub"), F.col("p0").alias("q0"), F.col("p1").alias("q1"))
             sub = F.col("gram").bitwiseAND(F.lit((1 << 8 * (n - 1)) - 1).cast("bigint"))
             rows = rows.withColumn("sub", sub).join(below, "sub")
         rest = lambda k: (s + d * F.col(f"t{k}")) / (s + F.col(f"n{k}"))
         p = lambda k: F.greatest(F.col(f"c{k}") - d, F.lit(0.0)) / (s + F.col(f"n{k}")) + rest(k) * F.col(f"q{k}")
-        lower = rows.select("gram", p(0).alias("p0"), p(1).alias("p1"))
-        found.append(lower.select(seen_key(F.col("gram"), n).alias("key"), F.log(F.col("p1") / F.col("p0")).alias("ratio")))
-        found.append(contexts.select(rest_key(F.col("ctx"), n).alias("key"), F.log(rest(1) / rest(0)).alias("ratio")))
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out
+        rows.select("gram", p(0).alias("p0"), p(1).alias("p1")).write.parquet(f"{root}/lower-{n}")
+        seen = read(f"{root}/lower-{n}").select(seen_key(F.col("gram"), n).alias("key"), F.log(F.col("p1") / F.col("p0")).alias("ratio"))
+        seen.write.parquet(f"{root}/ratios/part=seen-{n}")
+        contexts.select(rest_key(F.col("ctx"), n).alias("key"), F.log(rest(1) / rest(0)).alias("ratio")).write.parquet(f"{root}/ratios/part=rest-{n}")
+    return read(f"{root}/ratios").select("key", "ratio")
 
 
 def seen_key(gram, order: int):
@@ -309,8 +313,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     seen = grams.agg(F.sum("c0"), F.sum("c1")).first()
     if not seen[0] or not seen[1]:
         return Model(None)
-    ratios(grams).write.parquet(f"{root}/ratios")
-    model = Model(spark.read.parquet(f"{root}/ratios"))
+    model = Model(ratios(grams, root))
     # Of fold 3 only ids and ratios are joined, not texts.
     held = model.with_ratio(rows.where("fold = 3"), "text", "x").select("doc_id", "x").join(known, "doc_id")
     bin_no = F.floor(F.greatest(F.lit(-float(SPAN)), F.least(F.lit(float(SPAN)), F.col("x"))) * BINS)
