@@ -6,8 +6,9 @@ the new row, possibly under another tokenizer version. Sums of signed rows can b
 order, so a batch is aggregated on its own and only its delta is stored.
 
 A batch commits once: its delta is written to a folder of its own, then a marker named by the
-batch id is created if it is absent, and names that folder. Replaying a committed batch changes
-nothing; a batch that died before its marker left a folder that nothing names. ``compact`` folds
+batch id is written in one step if it is absent, and names that folder. Replaying a committed batch
+changes nothing; a batch that died before its marker left a folder that nothing names, and one whose
+marker is empty (its writer died in an older version) is not committed and can be. ``compact`` folds
 the committed deltas into one snapshot; markers stay, so replays are still recognised.
 
 Defined results: a null source, language or tokenizer is a group of its own; null token counts
@@ -67,15 +68,17 @@ class Rollup:
         return write_small_text(self.spark, f"{self.root}/commits/{marker}", folder)
 
     def _folders(self) -> dict[str, str]:
-        names = [n for n in list_dir(self.spark, f"{self.root}/commits") if not n.startswith(".")]
-        return {n: (read_small_text(self.spark, f"{self.root}/commits/{n}") or "").strip() for n in names}
+        names = {n.split(".")[0] for n in list_dir(self.spark, f"{self.root}/commits") if not n.startswith(".")}
+        found = {n: read_small_text(self.spark, f"{self.root}/commits/{n}") for n in sorted(names)}
+        return {n: folder.strip() for n, folder in found.items() if folder}
 
     def _snapshot(self) -> tuple[str | None, set[str]]:
-        names = sorted(n for n in list_dir(self.spark, f"{self.root}/snapshots") if not n.startswith("."))
-        if not names:
-            return None, set()
-        folder, *folded = (read_small_text(self.spark, f"{self.root}/snapshots/{names[-1]}") or "").split()
-        return folder, set(folded)
+        for name in sorted((n for n in list_dir(self.spark, f"{self.root}/snapshots") if n.isdigit()), reverse=True):
+            text = read_small_text(self.spark, f"{self.root}/snapshots/{name}")
+            if text:  # an empty one was never written: the one before holds
+                folder, *folded = text.split()
+                return folder, set(folded)
+        return None, set()
 
     def totals(self) -> DataFrame:
         """(source, lang, tokenizer, n_docs, n_tokens) over all committed batches."""
@@ -89,7 +92,7 @@ class Rollup:
     def compact(self) -> None:
         """Fold the committed deltas into a snapshot, which later totals start from."""
         done = sorted(self._folders())
-        number = len(list_dir(self.spark, f"{self.root}/snapshots"))
+        number = max((int(n) for n in list_dir(self.spark, f"{self.root}/snapshots") if n.isdigit()), default=-1) + 1
         folder = f"snapshot-{number:08d}-{uuid.uuid4().hex[:8]}"
         self.totals().select(*KEYS, F.col("n_docs").alias("docs"), F.col("n_tokens").alias("tokens")).write.parquet(f"{self.root}/deltas/{folder}")
         write_small_text(self.spark, f"{self.root}/snapshots/{number:08d}", "\n".join([folder, *done]))
