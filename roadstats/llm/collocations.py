@@ -215,9 +215,8 @@ def _bits_of(keys: np.ndarray, slots: int) -> np.ndarray:
     return (keys * np.uint64(slots)) >> np.uint64(32)
 
 
-def survivors(found: DataFrame, bits: int, threshold: int, slack: float = SLACK, map_bits: int = MAP_BITS) -> DataFrame:
-    """(part, survivors, mass, taken, map): each part's summary as its stretch of the bit map."""
-    slots = max(map_bits >> bits, 8)
+def survivors(found: DataFrame, bits: int, threshold: int, slots: int, slack: float = SLACK) -> DataFrame:
+    """(part, survivors, mass, taken, map): each part's summary as its stretch of ``slots`` bits."""
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, mass, summary = None, 0, None
@@ -341,7 +340,7 @@ def frequent(docs: DataFrame, threshold: int = THRESHOLD, text_col: str = "text"
     bits = min(max(LEAST_PARTS, int(size // PART_BYTES).bit_length()), MOST_PARTS)
     slots = max(MAP_BITS >> bits, 8)
     runs(rows, bits, careful).write.parquet(f"{root}/runs")
-    survivors(spark.read.schema(_RUNS).parquet(f"{root}/runs"), bits, threshold).write.parquet(f"{root}/map")
+    survivors(spark.read.schema(_RUNS).parquet(f"{root}/runs"), bits, threshold, slots).write.parquet(f"{root}/map")
     stretches = spark.read.schema("part bigint, taken bigint, map binary").parquet(f"{root}/map").toArrow()
     bitmap = np.zeros((1 << bits, slots // 8), dtype=np.uint8)
     for part, taken, stretch in zip(*(stretches.column(k).to_pylist() for k in range(3))):

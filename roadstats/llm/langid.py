@@ -238,6 +238,11 @@ def likelihood(scores: np.ndarray, labels: np.ndarray, transitions: np.ndarray)
     at = np.nonzero(there)
     value -= scores[at[0], at[1], seen[at]].sum()
     slope[at[0], at[1], seen[at]] -= 1
+    # What precedes the first word is any language alike.
+    start = np.full(langs, 1.0 / langs) @ step
+    first = seen[there[:, 0], 0]
+    value -= np.log(start[first]).sum()
+    by_step -= np.bincount(first, minlength=langs) / (langs * start) * step
     pairs = there[:, 1:]
     np.add.at(by_step, (seen[:, :-1][pairs], seen[:, 1:][pairs]), -1.0)
     value -= transitions[seen[:, :-1][pairs], seen[:, 1:][pairs]].sum()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections import Counter
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from roadstats.llm import folds, quality, rollups, sql, toxicity, transcripts, urls
 from roadstats.llm.queries import QUERIES
+from tests.llm.conftest import words
 from tests.conftest import SF_MID, SF_SMALL
 
 
@@ -43,11 +45,11 @@ def test_cumulative_link_gradient():
         seen["f"], seen["x"] = function, at + 0.1 * rng.normal(size=len(at))
         return at
 
-    before, quality._minimise = quality._minimise, spy
+    before, quality.minimise = quality.minimise, spy
     try:
         quality.fit_weights(rows, grades, 3)
     finally:
-        quality._minimise = before
+        quality.minimise = before
     x, (_, slope) = seen["x"], seen["f"](seen["x"])
     for k in [0, 3, len(x) - 2, len(x) - 1]:
         step = np.zeros(len(x))
@@ -87,6 +89,41 @@ def test_op1_held_out(spark):
     assert _auc(held.quality.values, held.p_acceptable.values) > 0.85
 
 
+def test_scores_follow_from_weights_and_thresholds(spark, odd):
+    """Brute force from the learned numbers: features counted one by one in Python."""
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet").select("doc_id", "text").union(odd.select("doc_id", "text"))
+    labels = spark.read.parquet(f"{SF_MID}/labels.parquet")
+    model = quality.fit(docs, quality.ratings_of(labels))
+    weights = np.asarray(model.shared.value, dtype=np.float64)
+    assert model.thresholds == sorted(model.thresholds)
+
+    def value(text):
+        raw = (text or "").encode()
+        grams = [int.from_bytes(raw[i : i + 3], "big") for i in range(len(raw) - 2)]
+        total = quality.SCALE * float(weights[quality._slots(quality.mix(np.array(grams, dtype=np.uint64) * quality._TRIGRAMS))].mean()) if grams else 0.0
+        found = words(text)
+        hashes = [next(quality.split_words(pa.array([w]))).hashes[0] for w in found]
+        for k, h in enumerate(hashes):
+            slot = quality._slots(quality.mix(np.array([h]) * quality._WORDS))[0]
+            repeat = quality._REPEATS[0] if k and found[k] == found[k - 1] else quality._REPEATS[1]
+            total += quality.SCALE * (weights[slot] + weights[repeat]) / len(hashes)
+        return total
+
+    texts = [r.text for r in docs.orderBy(F.xxhash64("doc_id", "text")).limit(60).collect()] + [None, "", "a a A b", "é"]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for r in quality.score(table, model).collect():
+        tails = [1 / (1 + np.exp(t - value(texts[r.doc_id]))) for t in model.thresholds]
+        assert r.p_acceptable == pytest.approx(tails[0], abs=1e-4) and r.expected_grade == pytest.approx(sum(tails), abs=1e-4)
+
+
+def test_sample_is_bounded_in_bytes(spark):
+    ratings = spark.range(200).selectExpr("id AS doc_id", "CAST(id % 2 * 2 AS int) AS grade")
+    docs = ratings.selectExpr("doc_id", "CASE WHEN doc_id = 7 THEN repeat('x ', 100000) WHEN doc_id % 2 = 0 THEN 'bad bad words' ELSE 'fine long text' END AS text")
+    assert quality.fit(docs, ratings, most_bytes=1000).shared is not None
+    assert quality.fit(docs, ratings, most_bytes=15).only in (0, 2)  # one row
+    assert quality.fit(docs, ratings, most_bytes=1).only is None  # none
+
+
 def test_sample_is_taken_from_the_documents_own_ratings(spark):
     ratings = spark.range(2_000).selectExpr("id AS doc_id", "CAST(id % 2 * 2 AS int) AS grade")
     later = [r.doc_id for r in ratings.orderBy(F.xxhash64("doc_id")).collect()[1_500:]]
@@ -109,7 +146,7 @@ def test_grams_by_definition():
             assert grams[at[r] : at[r + 1]].tolist() == [int.from_bytes(padded[i : i + 5], "big") for i in range(len(kept))]
 
 
-def test_ratios_by_definition(spark):
+def test_ratios_by_definition(spark, work):
     rows = [("0", "abab abab"), ("0", "abba"), ("1", "bab bab x"), ("1", "ab"), ("0", "")]
     counts: dict[int, list[int]] = {}
     for label, text in rows:
@@ -138,11 +175,11 @@ def test_ratios_by_definition(spark):
         own = [c[k] for c in near]
         return (max(table.get(g, [0, 0])[k] - d, 0) + (s + d * sum(c > 0 for c in own)) * low) / (s + sum(own))
 
-    found = {r.key: r.ratio for r in toxicity.ratios(table).collect()}
+    found = {r.key: r.ratio for r in toxicity.ratios(table, f"{work}/a").collect()}
     for n, grams in orders.items():
         for g in grams:
             assert found[toxicity.seen_key(np.uint64(g), n).item()] == pytest.approx(np.log(p(g, n, 1) / p(g, n, 0)))
-    slots = toxicity.slot_table(toxicity.ratios(table))
+    slots = toxicity.slot_table(toxicity.ratios(table, f"{work}/b"))
     for g in counts:  # "x" after each context: unseen at some order, seen below or not at all
         new = g >> 8 << 8 | ord("b")
         got = toxicity._gram_ratios(np.array([new], dtype=np.uint64), slots, 5)[0]
@@ -248,6 +285,20 @@ def test_op8_against_sql(spark):
     assert sorted(map(repr, map(tuple, df.select(*names).collect()))) == sorted(map(repr, res.fetchall()))
 
 
+def test_empty_marker_is_no_commit(spark, work):
+    rows = spark.createDataFrame([("s", "en", "t", 5)], "source string, lang string, tokenizer string, n_tokens bigint")
+    rollup = rollups.Rollup(spark, f"{work}/rollup")
+    os.makedirs(f"{work}/rollup/commits")
+    os.makedirs(f"{work}/rollup/snapshots")
+    open(f"{work}/rollup/commits/{rollup._marker('a')}", "w").close()  # its writer died
+    assert rollup.commit("a", rollups.inserts(rows)) and not rollup.commit("a", rollups.inserts(rows))
+    open(f"{work}/rollup/snapshots/00000000", "w").close()
+    rollup.compact()
+    assert rollup.commit("b", rollups.inserts(rows)) and not rollup.commit("b", rollups.inserts(rows))
+    rollup.compact()
+    assert [tuple(r) for r in rollup.totals().collect()] == [("s", "en", "t", 2, 10)]
+
+
 def test_rollup_batches_commit_once(spark, work):
     rows = spark.createDataFrame([("s", "en", "v1", 10), ("s", "en", "v1", 5), (None, "en", "v1", None)], "source string, lang string, tokenizer string, n_tokens bigint")
     rollup = rollups.Rollup(spark, f"{work}/rollup")
@@ -333,18 +384,20 @@ def odd_dir(spark, odd, odd_labels, tmp_path_factory):
     spark.createDataFrame([(1, "alpha beta gamma"), (None, None)], "item_id bigint, text string").write.parquet(f"{root}/benchmark.parquet")
     turns = [(1, 0, "user", "hi"), (1, 0, "user", "hi"), (1, None, "user", None), (None, 1, None, "x\ny"), (2, 5, "tool", "")]
     spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string").write.parquet(f"{root}/conversations.parquet")
+    vectors = [(0, [1.0, 0.5], 1), (0, [1.0, 0.5], 1), (1, [0.9, 0.5], 1), (2, [0.8, 0.5], 2), (None, [1.0], 1), (3, None, 2), (4, [None, 1.0], 2), (5, [1.0, 0.4], None)]
+    spark.createDataFrame(vectors, "vec_id bigint, embedding array<float>, label int").write.parquet(f"{root}/embeddings.parquet")
     return root
 
 
 @pytest.fixture(scope="module")
 def empty_dir(spark, odd_dir, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("empty"))
-    for t in ("documents", "labels", "pages", "benchmark", "conversations"):
+    for t in ("documents", "labels", "pages", "benchmark", "conversations", "embeddings"):
         spark.read.parquet(f"{odd_dir}/{t}.parquet").limit(0).write.parquet(f"{root}/{t}.parquet")
     return root
 
 
-ROWS = {"op6_urls": 5, "op8_token_counts": None, "op9_transcripts": 6, "pipeline": None}
+ROWS = {"op11_collocations": None, "op13_negatives": 1, "op6_urls": 5, "op8_token_counts": None, "op9_transcripts": 6, "pipeline": None}
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
