@@ -105,6 +105,7 @@ def _query(spark, args):
     from roadstats.operators import network as net
     from roadstats.operators import queries as q
     from roadstats.streaming import statistics as st
+    from roadstats.streaming.store import open_slice
 
     name = args.name
     if name in ("latest-t", "counts", "distinct-links", "overview"):  # from the folders' statistics
@@ -116,6 +117,15 @@ def _query(spark, args):
         if name == "overview":
             return st.overview(s["raw"], s["stats"])
         return st.table_counts({RAW_TABLE: s["raw"], STATS_TABLE: s["stats"], WINDOWED_TABLE: s["windowed"]})
+    if name in ("state", "network"):  # from the folders that hold the slice of time
+        at = args.t
+        if name == "state" and at is None:
+            raise ValueError("--t is required for 'state'")
+        back = args.tolerance if args.tolerance is not None else 1.0 if name == "state" else MAP_STATE_TOLERANCE
+        if at is None:
+            at = st.latest_t(_statistics(spark, args)["stats"]).first()["latest_t"]
+        stats = open_slice(spark, args.root, args.stats_table, None if at is None else at - back, at, role="stats")
+        return q.link_state_at(stats, at, back) if name == "state" else net.network_state_at(spark, stats, at, back)
     t = _open(spark, args)
     stats = t["stats"]
     if name == "avg-speed":
@@ -124,12 +134,6 @@ def _query(spark, args):
         return q.top_n_congested(stats, args.n)
     if name == "speed-delta":
         return q.max_speed_delta(stats, args.n)
-    if name == "state":
-        if args.t is None:
-            raise ValueError("--t is required for 'state'")
-        return q.link_state_at(stats, args.t, 1.0 if args.tolerance is None else args.tolerance)
-    if name == "network":
-        return net.network_state_at(spark, stats, args.t, MAP_STATE_TOLERANCE if args.tolerance is None else args.tolerance)
     if name in ("link", "series", "windowed-series"):
         if not args.link:
             raise ValueError(f"--link is required for '{name}'")

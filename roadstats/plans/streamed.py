@@ -3,10 +3,10 @@ job with ``availableNow``, and read the sink tables back as batch DataFrames.
 
 Variants (each run once per process and data folder, under the shared checkpoint root):
 
-* ``in_order`` -- equal-width time ranges, one micro-batch per file, steps in order.
+* ``in_order`` -- time ranges of equal weight, one micro-batch each, steps in order.
 * ``split``    -- every step spread over two micro-batches (each adds to its keys; the read must
                   not inflate ``samples``).
-* ``late``     -- the in-order replay followed by the first range again: the windowed query
+* ``late``     -- equal-width ranges in order, followed by the first range again: the windowed query
                   drops the late rows (older than the watermark), the stats query counts them.
 * ``state``    -- the split replay in ``stats_mode="update"``: running values from state, of which the
                   newest version counts.
@@ -34,8 +34,10 @@ from roadstats.sources.stream import StreamSource, replay_to_dir
 from roadstats.schemas import RAW_TABLE, STATS_TABLE, WINDOWED_TABLE
 from roadstats.streaming import statistics as st
 from roadstats.streaming.job import start_streams
-from roadstats.streaming.store import compact, open_tables, table_statistics
+from roadstats.streaming.store import compact, open_slice, open_tables, table_statistics
 
+LINK_ID = "I2I1"
+STATE_T, STATE_TOL = 1820.0, 10.0
 IN_ORDER_CHUNKS = 3
 STATE_TTL = "10 minutes"
 SPLIT_CHUNKS = 2
@@ -67,7 +69,7 @@ def streamed_root(spark: SparkSession, sf: str, variant: str) -> str:
         elif variant in ("split", "compact", "state"):
             replay_to_dir(events, messages, f"{work}/staging", chunks=SPLIT_CHUNKS, split_steps=True, **replay)
         elif variant == "late":
-            ranges = replay_to_dir(events, messages, f"{work}/staging", chunks=IN_ORDER_CHUNKS, **replay)
+            ranges = replay_to_dir(events, messages, f"{work}/staging", chunks=IN_ORDER_CHUNKS, by="width", **replay)
             replay_to_dir(events, messages, f"{work}/staging", ranges=ranges[:1], whole=False, restage=False, **replay)
         else:
             raise ValueError(f"unknown replay variant {variant!r}")
@@ -114,6 +116,16 @@ def _statistics(variant: str, table: str):
     return lambda spark, sf: table_statistics(spark, streamed_root(spark, sf, variant), table)
 
 
+def _state_at(spark: SparkSession, sf: str) -> DataFrame:
+    """The latest row of each link in a slice of time, from the folders that hold it."""
+    slice_ = open_slice(spark, streamed_root(spark, sf, "late"), STATS_TABLE, t_min=STATE_T - STATE_TOL, t_max=STATE_T)
+    return rounded(q.link_state_at(slice_, STATE_T, STATE_TOL), "vspeed")
+
+
+def _series(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(q.link_series(open_slice(spark, streamed_root(spark, sf, "compact"), STATS_TABLE, link=LINK_ID), LINK_ID), "vspeed")
+
+
 def _overview(spark: SparkSession, sf: str) -> DataFrame:
     return st.overview(_statistics("compact", RAW_TABLE)(spark, sf), _statistics("compact", STATS_TABLE)(spark, sf))
 
@@ -164,6 +176,8 @@ STREAM_QUERIES = {
     "stream_two_runs": _raw("two_runs"),
     "stream_link_stats_ttl": _stats("ttl"),
     "stream_link_stats_state": _stats("state"),
+    "stream_state_at": _state_at,
+    "stream_series": _series,
     "stream_overview": _overview,
     "stream_table_counts": _table_counts,
     "stream_latest_t": _latest_t,
@@ -199,6 +213,8 @@ def stream_sql(batch_sql: dict[str, str]) -> dict[str, str]:
         "stream_compacted_stats": batch_sql["link_stats"],
         "stream_link_stats_ttl": batch_sql["link_stats"],
         "stream_link_stats_state": batch_sql["link_stats"],
+        "stream_state_at": batch_sql["link_state_at"],
+        "stream_series": batch_sql["link_series"],
         "stream_overview": batch_sql["overview"],
         "stream_latest_t": batch_sql["latest_t"],
         "stream_distinct_links": batch_sql["distinct_links_raw"],

@@ -83,7 +83,28 @@ class StreamSource:
 def _time_bounds() -> list:
     """min/max of the staged time, NaN excluded (Spark orders NaN above every number)."""
     t = F.when(~F.isnan("_t"), F.col("_t"))
-    return [F.min(t).alias("lo"), F.max(t).alias("hi"), F.count(F.lit(1)).alias("n")]
+    return [F.min(t).alias("lo"), F.max(t).alias("hi"), F.count(F.lit(1)).alias("n"), _quantiles(CUTS).alias("cuts")]
+
+
+#: Quantiles of the time that are sketched while staging.
+CUTS = 1000
+
+
+def _quantiles(parts: int):
+    """The values of ``_t`` below which lie 1, 2, .. of ``parts`` parts of the rows with a time."""
+    shares = [k / parts for k in range(1, parts)]
+    return F.approx_percentile(F.when(~F.isnan("_t"), F.col("_t")), F.array(*[F.lit(x) for x in shares]), F.lit(10 * max(parts, CUTS)))
+
+
+def _equal_weight(staged: DataFrame, cuts: list[float], chunks: int, lo: float, hi: float) -> list[tuple[float, float]]:
+    """At most ``chunks`` ranges of about equal weight; a value that fills several is one range."""
+    if chunks > CUTS:  # finer than what was sketched: one more pass over the times alone
+        cuts, parts = staged.agg(_quantiles(chunks).alias("cuts")).first()["cuts"], chunks
+    else:
+        parts = CUTS
+    chosen = [cuts[round(k * parts / chunks) - 1] for k in range(1, chunks)]
+    edges = [lo, *sorted({c for c in chosen if lo < c <= hi}), hi]
+    return list(zip(edges[:-1], edges[1:])) if len(edges) > 2 or hi > lo else [(lo, lo + 1.0)]
 
 
 def replay_to_dir(
@@ -100,14 +121,17 @@ def replay_to_dir(
     restage: bool = True,
     pause_seconds: float = 0.0,
     rows_per_range: int = 50_000_000,
+    by: str = "rows",
 ) -> list[tuple[float, float]]:
     """Write ``events`` as messages into ``path`` in time order, one write job per time range.
 
     The encoded events are staged once (one scan of the source), range-partitioned and sorted
     by time, so that each range's job reads only its part of the staging. Then each of ``chunks``
-    equal-width ranges of ``time_col`` (more, if a range would average over ``rows_per_range``
-    rows) is appended by its own job, so file modification times follow simulation time and a file stream reads the steps in order (pace it with
-    ``max_files_per_trigger``). ``split_steps`` writes each range in two halves chosen by a
+    ranges of ``time_col`` (more, if a range would average over ``rows_per_range`` rows) is appended
+    by its own job, so file modification times follow simulation time and a file stream reads the
+    steps in order (pace it with ``max_files_per_trigger``). Ranges hold about as many rows each
+    (``by="rows"``: cut at quantiles, sketched while staging; a single step is never cut), so a busy hour
+    becomes many batches, or are equally wide (``by="width"``). ``split_steps`` writes each range in two halves chosen by a
     row hash, so every step is spread over two jobs, i.e. two micro-batches. Every row is
     written exactly once. Returns the ranges used (``[lo, hi)``, the last one closed).
 
@@ -120,6 +144,8 @@ def replay_to_dir(
     """
     if chunks <= 0:
         raise ValueError(f"chunks must be positive, got {chunks}")
+    if by not in ("rows", "width"):
+        raise ValueError(f"by is 'rows' or 'width', got {by!r}")
     spark = events.sparkSession
     encoded = events.select(
         F.col(time_col).alias("_t"),
@@ -143,8 +169,11 @@ def replay_to_dir(
         if lo is None:
             return []
         chunks = max(chunks, -(-int(bounds["n"]) // rows_per_range))
-        width = (hi - lo) / chunks if hi > lo else 1.0
-        ranges = [(lo + i * width, lo + (i + 1) * width) for i in range(chunks)]
+        if by == "rows":
+            ranges = _equal_weight(staged, bounds["cuts"], chunks, lo, hi)
+        else:
+            width = (hi - lo) / chunks if hi > lo else 1.0
+            ranges = [(lo + i * width, lo + (i + 1) * width) for i in range(chunks)]
     timeless = staged.where(F.col("_t").isNull() | F.isnan("_t"))
     for i, (a, b) in enumerate(ranges):
         last = whole and i == len(ranges) - 1

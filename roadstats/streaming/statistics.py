@@ -7,6 +7,7 @@ without one (its writer died, or it is older) is read instead, so answers are al
 
 ``latest_t``, ``table_counts``, ``overview`` and ``distinct_links`` here answer the same questions as
 ``operators.queries``, over these files. The files are read by Spark, as a table with one row a folder.
+``folders_with`` says which folders a slice of time or a link can lie in, so other reads skip the rest.
 
 What cannot be told from statistics is read: a keyed table holds a key in several folders only at
 times that several folders share, so there its keys are counted, and its rows elsewhere add up.
@@ -181,6 +182,18 @@ def shared_times(spans: Sequence[tuple[float | None, float | None, bool]], most:
     return [(a, b) for a, b in found], sum(bool(s[2]) for s in spans) > 1
 
 
+def folders_with(stats: FolderStats, t_min: float | None = None, t_max: float | None = None, link: str | None = None) -> list[str]:
+    """The folders that may hold rows of a closed range of times and of a link."""
+    may = F.lit(True)
+    if t_min is not None:
+        may = may & (F.col("t_max") >= F.lit(float(t_min)))
+    if t_max is not None:
+        may = may & (F.col("t_min") <= F.lit(float(t_max)))
+    if link is not None:
+        may = may & (F.col("links").isNull() | F.array_contains("links", F.lit(link)))
+    return sorted(r["folder"] for r in stats.rows.where(may).select("folder").collect())
+
+
 def overview(raw: FolderStats, stats: FolderStats) -> DataFrame:
     """One row ``raw_rows, current_t, active_links``, like ``operators.queries.overview``.
 

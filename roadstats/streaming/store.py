@@ -42,7 +42,7 @@ from roadstats.schemas import (
     WINDOWED_TABLE,
 )
 from roadstats.session import delete_path, folder_bytes, list_dir, modified_at, path_exists, read_small_text, write_small_text
-from roadstats.streaming.statistics import FolderStats, forget_stats, observed, statistics, write_stats
+from roadstats.streaming.statistics import FolderStats, folders_with, forget_stats, observed, statistics, write_stats
 
 SNAPSHOT_SUFFIX = "__snapshot"
 KIND_SUFFIX = "__kind"
@@ -291,6 +291,41 @@ def open_tables(
     }
 
 
+def open_slice(
+    spark: SparkSession, root: str, table: str, t_min: float | None = None, t_max: float | None = None,
+    link: str | None = None, role: str | None = None,
+) -> DataFrame:
+    """Rows of a sink table with ``t_min <= time <= t_max`` and of one link, read from the folders
+    that can hold such rows by their statistics; the others are not opened.
+
+    All rows of a key have its time and link, so resolving the key from these folders gives what
+    the whole table gives. Reads of the newest steps thus cost the same however long the history is.
+    Rows without a time (NULL, NaN) are in no range of times.
+    """
+    path = f"{root.rstrip('/')}/{table}"
+    role = _role_of(spark, path, table, role)
+    _, schema, keys = ROLES[role]
+    shown = STATS_SCHEMA if role == CHANGES else schema
+    stats = table_statistics(spark, root, table, role)
+    folders = folders_with(stats, t_min, t_max, link)
+    if not folders:
+        return spark.createDataFrame([], shown)
+    inside, of = F.lit(True), F.lit if "t" in schema.names else (lambda x: F.timestamp_micros(F.lit(round(x * 1e6))))
+    time_col = "t" if "t" in schema.names else "window_start"
+    if t_min is not None:
+        inside = inside & (F.col(time_col) >= of(float(t_min)))
+    if t_max is not None:
+        inside = inside & (F.col(time_col) <= of(float(t_max)))
+    if time_col == "t" and (t_min is not None or t_max is not None):
+        inside = inside & ~F.isnan(time_col)
+    if link is not None:
+        inside = inside & (F.col("link") == F.lit(link))
+    rows = stats.read(folders).where(inside)
+    if role == CHANGES:
+        return stats_from_partials(_summed(rows, len(_runs(spark, path)) < 2))
+    return (_newest(rows, schema, keys) if keys else rows).select(*shown.names)
+
+
 def _role_of(spark: SparkSession, path: str, table: str, role: str | None) -> str:
     if role is None:
         role = next((name for name, (default, _, _) in ROLES.items() if default == table), None)

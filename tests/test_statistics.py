@@ -212,3 +212,51 @@ def test_changes_and_statistics_columns(spark, work, events_df):
     read, missing = st.read_stats(spark, f"{work}/t", ["run_id=1/batch_id=0", "run_id=1/batch_id=1"])
     assert missing == ["run_id=1/batch_id=1"] and read.first().asDict() == {**record, "links": sorted(found["links"])}
     assert read.select(F.size("links")).first()[0] == 3
+
+
+@pytest.mark.parametrize("folded", [0, 3])
+def test_slices_read_only_folders_that_can_hold_them(spark, work, events_df, folded):
+    root = f"{work}/tables"
+    raw = batch_writer(f"{root}/raw_data", run_id=1)
+    batches = [[ev(100 * k + j, "AB"[(k + j) % 2] if k % 3 else "A", float(j)) for j in range(10)] for k in range(8)]
+    batches.append([ev(205, "C", 1.0), ev(NAN, "C", 2.0), ev(None, "A", 3.0)])  # late, and without a time
+    for b, rows in enumerate(batches):
+        _changes(spark, root, [rows], events_df, first=b)
+        raw(events_df(rows), b)
+        if b + 1 == folded:
+            for table in ("stats", "raw_data"):
+                store.compact(spark, root, table, include_latest=True)
+    t = store.open_tables(spark, root)
+    for lo, hi, link in [(203, 302, None), (None, 150, "B"), (700, None, "A"), (900, None, None), (None, None, "C"), (204.5, 205, None), (None, None, "none"), (None, None, None)]:
+        want = F.lit(True)
+        if lo is not None:
+            want = want & (F.col("t") >= lo) & ~F.isnan("t")
+        if hi is not None:
+            want = want & (F.col("t") <= hi)
+        if link is not None:
+            want = want & (F.col("link") == link)
+        for table, whole in (("stats", t["stats"]), ("raw_data", t["raw"])):
+            assert _rows(store.open_slice(spark, root, table, lo, hi, link)) == _rows(whole.where(want)), (lo, hi, link, table)
+    newest = store.open_slice(spark, root, "stats", 700, 709)
+    assert {f.split("batch_id=")[1].split("/")[0] for f in newest.inputFiles() if "batch_id=" in f} == {"7"}
+    assert _rows(q.link_state_at(newest, 709, 2)) == _rows(q.link_state_at(t["stats"], 709, 2))
+
+
+def test_ranges_of_equal_weight_cut_a_busy_hour(spark, work, events_df):
+    from roadstats.sources.stream import replay_to_dir
+
+    busy = spark.range(9000).select((F.lit(50.0) + F.col("id") / 9000).alias("t"))  # 90 % of the rows in 1 % of the time
+    quiet = spark.range(1000).select((F.col("id") / 10.0).alias("t"))
+    frame = events_df([ev(0, "L", 1.0)]).limit(1).drop("t").crossJoin(busy.union(quiet)).select(*EVENT_SCHEMA.names)  # one row times all
+    ranges = replay_to_dir(frame, f"{work}/rows", f"{work}/s1", chunks=10)
+    counts = [frame.where((F.col("t") >= a) & ((F.col("t") < b) | ((F.col("t") <= b) & F.lit(k == len(ranges) - 1)))).count() for k, (a, b) in enumerate(ranges)]
+    assert len(ranges) == 10 and sum(counts) == 10000 and max(counts) <= 1100
+    wide = replay_to_dir(frame, f"{work}/width", f"{work}/s2", chunks=10, by="width")
+    assert max(frame.where((F.col("t") >= a) & (F.col("t") < b)).count() for a, b in wide) > 9000
+    assert spark.read.parquet(f"{work}/rows").count() == spark.read.parquet(f"{work}/width").count() == 10000
+    # One step is never cut.
+    same = events_df([ev(5, "L", 1.0)] * 20 + [ev(6, "L", 1.0), ev(NAN, "L", 1.0), ev(None, "L", 1.0)])
+    assert replay_to_dir(same, f"{work}/same", f"{work}/s3", chunks=5) in ([(5.0, 6.0)], [(5.0, 6.0), (6.0, 6.0)])
+    assert spark.read.parquet(f"{work}/same").count() == 23
+    with pytest.raises(ValueError, match="by is"):
+        replay_to_dir(same, f"{work}/x", f"{work}/s5", by="hours")

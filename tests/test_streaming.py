@@ -438,7 +438,7 @@ def test_caller_session_conf_is_untouched(spark, work):
 
 def test_replay_ranges_ignore_nan_and_keep_every_row(spark, work, events_df):
     rows = [ev(0, "L", 1.0), ev(10, "L", 1.0), ev(float("nan"), "L", 1.0), ev(None, "L", 1.0), ev(30, "L", 1.0)]
-    ranges = replay_to_dir(events_df(rows), f"{work}/msg", f"{work}/stage", chunks=3)
+    ranges = replay_to_dir(events_df(rows), f"{work}/msg", f"{work}/stage", chunks=3, by="width")
     assert ranges == [(0.0, 10.0), (10.0, 20.0), (20.0, 30.0)]
     assert spark.read.parquet(f"{work}/msg").count() == 5
 
