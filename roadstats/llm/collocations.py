@@ -48,7 +48,7 @@ MAP_BITS = 1 << 27
 #: the parts grow, to about 40 million counters (0.6 GB) each at 100 TB.
 PART_BYTES, LEAST_PARTS, MOST_PARTS = 1 << 22, 5, 18
 #: N-grams that a task gathers before it hands them on, in the first and in the second pass.
-RUN, COUNTED = 1 << 19, 1 << 19
+RUN, COUNTED = 1 << 19, 1 << 18
 #: Most rows of a batch that goes back to Spark, and bytes of text that are cut into words together.
 HANDED, TEXT = 1 << 14, 1 << 18
 LONGEST = 3
@@ -281,7 +281,7 @@ def exact_counts(rows: DataFrame, shared, bits: int, slots: int, careful: bool =
 
     def hand_on(words: list[pa.Table], held: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
         if words:
-            once = pa.concat_tables(words).group_by(["w1", "lang", "word"]).aggregate([("n", "sum")])
+            once = pa.concat_tables(words).group_by(["w1", "lang", "word"], use_threads=False).aggregate([("n", "sum")])
             for part in once.select(["w1", "lang", "word", "n_sum"]).to_batches(max_chunksize=HANDED):
                 none = pa.nulls(part.num_rows, pa.int64())
                 yield pa.RecordBatch.from_arrays([part.column(0), none, none, *part.columns[1:]], ["w1", "w2", "w3", "lang", "word", "n"])
@@ -317,7 +317,7 @@ def exact_counts(rows: DataFrame, shared, bits: int, slots: int, careful: bool =
                     row = np.repeat(np.arange(len(lang)), group.counts)[places]
                     langs = pa.array(lang, pa.string()).take(pa.array(row))
                     table = pa.table({"w1": pa.array(ids[places].view(np.int64)), "lang": langs, "word": _texts(group, places)})
-                    words.append(table.group_by(["w1", "lang", "word"]).aggregate([([], "count_all")]).rename_columns(["w1", "lang", "word", "n"]))
+                    words.append(table.group_by(["w1", "lang", "word"], use_threads=False).aggregate([([], "count_all")]).rename_columns(["w1", "lang", "word", "n"]))
                 if size >= COUNTED:
                     yield from hand_on(words, held)
                     words, held, size = [], [[] for _ in range(LONGEST - 1)], 0
