@@ -384,7 +384,7 @@ def odd_dir(spark, odd, odd_labels, tmp_path_factory):
     spark.createDataFrame([(1, "alpha beta gamma"), (None, None)], "item_id bigint, text string").write.parquet(f"{root}/benchmark.parquet")
     turns = [(1, 0, "user", "hi"), (1, 0, "user", "hi"), (1, None, "user", None), (None, 1, None, "x\ny"), (2, 5, "tool", "")]
     spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string").write.parquet(f"{root}/conversations.parquet")
-    vectors = [(0, [1.0, 0.5], 1), (0, [1.0, 0.5], 1), (1, [0.9, 0.5], 1), (2, [0.8, 0.5], 2), (None, [1.0], 1), (3, None, 2), (4, [None, 1.0], 2), (5, [1.0, 0.4], None)]
+    vectors = [(0, [1.0, 0.5], 1), (0, [1.0, 0.5], 1), (1, [0.7, 0.5], 1), (2, [0.8, 0.5], 2), (None, [1.0], 1), (3, None, 2), (4, [None, 1.0], 2), (5, [1.0, 0.4], None)]
     spark.createDataFrame(vectors, "vec_id bigint, embedding array<float>, label int").write.parquet(f"{root}/embeddings.parquet")
     return root
 
