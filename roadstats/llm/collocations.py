@@ -49,6 +49,9 @@ MAP_BITS = 1 << 27
 PART_BYTES, LEAST_PARTS, MOST_PARTS = 1 << 22, 5, 18
 #: N-grams that a task gathers before it hands them on, in the first and in the second pass.
 RUN, COUNTED = 1 << 19, 1 << 18
+#: Bytes of a row group of the written runs. Their rows are some KB each, and Spark reads a row group's
+#: first 4,096 rows into one column vector.
+ROW_GROUP = 1 << 22
 #: Most rows of a batch that goes back to Spark, and bytes of text that are cut into words together.
 HANDED, TEXT = 1 << 14, 1 << 18
 LONGEST = 3
@@ -339,8 +342,9 @@ def frequent(docs: DataFrame, threshold: int = THRESHOLD, text_col: str = "text"
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = min(max(LEAST_PARTS, int(size // PART_BYTES).bit_length()), MOST_PARTS)
     slots = max(MAP_BITS >> bits, 8)
-    runs(rows, bits, careful).write.parquet(f"{root}/runs")
-    survivors(spark.read.schema(_RUNS).parquet(f"{root}/runs"), bits, threshold, slots).write.parquet(f"{root}/map")
+    small = {"parquet.block.size": str(ROW_GROUP), "parquet.enable.dictionary": "false"}
+    runs(rows, bits, careful).write.options(**small).parquet(f"{root}/runs")
+    survivors(spark.read.schema(_RUNS).parquet(f"{root}/runs"), bits, threshold, slots).write.options(**small).parquet(f"{root}/map")
     stretches = spark.read.schema("part bigint, taken bigint, map binary").parquet(f"{root}/map").toArrow()
     bitmap = np.zeros((1 << bits, slots // 8), dtype=np.uint8)
     for part, taken, stretch in zip(*(stretches.column(k).to_pylist() for k in range(3))):
