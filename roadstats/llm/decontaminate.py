@@ -7,10 +7,11 @@ block ends at the current word) and buckets of windows by the hash of their last
 block with shift 0 opens its bucket; a candidate counts only after its words have been
 compared byte for byte, so hash collisions cost time and never a wrong hit.
 
-The index is built on the driver from the benchmark and broadcast in blocks of at most
-``BLOCK_BYTES`` of item text; a larger benchmark is searched block by block, each block's
-narrow result written to the shared folder and the hit spans united per document. Documents
-are never shuffled for one block.
+The windows are cut and repeated ones merged by Spark. They are dealt by hash to blocks of about
+``BLOCK_WINDOWS`` distinct windows; the index of a block is a few flat arrays, built at once from its
+rows and broadcast. A larger benchmark is searched block by block, each block's narrow result written
+to the shared folder and the hit spans united per document. Documents are never shuffled for one
+block. A window's items travel with it (no more than there are items).
 
 Defined results: a null or empty text has no words, no hits and no items. Null or empty items
 give no window; a null item_id counts in the hits but not among the items. Repeated items and
@@ -21,71 +22,121 @@ gives no hits, or no rows. Extra columns of either table are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadstats.llm.words import mix, split_words
+from roadstats.llm.words import mix, split_words, text_bytes
 from roadstats.session import new_work_dir
 
 WINDOW = 10
-#: Item text that one broadcast index covers (its tables take about ten times as much).
-BLOCK_BYTES = 8 << 20
+#: Distinct windows that one broadcast index covers (about 0.2 KB each, tables included).
+BLOCK_WINDOWS = 1 << 18
+#: Windows that a task hands to Spark together.
+HANDED = 1 << 13
 
 RESULT = "doc_id bigint, n_words bigint, spans array<struct<from: int, to: int>>, items array<bigint>"
 
 
 @dataclass
 class Table:
-    """Shift table, suffix buckets and windows of one length."""
+    """Shift table, suffix buckets and windows of one length, as flat arrays.
+
+    Window k is ``data[offsets[k]:offsets[k + 1]]`` and belongs to the items
+    ``items[item_offsets[k]:item_offsets[k + 1]]``; ``suffixes`` are the sorted hashes of the
+    windows' last blocks and ``windows`` the numbers of the windows in that order.
+    """
 
     length: int
     shift: np.ndarray
     mask: np.uint64
-    buckets: dict[int, list[int]] = field(default_factory=dict)
-    hashes: list[np.ndarray] = field(default_factory=list)
-    texts: list[bytes] = field(default_factory=list)
-    items: list[tuple[int, ...]] = field(default_factory=list)
+    suffixes: np.ndarray
+    windows: np.ndarray
+    data: bytes
+    offsets: np.ndarray
+    items: np.ndarray
+    item_offsets: np.ndarray
+
+    def bucket(self, block: np.uint64) -> Iterator[int]:
+        """Windows whose last block has this hash."""
+        at = int(np.searchsorted(self.suffixes, block))
+        while at < len(self.suffixes) and self.suffixes[at] == block:
+            yield int(self.windows[at])
+            at += 1
 
 
 def _blocks(hashes: np.ndarray, length: int) -> np.ndarray:
     """Hash of the block that ends at each word (two words; one if the windows have one)."""
     if length == 1:
         return hashes
-    return mix(hashes[:-1] * np.uint64(31) + hashes[1:])
+    return mix(hashes[..., :-1] * np.uint64(31) + hashes[..., 1:])
 
 
-def build_index(items: list[tuple[int | None, str | None]], window: int = WINDOW) -> list[Table]:
-    """One table for each window length that occurs."""
-    windows: dict[int, dict[bytes, tuple[np.ndarray, set]]] = {}
-    column = pa.array([text for _, text in items], type=pa.string())
-    for group in split_words(column):
-        at = group.bounds()
-        for r in range(len(group.counts)):
-            lo, hi, item = at[r], at[r + 1], items[group.first + r][0]
-            length = int(min(window, hi - lo))
-            for k in range(lo, hi - length + 1) if length else ():
-                text = _joined(group.low, group.starts[k : k + length], group.ends[k : k + length])
-                found = windows.setdefault(length, {}).setdefault(text, (group.hashes[k : k + length].copy(), set()))
-                if item is not None:
-                    found[1].add(int(item))
+def benchmark_windows(benchmark: DataFrame, id_col: str, text_col: str, window: int = WINDOW) -> DataFrame:
+    """(length, words, items): the distinct windows, their words joined by blanks, and their items."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for group in split_words(batch.column(1)):
+                at = group.bounds()
+                for r in range(len(group.counts)):
+                    length = int(min(window, at[r + 1] - at[r]))
+                    if not length:
+                        continue
+                    own = slice(at[r], at[r + 1])
+                    text = _joined(group.low, group.starts[own], group.ends[own])
+                    starts = np.concatenate(([0], np.cumsum(group.ends[own] - group.starts[own] + 1)))
+                    count = len(starts) - length
+                    for lo in range(0, count, HANDED):
+                        found = [text[a : b - 1] for a, b in zip(starts[lo : min(lo + HANDED, count)], starts[lo + length :])]
+                        item = pa.repeat(batch.column(0)[group.first + r], len(found))
+                        yield pa.RecordBatch.from_arrays([pa.array([length] * len(found), pa.int32()), pa.array(found, pa.binary()), item], ["length", "words", "item"])
+
+    rows = benchmark.select(F.col(id_col).cast("bigint").alias("item"), F.col(text_col).alias("text")).where("text != ''")
+    found = rows.mapInArrow(cut, "length int, words binary, item bigint")
+    return found.groupBy("length", "words").agg(F.collect_set("item").alias("items"))
+
+
+def window_blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int, block_windows: int) -> Iterator[pa.Table]:
+    """The distinct windows in blocks of about ``block_windows``, one at least."""
+    spark, root = benchmark.sparkSession, new_work_dir(benchmark.sparkSession, "benchmark-windows")
+    benchmark_windows(benchmark, id_col, text_col, window).write.parquet(f"{root}/all")
+    every = spark.read.schema("length int, words binary, items array<bigint>").parquet(f"{root}/all")
+    n = -(-every.count() // block_windows)
+    if n <= 1:
+        yield every.toArrow()
+        return
+    block = F.pmod(F.xxhash64("words"), F.lit(n)).cast("int").alias("block")
+    every.select("*", block).repartition("block").write.partitionBy("block").parquet(f"{root}/blocks")
+    for k in range(n):
+        yield spark.read.parquet(f"{root}/blocks").where(F.col("block") == k).drop("block").toArrow()
+
+
+def build_index(block: pa.Table) -> list[Table]:
+    """One table for each window length that occurs in a block (length, words, items)."""
     tables = []
-    for length, found in sorted(windows.items()):
-        block = min(2, length)
-        slots = 1 << min(24, max(16, (32 * len(found) * length).bit_length()))
-        table = Table(length, np.full(slots, length - block + 1, dtype=np.uint8 if length < 250 else np.int32), np.uint64(slots - 1))
-        for n, (text, (hashes, ids)) in enumerate(sorted(found.items())):
-            ends = _blocks(hashes, length)
-            steps = np.arange(len(ends) - 1, -1, -1).astype(table.shift.dtype)
-            np.minimum.at(table.shift, (ends & table.mask).astype(np.int64), steps)
-            table.buckets.setdefault(int(ends[-1]), []).append(n)
-            table.hashes.append(hashes)
-            table.texts.append(text)
-            table.items.append(tuple(sorted(ids)))
-        tables.append(table)
+    for length in sorted(pc.unique(block.column("length")).to_pylist()):
+        rows = block.filter(pc.equal(block.column("length"), length)).combine_chunks()
+        texts = rows.column("words").cast(pa.string()).combine_chunks()
+        data, offsets = text_bytes(texts)
+        hashes = np.concatenate([group.hashes for group in split_words(texts)]).reshape(-1, length)
+        size = min(2, length)
+        slots = 1 << min(24, max(16, (32 * len(hashes) * length).bit_length()))
+        shift = np.full(slots, length - size + 1, dtype=np.uint8 if length < 250 else np.int32)
+        mask = np.uint64(slots - 1)
+        ends = _blocks(hashes, length)
+        for k in range(ends.shape[1]):  # later blocks allow smaller steps, which stay
+            shift[(ends[:, k] & mask).astype(np.int64)] = ends.shape[1] - 1 - k
+        order = np.argsort(ends[:, -1], kind="stable")
+        lists = rows.column("items").combine_chunks()
+        items = np.asarray(lists.flatten().to_numpy(zero_copy_only=False), dtype=np.int64)
+        counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        item_offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int64)
+        tables.append(Table(length, shift, mask, ends[order, -1], order, data.tobytes(), offsets, items, item_offsets))
     return tables
 
 
@@ -103,11 +154,10 @@ def _occurrences(table: Table, group, lo: int, hi: int, shifts: bytes, blocks: n
             at += step
             continue
         start = at + size - table.length
-        for n in table.buckets.get(int(blocks[at]), ()):
-            stop = start + table.length
-            if np.array_equal(group.hashes[start:stop], table.hashes[n]) and (
-                _joined(group.low, group.starts[start:stop], group.ends[start:stop]) == table.texts[n]
-            ):
+        text = None
+        for n in table.bucket(blocks[at]):
+            text = text or _joined(group.low, group.starts[start : start + table.length], group.ends[start : start + table.length])
+            if text == table.data[table.offsets[n] : table.offsets[n + 1]]:
                 yield start, n
         at += 1
 
@@ -136,25 +186,12 @@ def search_words(column: pa.Array, tables: list[Table]) -> Iterator[tuple[int, i
             for table, shifts, blocks in scans:
                 for start, n in _occurrences(table, group, at[r], at[r + 1], shifts, blocks):
                     spans.append((start - at[r], start - at[r] + table.length))
-                    items.update(table.items[n])
+                    items.update(table.items[table.item_offsets[n] : table.item_offsets[n + 1]].tolist())
             yield group.first + r, at[r + 1] - at[r], _united(spans), sorted(items)
 
 
-def item_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int) -> Iterator[list]:
-    """The items in blocks of at most ``block_bytes`` of text (one longer item is one block)."""
-    items = benchmark.select(F.col(id_col).cast("bigint"), F.col(text_col)).where(F.col(text_col) != "")
-    block, size = [], 0
-    for item, text in items.toLocalIterator():
-        if block and size + len(text) > block_bytes:
-            yield block
-            block, size = [], 0
-        block.append((item, text))
-        size += len(text)
-    yield block
-
-
-def _search(docs: DataFrame, id_col: str, text_col: str, items: list, window: int) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast([vars(t) for t in build_index(items, window)])
+def _search(docs: DataFrame, id_col: str, text_col: str, block: pa.Table) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast([vars(t) for t in build_index(block)])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = [Table(**fields) for fields in shared.value]
@@ -180,22 +217,22 @@ def find_benchmark(
     item_col: str = "item_id",
     item_text_col: str = "text",
     window: int = WINDOW,
-    block_bytes: int = BLOCK_BYTES,
+    block_windows: int = BLOCK_WINDOWS,
 ) -> DataFrame:
     """One row per document: doc_id, n_words, spans (hit words, end exclusive) and items."""
     spark = docs.sparkSession
-    blocks = item_blocks(benchmark, item_col, item_text_col, block_bytes)
+    blocks = window_blocks(benchmark, item_col, item_text_col, window, block_windows)
     first = next(blocks)
     second = next(blocks, None)
     if second is None:
-        return _search(docs, id_col, text_col, first, window).drop("text_key")
+        return _search(docs, id_col, text_col, first).drop("text_key")
     # Equal rows give equal results: the first block keeps one row per document row, the others
     # add their spans and items by (doc_id, text).
     root = new_work_dir(spark, "benchmark-blocks")
-    _search(docs, id_col, text_col, first, window).write.parquet(f"{root}/block=0")
+    _search(docs, id_col, text_col, first).write.parquet(f"{root}/block=0")
     n = 1
     while second is not None:
-        found = _search(docs, id_col, text_col, second, window).where(F.size("items") + F.size("spans") > 0)
+        found = _search(docs, id_col, text_col, second).where(F.size("items") + F.size("spans") > 0)
         found.dropDuplicates(["doc_id", "text_key"]).write.parquet(f"{root}/block={n}")
         second, n = next(blocks, None), n + 1
     base = spark.read.parquet(f"{root}/block=0")
@@ -241,9 +278,9 @@ def digest(found: DataFrame) -> DataFrame:
     )
 
 
-def has_benchmark(text: Column, spark: SparkSession, items: list, window: int = WINDOW) -> Column:
-    """Whether a text holds any window of the items."""
-    shared = spark.sparkContext.broadcast([vars(t) for t in build_index(items, window)])
+def has_benchmark(text: Column, spark: SparkSession, block: pa.Table) -> Column:
+    """Whether a text holds any window of the block."""
+    shared = spark.sparkContext.broadcast([vars(t) for t in build_index(block)])
 
     @F.arrow_udf("boolean")
     def run(column: pa.Array) -> pa.Array:
@@ -253,7 +290,7 @@ def has_benchmark(text: Column, spark: SparkSession, items: list, window: int =
     return run(text)
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
     """The rows of ``docs`` (all columns) whose text holds no benchmark window.
 
     A filter beside the scan, without a shuffle. Of a large benchmark four blocks are searched
@@ -261,12 +298,12 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     """
     spark = docs.sparkSession
     kept, root = docs, None
-    for n, items in enumerate(item_blocks(benchmark, "item_id", "text", block_bytes)):
+    for n, block in enumerate(window_blocks(benchmark, "item_id", "text", window, block_windows)):
         if n and n % 4 == 0:
             root = root or new_work_dir(spark, "decontaminate")
             kept.write.parquet(f"{root}/{n}")
             kept = spark.read.parquet(f"{root}/{n}")
-        kept = kept.where(~has_benchmark(F.col("text"), spark, items, window))
+        kept = kept.where(~has_benchmark(F.col("text"), spark, block))
     return kept
 
 

@@ -323,8 +323,9 @@ def _hits(text: str, items) -> tuple:
     return len(tokens), len(hit), len(found), hashlib.sha256(ids.encode()).hexdigest(), len(hit) > 0
 
 
-@pytest.mark.parametrize("block_bytes", [10, decontaminate.BLOCK_BYTES])
-def test_find_benchmark_against_brute_force(spark, block_bytes):
+@pytest.mark.parametrize("block_windows", [3, decontaminate.BLOCK_WINDOWS])
+def test_find_benchmark_against_brute_force(spark, block_windows, monkeypatch):
+    monkeypatch.setattr(decontaminate, "HANDED", 2)  # windows of one item in several batches
     ten = "one two three four five six seven eight nine ten"
     items = [(1, ten + " eleven"), (2, ten.upper()), (2, ten), (10, "solo"), (11, "two words"), (12, ""), (13, None), (None, "null id item"), (14, "a b a b a b a b a b a b")]
     texts = [
@@ -333,9 +334,9 @@ def test_find_benchmark_against_brute_force(spark, block_bytes):
     ]
     docs = spark.createDataFrame(list(enumerate(texts)) + [(3, texts[3])], "doc_id bigint, text string")
     benchmark = spark.createDataFrame(items, "item_id bigint, text string")
-    got = sorted(map(tuple, decontaminate.digest(decontaminate.find_benchmark(docs, benchmark, block_bytes=block_bytes)).collect()))
+    got = sorted(map(tuple, decontaminate.digest(decontaminate.find_benchmark(docs, benchmark, block_windows=block_windows)).collect()))
     assert got == sorted([(i, *_hits(t or "", items)) for i, t in enumerate(texts)] + [(3, *_hits(texts[3], items))])
-    kept = sorted(r.doc_id for r in decontaminate.clean_documents(docs, benchmark, block_bytes=block_bytes).collect())
+    kept = sorted(r.doc_id for r in decontaminate.clean_documents(docs, benchmark, block_windows=block_windows).collect())
     assert kept == [i for i, t in enumerate(texts) if not _hits(t or "", items)[4]]
 
 
