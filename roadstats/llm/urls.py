@@ -3,29 +3,34 @@
 A URL is a set of tokens: the labels of its host, its path segments (digit runs as ``#``), file
 ending, query names and whether it has a fragment. Labelled pages are transactions of these tokens
 plus ``verdict:block`` for rejected pages; FP-growth finds frequent token sets, and the rules
-{tokens} -> verdict:block are pruned by support, confidence and lift. A rule that only narrows
-another one of no less confidence is dropped. Rules are applied through an inverted index: each
+{tokens} -> verdict:block are pruned by support, by the lower end of the 95 % interval of their
+confidence (so that a few pages do not make a rule; one formula at every size) and by lift. A rule that
+only narrows another one of no less confidence is dropped. Rules are applied through an inverted index: each
 stands under its rarest token, so a URL only meets rules of tokens it has, and each meeting is
 verified against the whole antecedent.
 
-Labels come from ``labels`` by id (a page has the id of the document made from it): quality 0 or
-toxic 1 rejects. Fixed host and path rules come first; the mined ones judge the rest.
+Pages have no labels of their own: ``page_labels`` reads each page's text out of its HTML and judges it
+by the quality and toxicity models, fitted on the labelled documents. Quality 0 or toxic 1 rejects.
+Fixed host and path rules come first; the mined ones judge the rest.
 
 Mining and matching run over distinct URLs' tokens, so a URL or host with many pages costs no
 more than one. The rules are broadcast only while they are at most ``MOST_BROADCAST``; beyond
 that the index is joined by shuffle.
 
 Defined results: a null URL or one without ``://`` has an empty host and path, no rule and
-verdict allow. Repeated pages each get their row. Without labels nothing is mined and the rest is
-allowed. An empty table gives no rows. Extra columns are ignored.
+verdict allow. Repeated pages each get their row; a repeated id has the worst of its labels. A page
+without HTML or text has no label. Without labels nothing is mined and the rest is allowed. An empty table gives no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadstats.llm import quality, toxicity
 from roadstats.llm.folds import one_label
 from roadstats.session import new_work_dir
 
@@ -39,8 +44,8 @@ RULES = (
 )
 BLOCK = "verdict:block"
 MIN_SUPPORT, MIN_CONFIDENCE, MIN_LIFT = 0.002, 0.5, 1.5
-#: A rule stands on this many rejected pages at least, however few are labelled.
-MIN_ROWS = 25
+#: Normal quantile of a 95 % interval.
+Z = 1.96
 MOST_BROADCAST = 50_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -83,6 +88,41 @@ def tokens_of(url: Column) -> Column:
     return F.when(host == "", F.array().cast("array<string>")).otherwise(F.array_sort(F.array_distinct(every)))
 
 
+#: Elements whose contents are no text, and those that part it (fixed values).
+_HIDDEN = r"(?is)<(script|style|nav)\b.*?</\1\s*>"
+_BLOCKS = r"(?i)</?(?:p|div|br|li|ul|ol|h[1-6]|tr|td|table|title|article|section|header|footer)\b[^>]*>"
+_ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&amp;": "&"}
+
+
+def page_text(html: Column) -> Column:
+    """The text of a page: without scripts, styles, menus, comments and tags."""
+    text = F.regexp_replace(F.regexp_replace(html, _HIDDEN, " "), r"(?s)<!--.*?-->", " ")
+    text = F.regexp_replace(F.regexp_replace(text, _BLOCKS, "\n"), r"<[^>]*>", "")
+    for entity, char in _ENTITIES.items():
+        text = F.replace(text, F.lit(entity), F.lit(char))
+    return F.regexp_replace(F.regexp_replace(text, r"[ \t]*\n\s*", "\n"), r"^\s+|\s+$", "")
+
+
+def page_labels(pages: DataFrame, docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, quality, toxic) of the pages (page_id, html) that have text, ``doc_id`` being the page's
+    id, by models fitted on the labelled documents outside fold 2."""
+    texts = pages.select(F.col("page_id").cast("bigint").alias("doc_id"), page_text(F.col("html")).alias("text")).where("text != ''")
+    worth = quality.fit(docs, quality.ratings_of(labels))
+    harm = toxicity.fit(docs, labels)
+    valued = harm.with_ratio(texts.withColumn("value", worth.value("text")), "text", "ratio")
+    return valued.select(
+        "doc_id",
+        (worth.tail(F.col("value")) >= 0.5).cast("int").alias("quality"),
+        (harm.probability(F.col("ratio")) >= toxicity.THRESHOLD).cast("int").alias("toxic"),
+    )
+
+
+def least_confidence(share: Column, rows: Column) -> Column:
+    """Lower end of the Wilson interval of a share among ``rows``."""
+    near = share + Z * Z / 2 / rows - Z * F.sqrt((share * (1 - share) + Z * Z / 4 / rows) / rows)
+    return near / (1 + Z * Z / rows)
+
+
 def mine(transactions: DataFrame, min_support: float, min_confidence: float, min_lift: float) -> DataFrame:
     """(rule, key, confidence): antecedents of verdict:block, and each one's rarest token.
 
@@ -90,9 +130,12 @@ def mine(transactions: DataFrame, min_support: float, min_confidence: float, min
     """
     items = transactions.select(F.when(F.col("blocked"), F.array_append("tokens", F.lit(BLOCK))).otherwise(F.col("tokens")).alias("items"))
     items = items.where(F.size("items") > 0)
-    support = min(1.0, max(min_support, MIN_ROWS / max(1, items.count())))
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(items)
+    n = max(1, items.count())
+    # Fewer rejected pages than this never reach the confidence, even if all are: no rule is lost.
+    least = math.ceil(min_confidence * Z * Z / (1 - min_confidence)) if min_confidence < 1 else n
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, least / n)), minConfidence=min_confidence).fit(items)
     rules = model.associationRules.where(F.array_contains("consequent", BLOCK) & (F.col("lift") >= min_lift))
+    rules = rules.where(least_confidence(F.col("confidence"), F.col("support") * n / F.col("confidence")) >= min_confidence)
     rules = rules.select(F.array_sort("antecedent").alias("rule"), "confidence")
     single = model.freqItemsets.where(F.size("items") == 1).select(F.element_at("items", 1).alias("token"), "freq")
     ranked = rules.select("rule", "confidence", F.explode("rule").alias("token")).join(single, "token")
@@ -138,5 +181,6 @@ def judge(
 
 
 def op6_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = sf_dir.rstrip("/")
-    return judge(spark.read.parquet(f"{root}/pages.parquet").select("page_id", "url"), spark.read.parquet(f"{root}/labels.parquet"))
+    pages, docs, labels = (spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet") for t in ("pages", "documents", "labels"))
+    pages = pages.select("page_id", "url", "html")
+    return judge(pages, page_labels(pages, docs.select("doc_id", "text"), labels.select("doc_id", "quality", "toxic")))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
 import os
 import re
 import zlib
 from collections import Counter
+from itertools import combinations
 from urllib.parse import urlsplit
 
 import duckdb
@@ -271,6 +273,53 @@ def test_mined_rules_are_exact(spark):
     assert {got[i].mined_rule for i, u, _ in rows if "spam.net/pills" in u} == {"host:spam path:pills"}
 
 
+def _brute_rules(transactions):
+    """Antecedents by trying every token set."""
+    n, seen, bad = len(transactions), Counter(), Counter()
+    for tokens, blocked in transactions:
+        for size in range(1, len(tokens) + 1):
+            for part in combinations(sorted(tokens), size):
+                seen[part] += 1
+                bad[part] += blocked
+    base, z, found = sum(b for _, b in transactions) / n, urls.Z, {}
+    for part, k in bad.items():
+        p, rows = k / seen[part], seen[part]
+        low = (p + z * z / 2 / rows - z * math.sqrt(p * (1 - p) / rows + z * z / 4 / rows**2)) / (1 + z * z / rows)
+        if k and k >= math.ceil(n * urls.MIN_SUPPORT) and low >= urls.MIN_CONFIDENCE and p / base >= urls.MIN_LIFT:
+            found[part] = p
+    return {r for r, p in found.items() if not any(found.get(r[:k] + r[k + 1 :], -1) >= p for k in range(len(r)))}
+
+
+@pytest.mark.parametrize("n", [60, 2000])
+def test_miner_against_brute_force(spark, n):
+    rng = np.random.default_rng(n)
+    rows = []
+    for _ in range(n):
+        tokens = sorted({f"t{int(k)}" for k in rng.integers(0, 9, int(rng.integers(0, 6)))})
+        rows.append((tokens, bool(rng.random() < (0.9 if {"t1", "t2"} <= set(tokens) or "t7" in tokens else 0.1))))
+    df = spark.createDataFrame(rows, "tokens array<string>, blocked boolean")
+    got = {tuple(r.rule) for r in urls.mine(df, urls.MIN_SUPPORT, urls.MIN_CONFIDENCE, urls.MIN_LIFT).collect()}
+    kept = [(t, b) for t, b in rows if t or b]  # transactions without any item are left out
+    assert got == _brute_rules(kept) and got
+
+
+def test_page_text(spark):
+    html = "<html><title>A</title><style>p{}</style><script>var t='</p>';</script><nav>menu</nav><!-- <p>no</p> --><p>one <b>t</b>wo</p>\n<P class='x'>3 &lt; 4 &amp;amp;</html>"
+    df = spark.createDataFrame([(html,), ("",), (None,), ("<p>" * 50_000 + "x",)], "h string")
+    assert [r.t for r in df.select(urls.page_text(F.col("h")).alias("t")).collect()] == ["A\none two\n3 < 4 &amp;", "", None, "x"]
+
+
+def test_pages_are_labelled_by_their_text(spark):
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SF_MID}/labels.parquet")
+    host = F.when(F.col("quality") == 0, "junk.net").otherwise("good.net")
+    html = F.concat(F.lit("<html><nav>a</nav><p>"), "text", F.lit("</p></html>"))
+    pages = docs.join(labels, "doc_id").select((F.col("doc_id") + 10**6).alias("page_id"), F.concat(F.lit("http://"), host, F.lit("/p/"), F.col("doc_id")).alias("url"), html.alias("html"))
+    got = urls.judge(pages, urls.page_labels(pages, docs, labels)).collect()
+    assert {r.mined_rule for r in got if r.verdict == "block"} == {"host:junk"}
+    assert all((r.verdict == "block") == (r.host == "junk.net") for r in got)
+
+
 # --- 8: rollups -------------------------------------------------------------------------------
 
 
