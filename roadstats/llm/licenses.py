@@ -10,6 +10,8 @@ holds at least ``CONTAINMENT`` of the template's distinct words. The join is exa
   template of n words that needs a = ceil(n x CONTAINMENT) of them cannot match a text that
   lacks all of its first n - a + 1 words: only these prefix words are indexed.
 * Length filter: the text holds at least a of the template vocabulary's words.
+* Positional filter: from the first word they share on, in the global order, the text still holds
+  at least a of them.
 * The rest are verified by the most distinct template words that any block holds, from one sweep
   over the places of the template's words (``most_in_span``).
 
@@ -70,6 +72,40 @@ TEMPLATES = {
         permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright
         notice and this permission notice shall be included in all copies or substantial portions of the Software.""",
     "mpl-2.0": "subject to the terms of the mozilla public license version 2 0",
+    "apache-2.0-notice": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in
+        compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0
+        Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on
+        an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the
+        specific language governing permissions and limitations under the License.""",
+    "gpl-3.0-notice": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU
+        General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your
+        option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;
+        without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public
+        License for more details. You should have received a copy of the GNU General Public License along with this program.
+        If not, see <https://www.gnu.org/licenses/>.""",
+}
+#: The parts that follow the texts above in the whole licenses.
+_MIT_WARRANTY = """The Software is provided "as is", without warranty of any kind, express or implied, including but not limited to
+    the warranties of merchantability, fitness for a particular purpose and noninfringement. In no event shall the authors or
+    copyright holders be liable for any claim, damages or other liability, whether in an action of contract, tort or otherwise,
+    arising from, out of or in connection with the Software or the use or other dealings in the Software."""
+_BSD_NAMES = """3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+    products derived from this software without specific prior written permission."""
+_BSD_WARRANTY = """This software is provided by the copyright holders and contributors "as is" and any express or implied
+    warranties, including, but not limited to, the implied warranties of merchantability and fitness for a particular purpose
+    are disclaimed. In no event shall the copyright holder or contributors be liable for any direct, indirect, incidental,
+    special, exemplary, or consequential damages (including, but not limited to, procurement of substitute goods or services;
+    loss of use, data, or profits; or business interruption) however caused and on any theory of liability, whether in
+    contract, strict liability, or tort (including negligence or otherwise) arising in any way out of the use of this software,
+    even if advised of the possibility of such damage."""
+_ISC_WARRANTY = """In no event shall the author be liable for any special, direct, indirect, or consequential damages or any
+    damages whatsoever resulting from loss of use, data or profits, whether in an action of contract, negligence or other
+    tortious action, arising out of or in connection with the use or performance of this software."""
+TEMPLATES |= {
+    "bsd-2-body": f"{TEMPLATES['bsd-2-text']} {_BSD_WARRANTY}",
+    "bsd-3-body": f"{TEMPLATES['bsd-2-text']} {_BSD_NAMES} {_BSD_WARRANTY}",
+    "isc-body": f"{TEMPLATES['isc-text']} {_ISC_WARRANTY}",
+    "mit-body": f"{TEMPLATES['mit-text']} {_MIT_WARRANTY}",
 }
 CONTAINMENT = 0.85
 #: Fewest words of a block, and words from one block's begin to the next.
@@ -183,28 +219,69 @@ def scan(docs: DataFrame, id_col: str, text_col: str, vocabulary: list[str], lea
     return rows.select("doc_id", "text_key", found.alias("facts")).select("doc_id", "text_key", "facts.*")
 
 
+def own_words(scanned: DataFrame) -> DataFrame:
+    """(doc_id, text_key, tokens, own): each text with words of the vocabulary once, and which."""
+    texts = scanned.where(F.size("tokens") > 0).select("doc_id", "text_key", "tokens").dropDuplicates(["doc_id", "text_key"])
+    return texts.withColumn("own", F.array_distinct(F.transform("tokens", word_of)))
+
+
+def global_order(texts: DataFrame, size: int) -> list[int]:
+    """Numbers of the vocabulary's ``size`` words, that of the fewest texts first. They bound what
+    comes to the driver."""
+    counted = texts.select(F.explode("own").alias("word")).groupBy("word").count()
+    frequency = {r["word"]: r["count"] for r in counted.collect()}
+    return sorted(range(1, size + 1), key=lambda w: (frequency.get(w, 0), w))
+
+
+def candidates(texts: DataFrame, order: list[int], templates: list[list[int]], needs: list[int], positional: bool = True) -> DataFrame:
+    """``texts`` with ``met``: the templates (numbers of words each) that pass every filter.
+
+    Words stand by their place in the global order. The first word that a text shares with a
+    template's prefix is the first one they share at all, if the template matches. So they share at
+    most that word and the text's words behind it (the positional filter); the words behind it in the
+    template are enough for any prefix word."""
+    rank = {word: place for place, word in enumerate(order, 1)}
+    index: dict[int, list[int]] = {}
+    for n, (words, need) in enumerate(zip(templates, needs)):
+        for place in sorted(rank[w] for w in words)[: len(words) - need + 1]:
+            index.setdefault(place, []).append(n)
+    ranks = F.array(*[F.lit(rank[w]) for w in range(1, len(order) + 1)])
+    prefixes = F.array(*[F.array(*map(F.lit, index.get(place, []))).cast("array<int>") for place in range(1, len(order) + 1)])
+    least = F.array(*map(F.lit, needs))
+
+    def hits(own: Column) -> Column:
+        """(template, room) of each shared prefix word, in the global order."""
+        def of_word(place: Column, at: Column) -> Column:
+            room = F.size(own) - (at if positional else F.lit(0))
+            return F.transform(F.element_at(prefixes, place), lambda n: F.struct(n.alias("template"), room.alias("room")))
+
+        return F.flatten(F.transform(own, of_word))
+
+    def passing(found: Column, names: Column) -> Column:
+        first = lambda h, at: F.array_position(names, h["template"]) == at + 1
+        enough = lambda h: h["room"] >= F.get(least, h["template"])
+        return F.transform(F.filter(found, lambda h, at: first(h, at) & enough(h)), lambda h: h["template"])
+
+    ordered = F.sort_array(F.transform("own", lambda w: F.element_at(ranks, w)))
+    met = _let(_let(ordered, hits), lambda found: _let(F.transform(found, lambda h: h["template"]), lambda names: passing(found, names)))
+    return texts.withColumn("met", met).where(F.size("met") > 0)
+
+
 def join_templates(scanned: DataFrame, templates: dict[str, str], vocabulary: list[str], containment: float) -> DataFrame:
     """(doc_id, text_key, label, contained): the best block of each label of each text."""
-    spark = scanned.sparkSession
-    texts = scanned.where(F.size("tokens") > 0).select("doc_id", "text_key", "tokens").dropDuplicates(["doc_id", "text_key"])
-    texts = texts.withColumn("own", F.array_distinct(F.transform("tokens", word_of)))
-    # Global order: rarest word first. The template vocabulary bounds this table.
-    frequency = {r["word"]: r["count"] for r in texts.select(F.explode("own").alias("word")).groupBy("word").count().collect()}
+    spark, texts = scanned.sparkSession, own_words(scanned)
     number = {w: n for n, w in enumerate(vocabulary, 1)}
-    index: dict[int, list[int]] = {}
-    members = []
-    for n, (label, text) in enumerate(templates.items()):
-        ordered = sorted((number[w] for w in template_words(text)), key=lambda w: (frequency.get(w, 0), w))
-        need = needed(len(ordered), containment)
-        members += [(word, n, label, len(ordered), need, span_of(text)) for word in ordered]
-        for word in ordered[: len(ordered) - need + 1]:
-            index.setdefault(word, []).append(n)
+    words = [[number[w] for w in template_words(text)] for text in templates.values()]
+    needs = [needed(len(w), containment) for w in words]
+    members = [
+        (word, n, label, len(words[n]), needs[n], span_of(text))
+        for n, (label, text) in enumerate(templates.items()) for word in words[n]
+    ]
     of_word = spark.createDataFrame(members, "word int, template int, label string, size int, need int, span int")
-    prefixes = F.array(*[F.array(*map(F.lit, index.get(n, []))).cast("array<int>") for n in range(1, len(vocabulary) + 1)])
-    met = F.array_distinct(F.flatten(F.transform("own", lambda w: F.element_at(prefixes, w))))
-    tokens = texts.withColumn("met", met).where(F.size("met") > 0).select("doc_id", "text_key", "met", F.size("own").alias("words"), F.explode("tokens").alias("token"))
+    met = candidates(texts, global_order(texts, len(vocabulary)), words, needs)
+    tokens = met.select("doc_id", "text_key", "met", F.explode("tokens").alias("token"))
     pairs = tokens.withColumn("word", word_of(F.col("token"))).join(F.broadcast(of_word), "word")
-    pairs = pairs.where(F.array_contains("met", F.col("template")) & (F.col("words") >= F.col("need")))
+    pairs = pairs.where(F.array_contains("met", F.col("template")))
     groups = pairs.groupBy("doc_id", "text_key", "label", "size", "need", "span").agg(F.collect_list("token").alias("tokens"))
     shared = groups.select("*", most_in_span(F.col("tokens"), F.col("span")).alias("shared")).where(F.col("shared") >= F.col("need"))
     return shared.select("doc_id", "text_key", "label", (F.col("shared") / F.col("size")).alias("contained"))

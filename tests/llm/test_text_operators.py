@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
 
 import numpy as np
@@ -261,10 +262,10 @@ def _licenses(text: str):
         part = phrase.split(" ")
         places += [(i, label) for i in range(len(tokens) - len(part) + 1) if tokens[i : i + len(part)] == part]
     pieces = re.split(licenses.SEPARATORS, lower(text))
+    wanted = {label: set(licenses.template_words(template)) for label, template in licenses.TEMPLATES.items()}
     for b in range(0, max(len(pieces) - (licenses.BLOCK - licenses.STEP), 1), licenses.STEP):
         block = set(pieces[b : b + licenses.BLOCK])
-        for label, template in licenses.TEMPLATES.items():
-            own = set(licenses.template_words(template))
+        for label, own in wanted.items():
             if len(block & own) >= licenses.needed(len(own), licenses.CONTAINMENT):
                 labels[label] = max(labels.get(label, 0), len(block & own) / len(own))
     at, base = [i for i, _ in places], {label for _, label in places}
@@ -292,6 +293,7 @@ def test_blocks_begin_at_every_word(spark):
     body = licenses.TEMPLATES["mit-text"]
     terms = {**licenses.TEMPLATES, "long": " ".join(f"term{n}" for n in range(400))}
     texts = [cut, "pad " * 70 + body + " tail" * 50, terms["long"], " ".join(w + " z z" for w in terms["long"].split(" ")), "term1 " * 400 + "mit", "cc sa 4 " + "cc " * 31 + "0"]
+    texts += ["pad " * 90 + licenses.TEMPLATES[label] + " tail" * 90 for label in ("mit-body", "bsd-3-body", "isc-body", "gpl-3.0-notice")]
     docs = spark.createDataFrame(list(enumerate(texts)) + [(0, cut)], "doc_id bigint, text string")
     got = {r.doc_id: {f["label"]: f["contained"] for f in r.found} for r in licenses.find_licenses(docs, templates=terms).collect()}
     for n, text in enumerate(texts):
@@ -303,6 +305,36 @@ def test_blocks_begin_at_every_word(spark):
                 expected[label] = best / len(own)
         assert got[n] == expected, (n, got[n], expected)
     assert "cc-by-sa-4.0" in got[0] and {"mit-grant", "mit-text"} <= set(got[1]) and got[2] == {"long": 1.0} and got[3] == {}
+    assert {"mit-grant", "mit-text", "mit-body"} <= set(got[6]) and {"bsd-2-text", "bsd-2-body", "bsd-3-body"} <= set(got[7])
+    assert "isc-body" in got[8] and "gpl-3.0-notice" in got[9]
+
+
+def test_positional_filter_leaves_fewer_candidates(spark):
+    rng = random.Random(5)
+    sets = [licenses.template_words(t) for t in licenses.TEMPLATES.values()]
+    vocabulary = sorted({w for own in sets for w in own})
+    number = {w: n for n, w in enumerate(vocabulary, 1)}
+    templates = [[number[w] for w in own] for own in sets]
+    needs = [licenses.needed(len(own), licenses.CONTAINMENT) for own in templates]
+    texts = [rng.sample(range(1, len(vocabulary) + 1), rng.randint(1, 40)) for _ in range(300)]
+    texts += [rng.sample(own, len(own) - rng.randint(0, 2)) + rng.sample(range(1, len(vocabulary) + 1), 3) for own in templates for _ in range(5)]
+    rows = [(n, n, [w << 32 | at for at, w in enumerate(text)]) for n, text in enumerate(texts)]
+    own = licenses.own_words(spark.createDataFrame(rows, "doc_id bigint, text_key bigint, tokens array<bigint>"))
+    order = licenses.global_order(own, len(vocabulary))
+    left = [{(r.doc_id, n) for r in licenses.candidates(own, order, templates, needs, p).collect() for n in r.met} for p in (True, False)]
+    true = {(i, n) for i, text in enumerate(texts) for n, words_of in enumerate(templates) if len(set(words_of).intersection(text)) >= needs[n]}
+    rank = {w: place for place, w in enumerate(order)}
+    for positional, found in zip((True, False), left):  # the filters as they are defined, pair by pair
+        expected = set()
+        for i, text in enumerate(texts):
+            have = sorted(rank[w] for w in set(text))
+            for n, words_of in enumerate(templates):
+                prefix = sorted(rank[w] for w in words_of)[: len(words_of) - needs[n] + 1]
+                shared = [at for at, place in enumerate(have) if place in prefix]
+                if shared and len(have) - (shared[0] if positional else 0) >= needs[n]:
+                    expected.add((i, n))
+        assert found == expected
+    assert true and true <= left[0] < left[1]
 
 
 # --- 10: decontamination ----------------------------------------------------------------------
