@@ -93,6 +93,7 @@ def _parser() -> argparse.ArgumentParser:
     _table_names(c)
 
     k = sub.add_parser("compact", help="fold a table's batch folders into a snapshot")
+    k.add_argument("--link-buckets", type=int, default=0, help="cut the segment by link too, into so many folders (stats, windowed)")
     k.add_argument("--root", required=True)
     k.add_argument("--table", default=STATS_TABLE, help="the table's name; give --role for a renamed one")
     k.add_argument("--role", choices=["raw", "stats", "windowed"])
@@ -201,7 +202,8 @@ def main(argv: list[str] | None = None) -> int:
         from roadstats.streaming.store import compact
 
         print(compact(
-            spark, args.root, args.table, include_latest=args.include_latest, role=args.role, retain_seconds=args.retain_seconds
+            spark, args.root, args.table, include_latest=args.include_latest, role=args.role, retain_seconds=args.retain_seconds,
+            link_buckets=args.link_buckets,
         ))
         return 0
     return 2

@@ -102,7 +102,7 @@ def streamed_root(spark: SparkSession, sf: str, variant: str) -> str:
             job("checkpoints")
         if variant == "compact":
             for table in (RAW_TABLE, STATS_TABLE, WINDOWED_TABLE):
-                compact(spark, tables, table, include_latest=True)
+                compact(spark, tables, table, include_latest=True, link_buckets=4 if table == STATS_TABLE else 0)
         _RUNS[key] = f"{work}/tables"
         _MESSAGES[key] = messages
     return _RUNS[key]

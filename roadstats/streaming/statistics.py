@@ -85,11 +85,11 @@ class FolderStats:
     schema: StructType
     keys: Sequence[str] | None
     rows: DataFrame
-    #: Stored rows of some of the folders.
-    read: Callable[[Sequence[str]], DataFrame]
+    #: Stored rows of some of the folders; given a link too, at least that link's.
+    read: Callable[..., DataFrame]
 
 
-def statistics(spark: SparkSession, table_path: str, schema: StructType, keys: Sequence[str] | None, folders: Sequence[str], read: Callable[[Sequence[str]], DataFrame]) -> FolderStats:
+def statistics(spark: SparkSession, table_path: str, schema: StructType, keys: Sequence[str] | None, folders: Sequence[str], read: Callable[..., DataFrame]) -> FolderStats:
     """Statistics of ``folders``: stored ones, and for folders without them what their rows say.
 
     ``read`` gives the rows of some folders, with the folder as ``_folder``.

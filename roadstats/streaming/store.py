@@ -15,6 +15,9 @@ before, and commits by creating the next manifest, which lists the segments in u
 run, the last batch they hold. A run that resumes later is judged by its own bound, so none
 of its batches is ever taken for folded. Segments of similar size are merged (``plan_merge``), so a
 row is rewritten about once per size tier, not with every merge.
+
+A segment of a keyed table can be cut by link as well as by time (``link_buckets``): links are dealt to
+folders by hash, so a read of one link opens the files of one folder.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from roadstats.operators.stats import stats_from_partials
 from roadstats.schemas import (
@@ -46,6 +49,8 @@ from roadstats.streaming.statistics import FolderStats, folders_with, forget_sta
 
 SNAPSHOT_SUFFIX = "__snapshot"
 KIND_SUFFIX = "__kind"
+#: Folder column of a segment cut by link.
+BUCKET = "link_bucket"
 CHANGES = "changes"
 VERSIONS = "versions"
 #: Segments of a size tier that are merged into one; a tier's sizes span this factor.
@@ -90,6 +95,22 @@ def time_local(df: DataFrame, time_col: str, files: int | None = None) -> DataFr
     return ranged.sortWithinPartitions("link", time_col)
 
 
+def bucket_of(link: Column, buckets: int) -> Column:
+    """Bucket of a link, 0 to ``buckets - 1`` (NULL has one too)."""
+    return F.pmod(F.xxhash64(link), F.lit(int(buckets))).cast("int")
+
+
+def link_and_time_local(df: DataFrame, time_col: str, buckets: int, files: int | None = None) -> DataFrame:
+    """``df`` and its ``BUCKET``, range-partitioned on bucket and time and sorted by link inside.
+
+    Written with a folder a bucket, each file holds a range of times of one bucket. The ranges are
+    of equal weight, so a bucket with a busy link has more of them and no task gathers it.
+    """
+    rows = df.withColumn(BUCKET, bucket_of(F.col("link"), buckets))
+    ranged = rows.repartitionByRange(int(files), BUCKET, time_col) if files else rows.repartitionByRange(BUCKET, time_col)
+    return ranged.sortWithinPartitions(BUCKET, "link", time_col)
+
+
 def _with_batch_cols(schema: StructType) -> StructType:
     return StructType(list(schema.fields) + [StructField("run_id", LongType()), StructField("batch_id", LongType())])
 
@@ -102,6 +123,8 @@ def _version() -> Column:
 class Segment:
     name: str
     bytes: int = 0
+    #: Folders by link; 0: not cut by link.
+    buckets: int = 0
 
 
 @dataclass
@@ -113,12 +136,12 @@ class Manifest:
     bounds: dict[int, int] = field(default_factory=dict)
 
     def text(self) -> str:
-        return json.dumps({"segments": [[s.name, s.bytes] for s in self.segments], "bounds": self.bounds})
+        return json.dumps({"segments": [[s.name, s.bytes, s.buckets] for s in self.segments], "bounds": self.bounds})
 
     @classmethod
     def parse(cls, number: int, text: str) -> "Manifest":
         found = json.loads(text)
-        # Older manifests list names alone.
+        # Older manifests list names alone, or without the buckets.
         segments = [Segment(s) if isinstance(s, str) else Segment(*s) for s in found["segments"]]
         return cls(number, segments, {int(r): int(b) for r, b in found["bounds"].items()})
 
@@ -158,9 +181,22 @@ def _read_batches(spark: SparkSession, path: str, schema: StructType, batches: l
     return spark.read.schema(full).format(fmt).option("basePath", path).load(paths).select(*full.names)
 
 
-def _read_segments(spark: SparkSession, path: str, schema: StructType, segments: Sequence[Segment]) -> DataFrame:
+def _read_segments(spark: SparkSession, path: str, schema: StructType, segments: Sequence[Segment], link: str | None = None) -> DataFrame:
+    """Rows of some segments; with ``link``, of segments cut by link only its bucket's."""
     full = _with_batch_cols(schema)
-    return spark.read.schema(full).parquet(*[f"{path}{SNAPSHOT_SUFFIX}/{s.name}" for s in segments]).select(*full.names)
+    folder = lambda s: f"{path}{SNAPSHOT_SUFFIX}/{s.name}"
+    whole, parts = [folder(s) for s in segments if not s.buckets], []
+    if whole:
+        parts.append(spark.read.schema(full).parquet(*whole))
+    for s in segments:
+        if s.buckets:
+            # The bucket's type is given, so no listing decides it.
+            rows = spark.read.schema(StructType([*full.fields, StructField(BUCKET, IntegerType())])).parquet(folder(s))
+            parts.append(rows if link is None else rows.where(F.col(BUCKET) == bucket_of(F.lit(link), s.buckets)))
+    out = parts[0].select(*full.names)
+    for part in parts[1:]:
+        out = out.unionByName(part.select(*full.names))
+    return out
 
 
 def read_log(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", runs: Sequence[int] | None = None) -> DataFrame | None:
@@ -248,8 +284,8 @@ def table_statistics(spark: SparkSession, root: str, table: str, role: str | Non
     segments = {s.name: s for s in manifest.segments}
     batches = {f"run_id={r}/batch_id={b}": (r, b) for r, b in committed_batches(spark, path, manifest.bounds)}
 
-    def read(folders: Sequence[str]) -> DataFrame:
-        parts = [_read_segments(spark, path, schema, [segments[f]]).withColumn("_folder", F.lit(f)) for f in folders if f in segments]
+    def read(folders: Sequence[str], link: str | None = None) -> DataFrame:
+        parts = [_read_segments(spark, path, schema, [segments[f]], link).withColumn("_folder", F.lit(f)) for f in folders if f in segments]
         own = [batches[f] for f in folders if f in batches]
         if own:
             name = F.format_string("run_id=%d/batch_id=%d", "run_id", "batch_id")
@@ -296,7 +332,8 @@ def open_slice(
     link: str | None = None, role: str | None = None,
 ) -> DataFrame:
     """Rows of a sink table with ``t_min <= time <= t_max`` and of one link, read from the folders
-    that can hold such rows by their statistics; the others are not opened.
+    that can hold such rows by their statistics; the others are not opened, nor, in a segment cut by
+    link, the other links' buckets.
 
     All rows of a key have its time and link, so resolving the key from these folders gives what
     the whole table gives. Reads of the newest steps thus cost the same however long the history is.
@@ -320,7 +357,7 @@ def open_slice(
         inside = inside & ~F.isnan(time_col)
     if link is not None:
         inside = inside & (F.col("link") == F.lit(link))
-    rows = stats.read(folders).where(inside)
+    rows = stats.read(folders, link).where(inside)
     if role == CHANGES:
         return stats_from_partials(_summed(rows, len(_runs(spark, path)) < 2))
     return (_newest(rows, schema, keys) if keys else rows).select(*shown.names)
@@ -371,11 +408,13 @@ def compact(
     role: str | None = None,
     retain_seconds: float | None = None,
     raw_target_bytes: int = RAW_TARGET_BYTES,
+    link_buckets: int = 0,
 ) -> str | None:
     """Fold the batches that no segment holds yet into a new segment; returns its folder.
 
     Keyed tables: the segment holds one row per key of those batches (``changes`` added up, else the
-    newest version), laid out by ``time_local``. Raw: every row, without a shuffle (the scan packs
+    newest version), laid out by ``time_local``, or with ``link_buckets`` by ``link_and_time_local`` in a
+    folder a bucket; segments of either layout are read and merged together. Raw: every row, without a shuffle (the scan packs
     the many small batch files into splits of ``spark.sql.files.maxPartitionBytes``). Rows keep
     their ``run_id``/``batch_id``. Segments of similar size go into the new one with them
     (``plan_merge``); a raw segment of ``raw_target_bytes`` is never rewritten.
@@ -391,6 +430,8 @@ def compact(
     path = f"{root.rstrip('/')}/{table}"
     role = _role_of(spark, path, table, role)
     _, schema, keys = ROLES[role]
+    if link_buckets < 0 or (link_buckets and not keys):
+        raise ValueError("link_buckets is 0 or more, and 0 for a table without keys")
     base = path + SNAPSHOT_SUFFIX
     manifest = read_manifest(spark, path)
     batches = committed_batches(spark, path, manifest.bounds)
@@ -405,19 +446,20 @@ def compact(
         if merged:
             rows = rows.unionByName(_read_segments(spark, path, schema, merged))
         if keys:
-            # The resolve already shuffled; lay the (small) aggregate out by time for slice reads.
+            # The resolve already shuffled; lay the (small) aggregate out for slice reads.
             one = _summed(rows, len(_runs(spark, path)) < 2) if role == CHANGES else _newest(rows, schema, keys)
-            rows = time_local(one, "t" if "t" in schema.names else "window_start")
+            time_col = "t" if "t" in schema.names else "window_start"
+            rows = link_and_time_local(one, time_col, link_buckets) if link_buckets else time_local(one, time_col)
         else:
             cols = [c for c in sort_within if c in schema.names]
             rows = rows.sortWithinPartitions(*cols) if cols else rows
         name = f"segments/{manifest.number + 1:08d}-{uuid.uuid4().hex[:8]}"
         seen = Observation()
-        rows.observe(seen, *observed(schema)).write.parquet(f"{base}/{name}")
+        rows.observe(seen, *observed(schema)).write.partitionBy(*[BUCKET] * bool(link_buckets)).parquet(f"{base}/{name}")
         write_stats(spark, path, name, seen.get)
         kept = [s for s in manifest.segments if s not in merged]
         bounds = {**manifest.bounds, **{r: b for r, b in batches}}
-        new = Manifest(manifest.number + 1, [*kept, Segment(name, folder_bytes(spark, f"{base}/{name}"))], bounds)
+        new = Manifest(manifest.number + 1, [*kept, Segment(name, folder_bytes(spark, f"{base}/{name}"), link_buckets)], bounds)
         if not write_small_text(spark, f"{base}/manifests/{new.number}", new.text()):
             raise RuntimeError(f"another compaction of {path} committed first; run it again")
         out = f"{base}/{name}"

@@ -242,6 +242,54 @@ def test_slices_read_only_folders_that_can_hold_them(spark, work, events_df, fol
     assert _rows(q.link_state_at(newest, 709, 2)) == _rows(q.link_state_at(t["stats"], 709, 2))
 
 
+def test_a_link_is_read_from_its_bucket_alone(spark, work, events_df):
+    root, links = f"{work}/tables", [f"L{k}" for k in range(12)]
+    batch = lambda k: [ev(100 * k + j, links[j % 12], float(j)) for j in range(48)] + [ev(NAN, "L1", 1.0), ev(None, "L2", 2.0), ev(100 * k, None, 3.0)]
+    for table, key in (("stats", "stats"), ("stats_windowed", "windowed")):
+        with pytest.raises(ValueError, match="link_buckets"):
+            store.compact(spark, root, table, link_buckets=-1)
+    with pytest.raises(ValueError, match="link_buckets"):
+        store.compact(spark, root, "raw_data", link_buckets=4)
+    _changes(spark, root, [batch(0), batch(1)], events_df)
+    store.compact(spark, root, "stats", include_latest=True)  # a segment by time alone
+    _changes(spark, root, [batch(1), batch(2)], events_df, first=2)
+    cut = store.compact(spark, root, "stats", include_latest=True, link_buckets=4)
+    _changes(spark, root, [batch(3)], events_df, first=4)  # and a batch that no segment holds
+    every = events_df(batch(0) + batch(1) + batch(1) + batch(2) + batch(3))
+    whole = store.open_tables(spark, root)["stats"]
+    assert _rows(whole) == _rows(link_stats(every))
+    folders = sorted(n for n in os.listdir(cut) if n.startswith(store.BUCKET))
+    assert set(folders) <= {f"{store.BUCKET}={b}" for b in range(4)} and len(folders) > 1
+    wanted = {link: (_rows(whole.where(F.col("link") == link)), _rows(whole.where((F.col("link") == link) & F.col("t").between(105, 230)))) for link in ("L1", "L2", "L7")}
+    for link, (series, part) in wanted.items():
+        assert series and part and _rows(store.open_slice(spark, root, "stats", link=link)) == series
+        assert _rows(store.open_slice(spark, root, "stats", 105, 230, link)) == part
+        # No file of another bucket is opened: a read holds even when these are no Parquet files.
+        bucket = spark.range(1).select(store.bucket_of(F.lit(link), 4)).first()[0]
+        held = {}
+        for other in folders:
+            for name in os.listdir(f"{cut}/{other}"):
+                file = f"{cut}/{other}/{name}"
+                if other != f"{store.BUCKET}={bucket}" and name.endswith(".parquet"):
+                    with open(file, "rb") as f:
+                        held[file] = f.read()
+                    with open(file, "wb") as f:
+                        f.write(b"x" * len(held[file]))
+        assert held and _rows(store.open_slice(spark, root, "stats", link=link)) == series
+        for file, data in held.items():
+            with open(file, "wb") as f:
+                f.write(data)
+    for buckets in (0, 3):  # merged with segments of either layout
+        _changes(spark, root, [batch(4), batch(5)], events_df, first=5 + buckets)
+        store.compact(spark, root, "stats", include_latest=True, link_buckets=buckets)
+    every = every.unionByName(events_df((batch(4) + batch(5)) * 2))
+    assert _rows(store.open_tables(spark, root)["stats"]) == _rows(link_stats(every))
+    assert len(store.read_manifest(spark, f"{root}/stats").segments) == 1
+    assert _rows(store.open_slice(spark, root, "stats", link="L7")) == _rows(link_stats(every.where("link = 'L7'")))
+    s = store.table_statistics(spark, root, "stats")
+    assert st.count_rows(s).first()[0] == link_stats(every).count()
+
+
 def test_ranges_of_equal_weight_cut_a_busy_hour(spark, work, events_df):
     from roadstats.sources.stream import replay_to_dir
 
